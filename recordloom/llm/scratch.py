@@ -7,22 +7,22 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL: list[str] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``; a temporary folder only where it is unset (tests)."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found
+    if not _LOCAL:
+        _LOCAL.append("file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+    return _LOCAL[0]
 
 
-def cut(df: DataFrame, *parts: str) -> DataFrame:
+def cut(df: DataFrame) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: the plan starts anew, and a
-    lost executor loses nothing. ``parts`` are optional Hive partition columns."""
+    lost executor loses nothing."""
     path = f"{shared_dir(df.sparkSession)}/recordloom/{uuid.uuid4().hex}"
-    writer = df.write
-    if parts:
-        writer = writer.partitionBy(*parts)
-    writer.parquet(path)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
