@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 from collections.abc import Iterator
+from itertools import chain, compress, repeat
 
 import numpy as np
+import regex
 
 SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 ODD = re.compile(r"[\x1c-\x1f]")  # str.split() cuts at these, white space of the tokenizer it is not
@@ -24,42 +27,84 @@ def slices(texts: list[str], limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
         yield a, len(texts)
 
 
+PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")  # fixed value: the tokenizer's own pattern
+
+
+def _byte_letters() -> dict[int, str]:
+    """The usual letter for each byte: printable ones stand for themselves, others follow at U+0100."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class WordIds:
     """Ids of whole texts by a tokenizer that drops white space and never joins across it.
 
-    White-space-separated words are looked up in a cache of at most ``keep`` entries; only new
-    words reach the tokenizer. The ids equal those of encoding the whole text.
+    White-space-separated words are looked up in a cache; a new word is cut by the tokenizer's
+    pattern, and only parts that are new reach its model. Words beyond the alphabets for which the
+    pattern is sure to agree go through the whole tokenizer. Both caches hold at most ``keep``
+    entries (parts: twice as many). The ids equal those of encoding the whole text.
     """
 
-    def __init__(self, path: str, keep: int = 300_000):
+    def __init__(self, path: str, keep: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.keep = Tokenizer.from_file(path), keep
+        self.tokenizer, self.keep, self.letters = Tokenizer.from_file(path), keep, _byte_letters()
         self.tokenizer.encode_special_tokens = True
+        self.model, self.parts = self.tokenizer.model, {}
         self._clear()
 
     def _clear(self) -> None:
         self.place: dict[str, int] = {}
-        self.parts: list[list[int]] = []
+        self.begins, self.lengths, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def _part(self, part: str) -> bytes:
+        letters = part if part.isascii() else part.encode("utf-8").decode("latin-1").translate(self.letters)
+        ids = self.parts[part] = np.array([t.id for t in self.model.tokenize(letters)], np.uint32).tobytes()
+        return ids
+
+    def _whole(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, np.uint32).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        parts = self.parts
+        if word.isalpha() and (word.isascii() or max(word) < "\u0530"):
+            return parts.get(word) or self._part(word)
+        if not word.isascii() and max(word) >= "\u0530" or ODD.search(word):
+            return self._whole(word)
+        return b"".join([parts.get(p) or self._part(p) for p in PIECE.findall(word)])
+
+    def _learn(self, words: list[str]) -> None:
+        if len(self.parts) > 2 * self.keep:
+            self.parts = {}
+        ids = [self._word(w) for w in words]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words))))
+        self.begins = np.append(self.begins, len(self.flat) + np.cumsum(lengths) - lengths)
+        self.lengths = np.append(self.lengths, lengths)
+        self.flat = np.append(self.flat, np.frombuffer(b"".join(ids), np.uint32))
+
+    @staticmethod
+    def _split(text: str) -> list[str]:
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")
+        text = text.lower()
+        return SPACE.split(text) if ODD.search(text) else text.split()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.place) > self.keep:
             self._clear()
-        split = [SPACE.split(t) if ODD.search(t) else t.split() for t in texts]
-        new = list(set().union(*split).difference(self.place)) if split else []
-        for i in range(0, len(new), 50_000):
-            for word, got in zip(new[i : i + 50_000], self.tokenizer.encode_batch(new[i : i + 50_000], add_special_tokens=False)):
-                self.place[word] = len(self.parts)
-                self.parts.append(got.ids)
-        lengths = np.fromiter(map(len, self.parts), np.int64, len(self.parts))
-        flat = np.fromiter((x for p in self.parts for x in p), np.uint32, int(lengths.sum())) if len(self.parts) else np.zeros(0, np.uint32)
-        begins = np.cumsum(lengths) - lengths
-        out = []
-        for words in split:
-            at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-            out.append(flat[ragged(begins[at], lengths[at])])
-        return out
+        words = [self._split(t) for t in texts]
+        at = np.fromiter(map(self.place.get, chain.from_iterable(words), repeat(-1)), np.int64)
+        new = at < 0
+        if new.any():
+            missing = list(compress(chain.from_iterable(words), new.tolist()))
+            self._learn(list(dict.fromkeys(missing)))
+            at[new] = np.fromiter(map(self.place.__getitem__, missing), np.int64, len(missing))
+        ids = self.flat[ragged(self.begins[at], self.lengths[at])]
+        ends = np.concatenate([[0], np.cumsum(self.lengths[at])])[np.cumsum([0] + [len(w) for w in words])]
+        return [ids[a:b] for a, b in zip(ends, ends[1:])]
 
 
 def ragged(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
