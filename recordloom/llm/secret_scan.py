@@ -29,10 +29,10 @@ from pyspark.sql import functions as F
 # Fixed values of the base contract.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{14,}"  # greedy runs of 18+ in all
-HEX = r"[0-9a-f]{16,}"
+HEX = r"(?<![0-9a-f])[0-9a-f]{16,}+"
 KINDS = ("assign", "access", "hex", "random")
 
-CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+"
 BAND_STARTS = (20, 32, 48, 96)
 BINS_PER_E = 8  # bins of the p-value grid per unit of -ln(p)
 MAX_BIN = 800
@@ -40,11 +40,15 @@ FDR = 0.05
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def let(value: Column, body) -> Column:
+    """body(value), with value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _spans(text: Column, pattern: str, kind: int, keep=None) -> Column:
     """array<struct<start,kind,end>> of the leftmost non-overlapping matches; keep filters by match text."""
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    zero = F.struct(F.lit(0).cast("long").alias("pos"), F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>").alias("out"))
+    none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
+    zero = F.struct(F.lit(0).cast("long").alias("pos"), none.alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["pos"] + F.length(x["gap"])
@@ -53,8 +57,12 @@ def _spans(text: Column, pattern: str, kind: int, keep=None) -> Column:
         ok = keep(x["hit"]) if keep else F.lit(True)
         return F.struct(end.alias("pos"), F.when(ok, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
-    pairs = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
-    return F.when(text.rlike(pattern), F.aggregate(pairs, zero, step, lambda acc: acc["out"])).otherwise(zero["out"])
+    def walk(hits: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits))
+        pairs = F.zip_with(gaps, hits, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
+        return F.aggregate(pairs, zero, step, lambda acc: acc["out"])
+
+    return F.when(text.rlike(pattern), let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), walk)).otherwise(none)
 
 
 def base_spans(text: Column) -> Column:
@@ -93,37 +101,39 @@ def _sum(values: Column) -> Column:
 
 def p_value(token: Column) -> Column:
     """Fisher-combined p-value of the three tests under "uniform draw from the alphabet"."""
-    symbols = alphabet(token)
-    n, k = F.length(token).cast("double"), F.length(symbols).cast("double")
-    values = F.transform(F.split(token, ""), lambda c: F.instr(symbols, c).cast("double") - 1)
-
-    def tests(v: Column) -> Column:
-        squares = _sum(F.transform(F.array_distinct(v), lambda x: F.pow(F.size(F.filter(v, lambda y: y == x)).cast("double"), F.lit(2.0))))
-        df = k - 1
-        chi = F.greatest(squares * k / n - n, F.lit(1e-9))
+
+    def values(t: Column) -> Column:
+        v = F.transform(F.split(t["token"], ""), lambda c: F.instr(t["symbols"], c).cast("double") - 1)
+        return F.struct(v.alias("v"), F.length(t["symbols"]).cast("double").alias("k"), F.length(t["token"]).cast("double").alias("n"))
+
+    def parts(t: Column) -> Column:
+        high = F.transform(t["v"], lambda x: F.when(x >= t["k"] / 2, 1.0).otherwise(0.0))
+        counts = F.transform(F.array_distinct(t["v"]), lambda x: F.pow(F.size(F.filter(t["v"], lambda y: y == x)).cast("double"), F.lit(2.0)))
+        mid = _sum(t["v"]) / t["n"]
+        return F.struct(t["v"].alias("v"), t["k"].alias("k"), t["n"].alias("n"), high.alias("high"), mid.alias("mid"), _sum(counts).alias("squares"))
+
+    def sums(t: Column) -> Column:
+        shifted = lambda x: (F.slice(x, F.lit(1), F.size(x) - 1), F.slice(x, F.lit(2), F.size(x) - 1))
+        runs = 1 + _sum(F.zip_with(*shifted(t["high"]), lambda a, b: F.abs(a - b)))
+        power = _sum(F.transform(t["v"], lambda x: (x - t["mid"]) * (x - t["mid"])))
+        lag = _sum(F.zip_with(*shifted(t["v"]), lambda a, b: (a - t["mid"]) * (b - t["mid"])))
+        chi = F.greatest(t["squares"] * t["k"] / t["n"] - t["n"], F.lit(1e-9))
+        return F.struct(t["k"].alias("k"), t["n"].alias("n"), _sum(t["high"]).alias("up"), runs.alias("runs"), power.alias("power"), lag.alias("lag"), chi.alias("chi"))
+
+    def combined(t: Column) -> Column:
+        n, df = t["n"], t["k"] - 1
         h = 2 / (9 * df)
-        p1 = _tail((F.pow(chi / df, F.lit(1 / 3)) - (1 - h)) / F.sqrt(h))
-
-        size = F.size(v)
-        after = F.slice(v, F.lit(2), size - 1)
-        before = F.slice(v, F.lit(1), size - 1)
-        high = lambda x: F.when(x >= k / 2, 1.0).otherwise(0.0)
-        up = _sum(F.transform(v, high))
-        runs = 1 + _sum(F.zip_with(before, after, lambda a, b: F.abs(high(a) - high(b))))
-        mean = 2 * up * (n - up) / n + 1
+        p1 = _tail((F.pow(t["chi"] / df, F.lit(1 / 3)) - (1 - h)) / F.sqrt(h))
+        mean = 2 * t["up"] * (n - t["up"]) / n + 1
         var = (mean - 1) * (mean - 2) / (n - 1)
-        p2 = F.when(var <= 0, F.exp(-n * 0.6931471805599453) * 2).otherwise(2 * _tail(F.abs(runs - mean) / F.sqrt(F.greatest(var, F.lit(1e-9)))))
-
-        mid = _sum(v) / n
-        power = _sum(F.transform(v, lambda x: (x - mid) * (x - mid)))
-        lag = _sum(F.zip_with(before, after, lambda a, b: (a - mid) * (b - mid)))
-        p3 = F.when(power <= 0, F.lit(1e-9)).otherwise(2 * _tail(F.abs(lag / F.greatest(power, F.lit(1e-9)) + 1 / n) * F.sqrt(n)))
-
+        p2 = F.when(var <= 0, F.exp(-n * 0.6931471805599453) * 2).otherwise(2 * _tail(F.abs(t["runs"] - mean) / F.sqrt(F.greatest(var, F.lit(1e-9)))))
+        p3 = F.when(t["power"] <= 0, F.lit(1e-9)).otherwise(2 * _tail(F.abs(t["lag"] / F.greatest(t["power"], F.lit(1e-9)) + 1 / n) * F.sqrt(n)))
         floor = F.lit(1e-30)
-        x = -(F.log(F.greatest(p1, floor)) + F.log(F.greatest(p2, floor)) + F.log(F.greatest(p3, floor)))
-        return F.least(F.exp(-x) * (1 + x + x * x / 2), F.lit(1.0))
+        logs = -(F.log(F.greatest(p1, floor)) + F.log(F.greatest(p2, floor)) + F.log(F.greatest(p3, floor)))
+        return let(logs, lambda x: F.least(F.exp(-x) * (1 + x + x * x / 2), F.lit(1.0)))
 
-    return F.transform(F.array(values), tests)[0]
+    start = let(token, lambda t: F.struct(t.alias("token"), alphabet(t).alias("symbols")))
+    return let(let(let(let(start, values), parts), sums), combined)
 
 
 def _bin(p: Column) -> Column:
@@ -172,16 +182,16 @@ def scan(docs: DataFrame, text_col: str = "text", fdr: float = FDR) -> DataFrame
     text = F.coalesce(F.col(text_col), F.lit(""))
     cuts = rejection_bins(docs, text_col, fdr)
     found = docs.withColumn("_base", base_spans(text)).withColumn(
-        "_runs", F.when(F.size(candidates(text)) > 0, _spans(text, CANDIDATE, 3, lambda t: t.rlike("[0-9]") & t.rlike("[A-Za-z]")))
+        "_runs", _spans(text, CANDIDATE, 3, lambda t: t.rlike("[0-9]") & t.rlike("[A-Za-z]"))
     )
 
     def survives(s: Column) -> Column:
         token = F.substring(text, s["start"].cast("int") + 1, (s["end"] - s["start"]).cast("int"))
         apart = ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
         cut = F.element_at(F.col("_cuts"), _band(s["end"] - s["start"]))
-        return apart & (cut.isNull() | (_bin(p_value(token)) < cut))
+        return apart & F.when(cut.isNull(), True).otherwise(_bin(p_value(token)) < cut)
 
-    extra = F.when(F.col("_runs").isNull(), F.slice("_base", 1, 0)).otherwise(F.filter("_runs", survives))
+    extra = F.when(F.size("_runs") == 0, F.col("_runs")).otherwise(F.filter("_runs", survives))
     return (
         found.crossJoin(F.broadcast(cuts))  # one row
         .withColumn("secrets", F.array_sort(F.concat("_base", extra)))
