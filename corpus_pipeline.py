@@ -6,21 +6,42 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordloom.llm import near_dup, packing
+from recordloom.llm import decontaminate, near_dup, packing, quality, secret_scan
 from recordloom.llm.scratch import shared_dir
 
 
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go; it learns from ``labels``."""
+    return quality.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class stays."""
     return near_dup.dedup(docs)
 
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold an item of ``benchmark`` go."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secrets_removed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret span of the texts is replaced by a mark; no document goes."""
+    return secret_scan.redact(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their place in sequences of at most 4096 tokens."""
     return packing.query(docs)
 
 
-STAGES = [("near_duplicates", near_duplicates), ("packing", pack)]
+STAGES = [
+    ("quality_classifier", quality_filter),
+    ("minhash_near_dedup", near_duplicates),
+    ("benchmark_decontamination", decontaminated),
+    ("secret_scans", secrets_removed),
+    ("packing", packed),
+]
 
 #: SQL can't express the stages; tests hold them against brute force.
 ORACLE_SQL = None
