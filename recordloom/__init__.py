@@ -1,0 +1 @@
+"""Public-record analytics as Spark DataFrame jobs."""
