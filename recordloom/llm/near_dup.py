@@ -10,11 +10,13 @@ similarity, at a cost of about k ln k darts a document instead of k hashes an el
 ``classes`` then works on distinct texts:
 
 1. Signatures are cut into ``bands`` of ``rows`` coordinates; texts that share a band's value form a
-   bucket. Every member is compared with one leader of its bucket (exact Jaccard), never all pairs.
-2. The links found give components. Buckets whose members lie in several components are searched
-   further by prefix filtering inside the bucket: two sets of similarity t share one of their
-   |x| - ceil(t |x|) + 1 rarest shingles, so only members that share such a shingle are compared.
-   No link between members of a bucket is lost this way.
+   bucket. Every member is compared with one leader of its bucket (exact Jaccard), the one that
+   meets most other texts, never all pairs.
+2. The links found give components. What the triangle inequality leaves undecided in a bucket
+   (members beyond the similarity from the leader, and linked ones that may reach them) goes to
+   further rounds with new leaders, after ``REFINE_AFTER`` in finer groups: similar sets share one of
+   their rarest shingles, so members are regrouped by these (prefix and positional filtering).
+   What is undecided after ``ROUNDS`` is compared pair by pair; no link within a bucket is lost.
 3. Components of all links are the classes.
 
 Two texts of similarity 0.8 share no bucket with probability (1 - 0.8**5)**24 = 7e-5.
@@ -40,6 +42,7 @@ from .words import slices
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
+ROUNDS, REFINE_AFTER = 3, 0
 FIRST_RANK = 1 / 16  # the first region of ranks; each further one doubles the span
 MIX1, MIX2, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -183,18 +186,17 @@ def _jaccard(a: Column, b: Column) -> Column:
     return F.when(union == 0, F.lit(1.0)).otherwise(both / union)
 
 
-def linked(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The pairs (a, b) whose sets are at least similar."""
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs (a, b) with the exact similarity of their sets."""
     left, right = sets.toDF("b", "sb"), sets.toDF("a", "sa")
-    return pairs.join(left, "b").join(right, "a").filter(_jaccard(F.col("sa"), F.col("sb")) >= similarity - 1e-12).select("a", "b")
+    return pairs.join(left, "b").join(right, "a").select("a", "b", _jaccard(F.col("sa"), F.col("sb")).alias("sim"))
 
 
 def components(links: DataFrame) -> DataFrame:
     """node, comp of links(a, b): least node of each component, by hooking and pointer jumping."""
     both = cut(links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(links.select("b", "a")).distinct())
-    label = both.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("comp"))
+    label = cut(both.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("comp")))
     while True:
-        label = cut(label)
         seen = both.join(label.toDF("other", "c"), "other").groupBy("node").agg(F.min("c").alias("c"))
         best = label.join(seen, "node").select("node", "comp", F.least("comp", "c").alias("new"))
         jump = label.select(F.col("node").alias("new"), F.col("comp").alias("to"))
@@ -204,20 +206,98 @@ def components(links: DataFrame) -> DataFrame:
             return label
 
 
-def _further_pairs(members: DataFrame, label: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Pairs in mixed buckets that share one of their rarest shingles, in different components."""
-    at = members.join(label.toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    mixed = at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
-    inside = at.join(mixed, "key", "left_semi").join(sets, "rep")
-    token = inside.select("key", "rep", "comp", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
-    often = token.groupBy("key", "shingle").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
-    order = Window.partitionBy("key", "rep").orderBy("often", "shingle")
-    # shingles of one member only share nothing, yet they fill the front of the prefix
-    shared = token.join(often, ["key", "shingle"]).withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("key", "rep"))).withColumn("nth", F.row_number().over(order))
-    prefix = shared.filter(F.col("nth") + F.col("n") - F.col("m") <= F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1)
-    one = prefix.select("key", "shingle", F.col("rep").alias("a"), F.col("comp").alias("ca"))
-    two = prefix.select("key", "shingle", F.col("rep").alias("b"), F.col("comp").alias("cb"))
-    return one.join(two, ["key", "shingle"]).filter("a < b and ca <> cb").select("a", "b").distinct()
+def merged(label: DataFrame, links: DataFrame) -> DataFrame:
+    """label (node, comp) after further links (a, b): only links between components are searched."""
+    ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    every = label.unionByName(ends.join(label, "node", "left_anti").withColumn("comp", F.col("node")))
+    to = links.join(every.toDF("a", "ca"), "a").join(every.toDF("b", "cb"), "b").filter("ca <> cb")
+    bridges = cut(to.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
+    if bridges.isEmpty():
+        return label
+    up = components(bridges).toDF("comp", "up")
+    return cut(every.join(up, "comp", "left").select("node", F.coalesce("up", "comp").alias("comp")))
+
+
+def _stars(groups: DataFrame) -> DataFrame:
+    """groups (key, rep, odd, weight) with the leader of each key: of its odd members the one of most weight."""
+    best = groups.groupBy("key").agg(F.max(F.struct("odd", "weight", (-F.col("rep")).alias("r"))).alias("l"))
+    return groups.join(best.select("key", (-F.col("l.r")).alias("leader")), "key")
+
+
+def _pair() -> list[Column]:
+    return [F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")]
+
+
+def _undecided(stars: DataFrame, seen: DataFrame, label: DataFrame, similarity: float) -> DataFrame:
+    """The groups (key, rep, odd, weight) that may hold links not yet found once leaders are compared.
+
+    Distances 1 - similarity obey the triangle inequality. Two members that are both linked to their
+    leader are in one component. An odd member, beyond the similarity from the leader, and one
+    within can be linked only if the odd one's distance is at most that of the other and 1 - similarity.
+    """
+    far = 1 - similarity
+    sim = stars.filter("rep <> leader").withColumns(dict(zip("ab", _pair()))).join(seen, ["a", "b"]).select("key", "rep", "weight", "n", "r", "sim")
+    beyond = F.col("sim") < similarity - 1e-12
+    stats = sim.filter(beyond).groupBy("key").agg(F.count(F.lit(1)).alias("n_odd"), F.max("sim").alias("closest"))
+    reach = F.col("closest") >= 1 - 2 * far - 1e-9
+    kept = sim.join(stats, "key").filter(F.when(beyond, (F.col("n_odd") > 1) | reach).otherwise(reach & (F.col("sim") <= F.col("closest") + far + 1e-9)))
+    kept = kept.select("key", "rep", beyond.alias("odd"), "weight", "n", "r").join(label.toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    mixed = kept.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
+    return _once(kept.drop("comp").join(mixed.select("key"), "key", "left_semi"))
+
+
+def _once(groups: DataFrame) -> DataFrame:
+    """Groups of the same members as one, with the first rank of each member."""
+    marks = [F.sum(F.shiftright(F.xxhash64("rep", F.lit(i)), 16)).alias(f"h{i}") for i in range(2)]
+    of_key = groups.groupBy("key").agg(F.count(F.lit(1)).alias("k"), *marks).filter("k > 1").drop("k")
+    first = [F.min("key").alias("key"), F.max("odd").alias("odd"), F.max("weight").alias("weight"), F.max("n").alias("n"), F.min("r").alias("r")]
+    return groups.join(of_key, "key").groupBy("h0", "h1", "rep").agg(*first).select("key", "rep", "odd", "weight", "n", "r")
+
+
+def _enough(n: Column, r: Column, other_n: Column, similarity: float) -> Column:
+    """Whether a set of n shingles whose shared ones begin at rank r can be so similar to one of other_n."""
+    return 1 + n - r >= F.lit(similarity / (1 + similarity)) * (n + other_n) - 1e-9
+
+
+def _refined(groups: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Groups of the members of a group that share one of their rarest shingles in it.
+
+    Ranks order a set's shingles by their number of members in the group. Two sets share nothing
+    before the first rank they share, so it must leave enough shingles for the overlap that the
+    similarity asks for.
+    """
+    token = groups.join(sets, "rep").select("key", "rep", "odd", "weight", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    often = token.groupBy("key", "shingle").agg(F.count(F.lit(1)).alias("often"), F.min("n").alias("least")).filter("often > 1")
+    # shingles of one member only share nothing, yet they fill the front ranks
+    own = Window.partitionBy("key", "rep")
+    shared = token.join(often, ["key", "shingle"]).withColumn("m", F.count(F.lit(1)).over(own)).withColumn("r", F.row_number().over(own.orderBy("often", "shingle")) + F.col("n") - F.col("m"))
+    front = shared.filter(_enough(F.col("n"), F.col("r"), F.greatest("least", F.col("n") * similarity), similarity))
+    fine = front.select(F.xxhash64("key", "shingle").alias("key"), "rep", "odd", "weight", "n", "r")
+    return _once(fine)
+
+
+def _labels(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Components of all links within groups (key, rep, odd, weight, n, r), by rounds of leaders."""
+    alike = F.col("sim") >= similarity - 1e-12
+    groups, seen, label = members, None, None
+    for number in range(ROUNDS):
+        stars = cut(_stars(groups))
+        pairs = stars.filter("rep <> leader").select(*_pair()).distinct()
+        new = cut(compared(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"), sets))
+        seen = new if seen is None else seen.unionByName(new)
+        links = new.filter(alike).select("a", "b")
+        label = components(links) if label is None else merged(label, links)
+        groups = cut(_undecided(stars, seen, label, similarity))
+        if groups.isEmpty():
+            return label
+        if number == REFINE_AFTER:
+            groups = cut(_refined(groups, sets, similarity))
+    own = groups.join(label.toDF("rep", "comp"), "rep", "left").select("key", "rep", F.coalesce("comp", "rep").alias("comp"), "n", "r")
+    fits = _enough(F.col("na"), F.col("ra"), F.col("nb"), similarity) & _enough(F.col("nb"), F.col("rb"), F.col("na"), similarity)
+    on = (F.col("ka") == F.col("kb")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits
+    rest = own.toDF("ka", "a", "ca", "na", "ra").join(own.toDF("kb", "b", "cb", "nb", "rb"), on).select("a", "b").distinct()
+    found = cut(compared(rest.join(seen, ["a", "b"], "left_anti"), sets).filter(alike).select("a", "b"))
+    return merged(label, found)
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, words: int = WORDS) -> DataFrame:
@@ -229,19 +309,15 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     sig = cut(signatures(docs, bands, rows, words))
     texts = cut(sig.groupBy("text_key").agg(F.first("bands").alias("bands"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")).withColumn("rep", F.monotonically_increasing_id()))
     banded = texts.select("rep", F.explode("bands").alias("key"))
-    buckets = banded.groupBy("key").agg(F.min("rep").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "leader")
+    buckets = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = cut(banded.join(buckets, "key"))
-    pairs = cut(members.filter("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct())
-    needed = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct().join(texts.select("rep", "text_key"), "rep")
+    weights = cut(members.groupBy("rep").agg(F.sum("size").alias("weight")))  # texts that meet many others lead
+    needed = weights.select("rep").join(texts.select("rep", "text_key"), "rep")
     text = F.coalesce(F.col("text"), F.lit(""))
     source = docs.select(F.unhex(F.md5(text)).alias("text_key"), text.alias("text"))
     one_each = source.join(needed, "text_key").groupBy("rep").agg(F.first("text").alias("text"))
     sets = cut(shingle_sets(one_each, words))
-    links = cut(linked(pairs, sets, similarity))
-    label = components(links)
-    more = cut(linked(_further_pairs(members.select("key", "rep"), label, sets, similarity), sets, similarity))
-    if not more.isEmpty():
-        label = components(links.union(more))
+    label = _labels(members.join(weights, "rep").select("key", "rep", F.lit(True).alias("odd"), "weight", F.lit(0).alias("n"), F.lit(0).alias("r")), sets, similarity)
     of_text = texts.select("text_key", "rep", "least", "n").join(label.toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     of_class = of_text.groupBy("comp").agg(F.min("text_key").alias("class_key"), F.min("least").alias("class_id"), F.sum("n").alias("class_size"))
     found = of_text.select("text_key", "comp").join(of_class, "comp").drop("comp")
