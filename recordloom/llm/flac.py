@@ -348,4 +348,4 @@ def digest(stored: DataFrame) -> DataFrame:
 
 def query(docs: DataFrame) -> DataFrame:
     """The registered digest: stored once, then read back from the written table."""
-    return digest(cut(store(docs)))
+    return digest(cut(store(docs), "zstd"))

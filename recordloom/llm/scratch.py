@@ -20,9 +20,9 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL[0]
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: the plan starts anew, and a
     lost executor loses nothing."""
     path = f"{shared_dir(df.sparkSession)}/recordloom/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
