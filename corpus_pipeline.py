@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from recordloom.llm import decontaminate, near_dup, packing, quality, secret_scan
 from recordloom.llm.scratch import shared_dir
@@ -26,8 +27,9 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def secrets_removed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every secret span of the texts is replaced by a mark; no document goes."""
-    return secret_scan.redact(docs)
+    """Every secret span of the texts is replaced by a mark, n_chars follows; no document goes."""
+    length = F.coalesce(F.length("text").cast("long"), F.col("n_chars"))
+    return secret_scan.redact(docs).withColumn("n_chars", length).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
