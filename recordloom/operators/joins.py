@@ -138,13 +138,20 @@ def fuzzy_match(a: DataFrame, a_key: str, a_name: str, b: DataFrame, b_key: str,
 
 
 def overlap_candidates(a: DataFrame, a_key: str, b: DataFrame, b_key: str, k: int) -> DataFrame:
-    """Top k b-rows of each a-row by shared tokens over the smaller token set (J19); both have ``tokens``."""
-    left = a.select(a_key, F.size("tokens").alias("_na"), F.explode("tokens").alias("token"))
-    right = b.select(b_key, F.size("tokens").alias("_nb"), F.explode("tokens").alias("token"))
-    shared = left.join(right, "token").groupBy(a_key, b_key, "_na", "_nb").agg(F.count(F.lit(1)).alias("shared"))
-    scored = shared.withColumn("score", F.col("shared") / F.least("_na", "_nb"))
-    w = Window.partitionBy(a_key).orderBy(F.desc("score"), F.desc("shared"), b_key)
-    return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select(a_key, b_key, "shared", "score", "rank")
+    """Top k b-rows of each a-row by shared tokens over the smaller token set (J19); both have ``tokens``
+    and keys that don't repeat.
+
+    Distinct token sets meet, not rows: rows of one set score alike, so the k least keys of a b-set
+    are all that can rank. Pairs grow with the distinct sets that share a token.
+    """
+    left, right = a.select(a_key, F.array_sort("tokens").alias("_sa")), b.select(b_key, F.array_sort("tokens").alias("_sb"))
+    least = right.filter("_sb is not null").withColumn("_rn", F.row_number().over(Window.partitionBy("_sb").orderBy(b_key))).filter(F.col("_rn") <= k).drop("_rn")
+    one, two = left.select("_sa").distinct(), right.select("_sb").distinct()
+    shared = one.withColumn("token", F.explode("_sa")).join(two.withColumn("token", F.explode("_sb")), "token").groupBy("_sa", "_sb").agg(F.count(F.lit(1)).alias("shared"))
+    scored = shared.withColumn("score", F.col("shared") / F.least(F.size("_sa"), F.size("_sb"))).join(least, "_sb")
+    w = Window.partitionBy("_sa").orderBy(F.desc("score"), F.desc("shared"), b_key)
+    best = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return left.join(best, "_sa").select(a_key, b_key, "shared", "score", "rank")
 
 
 def attribute_email(emails: DataFrame, people: DataFrame, org: str, patterns: Mapping[str, Column]) -> DataFrame:

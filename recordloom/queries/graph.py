@@ -9,7 +9,7 @@ from recordloom.operators import aggregates as A
 from recordloom.operators import graph as G
 from recordloom.operators import joins as J
 
-from .joins import BASKETS, CUSTOMERS, MILES, SITES, places, sites
+from .joins import BASKETS, CUSTOMERS, MILES, PARTS, SITES, places, sites
 from .registry import query
 
 TREE = "e as (select c_custkey as child, cast(floor(c_custkey / 7) as bigint) as parent from customer where c_custkey > 0 union all select max(c_custkey) + 1, max(c_custkey) + 2 from customer union all select max(c_custkey) + 2, max(c_custkey) + 1 from customer)"
@@ -51,6 +51,11 @@ def h04(t):
     return G.family(t.customer.filter("c_custkey between 1 and 40"), "c_custkey", tree(t))
 
 
+@query("h04_family_all", f"with {TREE}, a as (select c_custkey as k from customer), x as (select k as anchor, k as member, 0 as hops from a union all select k, child, 1 from a join e on parent = k union all select k, f.child, 2 from a join e on e.parent = k join e f on f.parent = e.child) select anchor, member, min(hops) as hops from x group by 1, 2")
+def h04_all(t):
+    return G.family(t.customer, "c_custkey", tree(t))
+
+
 @query(
     "h05_edge_table",
     """with d as (select o_custkey, l_suppkey, l_extendedprice, l_shipdate, l_returnflag from orders join lineitem on o_orderkey = l_orderkey), m as (select o_custkey, l_suppkey, l_returnflag, count(*) as n from d group by 1, 2, 3), b as (select *, row_number() over (partition by o_custkey, l_suppkey order by n desc, l_returnflag) as rn from m)
@@ -99,6 +104,38 @@ def h08(t):
     return G.recommend(_held(t), "l_suppkey", "item", edges, 5).withColumn("rank", F.col("rank").cast("long"))
 
 
+# The same on part keys, with all rows that a supplier holds.
+PART_EDGES = EDGES.replace(BASKETS, PARTS)
+PART_HELD = "held as (select distinct l_suppkey, l_partkey as item from lineitem)"
+
+
+def _parts(t, key):
+    return t.lineitem.select(key, F.col("l_partkey").alias("item"))
+
+
+def _part_edges(t):
+    return G.cooccurrence(_parts(t, "l_orderkey"), "l_orderkey", "item").select("item_a", "item_b", "support")
+
+
+@query(
+    "h06_cooccurrence_parts",
+    f"""with {PART_EDGES}, n as (select item, count(*) as n from b group by 1), a as (select count(distinct l_orderkey) as a from b)
+    select item_a, item_b, support, round(support / na.n, 6) as confidence, round(support * a / (na.n * nb.n), 6) as lift, round(support / (na.n + nb.n - support), 6) as jaccard from ed join n na on na.item = item_a join n nb on nb.item = item_b, a""",
+)
+def h06_parts(t):
+    return G.cooccurrence(_parts(t, "l_orderkey"), "l_orderkey", "item")
+
+
+@query("h07_infer_parts", f"with {PART_EDGES}, {PART_HELD}, {INFER} select * from inf")
+def h07_parts(t):
+    return G.infer(_parts(t, "l_suppkey"), "l_suppkey", "item", _part_edges(t))
+
+
+@query("h08_recommend_parts", f"with {PART_EDGES}, {PART_HELD}, {INFER} select l_suppkey, item, hits, support, rank from (select *, row_number() over (partition by l_suppkey order by support desc, hits desc, item) as rank from inf) where rank <= 5")
+def h08_parts(t):
+    return G.recommend(_parts(t, "l_suppkey"), "l_suppkey", "item", _part_edges(t), 5).withColumn("rank", F.col("rank").cast("long"))
+
+
 @query("h09_best_name", "with m as (select c_nationkey as node, c_mktsegment as name, 2 as priority from customer union all select s_nationkey, s_name, 1 from supplier where s_suppkey % 4 = 0), n as (select node, name, priority, count(*) as n from m group by 1, 2, 3) select node, name, priority from (select *, row_number() over (partition by node order by priority, n desc, name) as rn from n) where rn = 1")
 def h09(t):
     m = t.customer.select(F.col("c_nationkey").alias("node"), F.col("c_mktsegment").alias("name"), F.lit(2).alias("priority")).union(t.supplier.filter("s_suppkey % 4 = 0").select("s_nationkey", "s_name", F.lit(1)))

@@ -85,6 +85,15 @@ def j09(t):
     return J.pairs(own, "l_orderkey", "item").groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("n"))
 
 
+PARTS = "select distinct l_orderkey, l_partkey as item from lineitem"
+
+
+@query("j09_pairs_parts", f"with b as ({PARTS}) select x.item as item_a, y.item as item_b, count(*) as n from b x join b y using (l_orderkey) where x.item < y.item group by 1, 2")
+def j09_parts(t):
+    own = t.lineitem.select("l_orderkey", F.col("l_partkey").alias("item"))
+    return J.pairs(own, "l_orderkey", "item").groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("n"))
+
+
 DAILY = "select user_id, cast(ts as date) as day, count(*) as n from events group by 1, 2"
 
 
@@ -189,6 +198,19 @@ def j19(t):
     return J.overlap_candidates(a, "a_part", b, "b_part", 3).withColumn("score", F.round("score", 6)).withColumn("rank", F.col("rank").cast("long"))
 
 
+@query(
+    "j19_overlap_candidates_all",
+    """with p as (select p_partkey, list_distinct(string_split(p_name || ' ' || lower(p_type), ' ')) as w from part), x as (select p_partkey, len(w) as n, unnest(w) as tok from p), a as (select * from x where p_partkey % 2 = 0), b as (select * from x where p_partkey % 2 = 1),
+    m as (select a.p_partkey as a_part, b.p_partkey as b_part, count(*) as shared, count(*) / least(any_value(a.n), any_value(b.n)) as score from a join b using (tok) group by 1, 2)
+    select a_part, b_part, shared, round(score, 6) as score, rank from (select *, row_number() over (partition by a_part order by score desc, shared desc, b_part) as rank from m) where rank <= 3""",
+)
+def j19_all(t):
+    own = t.part.select("p_partkey", F.array_distinct(F.split(F.concat_ws(" ", "p_name", F.lower("p_type")), " ")).alias("tokens"))
+    a = own.filter("p_partkey % 2 = 0").withColumnRenamed("p_partkey", "a_part")
+    b = own.filter("p_partkey % 2 = 1").withColumnRenamed("p_partkey", "b_part")
+    return J.overlap_candidates(a, "a_part", b, "b_part", 3).withColumn("score", F.round("score", 6)).withColumn("rank", F.col("rank").cast("long"))
+
+
 @query(
     "j20_attribute_email",
     """with p as (select c_nationkey as org, c_custkey as person, 'c' || (c_custkey % 100) as last, 'f' || (c_custkey % 7) as first from customer), e as (select distinct org, first || '.' || last as local from p union select distinct org, last from p),

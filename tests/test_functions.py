@@ -128,3 +128,21 @@ def test_cells_reach_recall(spark, sf_dir):
     exact = vectors.vector_match(emb, "vec_id", targets, "target", "embedding", 1, 0.5)
     near = vectors.vector_match(emb, "vec_id", targets, "target", "embedding", 1, 0.5, centres=vectors.cell_centres(targets, "embedding", 4))
     assert near.join(exact, ["vec_id", "target"]).count() >= 0.9 * exact.count()
+
+
+def test_overlap_candidates_of_all_parts(spark):
+    """Many rows share few token sets; every row gets its candidates, without a pair for each two rows."""
+    from recordloom.queries import QUERIES
+    from recordloom.sources.scratch import folder as scratch
+
+    words, kinds = ["red bolt", "blue bolt", "red gear", "old rod", "hot red"], ["LARGE", "SMALL"]
+    parts = [(i, words[i * 7 % 5], kinds[i // 3 % 2]) for i in range(380, 460)]
+    root = scratch(spark)
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_type string").write.parquet(f"{root}/part.parquet")
+    sets = {k: set(f"{n} {t.lower()}".split()) for k, n, t in parts}
+    want = set()
+    for a in (k for k in sets if k % 2 == 0):
+        met = [(-len(sets[a] & sets[b]) / min(len(sets[a]), len(sets[b])), -len(sets[a] & sets[b]), b) for b in sets if b % 2 and sets[a] & sets[b]]
+        want |= {(a, b, -n, round(-s, 6), i + 1) for i, (s, n, b) in enumerate(sorted(met)[:3])}
+    got = QUERIES["j19_overlap_candidates_all"](spark, root)
+    assert {tuple(r) for r in got.select("a_part", "b_part", "shared", "score", "rank").collect()} == want
