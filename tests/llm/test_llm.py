@@ -252,6 +252,50 @@ def test_lm_probabilities_sum_to_one():
     assert s.score(texts) == pytest.approx(np.array([s.score([t])[0] for t in texts]), rel=1e-4)
 
 
+def _lm_ids(texts):
+    import public_tokenizers
+
+    return lm_score.WordIds(public_tokenizers.path(lm_score.TOKENIZER)).encode(texts)
+
+
+def test_lm_learns_from_whole_texts(spark):
+    """Words that occur only late in long texts get classes of their own, and windows come from there."""
+    late = [f"common words here {'of all sorts ' * 1500}" + "zebra quartz zebra quartz " * 20 for _ in range(3)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(late)], "doc_id long, text string")
+    model = lm_score.fit(docs, lm_score.word_counts(docs))
+    ids = _lm_ids(["zebra quartz"])[0].astype(int)
+    assert (model.group[ids] > 0).all()
+    found = lm_score.gather(docs, np.arange(lm_score.FREQUENT), 1.0).filter("window is not null").collect()
+    sizes = [len(np.frombuffer(r.window, np.int32)) - 1 for r in found]
+    whole = _lm_ids(late)
+    assert sum(sizes) == sum(len(x) + 1 for x in whole)
+
+
+def test_lm_windows_and_neighbours_brute_force(spark, tables):
+    docs = tables["documents"].limit(40).withColumn("doc_id", F.col("doc_id").cast("long"))
+    texts = [r.text or "" for r in docs.select("text").collect()]
+    frequent = np.arange(300, 300 + lm_score.FREQUENT)
+    got, want = lm_score.neighbours(lm_score.gather(docs, frequent, 0.0)), np.zeros((lm_score.IDS, lm_score.SIDES))
+    column = {int(x): i for i, x in enumerate(frequent)}
+    for ids in _lm_ids(texts):
+        s = [lm_score.END_ID, *ids.tolist(), lm_score.END_ID]
+        for x, y in zip(s, s[1:]):
+            want[y, column.get(x, lm_score.FREQUENT)] += 1
+            want[x, lm_score.FREQUENT + 1 + column.get(y, lm_score.FREQUENT)] += 1
+    assert (got == want).all()
+
+
+def test_lm_parts_are_averaged(spark):
+    """Twenty equal parts, summed in two levels, arrive where one of them does."""
+    r, group = np.random.default_rng(2), np.arange(lm_score.IDS) % lm_score.CLASSES
+    windows = [r.integers(0, 500, 100).astype(np.int32).tobytes() for _ in range(5)]
+    frame = lambda parts: spark.createDataFrame([(bytearray(w), i * 20 + k) for i, w in enumerate(windows) for k in range(parts)], "window binary, place long")
+    one, twenty = lm_score.train(frame(1), 1, group), lm_score.train(frame(20), 20, group)
+    for k, x in one.items():
+        assert not np.array_equal(x, lm_score.start()[k])
+        assert twenty[k] == pytest.approx(x, abs=1e-4)
+
+
 # 6 chat
 def test_chat_odd(spark):
     rows = [(1, 0, "ann", "hi <|im_end|>"), (1, 1, "bob", None), (1, 1, "bob", None), (1, None, None, "late"), (1, -1, "system", "be kind"), (None, 0, "ann", "x"), (2, 0, "system", "alone")]
