@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -48,23 +49,50 @@ def ivf_assign(df: DataFrame, vector: str, centres: np.ndarray, probes: int = 1)
     return df.withColumn("cell", F.explode(F.transform(near, lambda s: s["cell"])))
 
 
+BLOCK_ROWS = 50_000  # broadcast at once
+
+
+def blocks(df: DataFrame, key: str, rows: int) -> list[DataFrame]:
+    """df, of so many rows, in blocks of about BLOCK_ROWS."""
+    n = max(1, -(-rows // BLOCK_ROWS))
+    return [df.filter(F.pmod(F.xxhash64(key), F.lit(n)) == i) for i in range(n)] if n > 1 else [df]
+
+
 def vector_match(a: DataFrame, a_key: str, b: DataFrame, b_key: str, vector: str, k: int, max_dist: float, incumbents: DataFrame | None = None, centres: np.ndarray | None = None) -> DataFrame:
     """The k nearest b-rows of each a-row under a cosine distance cap, incumbents removed.
 
-    b is a small set of targets (checked by the caller, it is broadcast); with centres, both sides
-    meet by cells instead, which keeps pairs whose b-cell is among the a-row's two nearest.
+    Every a-row meets every b-row: the side with fewer rows is broadcast, in blocks. With centres,
+    both sides meet by cells instead, which keeps pairs whose b-cell is among the a-row's two nearest.
     """
     left, right = a.select(a_key, F.col(vector).alias("va")), b.select(b_key, F.col(vector).alias("vb"))
     if centres is None:
-        met = left.crossJoin(F.broadcast(right))
+        n, m = left.count(), right.count()
+        if n < m:
+            mets = [right.crossJoin(F.broadcast(x)) for x in blocks(left, a_key, n)]
+        else:
+            mets = [left.crossJoin(F.broadcast(x)) for x in blocks(right, b_key, m)]
     else:
-        met = ivf_assign(left, "va", centres, 2).join(ivf_assign(right, "vb", centres), "cell")
+        mets = [ivf_assign(left, "va", centres, 2).join(ivf_assign(right, "vb", centres), "cell")]
     distance = F.round(1 - dot(F.col("va"), F.col("vb")) / (norm(F.col("va")) * norm(F.col("vb"))), 6)
-    close = met.select(a_key, b_key, distance.alias("distance")).filter(F.col("distance") <= max_dist)
-    if incumbents is not None:
-        close = close.join(incumbents, [a_key, b_key], "left_anti")
     w = Window.partitionBy(a_key).orderBy("distance", b_key)
-    return close.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    found = []
+    for met in mets:
+        close = met.select(a_key, b_key, distance.alias("distance")).filter(F.col("distance") <= max_dist)
+        if incumbents is not None:
+            close = close.join(incumbents, [a_key, b_key], "left_anti")
+        found.append(close.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k))
+    if len(found) == 1:
+        return found[0]
+    return reduce(DataFrame.union, found).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def ivf_search(queries: DataFrame, q_key: str, df: DataFrame, key: str, vector: str, centres: np.ndarray, probes: int, k: int) -> DataFrame:
+    """The k rows nearest by cosine to each query among those in its ``probes`` nearest cells."""
+    own = ivf_assign(queries.select(q_key, F.col(vector).alias("va")), "va", centres, probes)
+    met = own.join(ivf_assign(df.select(key, F.col(vector).alias("vb")), "vb", centres), "cell")
+    distance = F.round(1 - dot(F.col("va"), F.col("vb")) / (norm(F.col("va")) * norm(F.col("vb"))), 6)
+    w = Window.partitionBy(q_key).orderBy("distance", key)
+    return met.select(q_key, key, distance.alias("distance")).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def embed(df: DataFrame, key: str, text: str, vector: str, fn: Callable[[list[str]], np.ndarray]) -> DataFrame:

@@ -170,17 +170,39 @@ def v02(t):
 def v03(t):
     targets = t.embeddings.filter("vec_id % 25 = 0").select(F.col("vec_id").alias("target"), "embedding")
     same = t.embeddings.select("vec_id", F.col("vec_id").alias("target"))
-    if targets.limit(100_001).count() > 100_000:
-        centres = V.cell_centres(targets, "embedding", 64)
-        return V.vector_match(t.embeddings, "vec_id", targets, "target", "embedding", 2, 0.8, same, centres)
     return V.vector_match(t.embeddings, "vec_id", targets, "target", "embedding", 2, 0.8, same).withColumn("rank", F.col("rank").cast("long"))
 
 
+def _queries(t):
+    return t.embeddings.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query"), "embedding")
+
+
+@query(
+    "v03_vector_match_all",
+    f"""with a as (select vec_id as query, embedding as e from embeddings where vec_id % 100 = 0), m as (select query, vec_id, round(1 - {COS.format(a='e', b='embedding')}, 6) as distance from a, embeddings where vec_id <> query)
+    select query, vec_id, distance, rank from (select *, row_number() over (partition by query order by distance, vec_id) as rank from m) where rank <= 10""",
+)
+def v03_all(t):
+    own = _queries(t)
+    same = own.select("query", F.col("query").alias("vec_id"))
+    return V.vector_match(own, "query", t.embeddings, "vec_id", "embedding", 10, 2.1, same).withColumn("rank", F.col("rank").cast("long"))
+
+
 @query("v04_ivf_assign")
 def v04(t):
     return V.ivf_assign(t.embeddings, "embedding", V.cell_centres(t.embeddings, "embedding", 16)).select("vec_id", "cell")
 
 
+# The vectors hardly cluster: 8 probes find 0.83 of the true neighbours on check_s, 10 find 0.90, 12 find 0.96.
+CELLS, PROBES = 16, 12
+
+
+@query("v04_ivf_search")
+def v04_search(t):
+    centres = V.cell_centres(t.embeddings, "embedding", CELLS)
+    return V.ivf_search(_queries(t), "query", t.embeddings, "vec_id", "embedding", centres, PROBES, 10)
+
+
 @query("v05_embed")
 def v05(t):
     own = t.documents.withColumn("vector", F.when(F.col("doc_id") % 2 == 0, F.array(F.lit(0.0).cast("float"))))

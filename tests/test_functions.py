@@ -146,3 +146,25 @@ def test_overlap_candidates_of_all_parts(spark):
         want |= {(a, b, -n, round(-s, 6), i + 1) for i, (s, n, b) in enumerate(sorted(met)[:3])}
     got = QUERIES["j19_overlap_candidates_all"](spark, root)
     assert {tuple(r) for r in got.select("a_part", "b_part", "shared", "score", "rank").collect()} == want
+
+
+def test_vector_match_is_exact_in_blocks(spark, sf_dir, monkeypatch):
+    """Blocks of the broadcast side change nothing, whichever side has fewer rows."""
+    emb = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    few = emb.filter("vec_id % 4 = 0").select(F.col("vec_id").alias("target"), "embedding")
+    run = lambda: [sorted(map(tuple, vectors.vector_match(*own, "embedding", 3, 0.9).collect())) for own in ((emb, "vec_id", few, "target"), (few, "target", emb, "vec_id"))]
+    whole = run()
+    monkeypatch.setattr(vectors, "BLOCK_ROWS", 10)
+    assert run() == whole and all(whole)
+
+
+def test_probing_search_reaches_recall(spark):
+    """Recall of the registered search, with its own cells and probes, against brute force."""
+    from recordloom.queries import QUERIES
+
+    for size in ("sf0.01", "sf0.1"):
+        exact = QUERIES["v03_vector_match_all"](spark, f"/root/testdata/{size}").filter("rank <= 9").select("query", "vec_id")
+        near = QUERIES["v04_ivf_search"](spark, f"/root/testdata/{size}").filter("query <> vec_id").select("query", "vec_id")
+        recall = near.join(exact, ["query", "vec_id"]).count() / exact.count()
+        print(size, recall)
+        assert recall >= 0.9
