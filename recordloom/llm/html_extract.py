@@ -7,8 +7,8 @@ on at least ``MIN_SHARE`` of the host's distinct pages (``MIN_PAGES`` at least),
 one order on all of them. The valid classes, nested by the elements around them, are the template:
 their tags frame the slots, and their text blocks (menus, notices, the same on page after page) are
 no content. What the template leaves are the slots' blocks. A page's text is the slots of its main
-element: ``article`` or ``main`` where there is one, else the element that holds most slot text
-outside links; in it, containers that are never article text (navigation, header and footer, aside,
+element: ``article`` or ``main`` where there is one, else the element with several blocks that holds
+most slot text outside links, and from there up while what a parent adds is not mostly links; in it, containers that are never article text (navigation, header and footer, aside,
 forms, adverts, comments and the like, by tag, role, class or id) are left out.
 
 Vectors are compared by a sum of hashes of (page, count), so that a host of any size needs one
@@ -170,17 +170,26 @@ def extract(page: str, template: set[int]) -> str:
         most = max(weight.values())
         chosen = [b for b in mains if weight[next(s[4] for s in b.path if s[3])] * 4 >= most]
     else:
-        weight = Counter()
+        weight, several, size, linked = Counter(), Counter(), Counter(), Counter()
         for b in slots:
             free = len(b.text) - b.linked
             for depth, s in enumerate(s for s in reversed(b.path) if s[0] != "html"):
                 weight[s[4]] += free / (1 + depth / 2)
-        if weight:
-            best = max(weight, key=lambda k: (weight[k], k))
+                several[s[4]] += 1
+                size[s[4]] += len(b.text)
+                linked[s[4]] += b.linked
+        # a container has several blocks; one block is the page's text only if it is all there is
+        best = max((k for k in weight if several[k] > 1), key=lambda k: (weight[k], k), default=None)
+        if best is not None:
+            path = next([s[4] for s in b.path if s[0] != "html"] for b in slots if any(s[4] == best for s in b.path))
+            # climb while what the parent adds is no list of links
+            for up in reversed(path[: path.index(best)]):
+                if (linked[up] - linked[best]) * 2 > size[up] - size[best]:
+                    break
+                best = up
             chosen = [b for b in slots if any(s[4] == best for s in b.path)]
         else:
             chosen = slots
-        chosen = [b for b in chosen if b.linked * 2 <= len(b.text) or len(b.text) > 200]
     return "\n\n".join(b.text for b in chosen)
 
 

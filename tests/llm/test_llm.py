@@ -327,6 +327,15 @@ def test_html_article_and_template(spark):
     assert (got[10], got[11], got[12], got[13]) == ("A\n\nx y", "", "", got[0])
 
 
+def test_html_dominant_paragraph():
+    """Without article, a dominant block or section doesn't drop its heading and siblings."""
+    long, links = "word " * 100, "".join(f"<li><a href=/{i}>Linked title number {i} of the list</a></li>" for i in range(20))
+    page = f"<html><body><ul>{links}</ul><div><h1>A heading of a page</h1><p>{long}</p><p>Short end.</p></div></body></html>"
+    assert html_extract.extract(page, set()).split("\n\n") == ["A heading of a page", long.strip(), "Short end."]
+    page = f"<html><body><ul>{links}</ul><div><section><h2>One</h2><p>{long * 4}</p></section><section><h2>Two</h2><p>Little text, yet more than its link has.</p><p><a href=/x>See the long list of sources</a></p></section></div></body></html>"
+    assert html_extract.extract(page, set()).split("\n\n") == ["One", (long * 4).strip(), "Two", "Little text, yet more than its link has.", "See the long list of sources"]
+
+
 def test_html_given_pages(tables):
     for r in tables["pages"].collect():
         article = re.sub(r"<br\s*/?>", "\n", r.html[r.html.index("<article>") + 9 : r.html.index("</article>")])
