@@ -6,7 +6,8 @@ vectors form an equivalence class; a class is valid if it has at least ``MIN_SIZ
 on at least ``MIN_SHARE`` of the host's distinct pages (``MIN_PAGES`` at least), and its tokens keep
 one order on all of them. The valid classes, nested by the elements around them, are the template:
 their tags frame the slots, and their text blocks (menus, notices, the same on page after page) are
-no content. What the template leaves are the slots' blocks. A page's text is the slots of its main
+no content, except that in ``article`` or ``main`` only those go that are mostly links: near copies of an
+article share its paragraphs. What the template leaves are the slots' blocks. A page's text is the slots of its main
 element: ``article`` or ``main`` where there is one, else the element with several blocks that holds
 most slot text outside links, and from there up while what a parent adds is not mostly links; in it, containers that are never article text (navigation, header and footer, aside,
 forms, adverts, comments and the like, by tag, role, class or id) are left out.
@@ -160,7 +161,9 @@ def parse(page: str) -> tuple[list[str], list[Block]]:
 def extract(page: str, template: set[int]) -> str:
     """The main text of a page, given the hashes of the text tokens of its host's template."""
     _, blocks = parse(page)
-    slots = [b for b in blocks if not any(s[2] for s in b.path) and not (template and token_hash(b.token) in template)]
+    own = [b for b in blocks if not any(s[2] for s in b.path)]
+    # near copies of an article share its paragraphs: in the main element a template block goes only if it is mostly links
+    slots = [b for b in own if not (template and token_hash(b.token) in template) or any(s[3] for s in b.path) and b.linked * 2 <= len(b.text)]
     mains = [b for b in slots if any(s[3] for s in b.path)]
     if mains:
         weight: Counter = Counter()

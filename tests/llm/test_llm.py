@@ -336,6 +336,14 @@ def test_html_dominant_paragraph():
     assert html_extract.extract(page, set()).split("\n\n") == ["One", (long * 4).strip(), "Two", "Little text, yet more than its link has.", "See the long list of sources"]
 
 
+def test_html_near_copies_keep_their_article(spark):
+    """A host of near copies of one article: what they share is no template."""
+    page = "<html><body><div>Menu</div><article><h1>Title</h1><p>First shared paragraph.</p><p>Dated {}</p><p>Second shared paragraph.</p></article></body></html>"
+    pages = [(i, f"http://h.org/{i}", page.format(i)) for i in range(3)] + [(3, "http://h.org/3", "<html><body><div>Menu</div><article><h1>Other</h1><p>All else.</p></article></body></html>")]
+    got = {r.page_id: r.text for r in html_extract.query(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Title\n\nFirst shared paragraph.\n\nDated {i}\n\nSecond shared paragraph." for i in range(3)} | {3: "Other\n\nAll else."}
+
+
 def test_html_given_pages(tables):
     for r in tables["pages"].collect():
         article = re.sub(r"<br\s*/?>", "\n", r.html[r.html.index("<article>") + 9 : r.html.index("</article>")])
