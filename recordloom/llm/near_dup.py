@@ -1,29 +1,33 @@
 """MinHash near-duplicate classes with DartMinHash signatures.
 
-A text is a set (or, with ``weights="count"``, a weighted set) of hashed five-word shingles, lower
-case, words cut at white space. DartMinHash throws darts into the region [0, weight) x [0, rank) of
-every element; the darts come from the element's hash alone, so that equal regions of two documents
-hold equal darts. Each dart carries a coordinate, and the signature keeps the earliest dart for each
-coordinate: two signatures agree in a coordinate with probability equal to the (weighted) Jaccard
-similarity, at a cost of about k ln k darts a document instead of k hashes an element.
+A text is a weighted set of hashed five-word shingles, lower case, words cut at white space; a
+shingle weighs as often as it occurs (``weights="set"``: once). DartMinHash throws darts into the
+region [0, weight) x [0, rank) of every element; the darts come from the element's hash alone, so
+that equal regions of two documents hold equal darts. Each dart carries a coordinate, and the
+signature keeps the earliest dart for each coordinate: two signatures agree in a coordinate with
+probability equal to the weighted Jaccard similarity, at a cost of about k ln k darts a document
+instead of k hashes an element.
 
 ``classes`` then works on distinct texts:
 
 1. Signatures are cut into ``bands`` of ``rows`` coordinates; texts that share a band's value form a
-   bucket. Every member is compared with one leader of its bucket (exact Jaccard), the one that
-   meets most other texts, never all pairs.
-2. The links found give components. What the triangle inequality leaves undecided in a bucket
-   (members beyond the similarity from the leader, and linked ones that may reach them) goes to
-   further rounds with new leaders, after ``REFINE_AFTER`` in finer groups: similar sets share one of
-   their rarest shingles, so members are regrouped by these (prefix and positional filtering).
-   What is undecided after ``ROUNDS`` is compared pair by pair; no link within a bucket is lost.
-3. Components of all links are the classes.
+   bucket. Each bucket has one leader, the member that meets most other texts, and every other
+   member is compared with it (exact weighted Jaccard), never all pairs. Links make components.
+2. The members around a leader are its star. Where a star holds several components, two members may
+   be linked without either being linked to the leader. They must then share one of the foremost
+   elements in any common order (prefix filtering); the order is: elements that the leader lacks,
+   then the others. What sets the leader apart from a member is rare, so the groups that share such
+   an element are small. Members of a group in different components are compared if the places of
+   the shared element leave enough behind it (positional filtering). A group of over ``BLOCK``
+   members takes its pairs block by block, and components found on the way drop the later ones.
+3. Components of all links are the classes. No link within a bucket is lost.
 
 Two texts of similarity 0.8 share no bucket with probability (1 - 0.8**5)**24 = 7e-5.
 
 Defined results: a null text counts as empty; texts without words are alike (similarity 1) and form
 one class; texts of fewer than five words are one shingle; repeated rows are one text; null ids sort
-last; an empty table gives no rows; further columns are kept by ``dedup`` and ignored by ``classes``.
+last; an empty table gives no rows; further columns, whatever their names, are kept by ``dedup`` and
+ignored by ``classes``.
 """
 
 from __future__ import annotations
@@ -42,7 +46,7 @@ from .words import slices
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
-ROUNDS, REFINE_AFTER = 3, 0
+BLOCK = 2048  # members of a group that are compared with all others in one go
 FIRST_RANK = 1 / 16  # the first region of ranks; each further one doubles the span
 MIX1, MIX2, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -84,6 +88,14 @@ class Shingles:
         return np.unique(out, return_counts=True)
 
 
+def occurrences(elements: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sorted hashes of (element, 1st), (element, 2nd) .. occurrence: the weighted Jaccard similarity
+    of two multisets is the plain one of these sets."""
+    nth = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+    flat = np.repeat(elements, counts)
+    return np.sort(np.where(nth == 0, flat, mix(flat + STEP * nth.astype(np.uint64))))
+
+
 def _counts(u: np.ndarray, mean: float) -> np.ndarray:
     """Poisson counts by inversion."""
     terms, p = [], math.exp(-mean)
@@ -129,7 +141,7 @@ def dart_signatures(elements: list[np.ndarray], weights: list[np.ndarray] | None
                 dart = mix(np.repeat(seed[hit], number) + STEP * (nth + 1).astype(np.uint64))
                 rank = low + unit(dart) * (high - low)
                 second = mix(dart + STEP)
-                if weights is not None:
+                if layer or weights is not None and w.min() < 1:
                     inside = bottom + unit(mix(second + STEP)) * (top - bottom) < w[at]
                     at, rank, second = at[inside], rank[inside], second[inside]
                 place = doc[at] * k + (second % np.uint64(k)).astype(np.int64)
@@ -146,7 +158,7 @@ def dart_signatures(elements: list[np.ndarray], weights: list[np.ndarray] | None
     return out
 
 
-def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int = WORDS, weights: str = "set") -> DataFrame:
+def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int = WORDS, weights: str = "count") -> DataFrame:
     """doc_id, text_key, bands: one row per document; text_key is the MD5 of the text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -169,13 +181,17 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int
     return rows_in.mapInPandas(run, "doc_id long, text_key binary, bands array<long>")
 
 
-def shingle_sets(texts: DataFrame, words: int = WORDS) -> DataFrame:
+def shingle_sets(texts: DataFrame, words: int = WORDS, weights: str = "count") -> DataFrame:
     """rep, shingles of texts(rep, text)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         made = Shingles(words)
         for batch in batches:
-            yield pd.DataFrame({"rep": batch["rep"], "shingles": [made.of(t)[0].view(np.int64) for t in batch["text"]]})
+            texts = batch["text"].tolist()
+            for a, b in slices(texts, 2 << 20):
+                found = [made.of(t) for t in texts[a:b]]
+                sets = [occurrences(*f) if weights == "count" else f[0] for f in found]
+                yield pd.DataFrame({"rep": batch["rep"].iloc[a:b].values, "shingles": [s.view(np.int64) for s in sets]})
 
     return texts.mapInPandas(run, "rep long, shingles array<long>")
 
@@ -187,9 +203,9 @@ def _jaccard(a: Column, b: Column) -> Column:
 
 
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs (a, b) with the exact similarity of their sets."""
+    """pairs (a, b) with sa, sb, their sets, and sim, the exact similarity of these."""
     left, right = sets.toDF("b", "sb"), sets.toDF("a", "sa")
-    return pairs.join(left, "b").join(right, "a").select("a", "b", _jaccard(F.col("sa"), F.col("sb")).alias("sim"))
+    return pairs.join(left, "b").join(right, "a").withColumn("sim", _jaccard(F.col("sa"), F.col("sb")))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -218,126 +234,106 @@ def merged(label: DataFrame, links: DataFrame) -> DataFrame:
     return cut(every.join(up, "comp", "left").select("node", F.coalesce("up", "comp").alias("comp")))
 
 
-def _stars(groups: DataFrame) -> DataFrame:
-    """groups (key, rep, odd, weight) with the leader of each key: of its odd members the one of most weight."""
-    best = groups.groupBy("key").agg(F.max(F.struct("odd", "weight", (-F.col("rep")).alias("r"))).alias("l"))
-    return groups.join(best.select("key", (-F.col("l.r")).alias("leader")), "key")
-
+def _stars(members: DataFrame) -> DataFrame:
+    """Distinct (a, b): the leaders of the buckets (key, rep, size) and the other members."""
+    weighed = members.withColumn("weight", F.sum("size").over(Window.partitionBy("rep")))  # a text has one row a band
+    best = weighed.groupBy("key").agg(F.max_by("rep", F.struct("weight", "rep")).alias("a"))
+    return members.join(best, "key").filter("rep <> a").select("a", F.col("rep").alias("b")).distinct()
 
-def _pair() -> list[Column]:
-    return [F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")]
-
-
-def _undecided(stars: DataFrame, seen: DataFrame, label: DataFrame, similarity: float) -> DataFrame:
-    """The groups (key, rep, odd, weight) that may hold links not yet found once leaders are compared.
-
-    Distances 1 - similarity obey the triangle inequality. Two members that are both linked to their
-    leader are in one component. An odd member, beyond the similarity from the leader, and one
-    within can be linked only if the odd one's distance is at most that of the other and 1 - similarity.
-    """
-    far = 1 - similarity
-    sim = stars.filter("rep <> leader").withColumns(dict(zip("ab", _pair()))).join(seen, ["a", "b"]).select("key", "rep", "weight", "n", "r", "sim")
-    beyond = F.col("sim") < similarity - 1e-12
-    stats = sim.filter(beyond).groupBy("key").agg(F.count(F.lit(1)).alias("n_odd"), F.max("sim").alias("closest"))
-    reach = F.col("closest") >= 1 - 2 * far - 1e-9
-    kept = sim.join(stats, "key").filter(F.when(beyond, (F.col("n_odd") > 1) | reach).otherwise(reach & (F.col("sim") <= F.col("closest") + far + 1e-9)))
-    kept = kept.select("key", "rep", beyond.alias("odd"), "weight", "n", "r").join(label.toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    mixed = kept.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-    return _once(kept.drop("comp").join(mixed.select("key"), "key", "left_semi"))
 
+def _enough(n: Column, r: Column, other_n: Column, similarity: float) -> Column:
+    """Whether a set of n elements whose shared ones begin at place r can be so similar to one of other_n."""
+    return 1 + n - r >= F.lit(similarity / (1 + similarity)) * (n + other_n) - 1e-9
 
-def _once(groups: DataFrame) -> DataFrame:
-    """Groups of the same members as one, with the first rank of each member."""
-    marks = [F.sum(F.shiftright(F.xxhash64("rep", F.lit(i)), 16)).alias(f"h{i}") for i in range(2)]
-    of_key = groups.groupBy("key").agg(F.count(F.lit(1)).alias("k"), *marks).filter("k > 1").drop("k")
-    first = [F.min("key").alias("key"), F.max("odd").alias("odd"), F.max("weight").alias("weight"), F.max("n").alias("n"), F.min("r").alias("r")]
-    return groups.join(of_key, "key").groupBy("h0", "h1", "rep").agg(*first).select("key", "rep", "odd", "weight", "n", "r")
 
+def _front(sets: DataFrame, similarity: float) -> DataFrame:
+    """a, b, n, front of compared pairs: the foremost elements of b in the order that a gives."""
+    n = F.size("sb")
+    ordered = F.concat(F.array_except("sb", "sa"), F.array_intersect("sb", "sa"))
+    return sets.select("a", "b", "sim", n.alias("n"), F.slice(ordered, F.lit(1), (n - F.ceil(n * similarity - 1e-9) + 1).cast("int")).alias("front"))
 
-def _enough(n: Column, r: Column, other_n: Column, similarity: float) -> Column:
-    """Whether a set of n shingles whose shared ones begin at rank r can be so similar to one of other_n."""
-    return 1 + n - r >= F.lit(similarity / (1 + similarity)) * (n + other_n) - 1e-9
 
+def _groups(stars: DataFrame, label: DataFrame, similarity: float) -> DataFrame:
+    """g, rep, comp, n, r, size: members of a star that share one of their foremost elements, at place
+    r, where they are of several components."""
+    own = stars.select("a", "b", "n", "front").join(label.toDF("b", "comp"), "b", "left").withColumn("comp", F.coalesce("comp", "b"))
+    mixed = own.groupBy("a").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("a")
+    each = own.join(mixed, "a").select("a", F.col("b").alias("rep"), "comp", "n", F.posexplode("front").alias("r", "element"))
+    each = each.select(F.xxhash64("a", "element").alias("g"), "rep", "comp", "n", (F.col("r") + 1).alias("r"))
+    shared = each.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("least"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
+    fits = _enough(F.col("n"), F.col("r"), F.greatest("least", F.col("n") * similarity), similarity)
+    return each.join(shared, "g").filter(fits).select("g", "rep", "comp", "n", "r", "size")
 
-def _refined(groups: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Groups of the members of a group that share one of their rarest shingles in it.
 
-    Ranks order a set's shingles by their number of members in the group. Two sets share nothing
-    before the first rank they share, so it must leave enough shingles for the overlap that the
-    similarity asks for.
-    """
-    token = groups.join(sets, "rep").select("key", "rep", "odd", "weight", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
-    often = token.groupBy("key", "shingle").agg(F.count(F.lit(1)).alias("often"), F.min("n").alias("least")).filter("often > 1")
-    # shingles of one member only share nothing, yet they fill the front ranks
-    own = Window.partitionBy("key", "rep")
-    shared = token.join(often, ["key", "shingle"]).withColumn("m", F.count(F.lit(1)).over(own)).withColumn("r", F.row_number().over(own.orderBy("often", "shingle")) + F.col("n") - F.col("m"))
-    front = shared.filter(_enough(F.col("n"), F.col("r"), F.greatest("least", F.col("n") * similarity), similarity))
-    fine = front.select(F.xxhash64("key", "shingle").alias("key"), "rep", "odd", "weight", "n", "r")
-    return _once(fine)
-
-
-def _labels(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Components of all links within groups (key, rep, odd, weight, n, r), by rounds of leaders."""
-    alike = F.col("sim") >= similarity - 1e-12
-    groups, seen, label = members, None, None
-    for number in range(ROUNDS):
-        stars = cut(_stars(groups))
-        pairs = stars.filter("rep <> leader").select(*_pair()).distinct()
-        new = cut(compared(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"), sets))
-        seen = new if seen is None else seen.unionByName(new)
-        links = new.filter(alike).select("a", "b")
-        label = components(links) if label is None else merged(label, links)
-        groups = cut(_undecided(stars, seen, label, similarity))
-        if groups.isEmpty():
-            return label
-        if number == REFINE_AFTER:
-            groups = cut(_refined(groups, sets, similarity))
-    own = groups.join(label.toDF("rep", "comp"), "rep", "left").select("key", "rep", F.coalesce("comp", "rep").alias("comp"), "n", "r")
+def _rest(groups: DataFrame, block: int, blocks: Column, similarity: float) -> DataFrame:
+    """Distinct pairs (a, b) of a group's members in its given block and all its members."""
+    own = groups.withColumn("at", F.pmod(F.xxhash64("rep"), blocks))
+    few = own.filter(F.col("at") == block).select("g", F.col("rep").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"), F.col("r").alias("ra"), "at")
+    many = own.select("g", F.col("rep").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("r").alias("rb"), F.col("at").alias("bt"))
+    once = (F.col("at") < F.col("bt")) | (F.col("at") == F.col("bt")) & (F.col("a") < F.col("b"))
     fits = _enough(F.col("na"), F.col("ra"), F.col("nb"), similarity) & _enough(F.col("nb"), F.col("rb"), F.col("na"), similarity)
-    on = (F.col("ka") == F.col("kb")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits
-    rest = own.toDF("ka", "a", "ca", "na", "ra").join(own.toDF("kb", "b", "cb", "nb", "rb"), on).select("a", "b").distinct()
-    found = cut(compared(rest.join(seen, ["a", "b"], "left_anti"), sets).filter(alike).select("a", "b"))
-    return merged(label, found)
+    found = few.join(many, "g").filter((F.col("ca") != F.col("cb")) & once & fits)
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, words: int = WORDS) -> DataFrame:
+def _labels(members: DataFrame, sets: DataFrame, similarity: float, block: int = BLOCK) -> DataFrame:
+    """node, comp: components of all links within the buckets (key, rep, size)."""
+    alike = F.col("sim") >= similarity - 1e-12
+    stars = cut(_front(compared(_stars(members), sets), similarity))
+    label = components(stars.filter(alike).select("a", "b"))
+    groups = cut(_groups(stars, label, similarity))
+    seen = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    most = groups.agg(F.max("size")).first()[0] or 0
+    blocks = F.ceil(F.col("size") / block)
+    for number in range(-(-most // block)):
+        if number:
+            own = groups.filter(blocks > number).drop("comp").join(label.toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+        else:
+            own = groups
+        pairs = _rest(own, number, blocks, similarity).join(seen, ["a", "b"], "left_anti")
+        label = merged(label, cut(compared(pairs, sets).filter(alike).select("a", "b")))
+    return label
+
+
+def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, words: int = WORDS, weights: str = "count") -> DataFrame:
     """doc_id, text_key, class_key, class_id, class_size: one row per document.
 
     class_key is the least text key of the class, class_id its least doc_id (null if it has none),
     class_size the number of its rows.
     """
-    sig = cut(signatures(docs, bands, rows, words))
+    sig = cut(signatures(docs, bands, rows, words, weights))
     texts = cut(sig.groupBy("text_key").agg(F.first("bands").alias("bands"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")).withColumn("rep", F.monotonically_increasing_id()))
     banded = texts.select("rep", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = cut(banded.join(buckets, "key"))
-    weights = cut(members.groupBy("rep").agg(F.sum("size").alias("weight")))  # texts that meet many others lead
-    needed = weights.select("rep").join(texts.select("rep", "text_key"), "rep")
+    needed = members.select("rep").distinct().join(texts.select("rep", "text_key"), "rep")
     text = F.coalesce(F.col("text"), F.lit(""))
-    source = docs.select(F.unhex(F.md5(text)).alias("text_key"), text.alias("text"))
-    one_each = source.join(needed, "text_key").groupBy("rep").agg(F.first("text").alias("text"))
-    sets = cut(shingle_sets(one_each, words))
-    label = _labels(members.join(weights, "rep").select("key", "rep", F.lit(True).alias("odd"), "weight", F.lit(0).alias("n"), F.lit(0).alias("r")), sets, similarity)
-    of_text = texts.select("text_key", "rep", "least", "n").join(label.toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    of_class = of_text.groupBy("comp").agg(F.min("text_key").alias("class_key"), F.min("least").alias("class_id"), F.sum("n").alias("class_size"))
-    found = of_text.select("text_key", "comp").join(of_class, "comp").drop("comp")
-    return sig.select("doc_id", "text_key").join(found, "text_key")
+    # copies meet before the exchange, so that a text of many copies burdens no task
+    one_each = docs.select(F.unhex(F.md5(text)).alias("text_key"), text.alias("text")).groupBy("text_key").agg(F.first("text").alias("text"))
+    sets = cut(shingle_sets(one_each.join(needed, "text_key").select("rep", "text"), words, weights))
+    label = _labels(members, sets, similarity)
+    alone = texts.select("text_key", "rep", "least", "n")
+    linked = label.toDF("rep", "comp").join(alone, "rep")
+    of_class = linked.groupBy("comp").agg(F.min("text_key").alias("class_key"), F.min("least").alias("class_id"), F.sum("n").alias("class_size"))
+    found = linked.select("text_key", "comp").join(of_class, "comp").drop("comp")
+    every = alone.select("text_key", "least", "n").join(found, "text_key", "left")
+    every = every.select("text_key", F.coalesce("class_key", "text_key").alias("class_key"), F.when(F.col("class_key").isNull(), F.col("least")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("class_size", "n").alias("class_size"))
+    return sig.select("doc_id", "text_key").join(every, "text_key")
 
 
 def dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """docs with one document of each class, that of the least doc_id (nulls last, then least text
     key); a row repeated with the same id and text stays once."""
     found = cut(classes(docs, similarity).withColumn("last", F.col("doc_id").isNull()))
-    rank = F.struct("last", "doc_id", "text_key")
-    keep = found.groupBy("class_key").agg(F.min(rank).alias("k")).select("k.doc_id", "k.text_key")
+    best = found.groupBy("class_key").agg(F.min(F.struct("last", "doc_id", "text_key")).alias("k")).select("k.doc_id", "k.text_key")
     copies = found.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("copies"))
-    keep = copies.join(keep.toDF("kd", "kt"), (F.col("text_key") == F.col("kt")) & F.col("doc_id").eqNullSafe(F.col("kd")), "left_semi")
-    keep = keep.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("copies").alias("_copies"))
-    keyed = docs.withColumn("_text_key", F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")))))
-    kept = keyed.join(keep, (F.col("_text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-    once = kept.filter("_copies = 1").select(*docs.columns)
-    many = kept.filter("_copies > 1").dropDuplicates(["_id", "_key"]).select(*docs.columns)
-    return once.unionByName(many)
+    same = F.col("best.doc_id").eqNullSafe(F.col("copies.doc_id")) & (F.col("best.text_key") == F.col("copies.text_key"))
+    keep = best.alias("best").join(copies.alias("copies"), same).select("best.doc_id", "best.text_key", "copies.copies")
+    # the rows travel in one column, so that no name of theirs can clash
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].cast("long").alias("id"), F.unhex(F.md5(F.coalesce(docs["text"], F.lit("")))).alias("key"))
+    kept = rows.join(keep, (F.col("key") == F.col("text_key")) & F.col("id").eqNullSafe(F.col("doc_id")))
+    once = kept.filter("copies = 1").select("row.*")
+    return once.unionByName(kept.filter("copies > 1").dropDuplicates(["id", "key"]).select("row.*"))
 
 
 def query(docs: DataFrame) -> DataFrame:

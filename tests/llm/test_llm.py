@@ -5,6 +5,7 @@ import importlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -155,7 +156,7 @@ def test_decontamination_blocks_and_clean(spark, tables, monkeypatch):
 
 # 4 near duplicates
 def brute_classes(texts, similarity=0.8):
-    sets = [set(near_dup.Shingles().of(t or "")[0].tolist()) for t in texts]
+    sets = [Counter(dict(zip(*map(np.ndarray.tolist, near_dup.Shingles().of(t or ""))))) for t in texts]
     parent = list(range(len(texts)))
 
     def find(x):
@@ -165,8 +166,8 @@ def brute_classes(texts, similarity=0.8):
 
     for i in range(len(texts)):
         for j in range(i):
-            union = len(sets[i] | sets[j])
-            if union == 0 or len(sets[i] & sets[j]) / union >= similarity:
+            union = (sets[i] | sets[j]).total()
+            if union == 0 or (sets[i] & sets[j]).total() / union >= similarity:
                 parent[find(i)] = find(j)
     out = {}
     for i in range(len(texts)):
@@ -174,8 +175,10 @@ def brute_classes(texts, similarity=0.8):
     return {frozenset(v) for v in out.values()}
 
 
-def test_near_dup_brute_force(spark):
-    """Chains, hubs and passages that many share, against all pairs."""
+@pytest.mark.parametrize("block", [near_dup.BLOCK, 3])
+def test_near_dup_brute_force(spark, monkeypatch, block):
+    """Chains, hubs and passages that many share, against all pairs; large groups in blocks."""
+    monkeypatch.setattr(near_dup._labels, "__defaults__", (block,))
     r = random.Random(1)
     word = lambda: "".join(r.choice("abcdefghij") for _ in range(5))
     base, texts = [word() for _ in range(120)], []
@@ -187,6 +190,8 @@ def test_near_dup_brute_force(spark):
         chain = chain[5:] + [word() for _ in range(5)]
     passage = [word() for _ in range(70)]
     texts += [" ".join(passage + [word() for _ in range(30)]) for _ in range(25)]
+    lines = [" ".join(word() for _ in range(8)) for _ in range(3)]
+    texts += [" ".join(lines[:1] * n + lines[1:]) for n in (1, 2, 9, 10, 11, 40)]  # alike as sets, not by their counts
     texts += ["", None, "  ", "one two", "one two", "One  Two", "a b c d e f"]
     got = {}
     for x in near_dup.classes(docs_of(spark, texts)).collect():
