@@ -65,7 +65,7 @@ def unit(x: np.ndarray) -> np.ndarray:
 class Shingles:
     """Sets of shingle hashes of texts, with a bounded cache of word hashes."""
 
-    def __init__(self, words: int = WORDS, keep: int = 300_000):
+    def __init__(self, words: int = WORDS, keep: int = 100_000):
         self.words, self.keep, self.known = words, keep, {}
 
     def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -166,7 +166,7 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int
         salt = mix(np.arange(1, bands + 1).astype(np.uint64))
         for batch in batches:
             texts = batch["text"].tolist()
-            for a, b in slices(texts, 2 << 20):
+            for a, b in slices(texts, 1 << 20):
                 sets = [made.of(t) for t in texts[a:b]]
                 sig = dart_signatures([s[0] for s in sets], [s[1] for s in sets] if weights == "count" else None, bands * rows)
                 key = np.zeros((b - a, bands), np.uint64)
@@ -188,7 +188,7 @@ def shingle_sets(texts: DataFrame, words: int = WORDS, weights: str = "count") -
         made = Shingles(words)
         for batch in batches:
             texts = batch["text"].tolist()
-            for a, b in slices(texts, 2 << 20):
+            for a, b in slices(texts, 1 << 20):
                 found = [made.of(t) for t in texts[a:b]]
                 sets = [occurrences(*f) if weights == "count" else f[0] for f in found]
                 yield pd.DataFrame({"rep": batch["rep"].iloc[a:b].values, "shingles": [s.view(np.int64) for s in sets]})

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from itertools import chain, compress, repeat
 
@@ -30,6 +31,9 @@ def slices(texts: list[str], limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")  # fixed value: the tokenizer's own pattern
 
 
+PROBE = "It's Été, ONE-two\n  x=3.14 (don't) ΣΑΣ naïve_42 tab\there — 日本 and so on..."
+
+
 def _byte_letters() -> dict[int, str]:
     """The usual letter for each byte: printable ones stand for themselves, others follow at U+0100."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -42,11 +46,12 @@ class WordIds:
 
     White-space-separated words are looked up in a cache; a new word is cut by the tokenizer's
     pattern, and only parts that are new reach its model. Words beyond the alphabets for which the
-    pattern is sure to agree go through the whole tokenizer. Both caches hold at most ``keep``
-    entries (parts: twice as many). The ids equal those of encoding the whole text.
+    pattern is sure to agree go through the whole tokenizer. Both caches hold about ``keep`` entries,
+    some 200 bytes each; beyond, the words used least go. The ids equal those of encoding the whole text; a
+    tokenizer of another normaliser or pattern is refused.
     """
 
-    def __init__(self, path: str, keep: int = 500_000):
+    def __init__(self, path: str, keep: int = 150_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -54,14 +59,29 @@ class WordIds:
         self.tokenizer.encode_special_tokens = True
         self.model, self.parts = self.tokenizer.model, {}
         self._clear()
+        if self.encode([PROBE])[0].tolist() != self.tokenizer.encode(PROBE, add_special_tokens=False).ids:
+            raise ValueError(f"{path} does not cut words as this class does")
 
     def _clear(self) -> None:
         self.place: dict[str, int] = {}
         self.begins, self.lengths, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.uses = np.zeros(0, np.int64)
+
+    def _shrink(self) -> None:
+        """Keep the more used half of the words; their uses fade."""
+        kept = np.sort(np.argsort(-self.uses, kind="stable")[: self.keep // 2])
+        stay = np.zeros(len(self.uses), bool)
+        stay[kept] = True
+        self.place = dict(zip(compress(self.place, stay.tolist()), range(len(kept))))
+        self.flat, self.lengths, self.uses = self.flat[ragged(self.begins[kept], self.lengths[kept])], self.lengths[kept], self.uses[kept] // 2
+        self.begins = np.cumsum(self.lengths) - self.lengths
 
     def _part(self, part: str) -> bytes:
         letters = part if part.isascii() else part.encode("utf-8").decode("latin-1").translate(self.letters)
-        ids = self.parts[part] = np.array([t.id for t in self.model.tokenize(letters)], np.uint32).tobytes()
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+
+    def _kept(self, part: str) -> bytes:
+        ids = self.parts[part] = self._part(part)
         return ids
 
     def _whole(self, word: str) -> bytes:
@@ -70,13 +90,13 @@ class WordIds:
     def _word(self, word: str) -> bytes:
         parts = self.parts
         if word.isalpha() and (word.isascii() or max(word) < "\u0530"):
-            return parts.get(word) or self._part(word)
+            return parts.get(word) or self._part(word)  # the word itself is kept by its place
         if not word.isascii() and max(word) >= "\u0530" or ODD.search(word):
             return self._whole(word)
-        return b"".join([parts.get(p) or self._part(p) for p in PIECE.findall(word)])
+        return b"".join([parts.get(p) or self._kept(p) for p in PIECE.findall(word)])
 
     def _learn(self, words: list[str]) -> None:
-        if len(self.parts) > 2 * self.keep:
+        if len(self.parts) > self.keep:
             self.parts = {}
         ids = [self._word(w) for w in words]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
@@ -84,6 +104,7 @@ class WordIds:
         self.begins = np.append(self.begins, len(self.flat) + np.cumsum(lengths) - lengths)
         self.lengths = np.append(self.lengths, lengths)
         self.flat = np.append(self.flat, np.frombuffer(b"".join(ids), np.uint32))
+        self.uses = np.append(self.uses, np.zeros(len(words), np.int64))
 
     @staticmethod
     def _split(text: str) -> list[str]:
@@ -94,7 +115,7 @@ class WordIds:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.place) > self.keep:
-            self._clear()
+            self._shrink()
         words = [self._split(t) for t in texts]
         at = np.fromiter(map(self.place.get, chain.from_iterable(words), repeat(-1)), np.int64)
         new = at < 0
@@ -102,6 +123,7 @@ class WordIds:
             missing = list(compress(chain.from_iterable(words), new.tolist()))
             self._learn(list(dict.fromkeys(missing)))
             at[new] = np.fromiter(map(self.place.__getitem__, missing), np.int64, len(missing))
+        self.uses += np.bincount(at, minlength=len(self.uses))
         ids = self.flat[ragged(self.begins[at], self.lengths[at])]
         ends = np.concatenate([[0], np.cumsum(self.lengths[at])])[np.cumsum([0] + [len(w) for w in words])]
         return [ids[a:b] for a, b in zip(ends, ends[1:])]
