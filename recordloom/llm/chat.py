@@ -5,15 +5,16 @@ everyone else as a named user; ``mask`` holds the code-point spans [start, end)
 that the assistant wrote, its end mark included. System turns stay system turns in every rendering.
 
 A rendering comes in blocks, so that no task gathers a conversation of unbounded length: a block
-covers ``BLOCK`` turn numbers; where more than ``MOST`` turns share so few numbers, each number is a
-block of its own, cut by hash into parts of about ``MOST`` turns. Blocks in the order of
-(block, part) are the whole rendering.
+covers ``BLOCK`` turn numbers; where more than ``MOST`` turns share so few numbers, the block is cut
+into parts of at most MOST consecutive turns. Blocks in the order of (block, part) are the whole
+rendering; part is -1 where a block is whole. The spans of a mask count from its block's begin.
 
 Defined results: a null text counts as empty, a null role is the speaker ``unknown``; turns without
 a number come after all others; turns of equal number are ordered by role and text; a turn repeated
 exactly is rendered once; conversation ids may be null; a conversation without participants has one
 rendering with a null perspective; an empty table gives no rows; other columns are ignored. Markers
-within a text are broken up by a blank, so that they can't end a turn.
+within a text or a role are broken up by blanks and line breaks in a role become blanks, so that
+neither can begin or end a turn.
 """
 
 from __future__ import annotations
@@ -21,14 +22,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import cut
+
 BLOCK, MOST = 32, 64
 SYSTEM, UNKNOWN = "system", "unknown"
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 
 
+def _unmarked(x: Column) -> Column:
+    return F.regexp_replace(x, r"<\|(im_start|im_end)\|>", "<| $1 |>")
+
+
 def turns(conversations: DataFrame) -> DataFrame:
     """conv_id, turn, role, text: distinct turns with the defaults put in."""
-    text = F.regexp_replace(F.coalesce("text", F.lit("")), r"<\|(im_start|im_end)\|>", "<| $1 |>")
+    text = _unmarked(F.coalesce("text", F.lit("")))
     return conversations.select("conv_id", "turn", F.coalesce("role", F.lit(UNKNOWN)).alias("role"), text.alias("text")).distinct()
 
 
@@ -36,20 +43,25 @@ def blocks(own: DataFrame) -> DataFrame:
     """conv_id, block, part, turns: sorted arrays of a bounded number of turns."""
     last = F.lit(2**62)
     placed = own.withColumn("at", F.coalesce(F.col("turn").cast("long"), last)).withColumn("block", F.floor(F.col("at") / BLOCK))
-    # sizes are needed only where numbers repeat: a block of distinct numbers can't be too large
+    turn = F.struct("at", "role", "text")
     size = placed.groupBy("conv_id", "block").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > MOST)
-    crowded = size.select(F.col("conv_id").alias("_c"), F.col("block").alias("_b"), "n")
-    joined = placed.join(crowded, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("block") == F.col("_b")), "left")
-    parts = F.ceil(F.col("n") / MOST)
-    part = F.when(F.col("n").isNull(), F.lit(-1)).otherwise(F.col("at") % BLOCK * 2**40 + F.pmod(F.xxhash64("role", "text"), parts))
-    grouped = joined.withColumn("part", part.cast("long")).groupBy("conv_id", "block", "part")
-    return grouped.agg(F.array_sort(F.collect_list(F.struct("at", "role", "text"))).alias("turns"))
+    crowded = cut(size.select(F.col("conv_id").alias("_c"), F.col("block").alias("_b")))
+    within = F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("block") == F.col("_b"))
+    if crowded.isEmpty():
+        return placed.groupBy("conv_id", "block").agg(F.array_sort(F.collect_list(turn)).alias("turns")).withColumn("part", F.lit(-1).cast("long"))
+    whole = placed.join(crowded, within, "left_anti").withColumn("part", F.lit(-1).cast("long"))
+    # in the order of all crowded turns, dealt to tasks by ranges; a part is MOST consecutive numbers
+    order = ["conv_id", "block", "at", "role", "text"]
+    dealt = placed.join(crowded, within, "left_semi").repartitionByRange(*order).sortWithinPartitions(*order)
+    parts = cut(dealt.withColumn("part", F.floor(F.monotonically_increasing_id() / MOST)))
+    return whole.unionByName(parts).groupBy("conv_id", "block", "part").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
 
 
 def _render(perspective: Column) -> tuple[Column, Column]:
     def segment(t: Column) -> Column:
         own = t["role"] == perspective
-        head = F.when(t["role"] == SYSTEM, F.lit(OPEN + "system\n")).when(own, F.lit(OPEN + "assistant\n")).otherwise(F.concat(F.lit(OPEN + "user name="), t["role"], F.lit("\n")))
+        name = F.regexp_replace(_unmarked(t["role"]), "[\r\n]+", " ")
+        head = F.when(t["role"] == SYSTEM, F.lit(OPEN + "system\n")).when(own, F.lit(OPEN + "assistant\n")).otherwise(F.concat(F.lit(OPEN + "user name="), name, F.lit("\n")))
         return F.struct(F.concat(head, t["text"], F.lit(CLOSE)).alias("all"), F.length(head).alias("head"), F.coalesce(own, F.lit(False)).alias("own"))
 
     parts = F.transform("turns", segment)
@@ -87,7 +99,7 @@ s as (
   select t.conv_id, c.perspective, cast(floor(t.at / 32) as bigint) as block, t.at as pos, t.role, t.text,
     case when t.role = 'system' then '<|im_start|>system' || chr(10)
          when t.role = c.perspective then '<|im_start|>assistant' || chr(10)
-         else '<|im_start|>user name=' || t.role || chr(10) end as head,
+         else '<|im_start|>user name=' || regexp_replace(regexp_replace(t.role, '<\\|(im_start|im_end)\\|>', '<| \\1 |>', 'g'), '[\\r\\n]+', ' ', 'g') || chr(10) end as head,
     coalesce(t.role = c.perspective, false) as own
   from t left join c on t.conv_id is not distinct from c.conv_id
 ), p as (

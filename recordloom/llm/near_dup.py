@@ -47,6 +47,7 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 BLOCK = 2048  # members of a group that are compared with all others in one go
+COPIED = 1000
 FIRST_RANK = 1 / 16  # the first region of ranks; each further one doubles the span
 MIX1, MIX2, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -318,7 +319,10 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     found = linked.select("text_key", "comp").join(of_class, "comp").drop("comp")
     every = alone.select("text_key", "least", "n").join(found, "text_key", "left")
     every = every.select("text_key", F.coalesce("class_key", "text_key").alias("class_key"), F.when(F.col("class_key").isNull(), F.col("least")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("class_size", "n").alias("class_size"))
-    return sig.select("doc_id", "text_key").join(every, "text_key")
+    rows = sig.select("doc_id", "text_key")
+    # fewer than COPIED texts can have so many copies; their rows are not gathered by text
+    often = F.broadcast(every.join(texts.filter(F.col("n") > rows.count() / COPIED).select("text_key"), "text_key"))
+    return rows.join(often, "text_key").unionByName(rows.join(often.select("text_key"), "text_key", "left_anti").join(every, "text_key"))
 
 
 def dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

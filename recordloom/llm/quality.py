@@ -6,19 +6,20 @@ its length and, from its document, the shares of distinct words and lines. One t
 it; gated attention (tanh times sigmoid) weighs the passages of a bag; the weighted sum is scored by
 a logistic output. All weights are learned together, by Adam in numpy, from document labels alone.
 
-Training takes at most ``SAMPLE`` labelled documents (those of the least hash; at most ``BAG``
-passages of each, evenly spaced), which bounds what reaches the driver; scoring takes all documents
-and all passages in tasks. Documents whose crc32(doc_id) mod 3 is 1 are never trained on.
+Training takes at most ``SAMPLE`` labelled documents (those of the least hash, of at most ``LONGEST``
+characters), each with all its passages, which bounds what reaches the driver; scoring takes all
+documents and all passages in tasks. Documents whose crc32(doc_id) mod 3 is 1 are never trained on.
 
 Defined results: a null text counts as empty and is scored like one (one passage of no characters);
 null ids are not held out and never trained on; conflicting labels of one id count as 1 if at least
-half of them are 1; repeated rows each give their row; with no usable labels of either class every
+half of them are 1; of several texts of one id the least is trained on; repeated rows each give
+their row; with no usable labels of either class every
 score is the share of label 1 (0.5 if there are none); an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from .words import slices
 
 PASSAGE = 512
-SAMPLE, BAG = 4000, 24
+SAMPLE, LONGEST = 4000, 1 << 20
 HIDDEN, GATE = 24, 12
 EPOCHS, BATCH, RATE = 20, 64, 0.004
 EXTRA = 5
@@ -48,8 +49,8 @@ CLASS = _classes()
 WIDTH = 256 + EXTRA
 
 
-def bag(text: str, most: int | None = None) -> np.ndarray:
-    """Features [passage, WIDTH] of a text; most: number of evenly spaced passages kept (training)."""
+def bag(text: str) -> np.ndarray:
+    """Features [passage, WIDTH] of a text."""
     kinds = CLASS[np.frombuffer(text.encode("utf-8"), np.uint8)]
     count = max(1, -(-len(kinds) // PASSAGE))
     pair = kinds[:-1] * 16 + kinds[1:] if len(kinds) > 1 else kinds[:0]
@@ -65,8 +66,6 @@ def bag(text: str, most: int | None = None) -> np.ndarray:
     out[:, 258] = len(set(lines)) / len(lines)
     out[:, 259] = np.log1p(len(words)) / 10
     out[:, 260] = len(text) / max(len(words), 1) / 20 if words else 0
-    if most is not None and count > most:
-        out = out[np.linspace(0, count - 1, most).astype(int)]
     return out
 
 
@@ -144,32 +143,33 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"_id": batch["_id"], "_label": batch["_label"], "bag": [bag(t, BAG).astype(np.float16).tobytes() for t in batch["text"].fillna("")]})
+            yield pd.DataFrame({"_id": batch["_id"], "_label": batch["_label"], "bag": [bag(t).astype(np.float16).tobytes() for t in batch["text"]]})
 
-    joined = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(F.broadcast(own), "_id")
-    seen = joined.mapInPandas(encode, "_id long, _label int, bag binary").dropDuplicates(["_id"]).orderBy("_id").toPandas()
+    short = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce("text", F.lit("")).alias("text")).filter(F.length("text") <= LONGEST)
+    one_text = short.join(F.broadcast(own), "_id").groupBy("_id", "_label").agg(F.min("text").alias("text"))
+    seen = one_text.mapInPandas(encode, "_id long, _label int, bag binary").orderBy("_id").toPandas()
     bags = [np.frombuffer(b, np.float16).reshape(-1, WIDTH).astype(np.float32) for b in seen["bag"]]
     return train(bags, seen["_label"].to_numpy(np.float64))
 
 
-def score(docs: DataFrame, model: dict) -> DataFrame:
-    """docs with a column ``quality_score`` between 0 and 1."""
+def scorer(model: dict) -> Callable[[Column | str], Column]:
+    """A column function: the score of a text between 0 and 1."""
 
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             texts = batch.fillna("").tolist()
-            yield pd.Series(np.concatenate([score_texts(model, texts[a:b]) for a, b in slices(texts, 2 << 20)] or [np.zeros(0)]))
+            yield pd.Series(np.concatenate([score_texts(model, texts[a:b]) for a, b in slices(texts, 1 << 20)] or [np.zeros(0)]))
 
-    return docs.withColumn("quality_score", run("text"))
+    return run
 
 
 def keep(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """docs that the classifier accepts."""
-    return score(docs, fit(docs, labels)).filter(F.col("quality_score") >= threshold).drop("quality_score")
+    """docs that the classifier accepts, with all their columns and no other."""
+    return docs.filter(scorer(fit(docs, labels))("text") >= threshold)
 
 
 def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The registered digest: held_out, score and prediction of every document."""
-    out = score(docs.select("doc_id", "text"), fit(docs, labels))
-    return out.select("doc_id", F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.5).cast("int").alias("predicted"))
+    out = docs.select("doc_id", scorer(fit(docs, labels))("text").alias("score"))
+    return out.select("doc_id", F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

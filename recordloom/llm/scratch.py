@@ -11,10 +11,13 @@ _LOCAL: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder only where it is unset (tests)."""
+    """The cluster's ``spark.checkpoint.dir``; a temporary folder only where it is unset on a local
+    master (tests), where all tasks share the machine."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not _LOCAL:
         _LOCAL.append("file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
     return _LOCAL[0]
@@ -26,3 +29,11 @@ def cut(df: DataFrame, compression: str = "snappy") -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/recordloom/{uuid.uuid4().hex}"
     df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def free(name: str, taken: list[str]) -> str:
+    """name, or with underscores before it so that no column of ``taken`` has it."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name = "_" + name
+    return name

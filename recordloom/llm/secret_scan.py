@@ -9,12 +9,15 @@ base62, base64) and tested against a uniform draw from that alphabet:
 * Wald-Wolfowitz runs of symbols in the upper and lower half of the alphabet (two-sided),
 * lag-1 serial correlation of the symbol values (two-sided).
 
-Fisher's method joins the three p-values. "Drawn at random" is the hypothesis that natural or
-structured strings violate, so a Benjamini-Hochberg pass within each length band rejects it, with
-the false discovery rate ``fdr`` over all candidates of the corpus; what is not rejected is
-reported. Bands keep the many short strings, on which the tests are weak, from setting the
-threshold of the long ones. The p-values enter as bins of a fixed grid, so that the pass needs only
-a (band x bin) count table, whose size doesn't depend on the corpus.
+Fisher's method joins the three into one score, near 1 for what looks drawn at random. How high
+natural strings score is measured, by length band, on decoys: every candidate of the corpus gives
+``DECOYS`` strings of its own length, cases and digit places whose letters are running letters of its
+document's other text. A candidate's p-value is the share of its band's decoys that score as high,
+and a Benjamini-Hochberg pass within each band reports candidates so that at most a share ``fdr`` of
+them is expected to be natural. Bands keep the many short strings, on which the tests are weak, from
+setting the threshold of the long ones. Scores enter as bins of a fixed grid, so that the pass needs
+only a (band x bin) count table, whose size doesn't depend on the corpus. A band without decoys
+(texts without other letters) reports nothing.
 
 Defined results: a null text counts as empty and has no spans; offsets are code points, ends
 exclusive; repeated rows each give their row; an empty table gives no rows; other columns are
@@ -26,6 +29,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scratch import free
+
 # Fixed values of the base contract.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{14,}"  # greedy runs of 18+ in all
@@ -36,7 +41,7 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+"
 BAND_STARTS = (20, 32, 48, 96)
 BINS_PER_E = 8  # bins of the p-value grid per unit of -ln(p)
 MAX_BIN = 800
-FDR = 0.05
+FDR, DECOYS = 0.05, 16
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -137,7 +142,7 @@ def p_value(token: Column) -> Column:
 
 
 def _bin(p: Column) -> Column:
-    """Grid bin; bin b holds p-values of at most exp(-b / BINS_PER_E)."""
+    """Grid bin of a score; bin 0 holds the highest, bin b those of at most exp(-b / BINS_PER_E)."""
     return F.least(F.floor(-F.log(F.greatest(p, F.lit(1e-300))) * BINS_PER_E), F.lit(MAX_BIN)).cast("int")
 
 
@@ -151,52 +156,71 @@ def _band(length: Column) -> Column:
 def candidates(text: Column) -> Column:
     """Runs that could be encoded random bytes: letters mixed with digits."""
     runs = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
-    return F.filter(runs, lambda t: t.rlike("[0-9]") & t.rlike("[A-Za-z]"))
+    return F.filter(runs, _mixed)
+
+
+def _mixed(t: Column) -> Column:
+    return t.rlike("[0-9]") & t.rlike("[A-Za-z]")
+
+
+def decoy(token: Column, prose: Column, number: Column) -> Column:
+    """token with its letters replaced by consecutive letters of prose, from a place that number gives, in
+    the token's cases."""
+    n = F.length(token)
+    enough = F.when(F.length(prose) >= n, prose).otherwise(F.repeat(prose, (F.ceil(n / F.length(prose)) + 1).cast("int")))
+
+    def letters(source: Column) -> Column:
+        place = F.pmod(F.xxhash64(token, number), F.length(source) - n + 1)
+        return F.split(F.substring(source, (place + 1).cast("int"), n), "")
+
+    own = lambda c, x: F.when(c.rlike("[A-Z]"), F.upper(x)).when(c.rlike("[a-z]"), F.lower(x)).otherwise(c)
+    return F.array_join(F.zip_with(F.split(token, ""), let(enough, letters), own), "")
+
+
+def score_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """band, bin, targets, decoys: how many candidates and decoys of the corpus have their score there."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    found = docs.select(text.alias("text"), candidates(text).alias("found")).filter(F.size("found") > 0)
+    prose = F.regexp_replace(F.regexp_replace("text", CANDIDATE, " "), "[^A-Za-z]+", "")
+    each = found.select(F.explode("found").alias("token"), prose.alias("prose"))
+    numbers = F.when(F.length("prose") > 0, F.sequence(F.lit(0), F.lit(DECOYS))).otherwise(F.array(F.lit(0)))
+    drawn = each.select("token", "prose", F.explode(numbers).alias("number"))
+    tried = F.when(F.col("number") == 0, F.col("token")).otherwise(decoy(F.col("token"), F.col("prose"), F.col("number")))
+    scored = drawn.select(_band(F.length("token")).alias("band"), _bin(p_value(tried)).alias("bin"), "number")
+    return scored.groupBy("band", "bin").agg(F.count_if(F.col("number") == 0).alias("targets"), F.count_if(F.col("number") > 0).alias("decoys"))
 
 
-def rejection_bins(docs: DataFrame, text_col: str = "text", fdr: float = FDR) -> DataFrame:
-    """One row: array of the lowest rejected bin per length band (null: nothing is rejected).
+def report_bins(counts: DataFrame, fdr: float = FDR) -> DataFrame:
+    """One row: map of length band to the last bin that is reported (bands that report nothing are absent).
 
-    Benjamini-Hochberg over all candidates of a band: with N tests and c(b) of them in bin b or a
-    smaller p-value, reject the bins whose bound exp(-b/BINS_PER_E) is at most fdr * c(b) / N.
+    Benjamini-Hochberg: with N candidates in a band, R(b) of them up to bin b, and q(b) = (1 + decoys up
+    to b) / (1 + decoys), the last b with q(b) <= fdr * R(b) / N.
     """
-    per_bin = (
-        docs.select(F.explode(candidates(F.coalesce(F.col(text_col), F.lit("")))).alias("token"))
-        .select(_band(F.length("token")).alias("band"), _bin(p_value(F.col("token"))).alias("bin"))
-        .groupBy("band", "bin")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    w = Window.partitionBy("band")
-    ranked = per_bin.select(
-        "band", "bin", F.sum("n").over(w).alias("total"), F.sum("n").over(w.orderBy(F.desc("bin"))).alias("at_least")
-    )
-    cuts = (
-        ranked.filter(F.exp(-F.col("bin") / F.lit(float(BINS_PER_E))) <= F.lit(fdr) * F.col("at_least") / F.col("total"))
-        .groupBy("band").agg(F.min("bin").alias("bin"))
-    )
-    return cuts.agg(F.map_from_entries(F.collect_list(F.struct("band", "bin"))).alias("_cuts"))
+    band, upto = Window.partitionBy("band"), Window.partitionBy("band").orderBy("bin")  # some hundred bins a band
+    q = (1 + F.sum("decoys").over(upto)) / (1 + F.sum("decoys").over(band))
+    share = F.sum("targets").over(upto) / F.sum("targets").over(band)
+    passed = counts.select("band", "bin", q.alias("q"), share.alias("share")).filter(F.col("q") <= F.lit(fdr) * F.col("share"))
+    last = passed.groupBy("band").agg(F.max("bin").alias("bin"))
+    return last.agg(F.map_from_entries(F.collect_list(F.struct("band", "bin"))).alias("cuts"))
 
 
-def scan(docs: DataFrame, text_col: str = "text", fdr: float = FDR) -> DataFrame:
-    """docs with a column ``secrets``: array<struct<start,kind,end>>, sorted; kind indexes KINDS."""
+def scan(docs: DataFrame, text_col: str = "text", fdr: float = FDR, out_col: str = "secrets") -> DataFrame:
+    """docs with a column out_col: array<struct<start,kind,end>>, sorted; kind indexes KINDS. A column of
+    that name is replaced; no other name can clash."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    cuts = rejection_bins(docs, text_col, fdr)
-    found = docs.withColumn("_base", base_spans(text)).withColumn(
-        "_runs", _spans(text, CANDIDATE, 3, lambda t: t.rlike("[0-9]") & t.rlike("[A-Za-z]"))
-    )
+    base, runs, cuts = (free(n, [*docs.columns, out_col]) for n in ("base", "runs", "cuts"))
+    bins = report_bins(score_counts(docs, text_col), fdr).withColumnRenamed("cuts", cuts)
+    found = docs.withColumns({base: base_spans(text), runs: _spans(text, CANDIDATE, 3, _mixed)})
 
-    def survives(s: Column) -> Column:
+    def reported(s: Column) -> Column:
         token = F.substring(text, s["start"].cast("int") + 1, (s["end"] - s["start"]).cast("int"))
-        apart = ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-        cut = F.element_at(F.col("_cuts"), _band(s["end"] - s["start"]))
-        return apart & F.when(cut.isNull(), True).otherwise(_bin(p_value(token)) < cut)
+        apart = ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+        last = F.element_at(F.col(cuts), _band(s["end"] - s["start"]))
+        return apart & F.when(last.isNull(), False).otherwise(_bin(p_value(token)) <= last)
 
-    extra = F.when(F.size("_runs") == 0, F.col("_runs")).otherwise(F.filter("_runs", survives))
-    return (
-        found.crossJoin(F.broadcast(cuts))  # one row
-        .withColumn("secrets", F.array_sort(F.concat("_base", extra)))
-        .drop("_base", "_runs", "_cuts")
-    )
+    extra = F.when(F.size(runs) == 0, F.col(runs)).otherwise(F.filter(runs, reported))
+    spans = F.array_sort(F.concat(base, extra))
+    return found.crossJoin(F.broadcast(bins)).withColumn(out_col, spans).drop(base, runs, cuts)  # bins: one row
 
 
 def joined(spans: Column) -> Column:
@@ -218,9 +242,10 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", fdr:
             F.when(fresh, F.concat(acc["out"], gap, F.lit(mark))).otherwise(acc["out"]).alias("out"),
         )
 
+    spans = free("secrets", docs.columns)
     rest = lambda acc: F.concat(acc["out"], F.substring(F.col(text_col), (acc["pos"] + 1).cast("int"), F.length(F.col(text_col))))
-    clean = F.when(F.size("secrets") == 0, F.col(text_col)).otherwise(F.aggregate("secrets", zero, step, rest))
-    return scan(docs, text_col, fdr).withColumn(text_col, clean).drop("secrets")
+    clean = F.when(F.size(spans) == 0, F.col(text_col)).otherwise(F.aggregate(spans, zero, step, rest))
+    return scan(docs, text_col, fdr, spans).withColumn(text_col, clean).drop(spans)
 
 
 def query(docs: DataFrame) -> DataFrame:
