@@ -11,9 +11,12 @@ _LOCAL: list[str] = []
 
 
 def folder(spark: SparkSession) -> str:
-    """A new path under the cluster's ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """A new path under the cluster's ``spark.checkpoint.dir``; a temporary one only where it is unset
+    on a local master, where all tasks share the machine."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if not _LOCAL:
             _LOCAL.append("file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
         root = _LOCAL[0]
