@@ -6,7 +6,7 @@ import os
 import re
 import unicodedata
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence, Sized
 from itertools import chain, compress, repeat
 
 import numpy as np
@@ -16,8 +16,8 @@ SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u
 ODD = re.compile(r"[\x1c-\x1f]")  # str.split() cuts at these, white space of the tokenizer it is not
 
 
-def slices(texts: list[str], limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
-    """Ranges [a, b) of texts whose characters sum to about limit, one text at least."""
+def slices(texts: Sequence[Sized], limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges [a, b) of texts (or arrays of ids) whose lengths sum to about limit, one at least."""
     a, size = 0, 0
     for b, text in enumerate(texts):
         if b > a and size + len(text) > limit:

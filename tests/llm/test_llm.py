@@ -320,14 +320,20 @@ def _lm_ids(texts):
     return lm_score.WordIds(public_tokenizers.path(lm_score.TOKENIZER)).encode(texts)
 
 
+def _gathered(spark, docs, frequent, share):
+    common = spark.sparkContext.broadcast(([], np.zeros(0)))
+    return lm_score.gather(docs.select("doc_id", "text").withColumn("held_out", F.lit(False)), common, frequent, share)
+
+
 def test_lm_learns_from_whole_texts(spark):
     """Words that occur only late in long texts get classes of their own, and windows come from there."""
     late = [f"common words here {'of all sorts ' * 1500}" + "zebra quartz zebra quartz " * 20 for _ in range(3)]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(late)], "doc_id long, text string")
-    model = lm_score.fit(docs, lm_score.word_counts(docs))
+    common = spark.sparkContext.broadcast(([], np.zeros(0)))
+    model, _ = lm_score.fit(docs.withColumn("held_out", F.lit(False)), lm_score.word_counts(docs), common)
     ids = _lm_ids(["zebra quartz"])[0].astype(int)
     assert (model.group[ids] > 0).all()
-    found = lm_score.gather(docs, np.arange(lm_score.FREQUENT), 1.0).filter("window is not null").collect()
+    found = _gathered(spark, docs, np.arange(lm_score.FREQUENT), 1.0).filter("window is not null").collect()
     sizes = [len(np.frombuffer(r.window, np.int32)) - 1 for r in found]
     whole = _lm_ids(late)
     assert sum(sizes) == sum(len(x) + 1 for x in whole)
@@ -337,7 +343,8 @@ def test_lm_windows_and_neighbours_brute_force(spark, tables):
     docs = tables["documents"].limit(40).withColumn("doc_id", F.col("doc_id").cast("long"))
     texts = [r.text or "" for r in docs.select("text").collect()]
     frequent = np.arange(300, 300 + lm_score.FREQUENT)
-    got, want = lm_score.neighbours(lm_score.gather(docs, frequent, 0.0)), np.zeros((lm_score.IDS, lm_score.SIDES))
+    found = _gathered(spark, docs, frequent, 0.0)
+    got, want = lm_score.neighbours(found), np.zeros((lm_score.IDS, lm_score.SIDES))
     column = {int(x): i for i, x in enumerate(frequent)}
     for ids in _lm_ids(texts):
         s = [lm_score.END_ID, *ids.tolist(), lm_score.END_ID]
@@ -345,6 +352,60 @@ def test_lm_windows_and_neighbours_brute_force(spark, tables):
             want[y, column.get(x, lm_score.FREQUENT)] += 1
             want[x, lm_score.FREQUENT + 1 + column.get(y, lm_score.FREQUENT)] += 1
     assert (got == want).all()
+    assert sorted(bytes(r.ids) for r in found.filter("row is not null").collect()) == sorted(x.astype(np.uint16).tobytes() for x in _lm_ids(texts))
+
+
+def plain_score(m, ids):
+    """log10 probability of a text by loops: attention over the window of each id, two softmaxes, the share."""
+    p, stride, out = m.p, lm_score.STRIDE, 0.0
+    s = [lm_score.END_ID, *ids, lm_score.END_ID]
+    logit = lambda h, w, b, i: (h @ w + b)[i] - np.log(np.exp(h @ w + b).sum())
+    for i in range(len(s) - 1):
+        first = max(0, (i // stride - 1) * stride)
+        e = p["E"][s[i]]
+        a = np.array([(e @ p["Q"]) @ (p["E"][s[j]] @ p["K"]) * lm_score.WIDTH**-0.5 + p["d"][i - j] for j in range(first, i + 1)])
+        a = np.exp(a) / np.exp(a).sum()
+        z = sum(w * (p["E"][s[j]] @ p["V"]) for w, j in zip(a, range(first, i + 1)))
+        h = np.tanh(e @ p["R"] + z @ p["O"] + p["b"])
+        top, low = divmod(int(m.group[s[i + 1]]), lm_score.TOP)
+        state = 0 if m.final[s[i]] else 1 + int(m.group[s[i]]) // 2
+        out += logit(h, p["C"], p["c"], top) + logit(h, p["D"][top], p["e"][top], low) + m.within[state, s[i + 1]]
+    return out / np.log(10)
+
+
+def test_lm_score_against_loops():
+    r = np.random.default_rng(4)
+    p = lm_score.start()
+    p["d"] = r.normal(0, 0.5, p["d"].shape).astype(np.float32)
+    m = lm_score.Scorer(p, r.integers(0, lm_score.CLASSES, lm_score.IDS), lm_score.word_final(), r.poisson(0.1, (lm_score.STATES, lm_score.IDS)))
+    texts = [r.integers(0, 49000, n) for n in (0, 1, 15, 16, 17, 33, 120)]
+    assert m.score(texts) == pytest.approx(np.array([plain_score(m, t.tolist()) for t in texts]), rel=1e-4)
+
+
+def test_lm_gradient():
+    r = np.random.default_rng(6)
+    p = {k: x.astype(np.float64) for k, x in lm_score.start().items()}
+    ids, live = lm_score._blocks([r.integers(0, 300, 60), r.integers(0, 300, 25)])
+    rows = np.flatnonzero(live.any(axis=1))
+    want = r.integers(0, lm_score.CLASSES, ids[rows].shape)
+    mean = lambda: -lm_score.class_logs(p, lm_score.forward(p, ids[rows], ids[rows - 1])["h"].reshape(-1, lm_score.WIDTH), want.ravel())[live[rows].ravel()].mean()
+    g, part, at = lm_score.gradient(p, lm_score.forward(p, ids[rows], ids[rows - 1]), ids[rows], ids[rows - 1], want, live[rows])
+    g["E"] = np.zeros_like(p["E"])
+    np.add.at(g["E"], at, part)
+    for k, i in (("Q", (0, 1)), ("K", (2, 3)), ("V", (1, 1)), ("O", (4, 0)), ("R", (0, 0)), ("d", (0,)), ("d", (9,)), ("b", (3,)), ("C", (1, 2)), ("D", (int(want.flat[0]) // lm_score.TOP, 0, 1)), ("E", (int(ids[rows[0], 0]), 2))):
+        old, h = p[k][i], 1e-5
+        p[k][i] = old + h
+        up = mean()
+        p[k][i] = old - h
+        assert (up - mean()) / (2 * h) == pytest.approx(g[k][i], rel=1e-2, abs=1e-6)
+        p[k][i] = old
+
+
+def test_lm_without_training_rows(spark):
+    """All rows held out: N is 0 and every id is as likely as any other of its class."""
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0][:5]
+    out = lm_score.query(docs_of(spark, ["a b", "", None, "c d e", "a b"], held)).collect()
+    assert all(r.held_out and r.train_tokens == 0 and r.n_known == 0 and r.score < 0 for r in out) and len(out) == 5
 
 
 def test_lm_parts_are_averaged(spark):
