@@ -120,10 +120,16 @@ def place_key(col: Column) -> Column:
     return F.regexp_replace(name, rf"(\s+({'|'.join(PLACE_SUFFIXES)}))+$", "")
 
 
+# Last tokens in s that are no plural.
+NO_PLURAL = """gas lens bus chassis apparatus series species analysis axis basis ppe gps ups plus bias iris
+canvas atlas status focus radius census virus bonus campus cactus""".split()
+
+
 def singular(col: Column) -> Column:
-    """The phrase with its last token made singular."""
+    """The phrase with its last token made singular; the patterns are fixed values of the rule."""
     return (
-        F.when(col.rlike("[a-z]{2,}ies$"), F.regexp_replace(col, "ies$", "y"))
+        F.when(F.element_at(F.split(col, r"\s"), -1).isin(NO_PLURAL), col)
+        .when(col.rlike("[a-z]{2,}ies$"), F.regexp_replace(col, "ies$", "y"))
         .when(col.rlike("(sses|xes|zes|ches|shes)$"), F.regexp_replace(col, "es$", ""))
         .when(col.rlike("[a-z]{3,}s$") & ~col.rlike("[sui]s$"), F.regexp_replace(col, "s$", ""))
         .otherwise(col)

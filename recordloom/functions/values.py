@@ -108,3 +108,19 @@ def within(col: Column, as_of: str, months_back: int | None = None, days_ahead:
 def redact(mark: Column, *names: str) -> list[Column]:
     """Columns nulled on marked rows."""
     return [F.when(~F.coalesce(mark, F.lit(False)), F.col(n)).alias(n) for n in names]
+
+
+def spans(text: Column, pattern: str) -> Column:
+    """array<struct<start, end, value>> of a pattern's leftmost matches that don't overlap; code points
+    from 0, end exclusive. A null text has none."""
+    body = F.coalesce(text, F.lit(""))
+    met = F.zip_with(F.split(body, pattern, -1), F.regexp_extract_all(body, F.lit(pattern), F.lit(0)), lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("value")))
+    met = F.filter(met, lambda m: m["value"].isNotNull())  # the last gap has no match after it
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("out"))
+
+    def step(acc: Column, m: Column) -> Column:
+        start = acc["at"] + m["gap"]
+        end = start + F.length(m["value"])
+        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), m["value"].alias("value")))).alias("out"))
+
+    return F.aggregate(met, zero, step, lambda acc: acc["out"])

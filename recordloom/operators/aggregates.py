@@ -86,10 +86,10 @@ def growth(df: DataFrame, key: str, year: str, value: str) -> DataFrame:
 
 
 def top_share(df: DataFrame, key: str, partner: str, value: str) -> DataFrame:
-    """Largest partner and its share of the key's value."""
+    """Largest partner, the least one on ties, and its share of the key's value."""
     per = df.groupBy(key, partner).agg(F.sum(value).alias("_v"))
-    out = per.groupBy(key).agg(F.max(F.struct("_v", (-F.col(partner)).alias("_p"))).alias("b"), F.sum("_v").alias("_t"), F.count(F.lit(1)).alias("n_partners"))
-    return out.select(key, (-F.col("b._p")).alias("top_partner"), F.round(F.col("b._v") / F.nullif("_t", F.lit(0.0)), 6).alias("top_share"), "n_partners")
+    out = per.groupBy(key).agg(F.min(F.struct((-F.col("_v")).alias("_n"), F.col(partner).alias("_p"))).alias("b"), F.sum("_v").alias("_t"), F.count(F.lit(1)).alias("n_partners"))
+    return out.select(key, F.col("b._p").alias("top_partner"), F.round(-F.col("b._n") / F.nullif("_t", F.lit(0.0)), 6).alias("top_share"), "n_partners")
 
 
 def pivot_flags(df: DataFrame, key: str, category: str, values: Sequence[str]) -> DataFrame:

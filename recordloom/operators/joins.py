@@ -40,8 +40,10 @@ def values_join(df: DataFrame, names: Sequence[str], values: Sequence[tuple]) ->
 
 
 def with_params(df: DataFrame, params: DataFrame) -> DataFrame:
-    """A one-row table's columns beside every row."""
-    return df.crossJoin(F.broadcast(params.limit(1)))
+    """A one-row table's columns beside every row; another number of rows raises ValueError."""
+    if len(params.limit(2).collect()) != 1:
+        raise ValueError("the parameters are not one row")
+    return df.crossJoin(F.broadcast(params))
 
 
 def pairs(df: DataFrame, key: str, item: str) -> DataFrame:
@@ -58,13 +60,32 @@ def next_vintage(df: DataFrame, key: str, label: str) -> DataFrame:
     return ranked.join(later, [key, "rank"])
 
 
+def _ring_cells(y: Column, step: float) -> Column:
+    """Number of cells around the globe in row y of cells of step degrees of latitude.
+
+    A cell is at least as wide as the longitudes that two points can differ by within step degrees, at
+    the row's end nearest to a pole and one step beyond, where a neighbour may lie.
+    """
+    edge = F.greatest(F.abs(y), F.abs(y + 1)) * step + step
+    ratio = F.sin(F.radians(F.lit(step)) / 2) / F.greatest(F.cos(F.radians(F.least(edge, F.lit(90.0)))), F.lit(1e-12))
+    width = F.degrees(2 * F.asin(F.least(ratio, F.lit(1.0))))
+    return F.when(ratio >= 1, F.lit(1)).otherwise(F.greatest(F.floor(360 / width), F.lit(1))).cast("long")
+
+
+def _ring_cell(lon: Column, n: Column) -> Column:
+    return F.least(F.floor(F.pmod(lon + 180, F.lit(360.0)) / 360 * n), n - 1)
+
+
 def within_radius(a: DataFrame, b: DataFrame, miles: float) -> DataFrame:
-    """Pairs of rows (lat, lon, blat, blon) at most so many miles apart, by grid cells."""
+    """Pairs of rows (lat, lon, blat, blon) at most so many miles apart, by grid cells.
+
+    Cells widen towards the poles and close at the 180th meridian; rows without coordinates match none.
+    """
     step = miles / 69.0 * 1.02
-    lon_step = step / 0.6  # cells are wide enough up to 53 degrees of latitude
-    left = a.withColumn("_y", cell(F.col("lat"), step)).withColumn("_x", cell(F.col("lon"), lon_step))
-    right = b.withColumn("_y", F.explode(around(F.col("blat"), step))).withColumn("_x", F.explode(around(F.col("blon"), lon_step)))
-    near = left.join(right, ["_y", "_x"]).drop("_y", "_x")
+    left = a.withColumn("_y", cell(F.col("lat"), step)).withColumn("_x", _ring_cell(F.col("lon"), _ring_cells(F.col("_y"), step)))
+    right = b.withColumn("_y", F.explode(around(F.col("blat"), step))).withColumn("_n", _ring_cells(F.col("_y"), step)).withColumn("_c", _ring_cell(F.col("blon"), F.col("_n")))
+    sides = F.array_distinct(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.pmod(F.col("_c") + d, F.col("_n"))))
+    near = left.join(right.withColumn("_x", F.explode(sides)).drop("_n", "_c"), ["_y", "_x"]).drop("_y", "_x")
     distance = haversine(F.col("lat"), F.col("lon"), F.col("blat"), F.col("blon"))
     return near.withColumn("miles", distance).filter(F.col("miles") <= miles)
 
@@ -79,12 +100,19 @@ def nearest(a: DataFrame, key: str, sites: DataFrame, site: str, degrees: float,
 
 
 def prefix_fallback(df: DataFrame, code: str, dim: DataFrame, dim_code: str, value: str, levels: Sequence[int], default) -> DataFrame:
-    """Value of the longest prefix of the code that dim has; its level, 0 for the default."""
-    tries = df.select("*", F.explode(F.array(*[F.lit(n) for n in levels])).alias("_level")).withColumn("_p", F.substring(F.col(code), F.lit(1), F.col("_level")))
-    keys = df.columns
-    found = tries.filter(F.length(code) >= F.col("_level")).join(dim.select(F.col(dim_code).alias("_p"), F.col(value).alias("_v")), "_p", "left")
-    best = found.groupBy(*keys).agg(F.max(F.when(F.col("_v").isNotNull(), F.struct("_level", "_v"))).alias("b"))
-    return best.select(*keys, F.coalesce("b._v", F.lit(default)).alias(value), F.coalesce("b._level", F.lit(0)).alias("level"))
+    """Every row of df with the value of the longest prefix of its code that dim has, and its level.
+
+    Rows without a code, with a shorter one or without a match take the default and level 0. A code
+    that repeats in dim gives its least value.
+    """
+    look = dim.filter(F.col(value).isNotNull()).groupBy(F.col(dim_code).alias("_p")).agg(F.min(value).alias("_v"))
+    out, found = df, []
+    for n in sorted(levels, reverse=True):
+        own = out.withColumn("_p", F.when(F.length(code) >= n, F.substring(code, 1, n)))
+        out = own.join(look.withColumnRenamed("_v", f"_v{n}"), "_p", "left").drop("_p")
+        found.append(F.when(F.col(f"_v{n}").isNotNull(), F.struct(F.col(f"_v{n}").alias("v"), F.lit(n).alias("n"))))
+    best = F.coalesce(*found)
+    return out.select(*df.columns, F.coalesce(best["v"], F.lit(default)).alias(value), F.coalesce(best["n"], F.lit(0)).alias("level"))
 
 
 def match_ladder(a: DataFrame, a_key: str, b: DataFrame, b_key: str, tiers: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
@@ -92,13 +120,13 @@ def match_ladder(a: DataFrame, a_key: str, b: DataFrame, b_key: str, tiers: Sequ
 
     A tier joins on its columns. Of several targets the least is canonical, and n_targets tells.
     """
-    legs = []
-    for number, (name, on) in enumerate(tiers, 1):
-        left, right = a.select(a_key, *on).dropna(), b.select(b_key, *on).dropna()
-        legs.append(left.join(right, list(on)).select(a_key, b_key, F.lit(number).alias("tier"), F.lit(name).alias("tier_name")))
-    found = reduce(DataFrame.union, legs).distinct()
+    best, rest = None, a
+    for number, (name, on) in enumerate(tiers, 1):  # what a tier matched goes into no weaker one
+        left, right = rest.select(a_key, *on).dropna(), b.select(b_key, *on).dropna()
+        leg = left.join(right, list(on)).select(a_key, b_key, F.lit(number).alias("tier"), F.lit(name).alias("tier_name")).distinct()
+        rest = rest.join(leg.select(a_key).distinct(), a_key, "left_anti")
+        best = leg if best is None else best.union(leg)
     w = Window.partitionBy(a_key)
-    best = found.withColumn("_b", F.min("tier").over(w)).filter("tier = _b").drop("_b")
     return best.withColumn("n_targets", F.count(F.lit(1)).over(w)).withColumn("is_canonical", F.row_number().over(w.orderBy(b_key)) == 1)
 
 

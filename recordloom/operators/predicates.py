@@ -69,7 +69,8 @@ def lookup(df: DataFrame, key: str, ids: Sequence) -> DataFrame:
     """Rows of an id list in its order; ``found`` tells misses."""
     kind = df.schema[key].dataType.simpleString()
     wanted = df.sparkSession.createDataFrame([(i, v) for i, v in enumerate(ids)], f"position int, {key} {kind}")
-    return F.broadcast(wanted).join(df.withColumn("found", F.lit(True)), key, "left").withColumn("found", F.coalesce("found", F.lit(False)))
+    hit = df.join(F.broadcast(wanted.select(key).distinct()), key, "left_semi").withColumn("found", F.lit(True))  # the list is the call's own
+    return wanted.join(hit, key, "left").withColumn("found", F.coalesce("found", F.lit(False)))
 
 
 def hydrate(keys: DataFrame, key: str, *marts: DataFrame) -> DataFrame:

@@ -19,12 +19,24 @@ def lookalike(held: DataFrame, entity: str, code: str, seeds: DataFrame, min_hit
     return out.orderBy(F.desc("score"), entity).limit(k) if k else out
 
 
-def cold_start(declared: DataFrame, entity: str, code: str, nodes: DataFrame, done: DataFrame, n: int) -> DataFrame:
-    """Top n realised combos of entities without history, by ln(1 + n) (X02). nodes: code, combo, n."""
+def cold_start(declared: DataFrame, entity: str, code: str, nodes: DataFrame, done: DataFrame, n: int, strong: float | None = None, partners: DataFrame | None = None, top: int = 3) -> DataFrame:
+    """Top n realised combos of entities without history, by ln(1 + n) (X02). nodes: code, combo, n.
+
+    strong: scores from it on are tier 1, others 2. partners (combo, partner, n): the top ones by n go
+    beside each combo as text.
+    """
     fresh = declared.select(entity, code).distinct().join(done, entity, "left_anti")
     met = fresh.join(nodes, code).groupBy(entity, "combo").agg(F.round(F.sum(F.log1p("n")), 6).alias("score"))
     w = Window.partitionBy(entity).orderBy(F.desc("score"), "combo")
-    return met.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    out = met.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    if strong is not None:
+        out = out.withColumn("tier", F.when(F.col("score") >= strong, 1).otherwise(2))
+    if partners is not None:
+        per = partners.groupBy("combo", "partner").agg(F.sum("n").alias("n"))
+        best = per.withColumn("_r", F.row_number().over(Window.partitionBy("combo").orderBy(F.desc("n"), "partner"))).filter(F.col("_r") <= top)
+        named = best.groupBy("combo").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_r", "partner"))), lambda r: r["partner"].cast("string")), ",").alias("partners"))
+        out = out.join(named, "combo", "left")
+    return out
 
 
 def match_open(legs: Mapping[str, DataFrame], entity: str, award: str, n: int) -> DataFrame:
@@ -87,3 +99,9 @@ def book(df: DataFrame, party: str, counter: str, code: str, measure: str, top:
     marked = per.withColumn("_a", F.row_number().over(w.orderBy(F.desc("counters"), code))).withColumn("_b", F.row_number().over(w.orderBy(F.desc("total"), code)))
     market = per.filter(F.col("total") >= floor).groupBy(code).agg(F.count(F.lit(1)).alias("market"))
     return marked.filter((F.col("_a") <= top) | (F.col("_b") <= top)).drop("_a", "_b").join(market, code, "left").fillna(0, ["market"])
+
+
+def book_years(df: DataFrame, party: str, counter: str, role: str, day: str, measure: str) -> DataFrame:
+    """party, year, role, n, counters, total: the book by year, split by the party's role (X11)."""
+    by = df.groupBy(party, F.year(day).alias("year"), F.col(role).alias("role"))
+    return by.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(counter).alias("counters"), F.round(F.sum(measure), 2).alias("total"))

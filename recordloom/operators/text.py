@@ -2,47 +2,42 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordloom.functions.keys import fold_key
+from recordloom.functions.values import spans
 
 
-def squeeze(text: str) -> str:
-    """Line ends as \\n, runs of blanks as one, at most one empty line."""
-    text = re.sub(r"[ \t]+", " ", text.replace("\r\n", "\n").replace("\r", "\n"))
-    return re.sub(r"\n{3,}", "\n\n", text).strip()
-
-
-def cut_chunks(text: str, size: int, overlap: int) -> list[tuple[int, int, str]]:
-    """(number, offset, piece) of a squeezed text; ends move back to a blank within the overlap."""
-    out, start = [], 0
-    while start < len(text):
-        end = min(start + size, len(text))
-        if end < len(text):
-            blank = text.rfind(" ", start + max(1, size - overlap), end)
-            end = blank if blank > start else end
-        raw = text[start:end]
-        if raw.strip():
-            out.append((len(out), start + len(raw) - len(raw.lstrip()), raw.strip()))
-        if end >= len(text):
-            break
-        start = max(end - overlap, start + 1)
-    return out
+def normal_space(text: Column) -> Column:
+    """One line end, single blanks, at most one empty line in a row, nothing at either end."""
+    rules = (("\r\n?", "\n"), ("[ \t]+", " "), ("\n{3,}", "\n\n"))
+    return F.btrim(reduce(lambda c, rule: F.regexp_replace(c, *rule), rules, F.coalesce(text, F.lit(""))), F.lit(" \n\t"))
 
 
 def chunk(df: DataFrame, key: str, text: str, size: int = 2000, overlap: int = 200) -> DataFrame:
-    """key, chunk, offset, piece: overlapping chunks of whole texts."""
+    """key, chunk, offset, piece: overlapping chunks of whole texts.
+
+    Chunk i covers the places i x (size - overlap) to that plus size of the normal_space text, on a grid
+    that depends on no earlier chunk. Both places move back to just behind the last blank within overlap
+    characters, where there is one. Neighbours leave no gap; an empty text has no chunk.
+    """
+    stride = size - overlap
+    own = df.select(F.col(key).alias("key"), normal_space(F.col(text)).alias("body")).withColumn("n", F.length("body"))
+    number = F.greatest(F.ceil((F.col("n") - overlap) / stride), F.lit(1)).cast("int")
+    each = own.filter("n > 0").withColumn("chunk", F.explode(F.sequence(F.lit(0), number - 1)))
 
-    @F.pandas_udf("array<struct<chunk:int,offset:int,piece:string>>")
-    def cut(texts: pd.Series) -> pd.Series:
-        return pd.Series([[{"chunk": n, "offset": o, "piece": p} for n, o, p in cut_chunks(squeeze(t or ""), size, overlap)] for t in texts], dtype=object)
+    def place(at: Column) -> Column:
+        begin = F.greatest(at - overlap, F.lit(0))
+        back = F.instr(F.reverse(F.substring(F.col("body"), begin + 1, at - begin)), " ")
+        return F.when(at <= 0, 0).when(at >= F.col("n"), F.col("n")).when(back > 0, at - back + 1).otherwise(at)
 
-    return df.select(key, F.inline(cut(text)))
+    placed = each.withColumn("offset", place(F.col("chunk") * stride)).withColumn("stop", place(F.col("chunk") * stride + size))
+    return placed.select(F.col("key").alias(key), "chunk", "offset", F.substring(F.col("body"), F.col("offset") + 1, F.col("stop") - F.col("offset")).alias("piece"))
 
 
 def reassemble(chunks: DataFrame, key: str) -> DataFrame:
@@ -91,37 +86,48 @@ def promote(old: Column, new: Column) -> Column:
     return F.array_union(F.coalesce(old, F.array().cast("array<string>")), F.coalesce(new, F.array().cast("array<string>")))
 
 
-def extract(df: DataFrame, key: str, text: str, families: Mapping[str, str], negation: str, window: int = 40) -> DataFrame:
-    """key, family, value, n: distinct matches of pattern families, those after a negation dropped."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    legs = F.array(*[F.struct(F.lit(n).alias("family"), F.regexp_extract_all(F.regexp_replace(body, f"(?:{negation})[^.]{{0,{window}}}?(?:{p})", " "), F.lit(f"({p})"), F.lit(1)).alias("found")) for n, p in families.items()])
-    rows = df.select(key, F.inline(legs)).select(key, "family", F.explode("found").alias("value"))
-    return rows.groupBy(key, "family", "value").agg(F.count(F.lit(1)).alias("n"))
+def named_spans(text: Column, patterns: Mapping[str, str]) -> Column:
+    """array<struct<name, start, end, value>> of the matches of several patterns, pattern by pattern."""
+
+    def leg(name: str, pattern: str) -> Column:
+        return F.transform(spans(text, pattern), lambda s: F.struct(F.lit(name).alias("name"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
+
+    return F.flatten(F.array(*[leg(n, p) for n, p in patterns.items()]))
+
+
+def extract(df: DataFrame, key: str, text: str, families: Mapping[str, str], negation: str, window: int = 40, margin: int = 30, mandatory: str = "must|shall|required") -> DataFrame:
+    """key, family, value, n, start, end, quote, mandatory: distinct matches of pattern families.
+
+    A match is dropped if a negation ends within ``window`` characters before it in the same sentence.
+    start, end and quote (the match with ``margin`` characters on both sides) are those of the first;
+    mandatory: one of the quotes has such a word. Offsets are code points.
+    """
+    own = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("body"), spans(F.col(text), negation).alias("no"), named_spans(F.col(text), families).alias("found"))
+
+    def negated(f: Column) -> Column:
+        between = lambda m: F.substring(F.col("body"), m["end"] + 1, f["start"] - m["end"])
+        return F.exists("no", lambda m: (m["end"] <= f["start"]) & (f["start"] - m["end"] <= window) & ~F.contains(between(m), F.lit(".")))
+
+    first = F.greatest(F.col("f.start") - margin, F.lit(0))
+    rows = own.select("key", "body", F.explode(F.filter("found", lambda f: ~negated(f))).alias("f"))
+    quoted = rows.select("key", F.col("f.name").alias("family"), "f.value", "f.start", "f.end", F.substring(F.col("body"), first + 1, F.col("f.end") + margin - first).alias("quote"))
+    once = quoted.groupBy("key", "family", "value").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("start", "end", "quote")).alias("b"), F.max(F.col("quote").rlike(mandatory)).alias("mandatory"))
+    return once.select(F.col("key").alias(key), "family", "value", "n", "b.start", "b.end", "b.quote", "mandatory")
 
 
 def designations(df: DataFrame, key: str, text: str, stems: Mapping[str, str], negation: str, window: int = 60, listed: int = 3, listed_window: int = 200) -> DataFrame:
-    """key, stem, start, end, context: binding, negated (a negation near by) or listed (many stems near by)."""
-    compiled, no = {n: re.compile(p) for n, p in stems.items()}, re.compile(negation)
-
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            out = []
-            for value in batch.fillna(""):
-                mids = [(m.start() + m.end()) // 2 for m in no.finditer(value)]
-                hits = [(n, m.start(), m.end(), (m.start() + m.end()) // 2) for n, r in compiled.items() for m in r.finditer(value)]
-                rows = []
-                for n, s, e, c in hits:
-                    if any(abs(c - m) <= window for m in mids):
-                        context = "negated"
-                    else:
-                        near = {h[0] for h in hits if abs(h[3] - c) <= listed_window // 2}
-                        context = "listed" if len(near) >= listed else "binding"
-                    rows.append({"stem": n, "start": s, "end": e, "context": context})
-                out.append(rows)
-            yield pd.Series(out, dtype=object)
-
-    find = F.pandas_udf(run, "array<struct<stem:string,start:int,end:int,context:string>>")
-    return df.select(key, F.inline(find(text)))
+    """key, stem, start, end, context of every stem's match.
+
+    context: negated, if a negation's middle is within ``window`` of the match's; else listed, if
+    ``listed`` different stems have one within half the ``listed_window``; else binding.
+    """
+    middle = lambda s: F.floor((s["start"] + s["end"]) / 2)
+    hits = F.transform(named_spans(F.col(text), stems), lambda s: F.struct(s["name"].alias("stem"), s["start"].alias("start"), s["end"].alias("end"), middle(s).alias("mid")))
+    own = df.select(F.col(key).alias("key"), hits.alias("hits"), F.transform(spans(F.col(text), negation), middle).alias("no"))
+    each = own.select("key", "hits", "no", F.explode("hits").alias("h"))
+    near = F.filter("hits", lambda o: F.abs(o["mid"] - F.col("h.mid")) <= listed_window // 2)
+    context = F.when(F.exists("no", lambda m: F.abs(m - F.col("h.mid")) <= window), "negated").when(F.size(F.array_distinct(F.transform(near, lambda o: o["stem"]))) >= listed, "listed").otherwise("binding")
+    return each.select(F.col("key").alias(key), "h.stem", "h.start", "h.end", context.alias("context"))
 
 
 def lines(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -143,7 +149,7 @@ def sections(df: DataFrame, key: str, text: str, anchor: str) -> DataFrame:
     """key, section, title, n_lines, n_chars: lines under the last anchor line before them."""
     w = Window.partitionBy(key).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     marked = lines(df, key, text).withColumn("section", F.sum(F.col("line").rlike(anchor).cast("int")).over(w))
-    title = F.max(F.when(F.col("line").rlike(anchor), F.substring("line", 1, 40)))
+    title = F.max(F.when(F.col("line").rlike(anchor), F.col("line")))
     return marked.groupBy(key, "section").agg(title.alias("title"), F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("line")).alias("n_chars"))
 
 

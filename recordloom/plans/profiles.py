@@ -54,7 +54,7 @@ def profile_360(facts: DataFrame, key: str, year: str, measure: str) -> DataFram
 def facility_360(spine: DataFrame, key: str, programs: Mapping[str, DataFrame]) -> DataFrame:
     """Spine beside a count for each program, with the number of programs."""
     rolled = [df.groupBy(key).agg(F.count(F.lit(1)).alias(f"n_{n}")) for n, df in programs.items()]
-    out = spine.join(merge_rollups(key, *rolled), key, "left").fillna(0)
+    out = spine.join(merge_rollups(key, *rolled), key, "left").fillna(0, subset=[f"n_{n}" for n in programs])
     return out.withColumn("n_programs", sum(((F.col(f"n_{n}") > 0).cast("int") for n in programs), F.lit(0)))
 
 

@@ -47,9 +47,20 @@ def q07(t):
     return Q.digest(t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"))
 
 
-@query("q10_profile", "select 'c_mktsegment' as column, count(*) as n, count(*) filter (where c_mktsegment is null) as nulls, count(distinct c_mktsegment) as n_distinct, min(c_mktsegment) as least, max(c_mktsegment) as most from customer union all select 'c_nationkey', count(*), 0, count(distinct c_nationkey), min(c_nationkey::varchar), max(c_nationkey::varchar) from customer")
+PROFILE = "select '{c}' as column, count(*) as n, count(*) filter (where {c} is null) as nulls, count(distinct {c}) as n_distinct, min({c}::varchar) as least, max({c}::varchar) as most, {q} as quartiles, (select string_agg(v || ':' || k, ',' order by k desc, v) from (select {c}::varchar as v, count(*) as k from customer group by 1 order by 2 desc, 1 limit 3)) as top, round(count(*) filter (where {c} is null) / count(*), 6) as null_rate from customer"
+
+
+@query("q10_profile", f"{PROFILE.format(c='c_mktsegment', q='null')} union all {PROFILE.format(c='c_nationkey', q="concat_ws(',', quantile_disc(c_nationkey::double, 0.25), quantile_disc(c_nationkey::double, 0.5), quantile_disc(c_nationkey::double, 0.75))")}")
 def q10(t):
-    return Q.profile(t.customer, ["c_mktsegment", "c_nationkey"])
+    return Q.profile(t.customer, ["c_mktsegment", "c_nationkey"]).withColumn("quartiles", F.array_join(F.transform("quartiles", lambda x: x.cast("string")), ","))
+
+
+COLUMNS = {"customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"], "labels": ["doc_id", "quality", "toxic"], "documents": ["doc_id", "text", "lang", "source", "n_chars"]}
+
+
+@query("q13_fill_catalog", " union all ".join(f"select '{t}' as dataset, {i} as position, '{c}' as column, count(*) as n, count({c}) as present from {t}" for t, cs in COLUMNS.items() for i, c in enumerate(cs)))
+def q13(t):
+    return Q.fill_catalog(t.spark, {n: getattr(t, n) for n in COLUMNS}).drop("type")
 
 
 LEDGER = "l as (select event_type as feed, ts as run_at, case when value > 300 then 'failed' else 'ok' end as status, event_id from events)"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from recordloom.functions import geo
@@ -30,10 +31,20 @@ def h01(t):
 @query(
     "h02_closure",
     f"""{UP}, c as (select distinct node as c from w where node = ancestor), l as (select node, arg_max(ancestor, depth) as last, max(depth) as depth from w group by 1), z as (select node, min(ancestor) as root from w where ancestor in (select c from c) group by 1)
-    select l.node, coalesce(z.root, l.last) as root, case when z.root is null then l.depth end as depth, l.node in (select c from c) as in_cycle from l left join z using (node)""",
+    select l.node, coalesce(z.root, l.last) as root, case when z.root is null then l.depth end as depth, l.node in (select c from c) as in_cycle, coalesce(z.root is null and l.depth > 3, false) as capped from l left join z using (node)""",
 )
 def h02(t):
-    return G.closure(tree(t))
+    return G.closure(tree(t), max_depth=3)
+
+
+@query(
+    "h02_closure_chains",
+    "select child as node, min(child) filter (where parent is null) over (partition by o_custkey) as root, n as depth, false as in_cycle, false as capped from (select o_custkey, o_orderkey as child, lag(o_orderkey) over w as parent, cast(row_number() over w - 1 as integer) as n from orders window w as (partition by o_custkey order by o_orderkey)) qualify parent is not null",
+)
+def h02_chains(t):
+    """Each order hangs on the customer's order before it: chains of dozens of steps."""
+    before = F.lag("o_orderkey").over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    return G.closure(t.orders.select(F.col("o_orderkey").alias("child"), before.alias("parent")).filter("parent is not null"))
 
 
 @query(
@@ -46,12 +57,12 @@ def h03(t):
     return G.subtree_sum(tree(t), v, "k", "m")
 
 
-@query("h04_family", f"with {TREE}, a as (select c_custkey as k from customer where c_custkey between 1 and 40), x as (select k as anchor, k as member, 0 as hops from a union all select k, child, 1 from a join e on parent = k union all select k, f.child, 2 from a join e on e.parent = k join e f on f.parent = e.child) select anchor, member, min(hops) as hops from x group by 1, 2")
+@query("h04_family", f"with {TREE}, a as (select c_custkey as k from customer where c_custkey between 1 and 40), x as (select k as anchor, k as member, 0 as hops, k::varchar as path from a union all select k, child, 1, k || '>' || child from a join e on parent = k union all select k, f.child, 2, k || '>' || e.child || '>' || f.child from a join e on e.parent = k join e f on f.parent = e.child), r as (select *, row_number() over (partition by anchor, member order by hops, path) as rn from x) select anchor, member, hops, path from r where rn = 1")
 def h04(t):
     return G.family(t.customer.filter("c_custkey between 1 and 40"), "c_custkey", tree(t))
 
 
-@query("h04_family_all", f"with {TREE}, a as (select c_custkey as k from customer), x as (select k as anchor, k as member, 0 as hops from a union all select k, child, 1 from a join e on parent = k union all select k, f.child, 2 from a join e on e.parent = k join e f on f.parent = e.child) select anchor, member, min(hops) as hops from x group by 1, 2")
+@query("h04_family_all", f"with {TREE}, a as (select c_custkey as k from customer), x as (select k as anchor, k as member, 0 as hops, k::varchar as path from a union all select k, child, 1, k || '>' || child from a join e on parent = k union all select k, f.child, 2, k || '>' || e.child || '>' || f.child from a join e on e.parent = k join e f on f.parent = e.child), r as (select *, row_number() over (partition by anchor, member order by hops, path) as rn from x) select anchor, member, hops, path from r where rn = 1")
 def h04_all(t):
     return G.family(t.customer, "c_custkey", tree(t))
 

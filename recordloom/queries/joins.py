@@ -108,6 +108,17 @@ def j11(t):
     return J.within_radius(places(t), sites(t), 30).select("c_custkey", "s_suppkey", F.round("miles", 4).alias("miles"))
 
 
+#: Places in the far north, on both sides of the 180th meridian.
+NORTH = "select c_custkey, cast(60 + (c_custkey * 7919 % 2400) / 100.0 as double) as lat, cast(case when (c_custkey * 104729) % 2000 < 1000 then 170 + (c_custkey * 104729) % 1000 / 100.0 else -180 + (c_custkey * 104729) % 1000 / 100.0 end as double) as lon from customer"
+NORTH_SITES = NORTH.replace("c_custkey", "s_suppkey").replace("customer", "supplier").replace("lat,", "blat,").replace("as lon", "as blon")
+
+
+@query("j11_within_radius_north", f"with a as ({NORTH}), b as ({NORTH_SITES}) select c_custkey, s_suppkey, round({MILES}, 4) as miles from a, b where {MILES} <= 60")
+def j11_north(t):
+    side = lambda df, sql: df.selectExpr(*[x.strip() for x in sql[len("select ") : sql.rindex(" from ")].split(", cast")][:1], *["cast" + x for x in sql[len("select ") : sql.rindex(" from ")].split(", cast")[1:]])
+    return J.within_radius(side(t.customer, NORTH), side(t.supplier, NORTH_SITES), 60).select("c_custkey", "s_suppkey", F.round("miles", 4).alias("miles"))
+
+
 @query(
     "j12_nearest",
     f"""with a as ({CUSTOMERS}), b as ({SITES}), m as (select c_custkey, s_suppkey, {MILES} as miles from a, b where abs(floor(lat) - floor(blat)) <= 1 and abs(floor(lon) - floor(blon)) <= 1)
@@ -141,6 +152,20 @@ def j14(t):
     return J.prefix_fallback(own, "code", F.broadcast(dim), "prefix", "rate", [3, 2, 1], 0).select("o_orderkey", "rate", F.col("level").cast("int").alias("level"))
 
 
+@query(
+    "j14_prefix_fallback_odd",
+    """with d as (select code, row_number() over (order by code) as rate from (values ('123'), ('2'), ('34')) v(code)), o as (select l_orderkey, case when l_partkey % 3 > 0 then substr(cast(l_partkey as varchar), 1, l_linenumber % 4) end as code from lineitem)
+    select l_orderkey, o.code, coalesce(d3.rate, d1.rate, 0) as rate, case when d3.rate is not null then 3 when d1.rate is not null then 1 else 0 end as level
+    from o left join d d3 on length(o.code) >= 3 and d3.code = substr(o.code, 1, 3) left join d d1 on length(o.code) >= 1 and d1.code = substr(o.code, 1, 1)""",
+)
+def j14_odd(t):
+    """Null, empty and short codes, and rows that repeat."""
+    dim = t.spark.createDataFrame([("123", 1), ("2", 2), ("34", 3)], "prefix string, rate long")
+    code = F.when(F.col("l_partkey") % 3 > 0, F.substring(F.col("l_partkey").cast("string"), F.lit(1), F.col("l_linenumber") % 4))
+    own = t.lineitem.select("l_orderkey", code.alias("code"))
+    return J.prefix_fallback(own, "code", dim, "prefix", "rate", [3, 1], 0).withColumn("level", F.col("level").cast("int"))
+
+
 @query(
     "j15_match_ladder",
     """with m as (select c_custkey, s_suppkey, 1 as tier from customer join supplier on c_nationkey = s_nationkey and c_custkey % 10 = s_suppkey % 10

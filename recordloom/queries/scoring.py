@@ -24,13 +24,14 @@ def x01(t):
 
 @query(
     "x02_cold_start",
-    """with d as (select c_custkey, c_nationkey % 5 as code from customer where c_custkey not in (select o_custkey from orders)), n as (select l_linenumber % 5 as code, l_returnflag || l_linestatus as combo, count(*) as n from lineitem group by 1, 2)
-    select c_custkey, combo, score, rank from (select *, row_number() over (partition by c_custkey order by score desc, combo) as rank from (select c_custkey, combo, round(sum(ln(1 + n)), 6) as score from d join n using (code) group by 1, 2)) where rank <= 3""",
+    """with d as (select c_custkey, c_nationkey % 5 as code from customer where c_custkey not in (select o_custkey from orders)), n as (select l_linenumber % 5 as code, l_returnflag || l_linestatus as combo, count(*) as n from lineitem group by 1, 2), p as (select combo, string_agg(l_suppkey, ',' order by k desc, l_suppkey) as partners from (select *, row_number() over (partition by combo order by k desc, l_suppkey) as r from (select l_returnflag || l_linestatus as combo, l_suppkey, count(*) as k from lineitem group by 1, 2)) where r <= 3 group by 1)
+    select c_custkey, combo, score, rank, case when score >= 9 then 1 else 2 end as tier, partners from (select *, row_number() over (partition by c_custkey order by score desc, combo) as rank from (select c_custkey, combo, round(sum(ln(1 + n)), 6) as score from d join n using (code) group by 1, 2)) join p using (combo) where rank <= 3""",
 )
 def x02(t):
     nodes = t.lineitem.groupBy((F.col("l_linenumber") % 5).alias("code"), F.concat("l_returnflag", "l_linestatus").alias("combo")).agg(F.count(F.lit(1)).alias("n"))
     declared = t.customer.select("c_custkey", (F.col("c_nationkey") % 5).alias("code"))
-    return S.cold_start(declared, "c_custkey", "code", nodes, t.orders.select(F.col("o_custkey").alias("c_custkey")), 3).withColumn("rank", F.col("rank").cast("long"))
+    partners = t.lineitem.select(F.concat("l_returnflag", "l_linestatus").alias("combo"), F.col("l_suppkey").alias("partner"), F.lit(1).alias("n"))
+    return S.cold_start(declared, "c_custkey", "code", nodes, t.orders.select(F.col("o_custkey").alias("c_custkey")), 3, 9.0, partners).withColumn("rank", F.col("rank").cast("long"))
 
 
 @query(
@@ -102,3 +103,8 @@ def x10(t):
 )
 def x11(t):
     return S.book(t.lineitem.withColumn("code", F.col("l_partkey") % 100), "l_suppkey", "l_orderkey", "code", "l_extendedprice", 3, 50000)
+
+
+@query("x11_book_years", "select l_suppkey, year(l_shipdate) as year, l_returnflag as role, count(*) as n, count(distinct l_orderkey) as counters, round(sum(l_extendedprice), 2) as total from lineitem group by 1, 2, 3")
+def x11_years(t):
+    return S.book_years(t.lineitem, "l_suppkey", "l_orderkey", "l_returnflag", "l_shipdate", "l_extendedprice")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from recordloom.functions.geo import zorder_key
@@ -42,6 +43,17 @@ def k03(t):
     return W.upsert(_base(t), _delta(t), ["o_orderkey"])
 
 
+@query(
+    "k03_upsert_latest",
+    "select o_custkey, last_day, o_orderkey from (select o_custkey, cast(o_orderdate as date) as last_day, o_orderkey, row_number() over (partition by o_custkey order by cast(o_orderdate as date) desc, o_orderkey desc) as rn from orders) where rn = 1 union all select c_custkey, null, null from customer where c_custkey not in (select o_custkey from orders)",
+)
+def k03_latest(t):
+    """A delta with many rows a key: the last one stays."""
+    base = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.lit(None).cast("date").alias("last_day"), F.lit(None).cast("long").alias("o_orderkey"))
+    delta = t.orders.select("o_custkey", F.col("o_orderdate").cast("date").alias("last_day"), "o_orderkey")
+    return W.upsert(base, delta, ["o_custkey"], order="last_day")
+
+
 @query("k04_insert_new", f"select o_orderkey, o_custkey, o_totalprice from orders where o_orderkey % 3 <> 0 union all {HALF} and o_orderkey % 3 = 0")
 def k04(t):
     return W.insert_new(_base(t), _delta(t), ["o_orderkey"])
@@ -96,6 +108,19 @@ def k10(t):
     return t.spark.read.parquet(b).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("o_orderkey").alias("keys"))
 
 
+@query("k11_create_empty", "select o_orderkey, o_orderstatus from orders")
+def k11(t):
+    """An empty table of a frozen schema, which a second attempt leaves alone, then filled."""
+    path, own = folder(t.spark), t.orders.select("o_orderkey", "o_orderstatus")
+    W.create_empty(t.spark, path, "o_orderkey long, o_orderstatus string")
+    try:
+        W.create_empty(t.spark, path, "other string")
+    except AnalysisException:
+        pass  # refused, as it should be
+    W.append(own, path)
+    return t.spark.read.schema("o_orderkey long, o_orderstatus string").parquet(path)
+
+
 @query("k12_publish", "select o_orderkey, o_custkey from orders where o_orderkey % 2 = 0")
 def k12(t):
     root = folder(t.spark)
@@ -105,7 +130,8 @@ def k12(t):
         W.publish(own.filter("o_orderkey < 0"), root, 2, {"rows": lambda d: not d.isEmpty()})
     except ValueError:
         pass  # the empty version fails its gate, and latest stays at version 1
-    return W.read_latest(t.spark, root)
+    W.publish(own.filter("o_orderkey % 2 = 1"), root, 3, {})
+    return W.restore(t.spark, root, 1)
 
 
 @query("k13_record_run", "select 'orders' as feed, count(*) as n_rows, 'ok' as status from orders union all select 'events', count(*), 'ok' from events")

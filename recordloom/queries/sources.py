@@ -25,17 +25,18 @@ def s01(t):
 
 def _ragged(t: Tables):
     path = folder(t.spark)
-    line = F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name", "c_mktsegment", F.when(F.col("c_custkey") % 10 == 0, F.lit("extra")))
+    fields = [F.col("c_custkey").cast("string"), F.concat(F.lit('"'), F.col("c_name"), F.lit(', ""Inc"""'))]
+    line = F.when(F.col("c_custkey") % 10 == 0, F.concat_ws(",", *fields, "c_mktsegment", F.lit("extra"))).when(F.col("c_custkey") % 10 == 1, F.concat_ws(",", *fields)).when(F.col("c_custkey") % 10 == 2, F.concat_ws(",", fields[0], F.lit('"open'), "c_mktsegment")).otherwise(F.concat_ws(",", *fields, "c_mktsegment"))
     t.customer.select(line.alias("value")).write.text(path)
     return R.read_ragged(t.spark, path, ["c_custkey", "c_name", "c_mktsegment"])
 
 
-@query("s02_read_ragged", CUSTOMER_SQL + " where c_custkey % 10 <> 0")
+@query("s02_read_ragged", "select cast(c_custkey as varchar) as c_custkey, c_name || ', \"Inc\"' as c_name, case when c_custkey % 10 <> 1 then c_mktsegment end as c_mktsegment from customer where c_custkey % 10 not in (0, 2)")
 def s02(t):
     return _ragged(t)[0]
 
 
-@query("s02_read_ragged_rejects", "select concat_ws(',', c_custkey, c_name, c_mktsegment, 'extra') as line from customer where c_custkey % 10 = 0")
+@query("s02_read_ragged_rejects", "select case when c_custkey % 10 = 0 then c_custkey || ',\"' || c_name || ', \"\"Inc\"\"\",' || c_mktsegment || ',extra' else c_custkey || ',\"open,' || c_mktsegment end as line from customer where c_custkey % 10 in (0, 2)")
 def s02_rejects(t):
     return _ragged(t)[1]
 
@@ -59,13 +60,15 @@ def s04(t):
     return R.split_positional(t.customer.select(line.alias("line")), "line", r"\|", {3: {"id": 0, "segment": 2}, 4: {"id": 0, "nation": 1, "segment": 3}})
 
 
-@query("s05_read_copy_text", "select o_orderkey, case when o_orderkey % 7 <> 0 then o_orderpriority end as o_orderpriority, cast(o_orderdate as date) as o_orderdate from orders")
+@query("s05_read_copy_text", "select o_orderkey, case when o_orderkey % 7 <> 0 then o_orderpriority || chr(9) || chr(92) || 'n' end as o_orderpriority, cast(o_orderdate as date) as o_orderdate from orders")
 def s05(t):
     path = folder(t.spark)
     null = F.lit("\\N")
-    row = F.concat_ws("\t", F.col("o_orderkey").cast("string"), F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderpriority")).otherwise(null), F.col("o_orderdate").cast("date").cast("string"))
-    end = t.spark.range(1).select(F.lit("\\.").alias("value"))
-    t.orders.select(row.alias("value")).union(end).write.text(path)
+    row = F.concat_ws("\t", F.col("o_orderkey").cast("string"), F.when(F.col("o_orderkey") % 7 != 0, F.concat("o_orderpriority", F.lit("\\t\\\\n"))).otherwise(null), F.col("o_orderdate").cast("date").cast("string"))
+    # every file ends at its mark; what follows is no data
+    rows = t.orders.select(row.alias("value"), F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("n"))
+    ends = t.spark.range(8).select(F.explode(F.array(F.lit("\\."), F.lit("1\tafter the end"))).alias("value"), F.col("id").cast("int").alias("p"), F.lit(1 << 62).alias("n"))
+    rows.union(ends).repartition(8, F.pmod("p", F.lit(8))).sortWithinPartitions(F.pmod("p", F.lit(8)), "n", F.desc("value")).select("value", F.pmod("p", F.lit(8)).alias("p")).write.partitionBy("p").text(path)
     return R.read_copy_text(t.spark, path, "o_orderkey long, o_orderpriority string, o_orderdate date")
 
 
@@ -96,8 +99,8 @@ def s09(t):
     items = t.lineitem.groupBy("l_orderkey").agg(F.collect_list(F.struct("l_partkey", "l_quantity")).alias("items"))
     t.orders.join(items, F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", "items").write.json(path)
     doc = R.read_ndjson(t.spark, path, "o_orderkey long, items array<struct<l_partkey:long,l_quantity:double>>")
-    flat = R.explode_nested(doc, ("items", "item")).select("o_orderkey", "item.l_partkey", "item.l_quantity")
-    return flat.join(t.part.filter("p_partkey % 10 = 3").select(F.col("p_partkey").alias("l_partkey")), "l_partkey", "left_semi")
+    flat = R.explode_nested(doc, ("items", "item"), keys=t.part.filter("p_partkey % 10 = 3").select("p_partkey"), key="item.l_partkey")
+    return flat.select("o_orderkey", "item.l_partkey", "item.l_quantity")
 
 
 @query("s11_melt_crosstab", "select o_orderpriority, cast(year(o_orderdate) as varchar) as year, count(*) as n from orders group by 1, 2")
@@ -107,6 +110,21 @@ def s11(t):
     return R.melt_crosstab(wide, ["o_orderpriority"], years, "year", "n")
 
 
+SHEET_SQL = "with n as (select o_orderpriority as label, year(o_orderdate) as y, count(*) as n from orders group by 1, 2) select label, cast(y as varchar) as year, n::double as value from n"
+
+
+@query("s11_melt_sheet", SHEET_SQL)
+def s11_sheet(t):
+    """A sheet with a title above the header, marks at labels, an empty row and a footnote."""
+    years = [str(y) for y in range(1995, 2002)]
+    wide = t.orders.withColumn("y", F.year("o_orderdate").cast("string")).groupBy("o_orderpriority").pivot("y", years).count()
+    texts = [F.format_number(F.col(y), 0) for y in years]
+    sheet = lambda n, *cells: F.struct(F.lit(n).alias("row_no"), F.array(*cells).alias("cells"))
+    frame = t.spark.range(1).select(F.inline(F.array(sheet(0, F.lit("Orders by priority, 1995 on")), sheet(2, F.lit("Priority"), *[F.lit(f"FY {y}" if y == "1995" else y) for y in years]), sheet(90, F.lit("")), sheet(91, F.lit("1/ Counted by day of order, 2001 in part.")))))
+    rows = wide.select(F.lit(10).alias("row_no"), F.array(F.concat("o_orderpriority", F.lit(" 1/")), *texts).alias("cells"))
+    return R.melt_sheet(frame.union(rows))
+
+
 @query("s12_read_window", "select event_id, user_id from events where ts >= date '2024-01-08' and ts < date '2024-01-15'")
 def s12(t):
     return R.read_window(t.events, "ts", "2024-01-10", "2024-01-15", overlap_days=2).select("event_id", "user_id")

@@ -13,7 +13,16 @@ from .registry import query
 EMAIL, IP = "[a-z]+@[a-z.]+[a-z]", "[0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}"
 
 
-@query("t01_chunk")
+SPACED = "trim(regexp_replace(regexp_replace(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), '[ \\t]+', ' ', 'g'), '\\n{3,}', chr(10) || chr(10), 'g'), ' ' || chr(10) || chr(9))"
+PLACE = "case when {p} <= 0 then 0 when {p} >= n then n when strpos(reverse(substr(b, {p} - 199, 200)), ' ') > 0 then {p} - strpos(reverse(substr(b, {p} - 199, 200)), ' ') + 1 else {p} end"
+
+
+@query(
+    "t01_chunk",
+    f"""with t as (select doc_id, {SPACED} as b from documents), u as (select doc_id, b, length(b) as n from t where b <> ''), c as (select *, unnest(range(0, greatest(cast(ceil((n - 200) / 1800.0) as bigint), 1))) as chunk from u),
+    p as (select doc_id, chunk, b, {PLACE.format(p="(chunk * 1800)")} as first, {PLACE.format(p="(chunk * 1800 + 2000)")} as stop from c)
+    select doc_id, cast(chunk as integer) as chunk, cast(first as integer) as offset, substr(b, first + 1, stop - first) as piece from p""",
+)
 def t01(t):
     return T.chunk(t.documents, "doc_id", "text")
 
@@ -41,31 +50,40 @@ def t05(t):
     return t.documents.select("doc_id", F.array_join(T.promote(new, old), ",").alias("marks"))
 
 
-@query("t06_extract", f"with m as (select doc_id, 'email' as family, unnest(regexp_extract_all(text, '{EMAIL}')) as value from documents union all select doc_id, 'address', unnest(regexp_extract_all(text, '{IP}')) from documents) select doc_id, family, value, count(*) as n from m group by 1, 2, 3")
+NO = "not |never |no |nicht |pas "
+FOUND = "select doc_id, text, '{f}' as family, unnest(regexp_extract_all(text, '{p}')) as value, generate_subscripts(regexp_extract_all(text, '{p}'), 1) as i, regexp_extract_all(text, '{p}') as vs, string_split_regex(text, '{p}') as gs from documents where regexp_matches(text, '{p}')"
+
+
+@query(
+    "t06_extract",
+    f"""with m as ({FOUND.format(f='email', p=EMAIL)} union all {FOUND.format(f='address', p=IP)}),
+    o as (select *, cast(list_sum(list_transform(gs[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(vs[1:i-1], lambda x: length(x))), 0) as bigint) as start from m),
+    q as (select *, start + length(value) as stop, substr(text, greatest(start - 30, 0) + 1, start + length(value) + 30 - greatest(start - 30, 0)) as quote from o where not regexp_matches(substr(text, greatest(start - 60, 0) + 1, least(start, 60)), '({NO})[^.]{{0,40}}$')),
+    r as (select *, row_number() over (partition by doc_id, family, value order by start) as rn, count(*) over (partition by doc_id, family, value) as n, bool_or(regexp_matches(quote, 'must|shall|required')) over (partition by doc_id, family, value) as mandatory from q)
+    select doc_id, family, value, n, start, stop as "end", quote, mandatory from r where rn = 1""",
+)
 def t06(t):
-    return T.extract(t.documents, "doc_id", "text", {"email": EMAIL, "address": IP}, "NEVER MENTION")
+    out = T.extract(t.documents, "doc_id", "text", {"email": EMAIL, "address": IP}, NO)
+    return out.withColumns({"start": F.col("start").cast("long"), "end": F.col("end").cast("long")})
 
 
 @query("t07_designations")
 def t07(t):
-    return T.designations(t.documents, "doc_id", "text", {"clown": "clown", "scum": "scum", "pathetic": "pathetic"}, r"\b(?:not|nicht|pas|no)\b")
-
-
-REGISTER = "select c_nationkey as register, '  ' || lpad(cast(10000 + c_custkey as varchar), 5, '0') || ' ' || c_mktsegment || '.....$ ' || cast(c_custkey % 50 as varchar) || '.25' as line, c_custkey from customer"
+    return T.designations(t.documents, "doc_id", "text", {"clown": "clown", "scum": "scum", "pathetic": "pathetic"}, NO)
 
 
 def _register(t):
     line = F.concat(F.lit("  "), F.lpad((10000 + F.col("c_custkey")).cast("string"), 5, "0"), F.lit(" "), "c_mktsegment", F.lit(".....$ "), (F.col("c_custkey") % 50).cast("string"), F.lit(".25"))
     odd = F.when(F.col("c_custkey") % 9 == 0, F.lit("rate 9.99 unread")).otherwise(line)
-    return t.customer.groupBy(F.col("c_nationkey").alias("register")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", odd.alias("l")))), lambda r: r["l"]), "\n").alias("document"))
+    return t.customer.groupBy((F.col("c_nationkey") * 1_000_000 + F.floor(F.col("c_custkey") / 500)).alias("register")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", odd.alias("l")))), lambda r: r["l"]), "\n").alias("document"))
 
 
-@query("t08_parse_register", "select c_nationkey as register, cast(10000 + c_custkey as varchar) as code, c_mktsegment as title, c_custkey % 50 + 0.25::double as rate from customer where c_custkey % 9 <> 0")
+@query("t08_parse_register", "select c_nationkey * 1000000 + cast(floor(c_custkey / 500) as bigint) as register, cast(10000 + c_custkey as varchar) as code, c_mktsegment as title, c_custkey % 50 + 0.25::double as rate from customer where c_custkey % 9 <> 0")
 def t08(t):
     return T.parse_register(_register(t), "register", "document")[0]
 
 
-@query("t08_parse_register_rest", "select c_nationkey as register, count(*) as n from customer where c_custkey % 9 = 0 group by 1")
+@query("t08_parse_register_rest", "select c_nationkey * 1000000 + cast(floor(c_custkey / 500) as bigint) as register, count(*) as n from customer where c_custkey % 9 = 0 group by 1")
 def t08_rest(t):
     return T.parse_register(_register(t), "register", "document")[1].groupBy("register").agg(F.count(F.lit(1)).alias("n"))
 
@@ -74,7 +92,7 @@ def t08_rest(t):
     "t09_sections",
     """with l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i from documents),
     s as (select *, sum(case when regexp_matches(line, '^[A-Z][a-z]+[.]') then 1 else 0 end) over (partition by doc_id order by i rows unbounded preceding) as section from l)
-    select doc_id, cast(section as bigint) as section, max(case when regexp_matches(line, '^[A-Z][a-z]+[.]') then substr(line, 1, 40) end) as title, count(*) as n_lines, sum(length(line))::bigint as n_chars from s group by 1, 2""",
+    select doc_id, cast(section as bigint) as section, max(case when regexp_matches(line, '^[A-Z][a-z]+[.]') then line end) as title, count(*) as n_lines, sum(length(line))::bigint as n_chars from s group by 1, 2""",
 )
 def t09(t):
     return T.sections(t.documents, "doc_id", "text", "^[A-Z][a-z]+[.]")

@@ -20,11 +20,20 @@ def read_delimited(spark: SparkSession, path: str, columns: Sequence[str], sep:
     return spark.read.csv(path, schema=strings(columns), sep=sep, header=header, quote='"', escape='"', mode="PERMISSIVE")
 
 
+QUOTED = '"(?:[^"]|"")*"'
+
+
 def read_ragged(spark: SparkSession, path: str, columns: Sequence[str], sep: str = ",", header: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Rows that fit the columns, and the raw lines of those that don't."""
-    schema = strings([*columns, "_reject"])
-    rows = spark.read.option("columnPruning", "false").csv(path, schema=schema, sep=sep, header=header, mode="PERMISSIVE", columnNameOfCorruptRecord="_reject")
-    return rows.filter("_reject is null").drop("_reject"), rows.filter("_reject is not null").select(F.coalesce("_reject", columns[0]).alias("line"))
+    """Rows, short ones padded with nulls, and the raw lines that have too many fields or an unbalanced
+    quote (S02). header: lines equal to the first one are left out; a quoted field holds no line break."""
+    lines = spark.read.text(path)
+    if header:
+        first = lines.first()
+        lines = lines.filter(F.col("value") != (first.value if first else ""))
+    bare = F.regexp_replace("value", QUOTED, "")
+    fits = (F.size(F.split(bare, f"\\Q{sep}\\E", -1)) <= len(columns)) & ~F.contains(bare, F.lit('"'))
+    row = F.from_csv("value", ", ".join(f"`{c}` string" for c in columns), {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+    return lines.filter(fits & (F.col("value") != "")).select(row.alias("r")).select("r.*"), lines.filter(~fits).select(F.col("value").alias("line"))
 
 
 def read_fixed_width(spark: SparkSession, path: str, layout: Mapping[str, tuple[int, int]]) -> DataFrame:
@@ -47,11 +56,28 @@ def split_positional(df: DataFrame, col: str, sep: str, families: Mapping[int, M
     return df.select(F.size(parts).alias("width"), *[field(n) for n in names])
 
 
+#: Escapes of the dump format beside ``\\N``.
+ESCAPES = {"t": "\t", "n": "\n", "r": "\r", "b": "\b", "f": "\f", "v": "\v"}
+
+
 def read_copy_text(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    r"""Tab-separated dump text: ``\N`` is null, the line ``\.`` ends it."""
+    r"""Tab-separated dump text: ``\N`` is null, backslash escapes are decoded, and a file ends at its
+    first line ``\.`` (S05)."""
     raw = T.StructType.fromDDL(schema)
-    rows = spark.read.csv(path, schema=strings(raw.names), sep="\t", nullValue="\\N", quote="", emptyValue="", mode="PERMISSIVE")
-    return rows.filter(F.coalesce(F.col(raw.names[0]), F.lit("")) != "\\.").select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in raw])
+    # lines of a file in order: by the block they are in, then as a task reads them
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"))
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), place.alias("place"))
+    ends = lines.filter(F.col("value") == "\\.").groupBy("file").agg(F.min("place").alias("end"))
+    body = lines.join(ends, "file", "left").filter(F.col("end").isNull() | (F.col("place") < F.col("end")))
+
+    def field(number: int) -> Column:
+        text = F.get(F.split("value", "\t", -1), F.lit(number))
+        plain = F.replace(text, F.lit("\\\\"), F.lit("\ue000"))
+        for letter, meant in ESCAPES.items():
+            plain = F.replace(plain, F.lit("\\" + letter), F.lit(meant))
+        return F.when(text != "\\N", F.replace(plain, F.lit("\ue000"), F.lit("\\")))
+
+    return body.select(*[field(i).try_cast(f.dataType).alias(f.name) for i, f in enumerate(raw)])
 
 
 def read_parquet(spark: SparkSession, *paths: str, base: str | None = None) -> DataFrame:
@@ -70,11 +96,21 @@ def read_xml(spark: SparkSession, path: str, row_tag: str, schema: str) -> DataF
     return spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
 
 
+def read_nested(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON files of one document each; a document is one row and one task's work, however large."""
+    return spark.read.json(path, schema=schema, multiLine=True)
+
+
 def explode_nested(df: DataFrame, *levels: tuple[str, str], keys: DataFrame | None = None, key: str | None = None) -> DataFrame:
-    """Explode array columns level by level; at the end only rows of the given keys."""
-    for path, name in levels:
-        df = df.withColumn(name, F.explode(path))
-    return df.join(keys, key, "left_semi") if keys is not None else df
+    """Explode array columns level by level (S09). Rows whose key, a dotted path, is not in keys (one
+    column) go as soon as a level has made its first part, before deeper ones are exploded."""
+    todo = keys is not None
+    for path, name in [("", ""), *levels]:
+        df = df.withColumn(name, F.explode(path)) if name else df
+        if todo and key.split(".")[0] in df.columns:
+            df = df.join(keys.toDF("_key").distinct(), F.col(key) == F.col("_key"), "left_semi")
+            todo = False
+    return df
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, predicates: Sequence[str], properties: Mapping[str, str] | None = None) -> DataFrame:
@@ -87,6 +123,26 @@ def melt_crosstab(df: DataFrame, ids: Sequence[str], columns: Sequence[str], nam
     return df.unpivot(list(ids), list(columns), name, value).filter(F.col(value).isNotNull())
 
 
+def melt_sheet(sheet: DataFrame, year: str = r"(?:19|20)\d\d") -> DataFrame:
+    """label, year, value of a sheet (row_no, cells: array of texts) of one crosstab.
+
+    The header is the first row with two cells or more that are a year; years may be followed by a mark.
+    Rows above it, cells outside its year columns and rows without a number (footnotes, subtitles) are
+    left out; footnote marks such as ``1/`` or ``*`` at a label's end are cut off. Thousands commas and
+    brackets for negative numbers are read.
+    """
+    is_year = lambda c: F.trim(c).rlike(f"^(FY ?)?{year}\\W*$")
+    heads = sheet.filter(F.size(F.filter("cells", lambda c: F.coalesce(is_year(c), F.lit(False)))) >= 2)
+    head = heads.agg(F.min(F.struct("row_no", "cells")).alias("h")).select(F.col("h.row_no").alias("_at"), F.col("h.cells").alias("_years"))
+    body = sheet.crossJoin(F.broadcast(head)).filter(F.col("row_no") > F.col("_at"))  # head: one row
+    label = F.trim(F.regexp_replace(F.get("cells", F.lit(0)), r"(\s*(\d+/|\*+|\[\w\]))+\s*$", ""))
+    each = body.select("row_no", label.alias("label"), "_years", F.posexplode("cells").alias("at", "cell"))
+    text = F.regexp_replace(F.trim("cell"), "[,$\\s]", "")
+    number = F.regexp_replace(text, r"^\((.*)\)$", "-$1").try_cast("double")
+    found = each.select("label", F.get("_years", F.col("at")).alias("_y"), number.alias("value")).filter(is_year(F.col("_y")) & F.col("value").isNotNull())
+    return found.select("label", F.regexp_extract("_y", f"({year})", 1).alias("year"), "value").filter("label <> ''")
+
+
 def read_window(df: DataFrame, col: str, start: str, end: str, overlap_days: int = 0) -> DataFrame:
     """Rows modified in [start - overlap, end)."""
     return df.filter((F.col(col) >= F.date_sub(F.to_date(F.lit(start)), overlap_days)) & (F.col(col) < F.to_date(F.lit(end))))
@@ -102,7 +158,7 @@ def read_snapshot(df: DataFrame, col: str, label: str | None = None, as_of: str
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """path, length, content and its SHA-256 of every file."""
+    """path, length, content and its SHA-256 of every file that isn't empty."""
     files = spark.read.format("binaryFile").load(path)
     return files.select("path", "length", "content", F.sha2("content", 256).alias("content_hash"))
 

@@ -1,5 +1,10 @@
 """Golden batteries of the scalar keys, and small fixtures of operators."""
 
+import hashlib
+import math
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,7 +56,7 @@ def test_zip5(spark, raw, want):
         (K.phone_e164, "1 (212) 555-0100 ext 4", "+12125550100"), (K.phone_e164, "112-555-0100", None),
         (K.linkedin_slug, "HTTPS://WWW.LINKEDIN.COM/COMPANY/Acme-Co/", "acme-co"), (K.linkedin_slug, "linkedin.com/in/someone", None),
         (K.person_key, "Dr. José Ñuñez, Jr.", "dr jose nunez"), (K.place_key, "De Kalb County", "DEKALB"), (K.place_key, "Saint Louis City", "ST LOUIS"),
-        (K.fold_key, "water tanks", "watertank"), (K.fold_key, "batteries", "battery"),
+        (K.fold_key, "water tanks", "watertank"), (K.fold_key, "batteries", "battery"), (K.fold_key, "truck chassis", "truckchassis"), (K.fold_key, "gas", "gas"), (K.fold_key, "spectacles", "spectacle"),
     ],
 )
 def test_keys(spark, function, raw, want):
@@ -75,7 +80,7 @@ def test_chunks_cover_and_reassemble(spark):
     df = spark.createDataFrame([(1, raw), (2, ""), (3, None)], "doc_id long, text string")
     chunks = text.chunk(df, "doc_id", "text")
     back = text.reassemble(chunks, "doc_id").collect()
-    assert [(r.doc_id, r.text) for r in back] == [(1, text.squeeze(raw))]
+    assert [(r.doc_id, r.text) for r in back] == [(1, re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]+", " ", raw.replace("\r\n", "\n").replace("\r", "\n"))).strip())]
 
 
 def test_designation_contexts(spark):
@@ -168,3 +173,122 @@ def test_probing_search_reaches_recall(spark):
         recall = near.join(exact, ["query", "vec_id"]).count() / exact.count()
         print(size, recall)
         assert recall >= 0.9
+
+
+def test_designations_against_loops(spark):
+    from recordloom.operators.text import designations
+
+    stems, no = {"clown": "clown", "scum": "scum", "pathetic": "pathetic"}, "not |no "
+    texts = ["clown", "é not a clown here", "clown scum pathetic", None, "", "scum " + "x " * 80 + "clown and pathetic", "no " + "y" * 80 + " clown scum", "clownclown"]
+    want = []
+    for key, text in enumerate(texts):
+        mids = [(m.start() + m.end()) // 2 for m in re.finditer(no, text or "")]
+        hits = [(n, m.start(), m.end()) for n, p in stems.items() for m in re.finditer(p, text or "")]
+        for n, a, b in hits:
+            near = {x for x, c, d in hits if abs((c + d) // 2 - (a + b) // 2) <= 100}
+            want.append((key, n, a, b, "negated" if any(abs(m - (a + b) // 2) <= 60 for m in mids) else "listed" if len(near) >= 3 else "binding"))
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, t string")
+    got = [tuple(r) for r in designations(df, "k", "t", stems, no).collect()]
+    assert sorted(got) == sorted(want) and {w[4] for w in want} == {"negated", "listed", "binding"}
+
+
+def test_extract_drops_negated_and_quotes(spark):
+    from recordloom.operators.text import extract
+
+    text = "You must bring 12 forms. Not needed: 34 forms. Later 12 forms, no. 56 forms"
+    rows = {r.value: r for r in extract(spark.createDataFrame([(1, text), (2, None)], "k long, t string"), "k", "t", {"count": r"\d+ forms"}, "Not |no", margin=15).collect()}
+    assert set(rows) == {"12 forms", "56 forms"} and rows["12 forms"].n == 2 and rows["12 forms"].mandatory and not rows["56 forms"].mandatory
+    assert text[rows["12 forms"].start : rows["12 forms"].end] == "12 forms" and rows["12 forms"].quote == text[:38]
+
+
+def test_closure_any_depth_and_cycles(spark):
+    from recordloom.operators.graph import ancestors, closure
+
+    edges = [(i, i - 1) for i in range(2, 42)] + [(100, 101), (101, 102), (102, 100), (103, 102), (104, 103), (200, 200)]
+    out = {r.node: r for r in closure(spark.createDataFrame(edges, "child long, parent long"), max_depth=10).collect()}
+    assert all(out[i].root == 1 and out[i].depth == i - 1 and out[i].capped == (i > 11) and not out[i].in_cycle for i in range(2, 42))
+    assert all(out[i].root == 100 and out[i].in_cycle == (i < 103) and out[i].depth is None for i in range(100, 105)) and 200 not in out
+    up = {(r.node, r.ancestor): r.depth for r in ancestors(spark.createDataFrame(edges, "child long, parent long")).collect()}
+    assert up[41, 1] == 40 and up[100, 100] == 3 and up[104, 100] == 3 and len([k for k in up if k[0] == 41]) == 40
+    assert closure(spark.createDataFrame([], "child long, parent long")).count() == 0
+
+
+def test_radius_everywhere(spark):
+    from recordloom.operators.joins import within_radius
+
+    r = random.Random(2)
+    points = [(i, r.uniform(-89.9, 89.9), r.choice([r.uniform(-180, 180), r.uniform(179, 180), r.uniform(-180, -179)])) for i in range(400)] + [(400, None, 1.0), (401, 90.0, 0.0), (402, 89.99, 180.0)]
+    a, b = spark.createDataFrame(points, "i long, lat double, lon double"), spark.createDataFrame(points, "j long, blat double, blon double")
+
+    def miles(p, q):
+        (_, la, lo), (_, lb, lp) = p, q
+        h = math.sin(math.radians(lb - la) / 2) ** 2 + math.cos(math.radians(la)) * math.cos(math.radians(lb)) * math.sin(math.radians(lp - lo) / 2) ** 2
+        return 2 * 3958.7613 * math.asin(min(1, math.sqrt(h)))
+
+    for limit in (50, 400):
+        want = {(p[0], q[0]) for p in points for q in points if None not in (*p, *q) and miles(p, q) <= limit}
+        got = [(x.i, x.j) for x in within_radius(a, b, limit).collect()]
+        assert set(got) == want and len(got) == len(want)
+
+
+def test_upserts_keep_one_row_a_key(spark):
+    from recordloom.sources import writers as W
+
+    base = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "k long, v string, at int")
+    delta = spark.createDataFrame([(2, "c", 2), (2, "d", 3), (3, "e", 2), (3, "f", 1)], "k long, v string, at int")
+    for f in (W.upsert, W.insert_new):
+        with pytest.raises(ValueError):
+            f(base, delta, ["k"])
+    assert sorted(tuple(r) for r in W.upsert(base, delta, ["k"], "at").collect()) == [(1, "a", 1), (2, "d", 3), (3, "e", 2)]
+    assert sorted(tuple(r) for r in W.insert_new(base, delta, ["k"], "at").collect()) == [(1, "a", 1), (2, "b", 1), (3, "e", 2)]
+    assert sorted(r.v for r in W.backfill(base, delta, ["k"], ["v"], only_null=False, order="at").collect()) == ["a", "d"]
+
+
+def test_publish_restores(spark, tmp_path):
+    from recordloom.sources import writers as W
+
+    root = f"file://{tmp_path}/t"
+    for version in (1, 2):
+        W.publish(spark.range(version), root, version, {})
+    with pytest.raises(ValueError):
+        W.publish(spark.range(0), root, 3, {"rows": lambda d: not d.isEmpty()})
+    assert W.read_latest(spark, root).count() == 2 and W.restore(spark, root, 1).count() == 1
+    W.publish(spark.range(5), root, 3, {})  # the failed version once more
+    assert W.read_latest(spark, root).count() == 5
+    with pytest.raises(ValueError):
+        W.restore(spark, root, 9)
+
+
+def test_documents_and_nested_files(spark, tmp_path):
+    from recordloom.sources import readers as R
+
+    for name, text in (("a.txt", "hello"), ("b.txt", "\n")):
+        (tmp_path / name).write_text(text)
+    found = {r.path.rsplit("/", 1)[1]: (r.length, r.content_hash) for r in R.read_documents(spark, str(tmp_path)).collect()}
+    assert found == {"a.txt": (5, hashlib.sha256(b"hello").hexdigest()), "b.txt": (1, hashlib.sha256(b"\n").hexdigest())}
+    (tmp_path / "n").mkdir()
+    (tmp_path / "n" / "doc.json").write_text('{"all": [\n {"id": 1, "rates": [{"r": 5}, {"r": 6}]},\n {"id": 2, "rates": [{"r": 7}]}]}')
+    doc = R.read_nested(spark, str(tmp_path / "n"), "all array<struct<id:long,rates:array<struct<r:long>>>>")
+    flat = R.explode_nested(doc, ("all", "item"), ("item.rates", "rate"), keys=spark.createDataFrame([(1,)], "k long"), key="item.id")
+    assert sorted(r.r for r in flat.select("rate.r").collect()) == [5, 6]
+
+
+def test_parameters_are_one_row(spark):
+    from recordloom.operators.joins import with_params
+
+    assert with_params(spark.range(3), spark.range(1).toDF("p")).count() == 3
+    for n in (0, 2):
+        with pytest.raises(ValueError):
+            with_params(spark.range(3), spark.range(n).toDF("p"))
+
+
+def test_text_partner_ties_and_null_spine(spark):
+    from recordloom.operators.aggregates import top_share
+    from recordloom.plans.profiles import facility_360
+
+    rows = spark.createDataFrame([(1, "b", 5.0), (1, "a", 5.0), (2, "z", 1.0)], "k long, p string, v double")
+    assert {(r.k, r.top_partner, r.top_share) for r in top_share(rows, "k", "p", "v").collect()} == {(1, "a", 0.5), (2, "z", 1.0)}
+    spine = spark.createDataFrame([(1, None), (9, 3.0)], "k long, beds double")
+    out = {r.k: (r.beds, r.n_x, r.n_programs) for r in facility_360(spine, "k", {"x": rows.select("k")}).collect()}
+    assert out == {1: (None, 2, 1), 9: (3.0, 0, 0)}
+
