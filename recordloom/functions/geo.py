@@ -36,11 +36,12 @@ def zorder_key(lat: Column, lon: Column, bits: int = 16) -> Column:
     return out
 
 
-def ring(wkt: Column) -> Column:
-    """array<struct<x,y>> of a polygon's outer ring."""
-    inside = F.regexp_extract(wkt, r"\(\(([^)]*)\)", 1)
-    point = lambda p: F.struct(F.split_part(F.trim(p), F.lit(" "), F.lit(1)).cast("double").alias("x"), F.split_part(F.trim(p), F.lit(" "), F.lit(2)).cast("double").alias("y"))
-    return F.transform(F.split(inside, ","), point)
+def rings(wkt: Column) -> Column:
+    """array<struct<hole, points>> of the rings of a polygon or multipolygon; points: array<struct<x, y>>."""
+    pair = lambda p: F.split(F.trim(p), r"\s+")
+    point = lambda p: F.struct(F.get(pair(p), F.lit(0)).cast("double").alias("x"), F.get(pair(p), F.lit(1)).cast("double").alias("y"))
+    found = F.regexp_extract_all(wkt, F.lit(r"(?:\(\s*|,\s*)\([^()]+\)"), F.lit(0))  # an outer ring opens its polygon, a hole follows a comma
+    return F.transform(found, lambda r: F.struct(r.startswith(",").alias("hole"), F.transform(F.split(F.regexp_replace(r, "[(),\\s]*\\(|\\)", ""), ","), point).alias("points")))
 
 
 def edges(points: Column) -> Column:
@@ -49,15 +50,24 @@ def edges(points: Column) -> Column:
 
 
 def wkt_centroid(wkt: Column) -> Column:
-    """struct<lon, lat>: area centroid of a polygon's outer ring."""
+    """struct<lon, lat>: area centroid of a polygon or multipolygon, holes taken out."""
     cross = lambda e: e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"]
-    total = lambda f: F.aggregate(edges(ring(wkt)), F.lit(0.0), lambda s, e: s + f(e))
-    area = total(cross)
-    return F.struct((total(lambda e: (e["a"]["x"] + e["b"]["x"]) * cross(e)) / (3 * area)).alias("lon"), (total(lambda e: (e["a"]["y"] + e["b"]["y"]) * cross(e)) / (3 * area)).alias("lat"))
+    total = lambda sides, f: F.aggregate(sides, F.lit(0.0), lambda s, e: s + f(e))
+
+    def part(r: Column) -> Column:
+        sides = edges(r["points"])
+        area = total(sides, cross)
+        sign = F.when(r["hole"], -1.0).otherwise(1.0) * F.signum(area)  # rings may run either way
+        moment = lambda c: sign * total(sides, lambda e: (e["a"][c] + e["b"][c]) * cross(e)) / 3
+        return F.struct((sign * area).alias("area"), moment("x").alias("x"), moment("y").alias("y"))
+
+    parts = F.transform(rings(wkt), part)
+    add = lambda c: F.aggregate(parts, F.lit(0.0), lambda s, p: s + p[c])
+    return F.struct((add("x") / F.nullif(add("area"), F.lit(0.0))).alias("lon"), (add("y") / F.nullif(add("area"), F.lit(0.0))).alias("lat"))
 
 
 def polygon_distance(x: Column, y: Column, wkt: Column) -> Column:
-    """Degrees from a point to a polygon, 0 inside."""
+    """Degrees from a point to a polygon or multipolygon, 0 inside; a hole is outside."""
 
     def to_edge(e: Column) -> Column:
         dx, dy = e["b"]["x"] - e["a"]["x"], e["b"]["y"] - e["a"]["y"]
@@ -70,6 +80,13 @@ def polygon_distance(x: Column, y: Column, wkt: Column) -> Column:
         at = e["a"]["x"] + (y - e["a"]["y"]) * (e["b"]["x"] - e["a"]["x"]) / F.nullif(e["b"]["y"] - e["a"]["y"], F.lit(0.0))
         return spans & (x < at)
 
-    sides = edges(ring(wkt))
+    sides = F.flatten(F.transform(rings(wkt), lambda r: edges(r["points"])))
     inside = F.size(F.filter(sides, crosses)) % 2 == 1
     return F.when(inside, F.lit(0.0)).otherwise(F.array_min(F.transform(sides, to_edge)))
+
+
+def bounds(wkt: Column) -> Column:
+    """struct<x0, y0, x1, y1> around a polygon or multipolygon."""
+    points = F.flatten(F.transform(rings(wkt), lambda r: r["points"]))
+    side = lambda f, c: f(F.transform(points, lambda p: p[c]))
+    return F.struct(side(F.array_min, "x").alias("x0"), side(F.array_min, "y").alias("y0"), side(F.array_max, "x").alias("x1"), side(F.array_max, "y").alias("y1"))

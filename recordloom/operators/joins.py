@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordloom.functions.geo import around, cell, haversine
+from recordloom.functions.geo import around, bounds, cell, haversine, polygon_distance
 
 SMALL_ROWS = 100_000
 
@@ -90,6 +90,20 @@ def within_radius(a: DataFrame, b: DataFrame, miles: float) -> DataFrame:
     return near.withColumn("miles", distance).filter(F.col("miles") <= miles)
 
 
+def near_polygon(points: DataFrame, polys: DataFrame, wkt: str, degrees: float, size: float = 1.0) -> DataFrame:
+    """Rows of points (lat, lon) beside those of polys whose polygon is at most so many degrees away.
+
+    Both meet in cells of ``size`` degrees, of which a polygon takes those of its bounds. Longitudes do
+    not wrap.
+    """
+    left = points.withColumn("_y", cell(F.col("lat"), size)).withColumn("_x", cell(F.col("lon"), size))
+    box = polys.withColumn("_b", bounds(F.col(wkt))).filter("_b.x0 is not null")
+    along = lambda a, b: F.sequence(cell(F.col(a) - degrees, size), cell(F.col(b) + degrees, size))
+    right = box.withColumn("_y", F.explode(along("_b.y0", "_b.y1"))).withColumn("_x", F.explode(along("_b.x0", "_b.x1"))).drop("_b")
+    met = left.join(right, ["_y", "_x"]).drop("_y", "_x")
+    return met.withColumn("degrees", polygon_distance(F.col("lon"), F.col("lat"), F.col(wkt))).filter(F.col("degrees") <= degrees)
+
+
 def nearest(a: DataFrame, key: str, sites: DataFrame, site: str, degrees: float, k: int = 1) -> DataFrame:
     """The k nearest sites of each row within its 3 x 3 cells."""
     left = a.withColumn("_y", cell(F.col("lat"), degrees)).withColumn("_x", cell(F.col("lon"), degrees))

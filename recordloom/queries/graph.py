@@ -205,6 +205,16 @@ def e05(t):
     return _squares(t).select("s_suppkey", geo.wkt_centroid(F.col("wkt")).alias("c")).select("s_suppkey", F.round("c.lon", 4).alias("lon"), F.round("c.lat", 4).alias("lat"))
 
 
+@query("e05_wkt_centroid_parts", f"with b as ({SITES}) select s_suppkey, round(blon + 0.25 + 0.25 * 5 / 0.5, 4) as lon, round(blat + 0.25, 4) as lat from b")
+def e05_parts(t):
+    """Two squares, five degrees apart, with a hole in the middle of each."""
+    corner = lambda dx, dy: F.concat((F.col("blon") + dx).cast("decimal(12,4)").cast("string"), F.lit(" "), (F.col("blat") + dy).cast("decimal(12,4)").cast("string"))
+    square = lambda x, y, w, way: F.concat(F.lit("("), F.concat_ws(", ", *[corner(x + dx * w, y + dy * w) for dx, dy in [(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)][::way]]), F.lit(")"))
+    part = lambda x, way: F.concat(F.lit("("), square(x, 0, 0.5, 1), F.lit(", "), square(x + 0.125, 0.125, 0.25, way), F.lit(")"))
+    wkt = F.concat(F.lit("MULTIPOLYGON ("), part(0, 1), F.lit(", "), part(5, -1), F.lit(")"))
+    return sites(t).select("s_suppkey", geo.wkt_centroid(wkt).alias("c")).select("s_suppkey", F.round("c.lon", 4).alias("lon"), F.round("c.lat", 4).alias("lat"))
+
+
 @query("e06_map_rows", f"with p as ({CUSTOMERS}) select o_orderkey, o_custkey, lat, lon, o_totalprice from orders join p on o_custkey = c_custkey where o_orderstatus = 'O' and o_totalprice > 200000 and lat between 30 and 45")
 def e06(t):
     return t.orders.filter("o_orderstatus = 'O' and o_totalprice > 200000").join(places(t).filter("lat between 30 and 45"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "o_custkey", "lat", "lon", "o_totalprice")
@@ -216,8 +226,5 @@ def e06(t):
     select c_custkey, s_suppkey, round(degrees, 6) as degrees from d where degrees <= 0.2""",
 )
 def e07(t):
-    step = 1.0
-    pts = places(t).withColumn("_y", geo.cell(F.col("lat"), step)).withColumn("_x", geo.cell(F.col("lon"), step))
-    polys = _squares(t).withColumn("_y", F.explode(geo.around(F.col("blat") + 0.25, step))).withColumn("_x", F.explode(geo.around(F.col("blon") + 0.25, step)))
-    met = pts.join(polys, ["_y", "_x"]).select("c_custkey", "s_suppkey", F.round(geo.polygon_distance(F.col("lon"), F.col("lat"), F.col("wkt")), 6).alias("degrees"))
-    return met.filter("degrees <= 0.2")
+    met = J.near_polygon(places(t), _squares(t), "wkt", 0.2)
+    return met.select("c_custkey", "s_suppkey", F.round("degrees", 6).alias("degrees"))

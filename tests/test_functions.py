@@ -292,3 +292,15 @@ def test_text_partner_ties_and_null_spine(spark):
     out = {r.k: (r.beds, r.n_x, r.n_programs) for r in facility_360(spine, "k", {"x": rows.select("k")}).collect()}
     assert out == {1: (None, 2, 1), 9: (3.0, 0, 0)}
 
+
+def test_polygons_with_holes_and_parts(spark):
+    from recordloom.operators.joins import near_polygon
+
+    wkt = "MULTIPOLYGON (((0 0, 4 0, 4 4, 0 4, 0 0), (1 1, 1 3, 3 3, 3 1, 1 1)), ((10 0, 12 0, 12 2, 10 2, 10 0)))"
+    at = lambda x, y: one(spark, geo.polygon_distance(F.lit(x), F.lit(y), F.lit(wkt)))
+    assert at(0.5, 0.5) == 0 and at(11.0, 1.0) == 0 and at(2.0, 2.0) == pytest.approx(1.0) and at(9.0, 1.0) == pytest.approx(1.0)
+    c = one(spark, geo.wkt_centroid(F.lit(wkt)))  # areas 12 and 4
+    assert (c.lon, c.lat) == pytest.approx(((2 * 12 + 11 * 4) / 16, (2 * 12 + 1 * 4) / 16))
+    points = spark.createDataFrame([(1, 0.5, 0.5), (2, 2.0, 2.0), (3, 1.0, 9.2), (4, None, 1.0)], "i int, lat double, lon double")
+    got = near_polygon(points, spark.createDataFrame([("p", wkt), ("q", None)], "name string, wkt string"), "wkt", 0.9)
+    assert {(r.i, r.name, round(r.degrees, 6)) for r in got.collect()} == {(1, "p", 0.0), (3, "p", 0.8)}
