@@ -307,7 +307,7 @@ def test_lm_rare_words_are_joined(spark, tables, monkeypatch):
 
 def test_lm_probabilities_sum_to_one():
     p, group, r = lm_score.start(), np.arange(lm_score.IDS) % lm_score.CLASSES, np.random.default_rng(1)
-    s = lm_score.Scorer(p, group, lm_score.word_final(), r.poisson(0.1, (lm_score.STATES, lm_score.IDS)))
+    s = lm_score.Scorer(p, group, r.poisson(0.1, (lm_score.STATES, lm_score.IDS)))
     for row in s.within[:5]:
         assert np.bincount(group, np.exp(row), lm_score.CLASSES) == pytest.approx(np.ones(lm_score.CLASSES), rel=1e-4)
     texts = [np.arange(5, 70), np.array([], np.int64), np.arange(33)]
@@ -315,44 +315,63 @@ def test_lm_probabilities_sum_to_one():
 
 
 def _lm_ids(texts):
-    import public_tokenizers
+    encoder = lm_score.Encoder()
+    return [encoder.encode(x) for x in texts]
+
+
+def _with_ids(spark, texts):
+    rows = [(i, bytearray(x.tobytes())) for i, x in enumerate(_lm_ids(texts))]
+    return spark.createDataFrame(rows, "doc_id long, ids binary")
 
-    return lm_score.WordIds(public_tokenizers.path(lm_score.TOKENIZER)).encode(texts)
 
+def test_lm_ids_are_lossless_and_written(spark, tables):
+    import base64
 
-def _gathered(spark, docs, frequent, share):
-    common = spark.sparkContext.broadcast(([], np.zeros(0)))
-    return lm_score.gather(docs.select("doc_id", "text").withColumn("held_out", F.lit(False)), common, frequent, share)
+    import public_tokenizers
+
+    docs = tables["documents"].limit(40).withColumn("held_out", F.col("doc_id") % 2 == 0)
+    out = lm_score.encoded(docs, spark.sparkContext.broadcast(([], np.zeros(0)))).collect()
+    with open(public_tokenizers.path(lm_score.TOKENIZER), "rb") as f:
+        piece = {int(b): base64.b64decode(a) for a, b in map(bytes.split, f)}
+    got = sorted(b"".join(piece[i] for i in np.frombuffer(r.ids, np.uint16).tolist()).decode() for r in out if r.row is not None)
+    rows = docs.collect()
+    lower = lambda x: (x or "").encode().lower().decode()
+    assert got == sorted(lower(r.text) for r in rows)
+    want = Counter(i for r in rows if not r.held_out for i in [*_lm_ids([r.text or ""])[0].tolist(), lm_score.END_ID])
+    seen = Counter()
+    for r in out:
+        if r.key is not None:
+            seen[r.key] += r.n
+    assert seen == want
 
 
 def test_lm_learns_from_whole_texts(spark):
     """Words that occur only late in long texts get classes of their own, and windows come from there."""
     late = [f"common words here {'of all sorts ' * 1500}" + "zebra quartz zebra quartz " * 20 for _ in range(3)]
-    docs = spark.createDataFrame([(i, t) for i, t in enumerate(late)], "doc_id long, text string")
-    common = spark.sparkContext.broadcast(([], np.zeros(0)))
-    model, _ = lm_score.fit(docs.withColumn("held_out", F.lit(False)), lm_score.word_counts(docs), common)
-    ids = _lm_ids(["zebra quartz"])[0].astype(int)
+    documents, whole = _with_ids(spark, late), _lm_ids(late)
+    n = np.bincount(np.concatenate([*whole, [lm_score.END_ID] * 3]).astype(int), minlength=lm_score.IDS)
+    model = lm_score.fit(documents, n)
+    ids = _lm_ids([" zebra quartz"])[0].astype(int)
     assert (model.group[ids] > 0).all()
-    found = _gathered(spark, docs, np.arange(lm_score.FREQUENT), 1.0).filter("window is not null").collect()
+    found = lm_score.gather(documents, np.arange(lm_score.FREQUENT), 1.0).filter("window is not null").collect()
     sizes = [len(np.frombuffer(r.window, np.int32)) - 1 for r in found]
-    whole = _lm_ids(late)
     assert sum(sizes) == sum(len(x) + 1 for x in whole)
 
 
-def test_lm_windows_and_neighbours_brute_force(spark, tables):
-    docs = tables["documents"].limit(40).withColumn("doc_id", F.col("doc_id").cast("long"))
-    texts = [r.text or "" for r in docs.select("text").collect()]
-    frequent = np.arange(300, 300 + lm_score.FREQUENT)
-    found = _gathered(spark, docs, frequent, 0.0)
-    got, want = lm_score.neighbours(found), np.zeros((lm_score.IDS, lm_score.SIDES))
+def test_lm_counts_brute_force(spark, tables):
+    texts = [r.text or "" for r in tables["documents"].limit(40).collect()]
+    documents, frequent = _with_ids(spark, texts), np.arange(300, 300 + lm_score.FREQUENT)
+    group = np.random.default_rng(0).integers(0, lm_score.CLASSES, lm_score.IDS)
+    got, want = lm_score.neighbours(lm_score.gather(documents, frequent, 0.0)), np.zeros((lm_score.IDS, lm_score.SIDES))
+    states, after = lm_score.id_counts(documents, group), np.zeros((lm_score.STATES, lm_score.IDS))
     column = {int(x): i for i, x in enumerate(frequent)}
     for ids in _lm_ids(texts):
         s = [lm_score.END_ID, *ids.tolist(), lm_score.END_ID]
         for x, y in zip(s, s[1:]):
             want[y, column.get(x, lm_score.FREQUENT)] += 1
             want[x, lm_score.FREQUENT + 1 + column.get(y, lm_score.FREQUENT)] += 1
-    assert (got == want).all()
-    assert sorted(bytes(r.ids) for r in found.filter("row is not null").collect()) == sorted(x.astype(np.uint16).tobytes() for x in _lm_ids(texts))
+            after[group[x] // 2, y] += 1
+    assert (got == want).all() and (states == after).all()
 
 
 def plain_score(m, ids):
@@ -368,8 +387,7 @@ def plain_score(m, ids):
         z = sum(w * (p["E"][s[j]] @ p["V"]) for w, j in zip(a, range(first, i + 1)))
         h = np.tanh(e @ p["R"] + z @ p["O"] + p["b"])
         top, low = divmod(int(m.group[s[i + 1]]), lm_score.TOP)
-        state = 0 if m.final[s[i]] else 1 + int(m.group[s[i]]) // 2
-        out += logit(h, p["C"], p["c"], top) + logit(h, p["D"][top], p["e"][top], low) + m.within[state, s[i + 1]]
+        out += logit(h, p["C"], p["c"], top) + logit(h, p["D"][top], p["e"][top], low) + m.within[int(m.group[s[i]]) // 2, s[i + 1]]
     return out / np.log(10)
 
 
@@ -377,7 +395,7 @@ def test_lm_score_against_loops():
     r = np.random.default_rng(4)
     p = lm_score.start()
     p["d"] = r.normal(0, 0.5, p["d"].shape).astype(np.float32)
-    m = lm_score.Scorer(p, r.integers(0, lm_score.CLASSES, lm_score.IDS), lm_score.word_final(), r.poisson(0.1, (lm_score.STATES, lm_score.IDS)))
+    m = lm_score.Scorer(p, r.integers(0, lm_score.CLASSES, lm_score.IDS), r.poisson(0.1, (lm_score.STATES, lm_score.IDS)))
     texts = [r.integers(0, 49000, n) for n in (0, 1, 15, 16, 17, 33, 120)]
     assert m.score(texts) == pytest.approx(np.array([plain_score(m, t.tolist()) for t in texts]), rel=1e-4)
 
