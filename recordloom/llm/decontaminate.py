@@ -9,11 +9,13 @@ table's value with an item of its size is a candidate, and a semi-global alignme
 
 Only windows that can match are embedded: of an item cut into k + 1 parts, k edits leave a part
 whole, so every true match holds a run of floor(m / (k + 1)) of the item's words, and windows are
-laid where such a run lines up. With the defaults the tables keep 99 % of the stretches at the
-largest allowed distance (measured in the tests); exact copies always share every value.
+laid where such a run lines up. The tables then lose some: with the defaults they keep 99 % of the
+stretches at the largest allowed distance (the tests measure it by number of tables); exact copies
+share every value.
 
 The benchmark is read in blocks of about ``BLOCK_CHARS`` characters, one pass over the documents
-each, so that what a task holds does not grow with it.
+each, so that what a task holds does not grow with it. Windows and items are embedded by classes of
+length, at most ``CELLS`` words together, so that a long item burdens no short one.
 
 Defined results: null or empty texts and items without words match nothing; an item id may be null;
 items that repeat are reported each; repeated documents each give their rows; an empty table gives
@@ -28,7 +30,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .near_dup import STEP, mix
@@ -37,7 +39,7 @@ from .scratch import cut
 MAX_EDITS = 0.2
 WALKS, SAMPLES, BITS = 8, 8, 2
 BLOCK_CHARS = 4_000_000
-WINDOWS = 8192  # windows that are embedded together
+CELLS = 1 << 20  # words that are held and embedded together
 WORD = re.compile(r"\w+")
 
 
@@ -104,12 +106,10 @@ class Finder:
                     seeds[q, h].append((number, place))
         self.seeds = {q: {h: v for (own, h), v in seeds.items() if own == q} for q in {q for q, _ in seeds}}
         self.hashes = {q: np.array(sorted(v), np.uint64) for q, v in self.seeds.items()}
-        self.width = max(map(len, self.items), default=0)
         sizes = np.array([len(i) for i in self.items], np.int64)
         self.tables = defaultdict(list)
-        keys = table_keys(self._rows(self.items), sizes) if len(self.items) else np.zeros((0, 1), np.uint64)
-        for number, row in enumerate(keys.tolist()):
-            if sizes[number]:
+        for rows, keys in keys_by_length(self.items, sizes):
+            for number, row in zip(rows.tolist(), keys.tolist()):
                 for key in row:
                     self.tables[key].append(number)
         self.known = np.array(sorted(self.tables), np.uint64)
@@ -122,12 +122,6 @@ class Finder:
             out = mix(out * STEP + ids[i : i + n].astype(np.uint64))
         return out
 
-    def _rows(self, parts: list[np.ndarray]) -> np.ndarray:
-        out = np.full((len(parts), max(self.width, 1)), -1, np.int64)
-        for row, part in zip(out, parts):
-            row[: len(part)] = part
-        return out
-
     def windows(self, text: str) -> Iterator[tuple[int, int, np.ndarray]]:
         """start, size and the surroundings of every item-sized window that lines up with a run."""
         get = self.vocabulary.get
@@ -156,46 +150,65 @@ class Finder:
     def find(self, texts: list[str]) -> list[list[tuple[int, int, int]]]:
         """(item, edits, start) of the best stretch of each item that each text holds."""
         best: list[dict[int, tuple[int, int]]] = [{} for _ in texts]
-        held = []
+        held, cells = [], 0
         for row, text in enumerate(texts):
             for window in self.windows(text):
                 held.append((row, *window))
-                if len(held) >= WINDOWS:
+                cells += len(window[2])
+                if cells >= CELLS:
                     self._decide(held, best)
-                    held = []
+                    held, cells = [], 0
         self._decide(held, best)
         return [[(item, *b[item]) for item in sorted(b)] for b in best]
 
     def _decide(self, held: list, best: list[dict[int, tuple[int, int]]]) -> None:
-        if not held:
-            return
-        symbols = np.full((len(held), self.width), 0, np.int64)
-        for row, (_, _, size, _, inside, lead) in zip(symbols, held):
-            row[lead : lead + len(inside)] = inside
-            row[size:] = -1
-        keys = table_keys(symbols, np.array([h[2] for h in held], np.int64))
-        near = np.minimum(np.searchsorted(self.known, keys), len(self.known) - 1)
+        parts = []
+        for _, _, size, _, inside, lead in held:  # what lies beyond the text's ends matches nothing
+            own = np.zeros(size, np.int64)
+            own[lead : lead + len(inside)] = inside
+            parts.append(own)
         tried: dict[tuple[int, bytes], int] = {}
-        for at, column in zip(*np.nonzero(self.known[near] == keys)):
-            row, start, size, around, _, _ = held[at]
-            for item in self.tables[int(keys[at, column])]:
-                if len(self.items[item]) != size:
-                    continue
-                one = (item, around.tobytes())
-                if one not in tried:
-                    tried[one] = distance(self.items[item], around)
-                if tried[one] <= self.edits[item]:
-                    best[row][item] = min(best[row].get(item, (size + 1, 0)), (tried[one], max(start, 0)))
-
-
-def finder(items: list[str], max_edits: float = MAX_EDITS) -> Callable[[Column], Column]:
-    """A column function: array of [item index, edits, first word] for every item that a text holds."""
-
-    @F.pandas_udf("array<array<long>>")
+        for rows, keys in keys_by_length(parts, np.array([h[2] for h in held], np.int64)):
+            near = np.minimum(np.searchsorted(self.known, keys), len(self.known) - 1)
+            for at, column in zip(*np.nonzero(self.known[near] == keys)):
+                row, start, size, around, _, _ = held[rows[at]]
+                for item in self.tables[int(keys[at, column])]:
+                    if len(self.items[item]) != size:
+                        continue
+                    one = (item, around.tobytes())
+                    if one not in tried:
+                        tried[one] = distance(self.items[item], around)
+                    if tried[one] <= self.edits[item]:
+                        best[row][item] = min(best[row].get(item, (size + 1, 0)), (tried[one], max(start, 0)))
+
+
+def keys_by_length(parts: list[np.ndarray], sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """table_keys of the parts that have words, as (their rows, keys), by classes of length in turn."""
+    width = 1 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64)
+    for w in np.unique(width[sizes > 0]).tolist():
+        own = np.flatnonzero((width == w) & (sizes > 0))
+        step = max(1, CELLS // w)
+        for i in range(0, len(own), step):
+            rows = own[i : i + step]
+            symbols = np.full((len(rows), int(sizes[rows].max())), -1, np.int64)
+            for place, row in zip(symbols, rows.tolist()):
+                place[: sizes[row]] = parts[row]
+            yield rows, table_keys(symbols, sizes[rows])
+
+
+FOUND = "array<struct<item_id:long,edits:long,item_words:long,first_word:long>>"
+
+
+def finder(spark: SparkSession, items: list[tuple[int | None, str]], max_edits: float = MAX_EDITS) -> Callable[[Column | str], Column]:
+    """A column function: the items (item_id, text) that a text holds, as FOUND."""
+    sent = spark.sparkContext.broadcast((Finder([t for _, t in items], max_edits), [i for i, _ in items]))  # of one block's size
+
+    @F.pandas_udf(FOUND)
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = Finder(items, max_edits)
+        own, ids = sent.value
         for texts in batches:
-            yield pd.Series([[list(m) for m in found] for found in own.find(texts.fillna("").tolist())], dtype=object)
+            found = own.find(texts.fillna("").tolist())
+            yield pd.Series([[{"item_id": ids[i], "edits": e, "item_words": len(own.items[i]), "first_word": at} for i, e, at in f] for f in found], dtype=object)
 
     return find
 
@@ -214,22 +227,17 @@ def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[lis
 
 def matches(docs: DataFrame, benchmark: DataFrame, max_edits: float = MAX_EDITS) -> DataFrame:
     """doc_id, item_id, edits, item_words, first_word: a row for each item that a document holds."""
-    out = None
+    out = docs.sparkSession.createDataFrame([], "doc_id long, item_id long, edits long, item_words long, first_word long")
     for items in blocks(benchmark):
-        ids, sizes = F.array(*[F.lit(i).cast("long") for i, _ in items]), F.array(*[F.lit(len(words_of(t))) for _, t in items])
-        found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(finder([t for _, t in items], max_edits)("text")).alias("m"))
-        item = F.col("m")[0].cast("int")
-        part = found.select("doc_id", F.get(ids, item).alias("item_id"), F.col("m")[1].alias("edits"), F.get(sizes, item).cast("long").alias("item_words"), F.col("m")[2].alias("first_word"))
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        out = docs.sparkSession.createDataFrame([], "doc_id long, item_id long, edits long, item_words long, first_word long")
+        find = finder(docs.sparkSession, items, max_edits)
+        out = out.unionByName(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.inline(find("text"))))
     return out
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, max_edits: float = MAX_EDITS) -> DataFrame:
     """docs without those that hold an item; a document whose text is null stays."""
     for items in blocks(benchmark):
-        docs = docs.filter(F.size(finder([t for _, t in items], max_edits)("text")) == 0)
+        docs = docs.filter(F.size(finder(docs.sparkSession, items, max_edits)("text")) == 0)
     return docs
 
 

@@ -202,6 +202,35 @@ def test_decontamination_brute_force(spark, tables):
     assert missed <= 0.02 * len(items)
 
 
+def test_decontamination_recall_by_tables(tables):
+    """The share of windows at the largest distance that meet their item grows with the tables."""
+    r, items = random.Random(8), [decontaminate.words_of(x.text) for x in tables["benchmark"].orderBy("item_id").collect()]
+    number = {w: i + 1 for i, w in enumerate(sorted({w for i in items for w in i}))}
+    code = lambda words: np.array([number.get(w, 0) for w in words], np.int64)
+    met = {1: 0, 8: 0, 64: 0}
+    trials = [(w, edited(r, w, int(0.2 * len(w)), list(number))) for w in items for _ in range(3)]
+    for words, other in trials:
+        a, b = code(words), np.zeros(len(words), np.int64)
+        b[: len(other)] = code(other)[: len(words)]
+        (_, x), (_, y) = (next(decontaminate.keys_by_length([p], np.array([len(words)]))) for p in (a, b))
+        for n in met:
+            met[n] += bool((x[0, :n] == y[0, :n]).any())
+    shares = [met[n] / len(trials) for n in (1, 8, 64)]
+    assert shares == sorted(shares) and shares[2] >= 0.95
+
+
+def test_decontamination_long_items(spark):
+    """An item of 50,000 words beside short ones, once whole and once with edits."""
+    r = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    long = r.choices(vocabulary, k=50_000)
+    items = spark.createDataFrame([(1, " ".join(long)), (2, "a short item of eight plain words here"), (None, "another item that has no id at all"), (4, ""), (5, None)], "item_id long, text string")
+    docs = docs_of(spark, ["x " + " ".join(long) + " y", " ".join(edited(r, long, 50, vocabulary)), "so a short item of eight plain words here", "another item that has no id at all", " ".join(long[:9000])])
+    got = {(x.doc_id, x.item_id): (x.edits, x.item_words, x.first_word) for x in decontaminate.matches(docs, items).collect()}
+    assert set(got) == {(0, 1), (1, 1), (2, 2), (3, None)}
+    assert got[0, 1] == (0, 50_000, 1) and got[1, 1][0] <= 50 and got[2, 2] == (0, 8, 1)
+
+
 def test_decontamination_blocks_and_clean(spark, tables, monkeypatch):
     whole = rows_of(decontaminate.matches(tables["documents"], tables["benchmark"]))
     item = tables["benchmark"].first().text
