@@ -3,9 +3,12 @@
 ``encode`` turns a byte payload into a FLAC stream: mono, 8 bits a sample, fixed block size 192,
 fixed linear predictors of order 0 to 4 with Rice-coded residuals (or verbatim samples where that
 is shorter), CRC-8 over each frame header, CRC-16 over each frame, MD5 of the samples, and a seek
-table with a point for every ``SEEK``-th frame. ``decode`` starts at all seek points at once,
-verifies marks and checksums of every frame and the MD5, and gives the samples back. Both work on
-all frames of a slice of documents together, in numpy.
+table with a point for every ``SEEK``-th frame. ``decode`` starts at many seek points at once,
+verifies marks and checksums of every frame and the MD5, and gives the samples back. Both work in
+numpy on ``BATCH`` frames of a slice of documents together, so that a long document takes no more
+memory than many short ones. Frames of other encoders (constant or LPC subframes, partitioned Rice
+codes, escaped partitions, wasted bits, streams without seek points) are read one by one by
+``read_frame``, which also serves to check the fast path.
 
 Defined results: a null text counts as empty and is stored as 192 blanks; equal texts give equal
 bytes; repeated rows and null ids each give their row; an empty table gives no rows.
@@ -29,6 +32,7 @@ from .words import ragged, slices
 BLOCK = 192
 RATE = 8000
 SEEK = 8
+BATCH = 8192  # frames that are coded together
 TOP_RICE = 14
 HEAD = b"fLaC"
 PITCH = 16 + 2 + BLOCK + 8  # no frame is longer: at worst a frame is verbatim
@@ -152,11 +156,15 @@ def _frames(samples: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.nda
 def encode(payloads: list[bytes]) -> list[bytes]:
     """FLAC files of payloads, whose lengths are positive multiples of BLOCK."""
     sizes = np.array([len(p) // BLOCK for p in payloads], np.int64)
-    samples = (np.frombuffer(b"".join(payloads), np.uint8).reshape(-1, BLOCK).astype(np.int16) - 128)
+    samples = np.frombuffer(b"".join(payloads), np.uint8).reshape(-1, BLOCK)
     begins = np.cumsum(sizes) - sizes
     number = np.arange(len(samples)) - np.repeat(begins, sizes)
-    rows, lengths = _frames(samples, number)
-    flat = rows[np.arange(PITCH)[None, :] < lengths[:, None]].tobytes()
+    parts, each = [], []
+    for i in range(0, len(samples), BATCH):
+        rows, own = _frames(samples[i : i + BATCH].astype(np.int16) - 128, number[i : i + BATCH])
+        parts.append(rows[np.arange(PITCH)[None, :] < own[:, None]].tobytes())
+        each.append(own)
+    flat, lengths = b"".join(parts), np.concatenate(each)
     ends = np.cumsum(lengths)
     out = []
     for payload, a, n in zip(payloads, begins.tolist(), sizes.tolist()):
@@ -186,18 +194,117 @@ def _layout(media: bytes) -> tuple[int, int, bytes, np.ndarray]:
     return samples, at, md5, points
 
 
-def decode(media: list[bytes]) -> list[bytes]:
-    """Payloads of FLAC files that ``encode`` wrote; raises ValueError at any wrong checksum."""
-    laid = [_layout(m) for m in media]
-    data = np.frombuffer(b"".join(media) + bytes(PITCH + 8), np.uint8)
-    base = np.cumsum([0] + [len(m) for m in media])[:-1]
-    frames = np.array([x[0] // BLOCK for x in laid], np.int64)
-    points = [len(x[3]) for x in laid]
-    pos = np.concatenate([b + x[1] + x[3] for b, x in zip(base, laid)])
-    index = np.concatenate([np.arange(p, dtype=np.int64) * SEEK for p in points])
-    owner = np.repeat(np.arange(len(media)), points)
+class Bits:
+    """A reader of bits from bytes."""
+
+    def __init__(self, data: bytes, at: int = 0):
+        self.data, self.at = data, 8 * at
+
+    def take(self, n: int) -> int:
+        first, last = self.at >> 3, (self.at + n + 7) >> 3
+        if last > len(self.data):
+            raise ValueError("a frame ends early")
+        value = int.from_bytes(self.data[first:last], "big") >> (8 * last - self.at - n)
+        self.at += n
+        return value & ((1 << n) - 1)
+
+    def signed(self, n: int) -> int:
+        value = self.take(n)
+        return value - (1 << n) if n and value >> (n - 1) else value
+
+    def zeros(self) -> int:
+        n = 0
+        while not self.take(1):
+            n += 1
+        return n
+
+
+def _residuals(bits: Bits, size: int, order: int) -> list[int]:
+    """Partitioned Rice codes; the first partition lacks the warm-up samples."""
+    method, parts, out = bits.take(2), bits.take(4), []
+    if method > 1:
+        raise ValueError("unknown residual coding")
+    for part in range(1 << parts):
+        n, k = (size >> parts) - (order if part == 0 else 0), bits.take(4 + method)
+        if k == (1 << (4 + method)) - 1:
+            raw = bits.take(5)
+            out += [bits.signed(raw) for _ in range(n)]
+            continue
+        for _ in range(n):
+            value = bits.zeros() << k
+            value |= bits.take(k)
+            out.append(value >> 1 ^ -(value & 1))
+    return out
+
+
+def _predicted(warm: list[int], residuals: list[int], coefficients: list[int], shift: int) -> list[int]:
+    out = list(warm)
+    for r in residuals:
+        out.append(r + (sum(c * x for c, x in zip(coefficients, reversed(out))) >> shift))
+    return out
+
+
+# Fixed values of the format.
+FIXED = [[], [1], [2, -1], [3, -3, 1], [4, -6, 4, -1]]
+BLOCK_SIZES = {1: 192} | {n: 576 << (n - 2) for n in range(2, 6)} | {n: 256 << (n - 8) for n in range(8, 16)}
+DEPTHS = {1: 8, 2: 12, 4: 16, 5: 20, 6: 24}
+
+
+def read_frame(data: bytes, at: int, depth: int = 8) -> tuple[list[int], int]:
+    """Samples of the mono frame at a byte, and the byte behind it; depth: the stream's bits a sample."""
+    bits = Bits(data, at)
+    if bits.take(14) != 0x3FFE:
+        raise ValueError("no frame starts here")
+    bits.take(2)
+    size, rate, channels, own_depth = bits.take(4), bits.take(4), bits.take(4), bits.take(3)
+    bits.take(1)
+    if channels:
+        raise ValueError("more than one channel")
+    ones = 8 - (0xFF ^ bits.take(8)).bit_length()
+    bits.take(8 * max(ones - 1, 0))  # the rest of the frame's number
+    size = bits.take(8 * (size - 5)) + 1 if size in (6, 7) else BLOCK_SIZES[size]
+    bits.take({12: 8, 13: 16, 14: 16}.get(rate, 0))
+    head = np.frombuffer(data[at : bits.at >> 3], np.uint8)[None, :]
+    if bits.take(8) != _crc(head, np.array([head.shape[1]]), CRC8, 8)[0]:
+        raise ValueError("a frame header fails its CRC-8")
+    depth = DEPTHS.get(own_depth, depth)
+    bits.take(1)
+    kind, wasted = bits.take(6), 0
+    if bits.take(1):
+        wasted = bits.zeros() + 1
+        depth -= wasted
+    if kind == 0:
+        out = [bits.signed(depth)] * size
+    elif kind == 1:
+        out = [bits.signed(depth) for _ in range(size)]
+    elif 8 <= kind <= 12:
+        warm = [bits.signed(depth) for _ in range(kind - 8)]
+        out = _predicted(warm, _residuals(bits, size, kind - 8), FIXED[kind - 8], 0)
+    elif kind >= 32:
+        warm = [bits.signed(depth) for _ in range(kind - 31)]
+        precision, shift = bits.take(4) + 1, bits.signed(5)
+        coefficients = [bits.signed(precision) for _ in range(kind - 31)]
+        out = _predicted(warm, _residuals(bits, size, kind - 31), coefficients, shift)
+    else:
+        raise ValueError("unknown subframe")
+    bits.at = -(-bits.at // 8) * 8
+    body = np.frombuffer(data[at : bits.at >> 3], np.uint8)[None, :]
+    if bits.take(16) != _crc(body, np.array([body.shape[1]]), CRC16, 16)[0]:
+        raise ValueError("a frame fails its CRC-16")
+    return [x << wasted for x in out], bits.at >> 3
+
+
+def _runs(parts: list[tuple[bytes, np.ndarray, int, int]]) -> np.ndarray:
+    """Samples [frame, BLOCK] of parts (bytes, offsets of every SEEK-th frame, first frame, frames)."""
+    data = np.frombuffer(b"".join(p[0] for p in parts) + bytes(PITCH + 8), np.uint8)
+    base = np.cumsum([0] + [len(p[0]) for p in parts])[:-1]
+    firsts, frames = np.array([p[2] for p in parts], np.int64), np.array([p[3] for p in parts], np.int64)
+    points = [len(p[1]) for p in parts]
+    pos = np.concatenate([b + p[1] for b, p in zip(base, parts)])
+    owner = np.repeat(np.arange(len(parts)), points)
+    index = np.concatenate([np.arange(p, dtype=np.int64) * SEEK for p in points])  # from the part's first frame
     place = (np.cumsum(frames) - frames)[owner]
-    samples = np.zeros((int(frames.sum()), BLOCK), np.int32)
+    samples = np.zeros((int(frames.sum()), BLOCK), np.int16)
     words = data[:-3].astype(np.int64) << 24 | data[1:-2].astype(np.int64) << 16 | data[2:-1].astype(np.int64) << 8 | data[3:]
     bits = np.unpackbits(data)
     ones = np.where(bits, np.arange(len(bits), dtype=np.int32), np.int32(len(bits) - 1))
@@ -208,33 +315,39 @@ def decode(media: list[bytes]) -> list[bytes]:
         if not len(live):
             break
         p, number = pos[live], index[live]
-        code, size = _number_bytes(number)
+        code, size = _number_bytes(firsts[owner[live]] + number)
         head = 4 + size
         rows = data[p[:, None] + column]
         expected = np.zeros_like(rows[:, :10])
         expected[:, :4] = (0xFF, 0xF8, 0x10, 0x02)
         expected[:, 4:] = code
-        if (np.where(np.arange(10) < head[:, None], rows[:, :10] != expected, False)).any():
-            raise ValueError("a frame header is wrong")
         at = np.arange(len(live))
-        if (_crc(rows, head, CRC8, 8) != rows[at, head]).any():
-            raise ValueError("a frame header fails its CRC-8")
         kind = rows[at, head + 1] >> 1
         order = np.where(kind == 1, 0, kind.astype(np.int64) - 8)
-        if ((order < 0) | (order > 4)).any():
-            raise ValueError("unknown subframe")
         body = head + 2
+        bit = 8 * (p + body + order)
+        plain_code = (words[bit >> 3] >> (26 - (bit & 7)) & 63) == 0  # plain Rice codes in one partition
+        plain_code &= (words[(bit + 6) >> 3] >> (28 - ((bit + 6) & 7)) & 15) < 15
+        as_ours = ~(np.where(np.arange(10) < head[:, None], rows[:, :10] != expected, False)).any(axis=1) & (rows[at, head + 1] & 0x81 == 0) & ((kind == 1) | (order >= 0) & (order <= 4) & plain_code)
+        if as_ours.any() and (_crc(rows, head, CRC8, 8) != rows[at, head])[as_ours].any():
+            raise ValueError("a frame header fails its CRC-8")
         got = np.zeros((len(live), BLOCK), np.int32)
         used = body + BLOCK
-        plain = np.flatnonzero(kind == 1)
+        for i in np.flatnonzero(~as_ours).tolist():
+            own = owner[live[i]]
+            one, end = read_frame(parts[own][0], int(p[i] - base[own]))
+            if len(one) != BLOCK:
+                raise ValueError("a block of another size")
+            got[i], used[i] = one, end + base[own] - p[i] - 2
+        plain = np.flatnonzero(as_ours & (kind == 1))
         got[plain] = rows[plain[:, None], body[plain][:, None] + np.arange(BLOCK)].view(np.int8)
-        some = np.flatnonzero(kind != 1)
+        some = np.flatnonzero(as_ours & (kind != 1))
         if len(some):
             o = order[some]
             for i in range(4):
                 warm = np.flatnonzero(o > i)
                 got[some[warm], i] = rows[some[warm], body[some[warm]] + i].view(np.int8)
-            bit = 8 * (p[some] + body[some] + o) + 6
+            bit = bit[some] + 6
             k = words[bit >> 3] >> (28 - (bit & 7)) & 15
             bit = bit + 4
             low = (np.int64(1) << k) - 1
@@ -249,7 +362,8 @@ def decode(media: list[bytes]) -> list[bytes]:
                 else:
                     got[some, i] = value
                     bit = stop + 1 + k
-            used[some] = (bit + 7) // 8 - p[some]
+                bit = np.minimum(bit, len(bits) - 64)  # what is damaged may run on; its checksum tells
+            used[some] = np.minimum((bit + 7) // 8 - p[some], PITCH - 2)
             for n in range(1, 5):
                 own = some[o == n]
                 if len(own):
@@ -259,21 +373,60 @@ def decode(media: list[bytes]) -> list[bytes]:
                         x[:, m] = np.diff(warm, n=m, axis=1)[:, 0] if m else warm[:, 0]
                         x[:, m:] = np.cumsum(x[:, m:], axis=1)
                     got[own] = x
-        crc = _crc(rows, used, CRC16, 16)
-        if ((rows[at, used].astype(np.int64) << 8 | rows[at, used + 1]) != crc).any():
-            raise ValueError("a frame fails its CRC-16")
+        if as_ours.any():
+            crc = _crc(rows, np.where(as_ours, used, 0), CRC16, 16)
+            last = np.minimum(used, PITCH - 2)
+            if ((rows[at, last].astype(np.int64) << 8 | rows[at, last + 1]) != crc)[as_ours].any():
+                raise ValueError("a frame fails its CRC-16")
         samples[place[live] + number] = got
         pos[live] = p + used + 2
         index[live] += 1
-    flat = (samples + 128).astype(np.uint8)
-    out, start = [], 0
-    for n, (_, _, md5, _) in zip(frames.tolist(), laid):
-        payload = flat[start : start + n].tobytes()
-        if hashlib.md5((flat[start : start + n].ravel() ^ 0x80).tobytes()).digest() != md5:
+    return samples
+
+
+def _one_by_one(media: bytes, samples: int, at: int) -> bytes:
+    """Payload of a stream without seek points for every SEEK-th block of BLOCK samples."""
+    out = []
+    while len(out) < samples:
+        own, at = read_frame(media, at)
+        out += own
+    return (np.array(out[:samples], np.int64) + 128).astype(np.uint8).tobytes()
+
+
+def decode(media: list[bytes]) -> list[bytes]:
+    """Payloads of 8-bit mono FLAC files; raises ValueError at any wrong checksum."""
+    out: list[list] = [[] for _ in media]
+    batch, size = [], 0
+
+    def flush() -> None:
+        samples, start = (_runs([b[1:] for b in batch]) + 128).astype(np.uint8) if batch else None, 0
+        for own, _, _, _, n in batch:
+            out[own].append(samples[start : start + n].tobytes())
+            start += n
+        batch.clear()
+
+    laid = [_layout(m) for m in media]
+    for own, (m, (samples, at, _, points)) in enumerate(zip(media, laid)):
+        frames = samples // BLOCK
+        if samples % BLOCK or len(points) != -(-frames // SEEK):
+            out[own].append(_one_by_one(m, samples, at))
+            continue
+        for i in range(0, len(points), BATCH // SEEK):
+            some = points[i : i + BATCH // SEEK]
+            last = i + len(some) == len(points)
+            begin, end = at + int(some[0]), len(m) if last else at + int(points[i + len(some)])
+            n = frames - i * SEEK if last else len(some) * SEEK
+            if size + n > BATCH:
+                flush()
+                size = 0
+            batch.append((own, m[begin:end], some - some[0], i * SEEK, n))
+            size += n
+    flush()
+    payloads = [b"".join(parts) for parts in out]
+    for payload, (_, _, md5, _) in zip(payloads, laid):
+        if hashlib.md5((np.frombuffer(payload, np.uint8) ^ 0x80).tobytes()).digest() != md5:
             raise ValueError("the samples fail the stream's MD5")
-        out.append(payload)
-        start += n
-    return out
+    return payloads
 
 
 def payload_of(text: str) -> bytes:
@@ -314,6 +467,12 @@ def _each(media: pd.Series) -> Iterator[tuple[int, bytes]]:
         begin = end
 
 
+def blocks_of(payload: bytes, block: int = 4096) -> Iterator[tuple[int, bytes]]:
+    """(sample offset, signed PCM) of a decoded payload."""
+    for start in range(0, len(payload), block):
+        yield start, (np.frombuffer(payload, np.uint8, min(block, len(payload) - start), start) ^ 0x80).tobytes()
+
+
 def pcm_blocks(stored: DataFrame, block: int = 4096) -> DataFrame:
     """doc_id, sample_offset, pcm: decoded samples in blocks that can be looked up by offset."""
 
@@ -321,24 +480,25 @@ def pcm_blocks(stored: DataFrame, block: int = 4096) -> DataFrame:
         for batch in batches:
             ids = batch["doc_id"].astype("Int64")
             for i, payload in _each(batch["media"]):
-                signed = (np.frombuffer(payload, np.uint8) ^ 0x80).tobytes()
-                starts = range(0, len(signed), block)
-                yield pd.DataFrame({"doc_id": pd.array([ids.iloc[i]] * len(starts), "Int64"), "sample_offset": list(starts), "pcm": [signed[s : s + block] for s in starts]})
+                found = pd.DataFrame(blocks_of(payload, block), columns=["sample_offset", "pcm"])
+                found.insert(0, "doc_id", pd.array([ids.iloc[i]] * len(found), "Int64"))
+                yield found
 
     return stored.select("doc_id", "media").mapInPandas(run, "doc_id long, sample_offset long, pcm binary")
 
 
 def digest(stored: DataFrame) -> DataFrame:
-    """What is read back from the stored files, one row each."""
-    kind = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    """What is read back from the stored files by PCM blocks, one row each."""
+    kind = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_blocks long"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for i, payload in _each(batch["media"]):
-                media = bytes(batch["media"].iloc[i])
-                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature(payload)))
-            out = pd.DataFrame(rows, columns=["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+            for i, decoded in _each(batch["media"]):
+                media, blocks = bytes(batch["media"].iloc[i]), list(blocks_of(decoded))
+                payload = (np.frombuffer(b"".join(pcm for _, pcm in blocks), np.uint8) ^ 0x80).tobytes()
+                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature(payload), len(blocks)))
+            out = pd.DataFrame(rows, columns=["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_blocks"])
             out.insert(0, "doc_id", batch["doc_id"].astype("Int64").values)
             out.insert(1, "n_bytes", batch["n_bytes"].values)
             yield out

@@ -546,6 +546,94 @@ def test_flac_round_trip():
         flac.decode([bytes(bad)])
 
 
+def test_flac_frames_one_by_one(monkeypatch):
+    """The plain reader agrees with the fast one on every frame, in any batching."""
+    r = random.Random(5)
+    payloads = [flac.payload_of(LONG[:40_000]), bytes(r.randrange(256) for _ in range(192 * 9)), flac.payload_of("é1\n" * 3000)]
+    media = flac.encode(payloads)
+    for m, payload in zip(media, payloads):
+        samples, at, _, _ = flac._layout(m)
+        assert flac._one_by_one(m, samples, at) == payload
+    monkeypatch.setattr(flac, "BATCH", 16)
+    assert flac.encode(payloads) == media and flac.decode(media) == payloads
+
+
+class Writer:
+    def __init__(self):
+        self.text = ""
+
+    def put(self, value, n):
+        self.text += format(value & ((1 << n) - 1), f"0{n}b") if n else ""
+        return self
+
+    def bytes(self):
+        padded = self.text + "0" * (-len(self.text) % 8)
+        return int(padded, 2).to_bytes(len(padded) // 8, "big")
+
+
+def foreign_frame(number, kind, body):
+    """A frame of 192 samples as another encoder may write it: body fills in what follows the subframe type."""
+    crc = lambda data, table, n: int(flac._crc(np.frombuffer(data, np.uint8)[None, :], np.array([len(data)]), table, n)[0])
+    head = bytes((0xFF, 0xF8, 0x10, 0x02, number))
+    w = Writer().put(kind << 1, 8)
+    body(w)
+    out = head + bytes([crc(head, flac.CRC8, 8)]) + w.bytes()
+    return out + crc(out, flac.CRC16, 16).to_bytes(2, "big")
+
+
+def rice(w, values, k):
+    for v in values:
+        u = v << 1 if v >= 0 else (-v << 1) - 1
+        w.text += "0" * (u >> k) + "1"
+        w.put(u, k)
+
+
+def test_flac_foreign_frames():
+    """Constant, LPC and partitioned frames, with and without seek points."""
+    x = [round(60 * math.sin(i / 7)) for i in range(192)]
+    coefficients, shift = [29, -15], 4  # 1.81, -0.94
+    lpc = [x[i] - (sum(c * x[i - 1 - j] for j, c in enumerate(coefficients)) >> shift) for i in range(2, 192)]
+    first = [x[i] - x[i - 1] for i in range(1, 192)]
+
+    def constant(w):
+        w.put(-7, 8)
+
+    def linear(w):
+        for v in x[:2]:
+            w.put(v, 8)
+        w.put(5, 4).put(shift, 5)
+        for c in coefficients:
+            w.put(c, 6)
+        w.put(0, 2).put(1, 4).put(3, 4)
+        rice(w, lpc[:94], 3)
+        w.put(4, 4)
+        rice(w, lpc[94:], 4)
+
+    def escaped(w):
+        w.put(x[0], 8).put(0, 2).put(2, 4)
+        for part in range(4):
+            own = first[max(48 * part - 1, 0) : 48 * part + 47]
+            if part == 1:
+                w.put(15, 4).put(8, 5)
+                for v in own:
+                    w.put(v, 8)
+            else:
+                w.put(part, 4)
+                rice(w, own, part)
+
+    frames = [foreign_frame(0, 0, constant), foreign_frame(1, 33, linear), foreign_frame(2, 9, escaped)]
+    payload = bytes(v + 128 for v in [-7] * 192 + x + x)
+    own = flac.encode([payload])[0]
+    info = own[:4] + b"\x80" + own[5:8] + own[8:42]  # the stream's info as the last block: no seek points
+    assert flac.decode([info + b"".join(frames)]) == [payload]
+    at = flac._layout(own)[1]
+    assert flac.decode([own[:at] + b"".join(frames), own]) == [payload, payload]  # with the seek point of frame 0
+    bad = bytearray(info + b"".join(frames))
+    bad[-30] ^= 1
+    with pytest.raises(ValueError):
+        flac.decode([bytes(bad)])
+
+
 def test_flac_digest(spark, odd):
     rows = flac.query(odd).collect()
     assert len(rows) == odd.count()
