@@ -4,13 +4,20 @@ A page is a sequence of tokens: tags, each with the path of open elements around
 blocks. A token's occurrence vector has its count on every page of the host. Tokens with equal
 vectors form an equivalence class; a class is valid if it has at least ``MIN_SIZE`` tokens, occurs
 on at least ``MIN_SHARE`` of the host's distinct pages (``MIN_PAGES`` at least), and its tokens keep
-one order on all of them. The valid classes, nested by the elements around them, are the template:
-their tags frame the slots, and their text blocks (menus, notices, the same on page after page) are
-no content, except that in ``article`` or ``main`` only those go that are mostly links: near copies of an
-article share its paragraphs. What the template leaves are the slots' blocks. A page's text is the slots of its main
-element: ``article`` or ``main`` where there is one, else the element with several blocks that holds
-most slot text outside links, and from there up while what a parent adds is not mostly links; in it, containers that are never article text (navigation, header and footer, aside,
-forms, adverts, comments and the like, by tag, role, class or id) are left out.
+one order on all of them. The valid classes, nested by the elements around them, are the template.
+Its text blocks (menus, notices, the same on page after page) are no content, except that in
+``article`` or ``main`` only those go that are mostly links: near copies of an article share its
+paragraphs. The gaps between its tags are the slots, and what they hold on a page is its content.
+
+The host's main slot is the innermost element path that holds ``MAIN_SHARE`` of the slots' text
+outside links over all pages of the host. A page's text is what the element of that path holds (of
+several, those with at least a quarter of the largest one's text), widened to the ``article`` or
+``main`` around it or, without these, to parents whose heading comes before it. A host without a
+template, or a page without its main slot, falls back on the page alone: ``article`` or ``main``,
+else the element with several blocks that holds most text outside links, and from there up while
+what a parent adds is not mostly links. Containers that are never article text (navigation, page
+header and footer, aside, forms, adverts, comments and the like, by tag, role, class or id) are left
+out everywhere.
 
 Vectors are compared by a sum of hashes of (page, count), so that a host of any size needs one
 partial aggregation; orders by the least and greatest order hash. Tokens travel as hashes, in one
@@ -39,6 +46,7 @@ from pyspark.sql import functions as F
 from .scratch import cut
 
 MIN_PAGES, MIN_SHARE, MIN_SIZE = 3, 0.6, 2
+MAIN_SHARE = 0.6
 BROADCAST_ROWS = 200_000  # a template has at most some dozens of 8-byte hashes
 
 # Fixed values of HTML: elements by their role in layout.
@@ -49,10 +57,11 @@ FRAME = set("nav header footer aside form menu dialog".split())
 MAIN = set("article main".split())
 CLOSES = {"p": set("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()), "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 SCOPE = {"p": set("table td th li div article section main body button object caption".split()), "li": {"ul", "ol", "menu"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}}
-SIDE_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|comment-?list|consent|cookies?|copyright|disqus|footer|gdpr|header|masthead|menu|modal|nav\w*|newsletter|notices?|pager|pagination|popup|promo\w*|related|replies|reply|share|sharing|sidebar|side-?bar|skip-?link|social|sponsor\w*|subscribe|tags?|toolbar|topbar|widget\w*)(?:$|[\s_-])",
-    re.I,
-)
+HEADINGS = {f"h{i}" for i in range(1, 7)}
+SIDE = r"(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|copyright|disqus|footer|gdpr|header|masthead|menu|modal|nav\w*|newsletter|notices?|pager|pagination|popup|promo\w*|related|replies|reply|share|sharing|side-?bar|skip-?link|social|sponsor\w*|subscribe|toolbar|topbar|widget\w*)"
+PLAIN = r"(?:area|articles?|bar|block|bottom|box|buttons?|column|container|form|global|group|inner|items?|left|links?|list|main|outer|page|panel|posts?|primary|right|row|secondary|section|site|slot|thread|top|unit|wrap(?:per)?|\d+)"
+# a class or id of such words alone: "related-posts", but not "related-work"
+SIDE_WORDS = re.compile(rf"(?:^|\s)(?:{PLAIN}[_-])*{SIDE}(?:[_-](?:{PLAIN}|{SIDE}))*(?:$|\s)", re.I)
 SIDE_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 
 TOKEN = re.compile(
@@ -66,7 +75,10 @@ BLANK = re.compile(r"\s+")
 
 
 class Block:
-    """A text block: its text and token, the elements around it, how much of it is in links."""
+    """A text block: its text and token, the elements around it, how much of it is in links.
+
+    An element is (name, label, side, main, serial, hash of its label path).
+    """
 
     __slots__ = ("text", "token", "path", "linked")
 
@@ -90,7 +102,7 @@ def _element(name: str, attributes: str) -> tuple[str, bool, bool]:
 
 def parse(page: str) -> tuple[list[str], list[Block]]:
     """Tokens in page order, ``path<label`` for a tag and ``path"text`` for a text block; blocks."""
-    tokens, blocks, stack = [], [], []  # stack: (name, label, side, main, serial)
+    tokens, blocks, stack = [], [], []  # stack: elements as Block has them
     text, linked, links, serial = [], 0, 0, 0
 
     def flush() -> None:
@@ -143,6 +155,8 @@ def parse(page: str) -> tuple[list[str], list[Block]]:
                 if open_name in SCOPE.get(name, SCOPE["p"]):
                     break
             label, side, main = _element(name, m[4])
+            if name == "header" and any(s[0] == "article" for s in stack):
+                side = False  # an article's own header has its title
             tokens.append(_at(stack) + "<" + label)
         else:
             label, side, main = _element(name, m[4]) if m[4].strip() else (name, False, False)
@@ -150,7 +164,8 @@ def parse(page: str) -> tuple[list[str], list[Block]]:
         if name in VOID or m[4].endswith("/") and name not in INLINE and name not in ("div", "p", "li"):
             continue
         serial += 1
-        stack.append((name, label, side, main, serial))
+        place = _hash(tokens[-1]) if name not in INLINE else 0
+        stack.append((name, label, side, main, serial, place))
         links += name == "a"
     if at < len(page):
         text.append(page[at:])
@@ -158,12 +173,37 @@ def parse(page: str) -> tuple[list[str], list[Block]]:
     return tokens, blocks
 
 
-def extract(page: str, template: set[int]) -> str:
-    """The main text of a page, given the hashes of the text tokens of its host's template."""
-    _, blocks = parse(page)
-    own = [b for b in blocks if not any(s[2] for s in b.path)]
-    # near copies of an article share its paragraphs: in the main element a template block goes only if it is mostly links
-    slots = [b for b in own if not (template and token_hash(b.token) in template) or any(s[3] for s in b.path) and b.linked * 2 <= len(b.text)]
+def _main(slots: list[Block], main: int) -> list[Block]:
+    """The slots' blocks in the elements of a host's main path, widened; none if the page has no such."""
+    weight: Counter = Counter()
+    for b in slots:
+        for s in b.path:
+            if s[5] == main:
+                weight[s[4]] += len(b.text) - b.linked
+    most = max(weight.values(), default=0)
+    if not most:
+        return []
+    wide = set()
+    for serial in (k for k, n in weight.items() if n * 4 >= most):
+        first = next(i for i, b in enumerate(slots) if any(s[4] == serial for s in b.path))
+        path = slots[first].path
+        at = next(i for i, s in enumerate(path) if s[4] == serial)
+        marked = next((i for i in range(at, -1, -1) if path[i][3]), None)
+        if marked is not None:
+            at = marked
+        while marked is None and at:
+            # a parent is the article's if a heading of it comes before
+            up = path[at - 1][4]
+            if not any(any(s[4] == up for s in b.path) and any(s[0] in HEADINGS for s in b.path) for b in slots[:first]):
+                break
+            at -= 1
+            first = next(i for i, b in enumerate(slots) if any(s[4] == up for s in b.path))
+        wide.add(path[at][4])
+    return [b for b in slots if any(s[4] in wide for s in b.path)]
+
+
+def _alone(slots: list[Block]) -> list[Block]:
+    """The main blocks of a page of which no template tells."""
     mains = [b for b in slots if any(s[3] for s in b.path)]
     if mains:
         weight: Counter = Counter()
@@ -171,28 +211,40 @@ def extract(page: str, template: set[int]) -> str:
             weight[next(s[4] for s in b.path if s[3])] += len(b.text)
         # several article elements on a page: all that are no teasers beside the largest
         most = max(weight.values())
-        chosen = [b for b in mains if weight[next(s[4] for s in b.path if s[3])] * 4 >= most]
-    else:
-        weight, several, size, linked = Counter(), Counter(), Counter(), Counter()
-        for b in slots:
-            free = len(b.text) - b.linked
-            for depth, s in enumerate(s for s in reversed(b.path) if s[0] != "html"):
-                weight[s[4]] += free / (1 + depth / 2)
-                several[s[4]] += 1
-                size[s[4]] += len(b.text)
-                linked[s[4]] += b.linked
-        # a container has several blocks; one block is the page's text only if it is all there is
-        best = max((k for k in weight if several[k] > 1), key=lambda k: (weight[k], k), default=None)
-        if best is not None:
-            path = next([s[4] for s in b.path if s[0] != "html"] for b in slots if any(s[4] == best for s in b.path))
-            # climb while what the parent adds is no list of links
-            for up in reversed(path[: path.index(best)]):
-                if (linked[up] - linked[best]) * 2 > size[up] - size[best]:
-                    break
-                best = up
-            chosen = [b for b in slots if any(s[4] == best for s in b.path)]
-        else:
-            chosen = slots
+        return [b for b in mains if weight[next(s[4] for s in b.path if s[3])] * 4 >= most]
+    weight, several, size, linked = Counter(), Counter(), Counter(), Counter()
+    for b in slots:
+        free = len(b.text) - b.linked
+        for depth, s in enumerate(s for s in reversed(b.path) if s[0] != "html"):
+            weight[s[4]] += free / (1 + depth / 2)
+            several[s[4]] += 1
+            size[s[4]] += len(b.text)
+            linked[s[4]] += b.linked
+    # a container has several blocks; one block is the page's text only if it is all there is
+    best = max((k for k in weight if several[k] > 1), key=lambda k: (weight[k], k), default=None)
+    if best is None:
+        return slots
+    path = next([s[4] for s in b.path if s[0] != "html"] for b in slots if any(s[4] == best for s in b.path))
+    # climb while what the parent adds is no list of links
+    for up in reversed(path[: path.index(best)]):
+        if (linked[up] - linked[best]) * 2 > size[up] - size[best]:
+            break
+        best = up
+    return [b for b in slots if any(s[4] == best for s in b.path)]
+
+
+def slots_of(blocks: list[Block], template: set[int]) -> list[Block]:
+    """Blocks outside side containers that are not the template's text."""
+    own = [b for b in blocks if not any(s[2] for s in b.path)]
+    if not template:
+        return own
+    return [b for b in own if token_hash(b.token) not in template or any(s[3] for s in b.path) and b.linked * 2 <= len(b.text)]
+
+
+def extract(page: str, template: set[int], main: int | None = None) -> str:
+    """The main text of a page, given the hashes of its host's template texts and of its main path."""
+    slots = slots_of(parse(page)[1], template)
+    chosen = (_main(slots, main) if main is not None else []) or _alone(slots)
     return "\n\n".join(b.text for b in chosen)
 
 
@@ -200,22 +252,35 @@ def host(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1), F.lit("")))
 
 
+def _hash(text: str) -> int:
+    h = xxhash.xxh3_64_intdigest(text)
+    return h - (h >> 63 << 64)
+
+
 def token_hash(token: str) -> int:
     """64 bits of a token, as a signed number; odd for text blocks."""
-    h = xxhash.xxh3_64_intdigest(token) & ~1 | (token.find('"') > -1 and "<" not in token.split('"', 1)[0])
-    return h - (h >> 63 << 64)
+    return _hash(token) & ~1 | (token.find('"') > -1 and "<" not in token.split('"', 1)[0])
+
+
+SLOTS = "array<struct<token:long,article:boolean,free:int,path:array<long>>>"
 
 
 def tokens(pages: DataFrame) -> DataFrame:
-    """host, page, tokens, counts: a row per distinct page; its distinct tokens by first place, as hashes."""
+    """host, page, tokens, counts, blocks: a row per distinct page; its distinct tokens by first place, as
+    hashes, and its text blocks outside side containers, with the label paths around them (SLOTS)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [Counter(parse(source)[0]) for source in batch["html"]]
-            yield pd.DataFrame({"host": batch["host"], "page": batch["page"], "tokens": [[token_hash(t) for t in c] for c in found], "counts": [list(c.values()) for c in found]})
+            for i in range(0, len(batch), 200):
+                part, found, blocks = batch.iloc[i : i + 200], [], []
+                for source in part["html"]:
+                    own, text = parse(source)
+                    found.append(Counter(own))
+                    blocks.append([{"token": token_hash(b.token), "article": any(s[3] for s in b.path) and b.linked * 2 <= len(b.text), "free": len(b.text) - b.linked, "path": [s[5] for s in b.path]} for b in text if not any(s[2] for s in b.path)])
+                yield pd.DataFrame({"host": part["host"], "page": part["page"], "tokens": [[token_hash(t) for t in c] for c in found], "counts": [list(c.values()) for c in found], "blocks": blocks})
 
     own = pages.filter("html is not null").select(F.xxhash64(host(F.col("url"))).alias("host"), F.xxhash64("html").alias("page"), "html")
-    return own.mapInPandas(run, "host long, page long, tokens array<long>, counts array<int>").dropDuplicates(["host", "page"])
+    return own.mapInPandas(run, f"host long, page long, tokens array<long>, counts array<int>, blocks {SLOTS}").dropDuplicates(["host", "page"])
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:
@@ -224,7 +289,8 @@ def small(df: DataFrame, rows: int) -> DataFrame:
 
 
 def templates(pages: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
-    """host, texts: hashes of the text tokens of each host's template (hosts without one are absent)."""
+    """host, texts, main: hashes of the text tokens of each host's template and of its main slot's path
+    (hosts without a template are absent)."""
     found = cut(tokens(pages))
     each = found.select("host", "page", F.posexplode(F.arrays_zip("tokens", "counts")).alias("place", "t")).select("host", "page", "place", F.col("t.tokens").alias("token"), F.col("t.counts").alias("n"))
     size = found.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages")).filter(F.col("all_pages") >= MIN_PAGES)
@@ -234,19 +300,29 @@ def templates(pages: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
     on_page = each.join(small(frequent, BROADCAST_ROWS), ["host", "token"]).groupBy("host", "vector", "page").agg(F.array_sort(F.collect_list(F.struct("place", "token"))).alias("row"))
     orders = on_page.select("host", "vector", F.size("row").alias("members"), F.xxhash64(F.transform("row", lambda r: r["token"])).alias("order"))
     valid = orders.groupBy("host", "vector").agg(F.min("order").alias("least"), F.max("order").alias("most"), F.max("members").alias("members")).filter(f"least = most and members >= {MIN_SIZE}")
-    texts = frequent.join(valid, ["host", "vector"], "left_semi").filter(F.col("token").bitwiseAND(F.lit(1).cast("long")) == 1)
-    return texts.groupBy("host").agg(F.collect_set("token").alias("texts"))
+    members = cut(frequent.join(valid, ["host", "vector"], "left_semi"))
+    of_host = members.groupBy("host").agg(F.collect_set(F.when(F.col("token").bitwiseAND(F.lit(1).cast("long")) == 1, F.col("token"))).alias("texts"))
+    # the slots of all pages, by every element path around them
+    page = found.select("host", "blocks").join(small(of_host, BROADCAST_ROWS), "host")
+    slot = page.select("host", F.explode(F.filter("blocks", lambda b: b["article"] | ~F.array_contains("texts", b["token"]))).alias("b"))
+    around = slot.select("host", F.col("b.free").alias("free"), F.posexplode(F.array_distinct("b.path")).alias("depth", "path"))
+    paths = around.groupBy("host", "path").agg(F.sum("free").alias("free"), F.max("depth").alias("depth"))
+    most = paths.groupBy("host").agg(F.max("free").alias("most"))
+    inner = paths.join(most, "host").filter(F.col("free") >= F.col("most") * MAIN_SHARE)
+    main = inner.groupBy("host").agg(F.max_by("path", F.struct("depth", "free", "path")).alias("main"))
+    return of_host.join(main, "host", "left")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
 
     @F.pandas_udf("string")
-    def run(page: pd.Series, template: pd.Series) -> pd.Series:
-        return pd.Series([extract(p, set(t) if t is not None else set()) for p, t in zip(page.fillna(""), template)], dtype=object)
+    def run(page: pd.Series, template: pd.Series, main: pd.Series) -> pd.Series:
+        rows = zip(page.fillna(""), template, main.astype("Int64"))
+        return pd.Series([extract(p, set(t) if t is not None else set(), None if pd.isna(m) else int(m)) for p, t, m in rows], dtype=object)
 
     own = pages.select("page_id", "url", "html", F.xxhash64(host(F.col("url"))).alias("host"))
-    text = run("html", "texts")
+    text = run("html", "texts", "main")
     return own.join(small(cut(templates(pages)), BROADCAST_ROWS), "host", "left").select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
 
 
