@@ -93,7 +93,7 @@ def _at(path: tuple | list) -> str:
 def _element(name: str, attributes: str) -> tuple[str, bool, bool]:
     """Label, whether it can't hold article text, whether it marks the article."""
     values = {k.lower(): (v or "").strip("\"'") for k, v in ATTRIBUTE.findall(attributes)} if attributes.strip() else {}
-    marks = " ".join(values.get(k, "") for k in ("class", "id"))
+    marks = " ".join(values.get(k, "") for k in ("class", "id")).strip()
     role = values.get("role", "").lower()
     main = name in MAIN or role in ("main", "article") or values.get("itemprop", "") == "articleBody"
     side = name in FRAME or name in HIDDEN or role in SIDE_ROLES or "hidden" in values or values.get("aria-hidden") == "true" or bool(marks and not main and SIDE_WORDS.search(marks))
