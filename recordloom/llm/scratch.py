@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: list[str] = []
+_WRITTEN: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,9 +29,28 @@ def cut(df: DataFrame, compression: str = "snappy") -> DataFrame:
     lost executor loses nothing."""
     path = f"{shared_dir(df.sparkSession)}/recordloom/{uuid.uuid4().hex}"
     df.write.parquet(path, compression=compression)
+    _WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written() -> int:
+    """How many tables cut() has written so far."""
+    return len(_WRITTEN)
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete written folders that nothing reads any more."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def remove_since(spark: SparkSession, mark: int) -> None:
+    """Delete the tables that cut() has written since written() gave mark, once what reads them is written."""
+    remove(spark, *_WRITTEN[mark:])
+    del _WRITTEN[mark:]
+
+
 def free(name: str, taken: list[str]) -> str:
     """name, or with underscores before it so that no column of ``taken`` has it."""
     lower = {t.lower() for t in taken}

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from recordloom.llm import chat, decontaminate, flac, html_extract, lm_score, near_dup, packing, quality, queries, secret_scan, sharding
+from recordloom.llm import chat, decontaminate, flac, html_extract, lm_score, near_dup, packing, quality, queries, scratch, secret_scan, sharding
 from recordloom.llm.words import WordIds
 
 from ..compare import rows_of, sql_rows
@@ -778,6 +778,43 @@ def test_pipeline(spark, sf_dir, tables):
     assert [n for n, _ in corpus_pipeline.STAGES] == list(stage) and len(stage) == 5
 
 
+def test_pipeline_odd_and_empty(spark, sf_dir, odd, tables, tmp_path):
+    """Nulls, empty and long texts, repeated rows and clashing names through every stage; empty tables."""
+    names = ["_key", "_id", "copies", "row", "key", "id", "quality_score", "score", "secrets", "base", "runs", "cuts", "text_key", "best", "found"]
+    docs = odd.select(*tables["documents"].columns, *[F.lit(i).alias(n) for i, n in enumerate(names)])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs.limit(0), sf_dir).count() == 0
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert all(r[n] == i for r in rows for i, n in enumerate(names))
+        if name != "quality_classifier":
+            assert len(rows) == (5 if name == "minhash_near_dedup" else docs.count())
+    folder = str(tmp_path)
+    for name in ("documents", "labels", "benchmark"):
+        tables[name].limit(0).write.parquet(f"{folder}/{name}.parquet")
+    assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_operators_keep_clashing_columns(spark, odd, tables):
+    docs = odd.withColumns({"quality_score": F.lit("mine"), "_key": F.lit(3), "row": F.lit(4)})
+    assert quality.keep(docs, tables["labels"], 0.0).columns == docs.columns
+    assert {(r.quality_score, r._key, r.row) for r in quality.keep(docs, tables["labels"], 0.0).collect()} == {("mine", 3, 4)}
+    assert {(r.quality_score, r._key, r.row, r.rep, r.bands) for r in near_dup.dedup(docs).collect()} == {("mine", 3, 4, "x", 1)}
+
+
+def test_shared_folder_is_asked_for(monkeypatch):
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda name, default: None)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError):
+        scratch.shared_dir(Cluster())
+
+
 def test_nothing_else_needs_the_subpackage():
     for name in ("recordloom.queries", "recordloom.plans.profiles", "recordloom.streaming.flows"):
         assert "recordloom.llm" not in open(importlib.import_module(name).__file__, encoding="utf-8").read()
