@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.llm import decontaminate, near_dup, packing, quality, secret_scan
-from recordloom.llm.scratch import shared_dir
+from recordloom.llm.scratch import remove, remove_since, shared_dir, written
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,10 +50,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order, each written as Parquet and read again."""
+    """All stages in order, each written as Parquet and read again. What a stage has written on its way,
+    and the result before it, go once its own result is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{shared_dir(spark)}/pipeline/{uuid.uuid4().hex}"
+    before = None
     for number, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{number}_{name}")
-        docs = spark.read.parquet(f"{folder}/{number}_{name}")
+        mark, path = written(), f"{folder}/{number}_{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        remove_since(spark, mark)
+        if before:
+            remove(spark, before)
+        before = path
     return docs
