@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recordloom.functions.values import parse_list
 from recordloom.operators.project import project, set_delta, union_tagged
 from recordloom.operators.windows import changed_fields, ladder_delta, latest_per_key, scd2, tenure
 
@@ -93,10 +94,17 @@ def signal_events(txns: DataFrame, key: str, day: Column, order: Sequence[str],
     return out.union(roles.select(key, "day", F.lit("role_changed"), F.concat_ws(">", "_p", role))).distinct()
 
 
-def entity_master(snapshots: DataFrame, key: str, label: str, active: Column, cols: Sequence[str]) -> DataFrame:
-    """Latest row of each entity with its tenure over the snapshots."""
+def entity_master(snapshots: DataFrame, key: str, label: str, active: Column, cols: Sequence[str], lists: Mapping[str, str] | None = None) -> DataFrame:
+    """Latest row of each entity with its tenure over the snapshots; columns of lists (name: separator)
+    become arrays of their members (R08)."""
     last = latest_per_key(snapshots, [key], [F.desc(label), *[F.col(c) for c in cols]]).select(key, *cols)
-    return last.join(tenure(snapshots, key, label, active), key)
+    parsed = last.withColumns({c: parse_list(F.col(c), separator) for c, separator in (lists or {}).items()})
+    return parsed.join(tenure(snapshots, key, label, active), key)
+
+
+def satellites(master: DataFrame, key: str, col: str) -> DataFrame:
+    """key, position, value: the members of a master's array column."""
+    return master.select(key, F.posexplode(col).alias("position", "value"))
 
 
 def normalise_registries(parts: Mapping[str, DataFrame], spec: Sequence, name: str, key_fn, base_fn) -> DataFrame:

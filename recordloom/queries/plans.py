@@ -83,6 +83,12 @@ def r08(t):
     return R.entity_master(_snaps(t), "user_id", "day", F.col("last_type") == "view", ["last_type"])
 
 
+@query("r08_entity_satellites", f"with {SNAPS}, z as (select user_id, arg_max(types, day) as types from d group by 1) select user_id, cast(i - 1 as integer) as position, types[i] as value from (select user_id, list_sort(types) as types, unnest(range(1, len(types) + 1)) as i from z)")
+def r08_satellites(t):
+    listed = _snaps(t).withColumn("types", F.array_join(F.array_sort("types"), " ; "))
+    return R.satellites(R.entity_master(listed, "user_id", "day", F.col("last_type") == "view", ["types"], {"types": ";"}), "user_id", "types")
+
+
 @query("r09_gold_profile", "select c_custkey, c_name, coalesce(n_orders, 0) as n_orders, coalesce(total, 0) as total, orders from customer left join (select o_custkey, count(*) as n_orders, round(sum(o_totalprice), 2) as total from orders group by 1) m on m.o_custkey = c_custkey left join (select o_custkey, string_agg(o_orderkey, ',' order by o_orderdate, o_orderkey) as orders from orders where o_orderstatus = 'O' group by 1) n on n.o_custkey = c_custkey")
 def r09(t):
     own = t.orders.withColumnRenamed("o_custkey", "c_custkey")

@@ -37,6 +37,12 @@ def z02(t):
     return Z.read_table(t.spark, root).select("user_id", "event_id", "event_type")
 
 
+@query("z02_newer", "select event_id, user_id from events where ts > (select max(ts) from events where ts < timestamp '2024-01-16')")
+def z02_newer(t):
+    """A pull that overlaps what has landed by six days."""
+    return Z.newer(t.events.filter("ts < '2024-01-16'"), t.events.filter("ts >= '2024-01-10'"), "ts").select("event_id", "user_id")
+
+
 @query("z03_append_then_latest", LATEST)
 def z03(t):
     out = folder(t.spark)

@@ -42,11 +42,23 @@ def read_table(spark: SparkSession, root: str) -> DataFrame:
     return _version(spark, root)[1]
 
 
+def newer(landed: DataFrame, incoming: DataFrame, ts: str) -> DataFrame:
+    """Rows of an overlapping pull that are past the last time landed; all if nothing is."""
+    last = landed.agg(F.max(ts).alias("_last"))  # one row
+    return incoming.crossJoin(F.broadcast(last)).filter(F.col("_last").isNull() | (F.col(ts) > F.col("_last"))).drop("_last")
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def incremental_upsert(stream: DataFrame, root: str, checkpoint: str, key: str, order: Sequence[str], deleted: str | None = None) -> StreamingQuery:
     """Latest row per key, kept up batch by batch (Z02, Z04): newer rows replace older ones, late older rows lose.
 
     Each batch writes a new version beside the last, so a batch that is run again starts from the
-    version before it. With ``deleted``, rows marked so stay in the table and read_live leaves them out.
+    version before it; older versions go. The cost of a batch is that of the table: for tables much
+    larger than a batch, append and read by latest_view instead (Z03). With ``deleted``, rows marked so stay in the table and read_live leaves them out.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
@@ -54,6 +66,7 @@ def incremental_upsert(stream: DataFrame, root: str, checkpoint: str, key: str,
         last = spark.read.parquet(f"{root}/v={number - 1}") if number else None
         rows = last.unionByName(batch) if last is not None else batch
         latest_per_key(rows, [key], [F.col(c).desc_nulls_last() for c in order]).write.mode("overwrite").parquet(f"{root}/v={number}")
+        _drop(spark, f"{root}/v={number - 2}")
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -83,5 +96,6 @@ def rollup_table(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[s
         last = spark.read.parquet(f"{root}/v={number - 1}") if number else None
         rows = last.join(batch, list(keys), "left_anti").unionByName(batch) if last is not None else batch
         rows.write.mode("overwrite").parquet(f"{root}/v={number}")
+        _drop(spark, f"{root}/v={number - 2}")
 
     return stream.writeStream.outputMode("update").foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -304,3 +304,19 @@ def test_polygons_with_holes_and_parts(spark):
     points = spark.createDataFrame([(1, 0.5, 0.5), (2, 2.0, 2.0), (3, 1.0, 9.2), (4, None, 1.0)], "i int, lat double, lon double")
     got = near_polygon(points, spark.createDataFrame([("p", wkt), ("q", None)], "name string, wkt string"), "wkt", 0.9)
     assert {(r.i, r.name, round(r.degrees, 6)) for r in got.collect()} == {(1, "p", 0.0), (3, "p", 0.8)}
+
+
+def test_jdbc_partitions_by_predicate(spark):
+    """A relational table, in Spark's own Derby, read by one partition a predicate."""
+    from recordloom.sources.readers import read_jdbc
+
+    url = "jdbc:derby:memory:recordloom;create=true"
+    spark.range(20).selectExpr("id", "concat('n', id) as name").write.jdbc(url, "ITEMS", mode="overwrite", properties={"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
+    back = read_jdbc(spark, url, "ITEMS", ['"id" < 5', '"id" >= 15'], {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
+    assert back.rdd.getNumPartitions() == 2 and sorted(r.id for r in back.collect()) == [*range(5), *range(15, 20)]
+
+
+def test_gates_over_schemas_and_plans(spark):
+    a, b = spark.range(3), spark.range(3).selectExpr("cast(id as int) as id", "1 as more")
+    assert {(r.column, r.same) for r in gates.gate_schema(spark, a, b).collect()} == {("id", False), ("more", False)}
+    assert gates.gate_plan(a.crossJoin(b.select("more"))) and not gates.gate_plan(a.join(a, "id"))
