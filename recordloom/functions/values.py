@@ -40,7 +40,7 @@ def classify(col: Column, classes: Mapping[str, Sequence], default: str | None =
 
 def parse_list(col: Column, separator: str, strip: str | None = None) -> Column:
     """Trimmed, non-empty members of a list in text; ``strip`` is a pattern removed from each."""
-    member = (lambda x: F.regexp_replace(F.trim(x), strip, "")) if strip else F.trim
+    member = (lambda x: F.regexp_replace(F.trim(x), strip, "")) if strip else lambda x: F.trim(x)  # one parameter: two would get the index
     return F.filter(F.transform(F.split(col, separator), member), lambda x: x != "")
 
 

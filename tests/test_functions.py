@@ -320,3 +320,7 @@ def test_gates_over_schemas_and_plans(spark):
     a, b = spark.range(3), spark.range(3).selectExpr("cast(id as int) as id", "1 as more")
     assert {(r.column, r.same) for r in gates.gate_schema(spark, a, b).collect()} == {("id", False), ("more", False)}
     assert gates.gate_plan(a.crossJoin(b.select("more"))) and not gates.gate_plan(a.join(a, "id"))
+
+
+def test_list_members_are_trimmed(spark):
+    assert one(spark, V.parse_list(F.lit(" 0a0 ;1b1;; c "), ";")) == ["0a0", "1b1", "c"]
