@@ -55,7 +55,7 @@ def pairs(df: DataFrame, key: str, item: str) -> DataFrame:
 def next_vintage(df: DataFrame, key: str, label: str) -> DataFrame:
     """Rows of a vintage with the key's row of the next one as ``next``."""
     labels = df.select(label).distinct().withColumn("rank", F.dense_rank().over(Window.orderBy(label)))
-    ranked = df.join(F.broadcast(labels), label)
+    ranked = df.join(small(labels), label)
     later = ranked.select(key, (F.col("rank") - 1).alias("rank"), F.struct(*df.columns).alias("next"))
     return ranked.join(later, [key, "rank"])
 

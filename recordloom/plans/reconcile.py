@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordloom.functions.values import parse_list
+from recordloom.operators.joins import small
 from recordloom.operators.project import project, set_delta, union_tagged
 from recordloom.operators.windows import changed_fields, ladder_delta, latest_per_key, scd2, tenure
 
@@ -69,7 +70,7 @@ def entity_versions(txns: DataFrame, key: str, order: Sequence[str], cols: Seque
 def profile_deltas(snapshots: DataFrame, key: str, label: str, scalars: Sequence[str], sets: Sequence[str]) -> DataFrame:
     """key, label, field, change, old, new between a key's consecutive snapshots."""
     labels = snapshots.select(label).distinct().withColumn("_r", F.dense_rank().over(Window.orderBy(label)))
-    ranked = snapshots.join(F.broadcast(labels), label)
+    ranked = snapshots.join(small(labels), label)
     before = ranked.select(key, (F.col("_r") + 1).alias("_r"), *[F.col(c).alias(f"_{c}") for c in [*scalars, *sets]])
     both = ranked.join(before, [key, "_r"])
     parts = [both.filter(~F.col(c).eqNullSafe(F.col(f"_{c}"))).select(key, label, F.lit(c).alias("field"), F.lit("changed").alias("change"), F.col(f"_{c}").cast("string").alias("old"), F.col(c).cast("string").alias("new")) for c in scalars]

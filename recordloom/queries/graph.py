@@ -57,13 +57,12 @@ def h03(t):
     return G.subtree_sum(tree(t), v, "k", "m")
 
 
-@query("h04_family", f"with {TREE}, a as (select c_custkey as k from customer where c_custkey between 1 and 40), x as (select k as anchor, k as member, 0 as hops, k::varchar as path from a union all select k, child, 1, k || '>' || child from a join e on parent = k union all select k, f.child, 2, k || '>' || e.child || '>' || f.child from a join e on e.parent = k join e f on f.parent = e.child), r as (select *, row_number() over (partition by anchor, member order by hops, path) as rn from x) select anchor, member, hops, path from r where rn = 1")
-def h04(t):
-    return G.family(t.customer.filter("c_custkey between 1 and 40"), "c_custkey", tree(t))
+H04_SQL = f"with {TREE}, a as (select c_custkey as k from customer), x as (select k as anchor, k as member, 0 as hops, k::varchar as path from a union all select k, child, 1, k || '>' || child from a join e on parent = k union all select k, f.child, 2, k || '>' || e.child || '>' || f.child from a join e on e.parent = k join e f on f.parent = e.child), r as (select *, row_number() over (partition by anchor, member order by hops, path) as rn from x) select anchor, member, hops, path from r where rn = 1"
 
 
-@query("h04_family_all", f"with {TREE}, a as (select c_custkey as k from customer), x as (select k as anchor, k as member, 0 as hops, k::varchar as path from a union all select k, child, 1, k || '>' || child from a join e on parent = k union all select k, f.child, 2, k || '>' || e.child || '>' || f.child from a join e on e.parent = k join e f on f.parent = e.child), r as (select *, row_number() over (partition by anchor, member order by hops, path) as rn from x) select anchor, member, hops, path from r where rn = 1")
-def h04_all(t):
+@query("h04_family", H04_SQL)
+@query("h04_family_all", H04_SQL)
+def h04(t):
     return G.family(t.customer, "c_custkey", tree(t))
 
 
@@ -94,28 +93,10 @@ def h06(t):
     return G.cooccurrence(_items(t), "l_orderkey", "item")
 
 
-HELD = "held as (select distinct l_suppkey, l_partkey % 50 as item from lineitem where l_partkey % 50 < 25 and l_linenumber = 1 and l_partkey % 3 = 0)"
-
-
-def _held(t):
-    return t.lineitem.filter("l_partkey % 50 < 25 and l_linenumber = 1 and l_partkey % 3 = 0").select("l_suppkey", (F.col("l_partkey") % 50).alias("item"))
-
-
 INFER = "inf as (select l_suppkey, item_b as item, count(*) as hits, sum(support)::bigint as support from held join ed on held.item = item_a where not exists (select 1 from held h where h.l_suppkey = held.l_suppkey and h.item = item_b) group by 1, 2)"
 
 
-@query("h07_infer", f"with {EDGES}, {HELD}, {INFER} select * from inf")
-def h07(t):
-    return G.infer(_held(t), "l_suppkey", "item", G.cooccurrence(_items(t), "l_orderkey", "item").select("item_a", "item_b", "support"))
-
-
-@query("h08_recommend", f"with {EDGES}, {HELD}, {INFER} select l_suppkey, item, hits, support, rank from (select *, row_number() over (partition by l_suppkey order by support desc, hits desc, item) as rank from inf) where rank <= 5")
-def h08(t):
-    edges = G.cooccurrence(_items(t), "l_orderkey", "item").select("item_a", "item_b", "support")
-    return G.recommend(_held(t), "l_suppkey", "item", edges, 5).withColumn("rank", F.col("rank").cast("long"))
-
-
-# The same on part keys, with all rows that a supplier holds.
+# On part keys, with all rows that a supplier holds.
 PART_EDGES = EDGES.replace(BASKETS, PARTS)
 PART_HELD = "held as (select distinct l_suppkey, l_partkey as item from lineitem)"
 
@@ -137,12 +118,20 @@ def h06_parts(t):
     return G.cooccurrence(_parts(t, "l_orderkey"), "l_orderkey", "item")
 
 
-@query("h07_infer_parts", f"with {PART_EDGES}, {PART_HELD}, {INFER} select * from inf")
+H07_SQL = f"with {PART_EDGES}, {PART_HELD}, {INFER} select * from inf"
+
+
+@query("h07_infer", H07_SQL)
+@query("h07_infer_parts", H07_SQL)
 def h07_parts(t):
     return G.infer(_parts(t, "l_suppkey"), "l_suppkey", "item", _part_edges(t))
 
 
-@query("h08_recommend_parts", f"with {PART_EDGES}, {PART_HELD}, {INFER} select l_suppkey, item, hits, support, rank from (select *, row_number() over (partition by l_suppkey order by support desc, hits desc, item) as rank from inf) where rank <= 5")
+H08_SQL = f"with {PART_EDGES}, {PART_HELD}, {INFER} select l_suppkey, item, hits, support, rank from (select *, row_number() over (partition by l_suppkey order by support desc, hits desc, item) as rank from inf) where rank <= 5"
+
+
+@query("h08_recommend", H08_SQL)
+@query("h08_recommend_parts", H08_SQL)
 def h08_parts(t):
     return G.recommend(_parts(t, "l_suppkey"), "l_suppkey", "item", _part_edges(t), 5).withColumn("rank", F.col("rank").cast("long"))
 

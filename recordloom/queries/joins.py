@@ -195,13 +195,13 @@ def j17(t):
     return J.resolve_unique(t.lineitem, "l_orderkey", "l_suppkey")
 
 
-FUZZY = "'SUPPLIER ' || lpad(cast(s_suppkey as string), 9, '0') || ' WORKS'"
+FUZZY = "lpad(cast(s_suppkey as string), 9, '0') || ' SUPPLIER WORKS'"
 
 
 @query(
     "j18_fuzzy_match",
     """with a as (select s_suppkey as k, lpad(cast(s_suppkey as varchar), 9, '0') || ' SUPPLIER WORKS' as n from supplier), b as (select s_suppkey as k, lpad(cast(s_suppkey as varchar), 9, '0') || ' SUPPLIER WORK' || (case when s_suppkey % 2 = 0 then 'S' else 'Z' end) as n from supplier),
-    m as (select a.k as a_key, b.k as b_key, round(100.0 * (1 - levenshtein(a.n, b.n) / greatest(length(a.n), length(b.n))), 4) as similarity from a, b)
+    m as (select a.k as a_key, b.k as b_key, round(100.0 * (1 - levenshtein(a.n, b.n) / greatest(length(a.n), length(b.n))), 4) as similarity from a join b on split_part(a.n, ' ', 1) = split_part(b.n, ' ', 1))
     select a_key, b_key, similarity from (select *, row_number() over (partition by a_key order by similarity desc, b_key) as rn from m where similarity >= 95) where rn = 1""",
 )
 def j18(t):
@@ -210,26 +210,14 @@ def j18(t):
     return J.fuzzy_match(a, "k", "n", b, "k", "n")
 
 
-@query(
-    "j19_overlap_candidates",
-    """with p as (select p_partkey, list_distinct(string_split(p_name || ' ' || lower(p_type), ' ')) as w from part where p_partkey < 400), x as (select p_partkey, len(w) as n, unnest(w) as tok from p), a as (select * from x where p_partkey % 2 = 0), b as (select * from x where p_partkey % 2 = 1),
+J19_SQL = """with p as (select p_partkey, list_distinct(string_split(p_name || ' ' || lower(p_type), ' ')) as w from part), x as (select p_partkey, len(w) as n, unnest(w) as tok from p), a as (select * from x where p_partkey % 2 = 0), b as (select * from x where p_partkey % 2 = 1),
     m as (select a.p_partkey as a_part, b.p_partkey as b_part, count(*) as shared, count(*) / least(any_value(a.n), any_value(b.n)) as score from a join b using (tok) group by 1, 2)
-    select a_part, b_part, shared, round(score, 6) as score, rank from (select *, row_number() over (partition by a_part order by score desc, shared desc, b_part) as rank from m) where rank <= 3""",
-)
-def j19(t):
-    own = t.part.filter("p_partkey < 400").select("p_partkey", F.array_distinct(F.split(F.concat_ws(" ", "p_name", F.lower("p_type")), " ")).alias("tokens"))
-    a = own.filter("p_partkey % 2 = 0").withColumnRenamed("p_partkey", "a_part")
-    b = own.filter("p_partkey % 2 = 1").withColumnRenamed("p_partkey", "b_part")
-    return J.overlap_candidates(a, "a_part", b, "b_part", 3).withColumn("score", F.round("score", 6)).withColumn("rank", F.col("rank").cast("long"))
+    select a_part, b_part, shared, round(score, 6) as score, rank from (select *, row_number() over (partition by a_part order by score desc, shared desc, b_part) as rank from m) where rank <= 3"""
 
 
-@query(
-    "j19_overlap_candidates_all",
-    """with p as (select p_partkey, list_distinct(string_split(p_name || ' ' || lower(p_type), ' ')) as w from part), x as (select p_partkey, len(w) as n, unnest(w) as tok from p), a as (select * from x where p_partkey % 2 = 0), b as (select * from x where p_partkey % 2 = 1),
-    m as (select a.p_partkey as a_part, b.p_partkey as b_part, count(*) as shared, count(*) / least(any_value(a.n), any_value(b.n)) as score from a join b using (tok) group by 1, 2)
-    select a_part, b_part, shared, round(score, 6) as score, rank from (select *, row_number() over (partition by a_part order by score desc, shared desc, b_part) as rank from m) where rank <= 3""",
-)
-def j19_all(t):
+@query("j19_overlap_candidates", J19_SQL)
+@query("j19_overlap_candidates_all", J19_SQL)
+def j19(t):
     own = t.part.select("p_partkey", F.array_distinct(F.split(F.concat_ws(" ", "p_name", F.lower("p_type")), " ")).alias("tokens"))
     a = own.filter("p_partkey % 2 = 0").withColumnRenamed("p_partkey", "a_part")
     b = own.filter("p_partkey % 2 = 1").withColumnRenamed("p_partkey", "b_part")

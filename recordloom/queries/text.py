@@ -180,27 +180,17 @@ def v02(t):
     return V.centroid_vec(t.embeddings, "label", "embedding").select("label", F.posexplode("embedding").alias("i", "x")).select("label", F.col("i").cast("long").alias("i"), F.round("x", 6).alias("x"))
 
 
-@query(
-    "v03_vector_match",
-    f"""with b as (select vec_id as target, embedding as e from embeddings where vec_id % 25 = 0), m as (select vec_id, target, round(1 - {COS.format(a='embedding', b='e')}, 6) as distance from embeddings, b where vec_id <> target)
-    select vec_id, target, distance, rank from (select *, row_number() over (partition by vec_id order by distance, target) as rank from m where distance <= 0.8) where rank <= 2""",
-)
-def v03(t):
-    targets = t.embeddings.filter("vec_id % 25 = 0").select(F.col("vec_id").alias("target"), "embedding")
-    same = t.embeddings.select("vec_id", F.col("vec_id").alias("target"))
-    return V.vector_match(t.embeddings, "vec_id", targets, "target", "embedding", 2, 0.8, same).withColumn("rank", F.col("rank").cast("long"))
-
-
 def _queries(t):
     return t.embeddings.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query"), "embedding")
 
 
-@query(
-    "v03_vector_match_all",
-    f"""with a as (select vec_id as query, embedding as e from embeddings where vec_id % 100 = 0), m as (select query, vec_id, round(1 - {COS.format(a='e', b='embedding')}, 6) as distance from a, embeddings where vec_id <> query)
-    select query, vec_id, distance, rank from (select *, row_number() over (partition by query order by distance, vec_id) as rank from m) where rank <= 10""",
-)
-def v03_all(t):
+V03_SQL = f"""with a as (select vec_id as query, embedding as e from embeddings where vec_id % 100 = 0), m as (select query, vec_id, round(1 - {COS.format(a='e', b='embedding')}, 6) as distance from a, embeddings where vec_id <> query)
+    select query, vec_id, distance, rank from (select *, row_number() over (partition by query order by distance, vec_id) as rank from m) where rank <= 10"""
+
+
+@query("v03_vector_match", V03_SQL)
+@query("v03_vector_match_all", V03_SQL)
+def v03(t):
     own = _queries(t)
     same = own.select("query", F.col("query").alias("vec_id"))
     return V.vector_match(own, "query", t.embeddings, "vec_id", "embedding", 10, 2.1, same).withColumn("rank", F.col("rank").cast("long"))
