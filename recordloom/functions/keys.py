@@ -60,6 +60,7 @@ def normalized_domain(host: Column) -> Column:
     return F.when(fits, host)
 
 
+# The patterns are fixed values of the rule.
 def registrable_domain(col: Column) -> Column:
     """Last two labels, or three under a two-level country suffix; no addresses by number."""
     host = _chain(F.lower(F.trim(col)), ("^([a-z][a-z0-9+.-]*://)+", ""), ("^[^/@]*@", ""), ("[/:?#].*$", ""), (r"^www\.", ""), ("[^a-z0-9.-]", ""))
@@ -81,6 +82,7 @@ def linkedin_slug(col: Column) -> Column:
     return F.nullif(F.regexp_extract(F.lower(col.cast("string")), r"linkedin\.com/(?:company|school)/([^/?#]+)", 1), F.lit(""))
 
 
+# The patterns are fixed values of the rule.
 def phone_e164(col: Column) -> Column:
     """North American number as +1 and ten digits."""
     digits = _chain(col, (r"(?i)\s*(ext|extension|x|#)\.?\s*[0-9]+\s*$", ""), ("[^0-9]", ""))
@@ -114,6 +116,7 @@ def addr_hash(street: Column, city: Column, state: Column, zip_code: Column) ->
     return F.md5(addr_key(street, city, state, zip_code))
 
 
+# The patterns are fixed values of the rule.
 def place_key(col: Column) -> Column:
     """County or place name without marks and kind words."""
     name = _chain(F.upper(F.trim(strip_accents(col))), ("[.\u2019'(),]", ""), (r"\s+", " "), ("^SAINT ", "ST "), ("^(DE|DU|LA) (?=[A-Z])", "$1"))
@@ -136,6 +139,7 @@ def singular(col: Column) -> Column:
     )
 
 
+# The patterns are fixed values of the rule.
 def fold_key(col: Column) -> Column:
     """Singular phrase without separators."""
     return F.regexp_replace(singular(col), "[ \\-\u2013\u2014/_'.]", "")

@@ -20,6 +20,7 @@ def one(spark, column):
     return spark.range(1).select(column.alias("x")).first().x
 
 
+# Inputs and results that the keys must match.
 @pytest.mark.parametrize(
     "raw,want",
     [
