@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -359,7 +360,8 @@ def test_lm_ids_are_lossless_and_written(spark, tables):
     import public_tokenizers
 
     docs = tables["documents"].limit(40).withColumn("held_out", F.col("doc_id") % 2 == 0)
-    out = lm_score.encoded(docs, spark.sparkContext.broadcast(([], np.zeros(0)))).collect()
+    none = pa.table({"word": pa.array([], pa.binary()), "value": pa.array([], pa.float64())})
+    out = lm_score.encoded(docs, spark.sparkContext.broadcast(none)).collect()
     with open(public_tokenizers.path(lm_score.TOKENIZER), "rb") as f:
         piece = {int(b): base64.b64decode(a) for a, b in map(bytes.split, f)}
     got = sorted(b"".join(piece[i] for i in np.frombuffer(r.ids, np.uint16).tolist()).decode() for r in out if r.row is not None)
@@ -403,6 +405,15 @@ def test_lm_counts_brute_force(spark, tables):
     assert (got == want).all() and (states == after).all()
 
 
+def test_lm_words():
+    texts = [" Ab  çÉD\x0bé\n", None, "", "\t", "x", "a\x1cb\xa0c D\r\n", "Ω İ"]
+    words, owner = lm_score.words_of(pa.array(texts))
+    want = [(i, w) for i, x in enumerate(texts) for w in re.findall(rb"[^\x20\x09-\x0d]+", (x or "").encode().lower())]
+    assert list(zip(owner.tolist(), words.to_pylist())) == want
+    batch = pa.RecordBatch.from_arrays([pa.array(["a" * 10, None, "b" * 30, "c", "d"])], ["text"])
+    assert [p.column("text").to_pylist() for p in lm_score.parts_of(iter([batch]), 20)] == [["a" * 10, None], ["b" * 30], ["c", "d"]]
+
+
 def plain_score(m, ids):
     """log10 probability of a text by loops: attention over the window of each id, two softmaxes, the share."""
     p, stride, out = m.p, lm_score.STRIDE, 0.0
