@@ -199,14 +199,11 @@ def overlap_candidates(a: DataFrame, a_key: str, b: DataFrame, b_key: str, k: in
 def attribute_email(emails: DataFrame, people: DataFrame, org: str, patterns: Mapping[str, Column]) -> DataFrame:
     """email, person, pattern, score: best pattern, only if one person has it.
 
-    emails have org, local; people org, person and the columns the patterns use.
+    emails have org, local, email; people org, person and the columns of the patterns, which give the
+    local part that a person would have, best first. Both meet by org and local part.
     """
-    met = emails.join(people, org)
-    score = F.lit(0)
-    name = F.lit(None).cast("string")
-    for i, (n, c) in reversed(list(enumerate(patterns.items()))):
-        score, name = F.when(c, len(patterns) - i).otherwise(score), F.when(c, n).otherwise(name)
-    scored = met.select(org, "email", "person", name.alias("pattern"), score.alias("score")).filter("score > 0")
+    forms = F.array(*[F.struct(F.lit(len(patterns) - i).alias("score"), F.lit(n).alias("pattern"), c.alias("local")) for i, (n, c) in enumerate(patterns.items())])
+    scored = emails.join(people.select(org, "person", F.inline(forms)), [org, "local"]).select(org, "email", "person", "pattern", "score")
     best = scored.withColumn("_m", F.max("score").over(Window.partitionBy("email"))).filter("score = _m").drop("_m")
     return best.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("email"))).filter("_n = 1").drop("_n")
 

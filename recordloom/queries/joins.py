@@ -234,7 +234,7 @@ def j19(t):
 def j20(t):
     p = t.customer.select(F.col("c_nationkey").alias("org"), F.col("c_custkey").alias("person"), F.concat(F.lit("c"), F.col("c_custkey") % 100).alias("last"), F.concat(F.lit("f"), F.col("c_custkey") % 7).alias("first"))
     e = p.select("org", F.concat_ws(".", "first", "last").alias("local")).union(p.select("org", "last")).distinct().withColumn("email", F.concat_ws("@", "local", F.col("org").cast("string")))
-    both = {"first.last": F.col("local") == F.concat_ws(".", "first", "last"), "last": F.col("local") == F.col("last")}
+    both = {"first.last": F.concat_ws(".", "first", "last"), "last": F.col("last")}
     return J.attribute_email(e, p, "org", both).select("email", "person", "pattern", "score")
 
 
