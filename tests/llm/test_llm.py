@@ -172,6 +172,36 @@ def test_quality_gradient():
         assert (up - down) / (2 * h) == pytest.approx(grad[k][at], rel=1e-2, abs=1e-4)
 
 
+def test_quality_score_against_loops(spark):
+    """Gated attention over all passages of a long text, by plain loops; training sees them all too."""
+    r = np.random.default_rng(1)
+    w, h, g = quality.WIDTH, quality.HIDDEN, quality.GATE
+    p = {"mean": r.normal(0, 0.1, w), "scale": np.full(w, 0.5), "W": r.normal(0, 0.2, (w, h)), "b": r.normal(0, 1, h), "V": r.normal(0, 1, (h, g)), "U": r.normal(0, 1, (h, g)), "w": r.normal(0, 1, g), "o": r.normal(0, 1, h), "c": 0.2}
+    texts = ["", "short", "many words. " * 4500, "é1" * 3000]
+    got = quality.score_texts(p, texts)
+    for text, score in zip(texts, got):
+        passages, weights = [], []
+        bag = quality.bag(text)
+        assert len(bag) == max(1, -(-len(text.encode()) // quality.PASSAGE))
+        for x in bag:
+            hidden = np.tanh(((x - p["mean"]) / p["scale"]) @ p["W"] + p["b"])
+            gate = np.tanh(hidden @ p["V"]) / (1 + np.exp(-(hidden @ p["U"])))
+            passages.append(hidden)
+            weights.append(math.exp(gate @ p["w"]))
+        z = sum(a * x for a, x in zip(weights, passages)) / sum(weights)
+        assert score == pytest.approx(1 / (1 + math.exp(-(z @ p["o"] + p["c"]))), rel=1e-6)
+
+
+def test_quality_trains_on_every_passage(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(quality, "train", lambda bags, labels: seen.update(bags=bags, labels=labels) or {"constant": 0.5})
+    keep = [i for i in range(100) if zlib.crc32(str(i).encode()) % 3 != 1][:3]
+    docs = docs_of(spark, ["words and more. " * 3500, "b", "c", "other text of the same id"], [*keep, keep[2]])
+    labels = spark.createDataFrame([(keep[0], 1), (keep[1], 0), (keep[2], 1), (keep[2], 0), (None, 1)], "doc_id long, quality int")
+    quality.fit(docs, labels)
+    assert sorted(map(len, seen["bags"])) == [1, 1, 110] and sorted(seen["labels"]) == [0, 1, 1]
+
+
 # 3 decontamination
 def edited(r, words, k, vocabulary):
     out = list(words)
