@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, flac, html_extract, lm_score, near_dup, packing, quality, secret_scan, sharding
+from . import chat, decontaminate, filter_audit, flac, html_extract, lm_score, near_dup, packing, quality, secret_scan, sharding
 
 
 def _over(query: Callable[..., DataFrame], *tables: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -25,9 +25,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_flac_media": _over(flac.query, "documents"),
         "op9_extendible_sharding": _over(sharding.query, "documents"),
         "op10_harmonic_packing": _over(packing.query, "documents"),
+        "op11_filter_audit": _over(filter_audit.query, "documents", "labels"),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """The queries that SQL can express; the others are tested by brute force or round trip."""
-    return {"op6_chat_perspectives": chat.SQL, "op9_extendible_sharding": sharding.SQL}
+    return {"op6_chat_perspectives": chat.SQL, "op9_extendible_sharding": sharding.SQL, "op11_filter_audit": filter_audit.SQL}
