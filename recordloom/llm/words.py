@@ -34,7 +34,7 @@ PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]
 PROBE = "It's Été, ONE-two\n  x=3.14 (don't) ΣΑΣ naïve_42 tab\there — 日本 and so on..."
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The usual letter for each byte: printable ones stand for themselves, others follow at U+0100."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     others = [b for b in range(256) if b not in plain]
@@ -55,7 +55,7 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.keep, self.letters = Tokenizer.from_file(path), keep, _byte_letters()
+        self.tokenizer, self.keep, self.letters = Tokenizer.from_file(path), keep, byte_letters()
         self.tokenizer.encode_special_tokens = True
         self.model, self.parts = self.tokenizer.model, {}
         self._clear()
