@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, filter_audit, flac, html_extract, lm_score, near_dup, packing, quality, secret_scan, sharding, token_align
+from . import chat, decontaminate, filter_audit, flac, html_extract, lm_score, near_dup, packing, personal, quality, secret_scan, sharding, token_align
 
 
 def _over(query: Callable[..., DataFrame], *tables: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -27,6 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_harmonic_packing": _over(packing.query, "documents"),
         "op11_filter_audit": _over(filter_audit.query, "documents", "labels"),
         "op12_token_align": _over(token_align.query, "documents"),
+        "op13_personal_data": _over(personal.query, "documents"),
     }
 
 
