@@ -49,10 +49,26 @@ def parity(a: DataFrame, b: DataFrame, measures: Sequence[str]) -> DataFrame:
     return sums(a).withColumnRenamed("v", "a").join(sums(b).withColumnRenamed("v", "b"), "measure").withColumn("equal", F.col("a") == F.col("b"))
 
 
+PRIME = (1 << 61) - 1
+
+
 def digest(df: DataFrame) -> DataFrame:
-    """Row count and an order-free digest: sums of row hashes, so repeats count (Q07)."""
-    h = F.conv(F.substring(F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in df.columns])), 1, 12), 16, 10).cast("decimal(20,0)")
-    return df.agg(F.count(F.lit(1)).alias("n"), F.sum(h).cast("string").alias("digest"))
+    """Row count and an order-free digest of a table (Q07).
+
+    A row is its fields in turn, each with its type and its length before it, nulls as a mark of their own;
+    nested values are their JSON. Its hash is cut into four numbers of 32 bits, and each is added over all
+    rows modulo a prime: no order or partition matters, and rows that repeat count.
+    """
+
+    def field(c: str, kind: str) -> Column:
+        nested = kind.startswith(("array", "struct", "map"))
+        text = F.to_json(F.col(f"`{c}`"), {"ignoreNullFields": "false"}) if nested else F.col(f"`{c}`").cast("string")
+        return F.when(F.col(f"`{c}`").isNull(), f"{kind}~").otherwise(F.concat(F.lit(f"{kind}:"), F.length(text).cast("string"), F.lit(":"), text))
+
+    row = F.sha2(F.concat(*[field(c, kind) for c, kind in df.dtypes]), 256)
+    parts = [F.conv(F.substring("_h", 1 + 8 * i, 8), 16, 10).cast("decimal(20,0)") for i in range(4)]
+    sums = [F.pmod(F.coalesce(F.sum(x), F.lit(0)), F.lit(PRIME)).cast("long").cast("string") for x in parts]
+    return df.select(row.alias("_h")).agg(F.count(F.lit(1)).alias("n"), F.concat_ws("-", *sums).alias("digest"))
 
 
 def gate_schema(spark: SparkSession, a: DataFrame, b: DataFrame) -> DataFrame:
@@ -62,10 +78,22 @@ def gate_schema(spark: SparkSession, a: DataFrame, b: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "column string, a string, b string, same boolean")
 
 
+JOINS = ("BroadcastNestedLoopJoin", "CartesianProduct")
+
+
 def gate_plan(df: DataFrame) -> list[str]:
     """Nested-loop and cross joins in the physical plan (Q09)."""
     plan = df._jdf.queryExecution().executedPlan().toString()
-    return [n for n in ("BroadcastNestedLoopJoin", "CartesianProduct") if n in plan]
+    return [n for n in JOINS if n in plan]
+
+
+def gate_plans(spark: SparkSession, plans: Mapping[str, DataFrame]) -> DataFrame:
+    """plan, joins, passed: the gate over several plans; none of them runs (Q09)."""
+    rows = [(n, ",".join(found), not found) for n, found in ((n, gate_plan(df)) for n, df in plans.items())]
+    return spark.createDataFrame(rows, "plan string, joins string, passed boolean")
+
+
+SLICES = 256
 
 
 def profile(df: DataFrame, cols: Sequence[str], top: int = 3) -> DataFrame:
@@ -75,9 +103,14 @@ def profile(df: DataFrame, cols: Sequence[str], top: int = 3) -> DataFrame:
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("k"))
     number = F.percentile_approx(F.col("value").try_cast("double"), [0.25, 0.5, 0.75], 10_000)
     base = long.groupBy("column").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("value").isNull()).alias("nulls"), F.min("value").alias("least"), F.max("value").alias("most"), number.alias("quartiles"))
-    order = Window.partitionBy("column").orderBy(F.desc("k"), "value")
-    ranked = counts.filter("value is not null").withColumn("rank", F.row_number().over(order))
-    best = ranked.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"), F.array_sort(F.collect_list(F.when(F.col("rank") <= top, F.struct("rank", "value", "k")))).alias("b"))
+    # the top of each slice of a column's values first, then the top of those: no task ranks them all
+    order = lambda *by: Window.partitionBy("column", *by).orderBy(F.desc("k"), "value")
+    present = counts.filter("value is not null").withColumn("slice", F.pmod(F.xxhash64("value"), F.lit(SLICES)))
+    least = present.withColumn("rank", F.row_number().over(order("slice"))).filter(F.col("rank") <= top)
+    ranked = least.withColumn("rank", F.row_number().over(order())).filter(F.col("rank") <= top)
+    best = present.groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct")).join(
+        ranked.groupBy("column").agg(F.array_sort(F.collect_list(F.struct("rank", "value", "k"))).alias("b")), "column"
+    )
     named = F.array_join(F.transform("b", lambda r: F.concat_ws(":", r["value"], r["k"].cast("string"))), ",")
     out = base.join(best.select("column", "n_distinct", named.alias("top")), "column", "left")
     return out.withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0))).withColumn("null_rate", F.round(F.col("nulls") / F.col("n"), 6))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordloom.functions.geo import around, bounds, cell, haversine, polygon_distance
+from recordloom.sources.scratch import written
 
 SMALL_ROWS = 100_000
 
@@ -26,10 +27,10 @@ def left_join_1(df: DataFrame, dim: DataFrame, on: Sequence[str]) -> DataFrame:
 
 
 def outer_resolve(a: DataFrame, b: DataFrame, key: str, ts: str) -> DataFrame:
-    """Full outer join; each row from the side with the later ts, a on ties."""
+    """Full outer join; each row from the side with the later ts, a on ties; no ts is earlier than any."""
     cols = [c for c in a.columns if c != key]
     both = a.select(key, F.struct(*cols).alias("_a")).join(b.select(key, F.struct(*cols).alias("_b")), key, "full")
-    first = F.col("_b").isNull() | (F.col("_a").isNotNull() & (F.col(f"_a.{ts}") >= F.col(f"_b.{ts}")))
+    first = F.col("_b").isNull() | (F.col("_a").isNotNull() & (F.col(f"_b.{ts}").isNull() | F.coalesce(F.col(f"_a.{ts}") >= F.col(f"_b.{ts}"), F.lit(False))))
     return both.select(key, F.when(first, "a").otherwise("b").alias("side"), F.when(first, F.col("_a")).otherwise(F.col("_b")).alias("_r")).select(key, "side", "_r.*")
 
 
@@ -46,10 +47,24 @@ def with_params(df: DataFrame, params: DataFrame) -> DataFrame:
     return df.crossJoin(F.broadcast(params))
 
 
-def pairs(df: DataFrame, key: str, item: str) -> DataFrame:
-    """(item_a, item_b) with item_a < item_b that share a key, once for each."""
-    own = df.select(key, item).distinct()
-    return own.withColumnRenamed(item, "item_a").join(own.withColumnRenamed(item, "item_b"), key).filter("item_a < item_b")
+PAIR_BLOCK = 1_000  # items of a key that meet in one go
+
+
+def pairs(df: DataFrame, key: str, item: str, block: int = PAIR_BLOCK) -> DataFrame:
+    """(item_a, item_b) with item_a < item_b that share a key, once for each.
+
+    A light key's items meet as one group. Those of a heavy key, of over ``block`` items, are dealt over blocks,
+    and each pair of blocks is a group of its own, so that no task holds a key whole. Null keys and items have no pairs.
+    """
+    own = df.select(key, item).dropna().distinct()
+    heavy = own.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > block)
+    heavy = heavy.select(key, F.ceil(F.col("_n") / block).cast("int").alias("_blocks"))
+    dealt = own.join(small(heavy), key, "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
+    dealt = dealt.withColumn("_own", F.pmod(F.xxhash64(item), F.col("_blocks")).cast("int"))
+    left = dealt.select(key, F.col(item).alias("_x"), F.col("_own").alias("_i"), F.explode(F.sequence(F.col("_own"), F.col("_blocks") - 1)).alias("_j"))
+    right = dealt.select(key, F.col(item).alias("_y"), F.explode(F.sequence(F.lit(0), F.col("_own"))).alias("_i"), F.col("_own").alias("_j"))
+    met = left.join(right, [key, "_i", "_j"]).filter(F.when(F.col("_i") == F.col("_j"), F.col("_x") < F.col("_y")).otherwise(F.col("_x") != F.col("_y")))
+    return met.select(key, F.least("_x", "_y").alias("item_a"), F.greatest("_x", "_y").alias("item_b"))
 
 
 def next_vintage(df: DataFrame, key: str, label: str) -> DataFrame:
@@ -104,13 +119,84 @@ def near_polygon(points: DataFrame, polys: DataFrame, wkt: str, degrees: float,
     return met.withColumn("degrees", polygon_distance(F.col("lon"), F.col("lat"), F.col(wkt))).filter(F.col("degrees") <= degrees)
 
 
-def nearest(a: DataFrame, key: str, sites: DataFrame, site: str, degrees: float, k: int = 1) -> DataFrame:
-    """The k nearest sites of each row within its 3 x 3 cells."""
-    left = a.withColumn("_y", cell(F.col("lat"), degrees)).withColumn("_x", cell(F.col("lon"), degrees))
-    right = sites.withColumn("_y", F.explode(around(F.col("blat"), degrees))).withColumn("_x", F.explode(around(F.col("blon"), degrees)))
-    met = left.join(right, ["_y", "_x"]).withColumn("miles", haversine(F.col("lat"), F.col("lon"), F.col("blat"), F.col("blon")))
-    order = Window.partitionBy(key).orderBy("miles", site)
-    return met.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(key, site, "miles", "rank")
+START, DEEPEST, LEAF = 2, 20, 16  # levels of cells to begin and end with, sites of a cell that is not split
+
+
+def _unit(lat: Column, lon: Column) -> list[Column]:
+    """A place as a point of the unit sphere: no pole, no meridian; straight distance grows with the great-circle one."""
+    y, x = F.radians(lat), F.radians(lon)
+    return [F.cos(y) * F.cos(x), F.cos(y) * F.sin(x), F.sin(y)]
+
+
+def _steps(value: Column) -> Column:
+    """A coordinate from -1 to 1 in steps of the deepest level."""
+    return F.least(F.floor((value + 1) / 2 * (1 << DEEPEST)), F.lit((1 << DEEPEST) - 1)).cast("long")
+
+
+def _gap(axis: str, side: Column, far: bool) -> Column:
+    """Distance along an axis from the point to the nearest or farthest place of a cell."""
+    low, high, at = F.col(f"_{axis}c") * side - 1, (F.col(f"_{axis}c") + 1) * side - 1, F.col(f"_{axis}")
+    return F.greatest(F.abs(at - low), F.abs(at - high)) if far else F.greatest(low - at, at - high, F.lit(0.0))
+
+
+def nearest(a: DataFrame, key: str, sites: DataFrame, site: str, k: int = 1, filters: Mapping[str, Column] | None = None) -> DataFrame:
+    """The k nearest sites (site, blat, blon) of each row (key, lat, lon), anywhere on the globe.
+
+    Sites lie in cells of a cube around the globe; a cell with over ``LEAF`` sites is split in eight, so cells are
+    small where sites are dense. Each row looks from coarse cells to fine ones. At each level the
+    farthest place of the nearest cells that hold k sites together bounds how far the k-th site can be, and
+    cells that begin beyond go: what a row meets does not grow with the sites. With filters (name ->
+    condition on sites) the k nearest of each are found in the same passes, told apart by a column
+    ``filter``. Rows and sites without coordinates have no part; ties go to the least site.
+    """
+    named = filters or {"": F.lit(True)}
+    layers = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in named.items()]))
+    spots = sites.filter("blat is not null and blon is not null").select(F.explode(layers).alias("_f"), F.col(site), "blat", "blon", *[c.alias(f"_{n}") for n, c in zip("xyz", _unit(F.col("blat"), F.col("blon")))])
+    # of sites at one spot only the k least count; in slices first, should many share it
+    spot = lambda *by: Window.partitionBy("_f", "blat", "blon", *by).orderBy(site)
+    for w in (spot(F.pmod(F.xxhash64(site), F.lit(64))), spot()):
+        spots = spots.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
+    spots = written(spots.withColumns({f"_{n}s": _steps(F.col(f"_{n}")) for n in "xyz"}))
+    at = lambda level: [F.shiftright(f"_{n}s", DEEPEST - level).alias(f"_{n}c") for n in "xyz"]
+    cell_of = ["_f", "_xc", "_yc", "_zc"]
+    counts = lambda df, level: df.select("_f", *at(level)).groupBy(*cell_of).agg(F.count(F.lit(1)).alias("_n"))
+
+    points = a.filter("lat is not null and lon is not null").select(F.col(key), "lat", "lon", *[c.alias(f"_{n}") for n, c in zip("xyz", _unit(F.col("lat"), F.col("lon")))]).dropDuplicates([key])
+    points = points.withColumn("_f", F.explode(F.array(*map(F.lit, named))))
+    cells = counts(spots, START)  # at most 8 ** START of them a filter
+    front = points.join(F.broadcast(cells), "_f")
+    inside, level, leaves, housed = spots, START, None, []
+    while True:
+        side = F.lit(2.0 / (1 << level))
+        low, high = (F.sqrt(sum((F.pow(_gap(n, side, far), F.lit(2.0)) for n in "xyz"), F.lit(0.0))) for far in (False, True))
+        front = front.withColumns({"_low": low, "_high": high, "_level": F.lit(level)})
+        both = front if leaves is None else front.unionByName(leaves)
+        own = Window.partitionBy(key, "_f")
+        held = both.withColumn("_sum", F.sum("_n").over(own.orderBy("_high", "_low", *cell_of[1:], "_level")))
+        bound = F.min(F.when(F.col("_sum") >= k, F.col("_high"))).over(own)
+        near = written(held.withColumn("_bound", bound).filter(F.col("_bound").isNull() | (F.col("_low") <= F.col("_bound") + 1e-9)).drop("_sum", "_bound"))
+        split = (F.col("_n") > LEAF) & (F.col("_level") == level)
+        leaves = near.filter(~split)
+        placed = inside.select("*", *at(level))
+        if level == DEEPEST or near.filter(split).isEmpty():
+            leaves = near
+            housed.append(placed.withColumn("_level", F.lit(level)))
+            break
+        # sites of cells that are not split stay at this level, the others go deeper
+        parents = counts(inside, level).select(*cell_of, (F.col("_n") > LEAF).alias("_split"))
+        placed = written(placed.join(parents, cell_of))
+        housed.append(placed.filter("not _split").drop("_split").withColumn("_level", F.lit(level)))
+        inside = placed.filter("_split").drop("_split", *cell_of[1:])
+        children = counts(inside, level + 1).withColumns({f"_{n}p": F.shiftright(f"_{n}c", 1) for n in "xyz"})
+        down = near.filter(split).drop("_n", "_low", "_high", "_level").withColumnsRenamed({f"_{n}c": f"_{n}p" for n in "xyz"})
+        front = down.join(children, ["_f", "_xp", "_yp", "_zp"]).drop("_xp", "_yp", "_zp")
+        level += 1
+    sites_ = reduce(DataFrame.unionByName, [h.select(*cell_of, "_level", site, "blat", "blon") for h in housed])
+    met = leaves.select(key, "lat", "lon", *cell_of, "_level").join(sites_, [*cell_of, "_level"])
+    met = met.withColumn("miles", haversine(F.col("lat"), F.col("lon"), F.col("blat"), F.col("blon")))
+    order = Window.partitionBy(key, "_f").orderBy("miles", site)
+    out = met.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return out.select(key, *([F.col("_f").alias("filter")] if filters else []), site, "miles", "rank")
 
 
 def prefix_fallback(df: DataFrame, code: str, dim: DataFrame, dim_code: str, value: str, levels: Sequence[int], default) -> DataFrame:
@@ -162,38 +248,102 @@ def resolve_unique(df: DataFrame, key: str, target: str) -> DataFrame:
 
 
 def fuzzy_match(a: DataFrame, a_key: str, a_name: str, b: DataFrame, b_key: str, b_name: str, min_sim: float = 95.0) -> DataFrame:
-    """Best match of each a-row among b-rows of the same first token.
+    """Best match of each a-row among b-rows of the same first token, the least key of equal ones.
 
-    Names are compared with sorted tokens; token counts may differ by a third at most.
+    Names are compared with sorted tokens; token counts may differ by a third at most. A block never meets
+    whole: a b-name of l characters that may differ by d edits is cut into d + 1 segments, of which d edits
+    leave one as it was, at most d places away. So an a-name is compared only with names that share
+    such a segment at such a place. That loses no match, and for short names (d = 0) it is an
+    equi-join. Equal names meet once, whatever their rows.
     """
+    slack = (100.0 - min_sim) / 100.0
 
     def side(df: DataFrame, key: str, name: str, tag: str) -> DataFrame:
         parts = F.split(F.col(name), " ")
         return df.filter(F.col(name).isNotNull()).select(F.get(parts, F.lit(0)).alias("block"), F.col(key).alias(f"{tag}_key"), F.array_join(F.array_sort(parts), " ").alias(f"{tag}_sorted"), F.size(parts).alias(f"{tag}_n"))
 
-    met = side(a, a_key, a_name, "a").join(side(b, b_key, b_name, "b"), "block")
-    met = met.filter(F.least("a_n", "b_n") / F.greatest("a_n", "b_n") >= 0.66)
-    longest = F.greatest(F.length("a_sorted"), F.length("b_sorted"))
-    met = met.withColumn("similarity", F.round(100.0 * (1 - F.levenshtein("a_sorted", "b_sorted") / longest), 4)).filter(F.col("similarity") >= min_sim)
-    w = Window.partitionBy("a_key").orderBy(F.desc("similarity"), "b_key")
-    return met.withColumn("rank", F.row_number().over(w)).filter("rank = 1").select("a_key", "b_key", "similarity")
-
-
-def overlap_candidates(a: DataFrame, a_key: str, b: DataFrame, b_key: str, k: int) -> DataFrame:
+    def edits(length: Column) -> Column:
+        """The most edits that a match of a name of this length can have: those of the longest partner."""
+        return F.floor(F.floor(length / (1 - slack) + 1e-9) * slack + 1e-9).cast("int")
+
+    def cuts(length: Column, number: Column) -> Column:
+        """Where segment ``number`` of edits + 1 begins, from 1."""
+        return (F.floor(number * length / (edits(length) + 1)) + 1).cast("int")
+
+    left, right = side(a, a_key, a_name, "a"), side(b, b_key, b_name, "b")
+    names_a = left.select("block", "a_sorted", "a_n").distinct()
+    names_b = right.groupBy("block", "b_sorted", "b_n").agg(F.min("b_key").alias("b_key"))
+    n = F.length("b_sorted")
+    segments = names_b.withColumns({"l": n, "i": F.explode(F.sequence(F.lit(0), edits(n)))})
+    at = cuts(F.col("l"), F.col("i"))
+    segments = segments.withColumn("segment", F.substring(F.col("b_sorted"), at, cuts(F.col("l"), F.col("i") + 1) - at))
+    m = F.length("a_sorted")
+    lengths = F.sequence(F.ceil(m * (1 - slack) - 1e-9).cast("int"), F.floor(m / (1 - slack) + 1e-9).cast("int"))
+    probes = names_a.withColumn("l", F.explode(lengths)).withColumn("i", F.explode(F.sequence(F.lit(0), edits(F.col("l")))))
+    at, most = cuts(F.col("l"), F.col("i")), edits(F.col("l"))
+    probes = probes.withColumns({"long": cuts(F.col("l"), F.col("i") + 1) - at, "from": F.explode(F.sequence(F.greatest(at - most, F.lit(1)), at + most))})
+    probes = probes.filter(F.col("from") + F.col("long") - 1 <= m).withColumn("segment", F.substring(F.col("a_sorted"), F.col("from"), F.col("long")))
+    met = probes.select("block", "a_sorted", "a_n", "l", "i", "segment").distinct().join(segments, ["block", "l", "i", "segment"])
+    met = met.filter(F.least("a_n", "b_n") / F.greatest("a_n", "b_n") >= 0.66).select("block", "a_sorted", "a_n", "b_sorted", "b_n", "b_key").distinct()
+    longest = F.greatest(F.length("a_sorted"), F.length("b_sorted"), F.lit(1))
+    met = met.filter("a_sorted <> '' or b_sorted <> ''").withColumn("similarity", F.round(100.0 * (1 - F.levenshtein("a_sorted", "b_sorted") / longest), 4)).filter(F.col("similarity") >= min_sim)
+    best = met.groupBy("block", "a_sorted", "a_n").agg(F.min(F.struct(-F.col("similarity"), "b_key")).alias("b"))
+    own = left.join(best, ["block", "a_sorted", "a_n"]).select("a_key", "b.b_key", (-F.col("b.col1")).alias("similarity"))
+    first = own.groupBy("a_key").agg(F.min(F.struct(-F.col("similarity"), "b_key")).alias("b"))
+    return first.select("a_key", "b.b_key", (-F.col("b.col1")).alias("similarity"))
+
+
+COMMON = 200  # b-sets that share a token; one that more share makes no pairs
+
+
+def overlap_candidates(a: DataFrame, a_key: str, b: DataFrame, b_key: str, k: int, common: int = COMMON) -> DataFrame:
     """Top k b-rows of each a-row by shared tokens over the smaller token set (J19); both have ``tokens``
     and keys that don't repeat.
 
-    Distinct token sets meet, not rows: rows of one set score alike, so the k least keys of a b-set
-    are all that can rank. Pairs grow with the distinct sets that share a token.
+    Distinct token sets meet, not rows: rows of one set score alike, so the k least keys of a b-set are all
+    that can rank. Sets meet by their rare tokens only. Tokens of over ``common`` b-sets are
+    common: what a pair shares of them is counted where it meets by a rare one. A pair that shares common
+    tokens alone has a score that hangs on those and on the sizes, so b-sets are classed by their
+    common tokens and size, each class stands for its k least keys, and classes of both sides meet.
+    Of a class only what can still reach an a-set's k-th score is looked at.
     """
     left, right = a.select(a_key, F.array_sort("tokens").alias("_sa")), b.select(b_key, F.array_sort("tokens").alias("_sb"))
-    least = right.filter("_sb is not null").withColumn("_rn", F.row_number().over(Window.partitionBy("_sb").orderBy(b_key))).filter(F.col("_rn") <= k).drop("_rn")
-    one, two = left.select("_sa").distinct(), right.select("_sb").distinct()
-    shared = one.withColumn("token", F.explode("_sa")).join(two.withColumn("token", F.explode("_sb")), "token").groupBy("_sa", "_sb").agg(F.count(F.lit(1)).alias("shared"))
-    scored = shared.withColumn("score", F.col("shared") / F.least(F.size("_sa"), F.size("_sb"))).join(least, "_sb")
+    first = Window.partitionBy("_sb").orderBy(b_key)
+    least = written(right.filter("_sb is not null").withColumn("_rn", F.row_number().over(first)).filter(F.col("_rn") <= k).drop("_rn"))
+    two = least.select("_sb").distinct()
+    often = two.select(F.explode("_sb").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    often = written(often.filter(F.col("n") > common).select("token"))
+
+    def parted(sets: DataFrame, name: str) -> DataFrame:
+        """name, rare, common: each set with its tokens of both sorts."""
+        each = sets.select(name, F.explode(name).alias("token")).join(small(often.withColumn("_c", F.lit(True))), "token", "left")
+        sort = lambda keep: F.array_sort(F.collect_list(F.when(keep, F.col("token"))))
+        return written(each.groupBy(name).agg(sort(F.col("_c").isNull()).alias("rare"), sort(F.col("_c").isNotNull()).alias("common")))
+
+    one, two = parted(left.select("_sa").distinct(), "_sa"), parted(two, "_sb")
+    # pairs by rare tokens, with all that they share
+    by_rare = one.select("_sa", F.explode("rare").alias("token")).join(two.select("_sb", F.explode("rare").alias("token")), "token")
+    by_rare = by_rare.select("_sa", "_sb").distinct().withColumn("shared", F.size(F.array_intersect("_sa", "_sb")))
+    score = lambda x, y: F.col("shared") / F.least(x, y)
+    ranked = by_rare.withColumn("score", score(F.size("_sa"), F.size("_sb"))).join(least, "_sb").select("_sa", b_key, "shared", "score")
     w = Window.partitionBy("_sa").orderBy(F.desc("score"), F.desc("shared"), b_key)
-    best = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return left.join(best, "_sa").select(a_key, b_key, "shared", "score", "rank")
+    ranked = written(ranked.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k))
+    # classes of equal common tokens and size
+    kinds_b = least.join(two, "_sb").filter(F.size("common") > 0).select(F.col("common").alias("_cb"), F.size("_sb").alias("_nb"), b_key)
+    inside = Window.partitionBy("_cb", "_nb").orderBy(b_key)
+    kinds_b = written(kinds_b.withColumn("_rn", F.row_number().over(inside)).filter(F.col("_rn") <= k).drop("_rn"))
+    classes = kinds_b.select("_cb", "_nb").distinct()
+    floor = ranked.groupBy("_sa").agg(F.min(F.when(F.col("rank") == k, F.col("score"))).alias("_least"))
+    kinds_a = one.filter(F.size("common") > 0).join(floor, "_sa", "left").groupBy(F.col("common").alias("_ca"), F.size("_sa").alias("_na")).agg(F.min(F.coalesce("_least", F.lit(0.0))).alias("_floor"))
+    met = kinds_a.select("*", F.explode("_ca").alias("token")).join(classes.select("*", F.explode("_cb").alias("token")), "token").drop("token").distinct()
+    met = met.withColumn("shared", F.size(F.array_intersect("_ca", "_cb"))).withColumn("score", score(F.col("_na"), F.col("_nb"))).filter(F.col("score") >= F.col("_floor"))
+    best = Window.partitionBy("_ca", "_na").orderBy(F.desc("score"), F.desc("shared"), b_key)
+    # a pair that has met by a rare token as well stands before those behind it here, so k are enough
+    kin = met.join(kinds_b, ["_cb", "_nb"]).withColumn("_rn", F.row_number().over(best)).filter(F.col("_rn") <= k).select(F.col("_ca").alias("common"), F.col("_na").alias("_n"), b_key, "shared", "score")
+    by_class = one.withColumn("_n", F.size("_sa")).join(kin, ["common", "_n"]).select("_sa", b_key, "shared", "score")
+    every = ranked.drop("rank").unionByName(by_class).groupBy("_sa", b_key).agg(F.max(F.struct("score", "shared")).alias("m")).select("_sa", b_key, "m.shared", "m.score")
+    top = every.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return left.join(top, "_sa").select(a_key, b_key, F.col("shared").cast("long").alias("shared"), "score", "rank")
 
 
 def attribute_email(emails: DataFrame, people: DataFrame, org: str, patterns: Mapping[str, Column]) -> DataFrame:

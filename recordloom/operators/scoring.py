@@ -84,11 +84,13 @@ def shard(df: DataFrame, key: str, n: int) -> DataFrame:
 
 
 def apply_corrections(df: DataFrame, key: str, ledger: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Facts with the latest assertion of each field over them (X10). ledger: key, field, value, seq."""
-    last = ledger.groupBy(key, "field").agg(F.max_by("value", "seq").alias("value"))
-    wide = last.groupBy(key).pivot("field", list(cols)).agg(F.first("value"))
+    """Facts with the latest assertion of each field over them; an assertion of null sets null.
+    ledger: key, field, value, seq."""
+    last = ledger.groupBy(key, "field").agg(F.max_by(F.struct("value"), "seq").alias("said"))
+    wide = last.groupBy(key).pivot("field", list(cols)).agg(F.first("said"))
     joined = df.join(wide.select(key, *[F.col(c).alias(f"_{c}") for c in cols]), key, "left")
-    return joined.select(*[F.coalesce(F.col(f"_{c}").cast(df.schema[c].dataType), F.col(c)).alias(c) if c in cols else F.col(c) for c in df.columns])
+    now = lambda c: F.when(F.col(f"_{c}").isNull(), F.col(c)).otherwise(F.col(f"_{c}.value").cast(df.schema[c].dataType))
+    return joined.select(*[now(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def book(df: DataFrame, party: str, counter: str, code: str, measure: str, top: int, floor: float) -> DataFrame:

@@ -42,9 +42,42 @@ def q06(t):
     return Q.parity(t.orders, t.orders.filter("o_orderkey % 2 = 0"), ["o_custkey"])
 
 
-@query("q07_digest", "select count(*) as n, cast(sum(cast('0x' || substr(md5(concat_ws('|', c_custkey, c_name, c_nationkey, c_mktsegment)), 1, 12) as hugeint)) as varchar) as digest from customer")
+def _tagged(columns):
+    """DuckDB text of a row's fields with type and length; nulls as a mark of their own."""
+    return " || ".join(f"case when {c} is null then '{k}~' else '{k}:' || length({c}::varchar) || ':' || {c}::varchar end" for c, k in columns.items())
+
+
+def _digest_sql(columns, source):
+    part = "sum(cast('0x' || substr(h, {}, 8) as hugeint)) % 2305843009213693951"
+    return f"select count(*) as n, concat_ws('-', {', '.join(part.format(1 + 8 * i) for i in range(4))}) as digest from (select sha256({_tagged(columns)}) as h from {source})"
+
+
+Q07 = {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_mktsegment": "string"}
+
+
+@query("q07_digest", _digest_sql(Q07, "(select c_custkey, c_name, c_nationkey, case when c_custkey % 9 <> 0 then c_mktsegment end as c_mktsegment from customer)"))
 def q07(t):
-    return Q.digest(t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"))
+    segment = F.when(F.col("c_custkey") % 9 != 0, F.col("c_mktsegment")).alias("c_mktsegment")
+    return Q.digest(t.customer.select(F.col("c_custkey").cast("bigint"), "c_name", F.col("c_nationkey").cast("int"), segment))
+
+
+@query(
+    "q08_gate_schema",
+    """select * from (values ('c_custkey', 'bigint', 'string', false), ('c_name', 'string', 'string', true), ('c_nationkey', 'int', null, false), ('c_phone', null, 'string', false)) x("column", a, b, same)
+    where exists (select 1 from customer)""",
+)
+def q08(t):
+    """A table against an altered copy: one type changed, one column gone, one new."""
+    own = t.customer.select(F.col("c_custkey").cast("bigint"), "c_name", F.col("c_nationkey").cast("int"))
+    return Q.gate_schema(t.spark, own, own.select(F.col("c_custkey").cast("string"), "c_name", F.lit("").alias("c_phone")))
+
+
+@query("q09_gate_plans", "select * from (values ('equi', '', true), ('theta', 'CartesianProduct', false)) x(plan, joins, passed) where exists (select 1 from orders)")
+def q09(t):
+    """An equi-join passes; all pairs of two tables do not."""
+    orders, customers = t.orders.select("o_custkey"), t.customer.select("c_custkey")
+    pairs = orders.hint("shuffle_replicate_nl").crossJoin(customers)
+    return Q.gate_plans(t.spark, {"equi": orders.join(customers, F.col("o_custkey") == F.col("c_custkey")), "theta": pairs})
 
 
 PROFILE = "select '{c}' as column, count(*) as n, count(*) filter (where {c} is null) as nulls, count(distinct {c}) as n_distinct, min({c}::varchar) as least, max({c}::varchar) as most, {q} as quartiles, (select string_agg(v || ':' || k, ',' order by k desc, v) from (select {c}::varchar as v, count(*) as k from customer group by 1 order by 2 desc, 1 limit 3)) as top, round(count(*) filter (where {c} is null) / count(*), 6) as null_rate from customer"

@@ -61,7 +61,6 @@ H04_SQL = f"with {TREE}, a as (select c_custkey as k from customer), x as (selec
 
 
 @query("h04_family", H04_SQL)
-@query("h04_family_all", H04_SQL)
 def h04(t):
     return G.family(t.customer, "c_custkey", tree(t))
 
@@ -122,7 +121,6 @@ H07_SQL = f"with {PART_EDGES}, {PART_HELD}, {INFER} select * from inf"
 
 
 @query("h07_infer", H07_SQL)
-@query("h07_infer_parts", H07_SQL)
 def h07_parts(t):
     return G.infer(_parts(t, "l_suppkey"), "l_suppkey", "item", _part_edges(t))
 
@@ -131,7 +129,6 @@ H08_SQL = f"with {PART_EDGES}, {PART_HELD}, {INFER} select l_suppkey, item, hits
 
 
 @query("h08_recommend", H08_SQL)
-@query("h08_recommend_parts", H08_SQL)
 def h08_parts(t):
     return G.recommend(_parts(t, "l_suppkey"), "l_suppkey", "item", _part_edges(t), 5).withColumn("rank", F.col("rank").cast("long"))
 

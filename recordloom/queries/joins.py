@@ -121,11 +121,32 @@ def j11_north(t):
 
 @query(
     "j12_nearest",
-    f"""with a as ({CUSTOMERS}), b as ({SITES}), m as (select c_custkey, s_suppkey, {MILES} as miles from a, b where abs(floor(lat) - floor(blat)) <= 1 and abs(floor(lon) - floor(blon)) <= 1)
+    f"""with a as ({CUSTOMERS}), b as ({SITES}), m as (select c_custkey, s_suppkey, {MILES} as miles from a, b)
     select c_custkey, s_suppkey, round(miles, 4) as miles, rank from (select *, row_number() over (partition by c_custkey order by miles, s_suppkey) as rank from m) where rank <= 2""",
 )
 def j12(t):
-    return J.nearest(places(t), "c_custkey", sites(t), "s_suppkey", 1.0, 2).withColumn("miles", F.round("miles", 4)).withColumn("rank", F.col("rank").cast("long"))
+    return J.nearest(places(t), "c_custkey", sites(t), "s_suppkey", 2).withColumn("miles", F.round("miles", 4)).withColumn("rank", F.col("rank").cast("long"))
+
+
+GLOBE_LAT, GLOBE_LON = "cast(-90 + (c_custkey * 7919) % 18001 / 100.0 as double)", "cast(-180 + (c_custkey * 104729) % 36000 / 100.0 as double)"
+GLOBE_BLAT = "cast(case when s_suppkey % 3 = 0 then 61 + s_suppkey % 90 / 100.0 when s_suppkey % 3 = 1 then -89.9 else s_suppkey % 50 end as double)"
+GLOBE_BLON = "cast(case when s_suppkey % 2 = 0 then 179.9 - s_suppkey % 40 / 100.0 else -179.5 + s_suppkey % 360 end as double)"
+GLOBE_C = f"select c_custkey, {GLOBE_LAT} as lat, {GLOBE_LON} as lon from customer"
+GLOBE_S = f"select s_suppkey, s_acctbal, {GLOBE_BLAT} as blat, {GLOBE_BLON} as blon from supplier"
+
+
+@query(
+    "j12_nearest_globe",
+    f"""with a as ({GLOBE_C}), b as ({GLOBE_S}), f as (select *, unnest(case when s_acctbal > 5000 then ['all', 'rich'] else ['all'] end) as "filter" from b),
+    m as (select c_custkey, "filter", s_suppkey, {MILES} as miles from a, f)
+    select c_custkey, "filter", s_suppkey, round(miles, 3) as miles, rank from (select *, row_number() over (partition by c_custkey, "filter" order by miles, s_suppkey) as rank from m) where rank <= 1""",
+)
+def j12_globe(t):
+    """Places all over the globe, poles and the 180th meridian too, and sites in three dense lots; two filters at once."""
+    a = t.customer.select("c_custkey", F.expr(GLOBE_LAT).alias("lat"), F.expr(GLOBE_LON).alias("lon"))
+    b = t.supplier.select("s_suppkey", "s_acctbal", F.expr(GLOBE_BLAT).alias("blat"), F.expr(GLOBE_BLON).alias("blon"))
+    met = J.nearest(a, "c_custkey", b, "s_suppkey", 1, {"all": F.lit(True), "rich": F.col("s_acctbal") > 5000})
+    return met.withColumn("miles", F.round("miles", 3)).withColumn("rank", F.col("rank").cast("long"))
 
 
 @query(
@@ -216,7 +237,6 @@ J19_SQL = """with p as (select p_partkey, list_distinct(string_split(p_name || '
 
 
 @query("j19_overlap_candidates", J19_SQL)
-@query("j19_overlap_candidates_all", J19_SQL)
 def j19(t):
     own = t.part.select("p_partkey", F.array_distinct(F.split(F.concat_ws(" ", "p_name", F.lower("p_type")), " ")).alias("tokens"))
     a = own.filter("p_partkey % 2 = 0").withColumnRenamed("p_partkey", "a_part")

@@ -93,10 +93,22 @@ def x09(t):
     return S.shard(t.orders, "o_orderkey", 16).select("o_orderkey", "shard")
 
 
-@query("x10_apply_corrections", "select c_custkey, case when c_custkey % 10 = 0 then 'v2' || c_custkey when c_custkey % 5 = 0 then 'v1' || c_custkey else c_name end as c_name, c_mktsegment from customer")
+@query(
+    "x10_apply_corrections",
+    """select c_custkey, case when c_custkey % 10 = 0 then 'v2' || c_custkey when c_custkey % 5 = 0 then 'v1' || c_custkey else c_name end as c_name,
+    case when c_custkey % 7 <> 0 then c_mktsegment end as c_mktsegment from customer""",
+)
 def x10(t):
-    entry = lambda step, seq: t.customer.filter(f"c_custkey % {step} = 0").select("c_custkey", F.lit("c_name").alias("field"), F.concat(F.lit(f"v{seq}"), F.col("c_custkey")).alias("value"), F.lit(seq).alias("seq"))
-    return S.apply_corrections(t.customer.select("c_custkey", "c_name", "c_mktsegment"), "c_custkey", entry(5, 1).union(entry(10, 2)), ["c_name", "c_mktsegment"])
+    """Names asserted once or twice; market segments asserted to be unknown."""
+
+    def entry(field, step, seq, value):
+        own = t.customer.filter(f"c_custkey % {step} = 0")
+        return own.select("c_custkey", F.lit(field).alias("field"), value.alias("value"), F.lit(seq).alias("seq"))
+
+    named = lambda seq: F.concat(F.lit(f"v{seq}"), F.col("c_custkey"))
+    ledger = entry("c_name", 5, 1, named(1)).union(entry("c_name", 10, 2, named(2)))
+    ledger = ledger.union(entry("c_mktsegment", 7, 1, F.lit("X"))).union(entry("c_mktsegment", 7, 2, F.lit(None).cast("string")))
+    return S.apply_corrections(t.customer.select("c_custkey", "c_name", "c_mktsegment"), "c_custkey", ledger, ["c_name", "c_mktsegment"])
 
 
 @query(

@@ -33,14 +33,14 @@ LATEST = "select user_id, arg_max(event_id, (ts, event_id)) as event_id, arg_max
 @query("z02_incremental_upsert", LATEST)
 def z02(t):
     root = folder(t.spark)
-    Z.incremental_upsert(_delivered(t), root, folder(t.spark), "user_id", ["ts", "event_id"]).awaitTermination()
+    Z.incremental_upsert(_delivered(t), root, folder(t.spark), "user_id", ["ts", "event_id"], since="ts").awaitTermination()
     return Z.read_table(t.spark, root).select("user_id", "event_id", "event_type")
 
 
 @query("z02_newer", "select event_id, user_id from events where ts > (select max(ts) from events where ts < timestamp '2024-01-16')")
 def z02_newer(t):
     """A pull that overlaps what has landed by six days."""
-    return Z.newer(t.events.filter("ts < '2024-01-16'"), t.events.filter("ts >= '2024-01-10'"), "ts").select("event_id", "user_id")
+    return Z.newer(t.events.filter("ts < '2024-01-16'"), t.events.filter("ts >= '2024-01-10'"), "ts", ["event_id"]).select("event_id", "user_id")
 
 
 @query("z03_append_then_latest", LATEST)

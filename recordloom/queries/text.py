@@ -189,7 +189,6 @@ V03_SQL = f"""with a as (select vec_id as query, embedding as e from embeddings
 
 
 @query("v03_vector_match", V03_SQL)
-@query("v03_vector_match_all", V03_SQL)
 def v03(t):
     own = _queries(t)
     same = own.select("query", F.col("query").alias("vec_id"))

@@ -150,7 +150,7 @@ def test_overlap_candidates_of_all_parts(spark):
     for a in (k for k in sets if k % 2 == 0):
         met = [(-len(sets[a] & sets[b]) / min(len(sets[a]), len(sets[b])), -len(sets[a] & sets[b]), b) for b in sets if b % 2 and sets[a] & sets[b]]
         want |= {(a, b, -n, round(-s, 6), i + 1) for i, (s, n, b) in enumerate(sorted(met)[:3])}
-    got = QUERIES["j19_overlap_candidates_all"](spark, root)
+    got = QUERIES["j19_overlap_candidates"](spark, root)
     assert {tuple(r) for r in got.select("a_part", "b_part", "shared", "score", "rank").collect()} == want
 
 
@@ -169,7 +169,7 @@ def test_probing_search_reaches_recall(spark):
     from recordloom.queries import QUERIES
 
     for size in ("sf0.01", "sf0.1"):
-        exact = QUERIES["v03_vector_match_all"](spark, f"/root/testdata/{size}").filter("rank <= 9").select("query", "vec_id")
+        exact = QUERIES["v03_vector_match"](spark, f"/root/testdata/{size}").filter("rank <= 9").select("query", "vec_id")
         near = QUERIES["v04_ivf_search"](spark, f"/root/testdata/{size}").filter("query <> vec_id").select("query", "vec_id")
         recall = near.join(exact, ["query", "vec_id"]).count() / exact.count()
         print(size, recall)
