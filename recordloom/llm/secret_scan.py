@@ -50,28 +50,54 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def running(values: Column, op, start: Column) -> Column:
+    """Running results of op(acc, value), a value's own included; op is associative, start its identity.
+
+    Arrays grow by copies, so they are kept short: pieces of about the square root of the size each run on
+    their own, and then from what the pieces before them come to.
+    """
+    typed = F.array(start)
+
+    def fold(part: Column, first: Column) -> Column:
+        zero = F.struct(first.alias("at"), F.slice(typed, F.lit(1), F.lit(0)).alias("out"))
+
+        def step(acc: Column, x: Column) -> Column:
+            return let(op(acc["at"], x), lambda now: F.struct(now.alias("at"), F.concat(acc["out"], F.array(now)).alias("out")))
+
+        return F.aggregate(part, zero, step, lambda acc: acc["out"])
+
+    def pieces(v: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(v).cast("double"))).cast("int")
+        return F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.slice(v, i * width + 1, width))
+
+    def joined_(parts: Column) -> Column:
+        whole = F.transform(parts, lambda p: F.aggregate(p, start, lambda acc, x: op(acc, x)))
+        ends = fold(whole, start)
+        before = let(ends, lambda e: F.concat(typed, F.slice(e, F.lit(1), F.size(e) - 1)))
+        return F.flatten(F.zip_with(parts, before, fold))
+
+    return let(values, lambda v: F.when(F.size(v) == 0, F.slice(typed, F.lit(1), F.lit(0))).otherwise(let(pieces(v), joined_)))
+
+
+SPAN = "array<struct<start:bigint,kind:int,end:bigint,token:string>>"
+
+
 def _spans(text: Column, pattern: str, kind: int, keep=None) -> Column:
-    """array<struct<start,kind,end>> of the leftmost non-overlapping matches; keep filters by match text."""
-    none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
-    zero = F.struct(F.lit(0).cast("long").alias("pos"), none.alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["pos"] + F.length(x["gap"])
-        end = start + F.length(x["hit"])
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
-        ok = keep(x["hit"]) if keep else F.lit(True)
-        return F.struct(end.alias("pos"), F.when(ok, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
-
-    def walk(hits: Column) -> Column:
+    """array<struct<start,kind,end,token>> of the leftmost non-overlapping matches; keep filters by match text."""
+
+    def lay(hits: Column) -> Column:
         gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits))
-        pairs = F.zip_with(gaps, hits, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
-        return F.aggregate(pairs, zero, step, lambda acc: acc["out"])
+        steps = F.zip_with(gaps, hits, lambda g, h: (F.length(g) + F.length(h)).cast("long"))
+        ends = running(steps, lambda a, x: a + x, F.lit(0).cast("long"))
+        return F.zip_with(ends, hits, lambda end, h: F.struct((end - F.length(h)).alias("start"), F.lit(kind).alias("kind"), end.alias("end"), h.alias("token")))
 
-    return F.when(text.rlike(pattern), let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), walk)).otherwise(none)
+    spans = let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lay)
+    kept = F.filter(spans, lambda s: keep(s["token"])) if keep else spans
+    return F.when(text.rlike(pattern), kept).otherwise(F.array().cast(SPAN))
 
 
 def base_spans(text: Column) -> Column:
-    """Sorted spans of the three fixed kinds."""
+    """Sorted spans of the three fixed kinds, with their text."""
     long_value = lambda hit: F.length(F.regexp_extract(hit, ASSIGN, 2)) >= 12
     return F.array_sort(F.concat(_spans(text, ASSIGN, 0, long_value), _spans(text, ACCESS, 1), _spans(text, HEX, 2)))
 
@@ -109,11 +135,11 @@ def p_value(token: Column) -> Column:
 
     def values(t: Column) -> Column:
         v = F.transform(F.split(t["token"], ""), lambda c: F.instr(t["symbols"], c).cast("double") - 1)
-        return F.struct(v.alias("v"), F.length(t["symbols"]).cast("double").alias("k"), F.length(t["token"]).cast("double").alias("n"))
+        return F.struct(t["token"].alias("token"), v.alias("v"), F.length(t["symbols"]).cast("double").alias("k"), F.length(t["token"]).cast("double").alias("n"))
 
     def parts(t: Column) -> Column:
         high = F.transform(t["v"], lambda x: F.when(x >= t["k"] / 2, 1.0).otherwise(0.0))
-        counts = F.transform(F.array_distinct(t["v"]), lambda x: F.pow(F.size(F.filter(t["v"], lambda y: y == x)).cast("double"), F.lit(2.0)))
+        counts = F.transform(F.array_distinct(F.split(t["token"], "")), lambda c: F.pow(t["n"] - F.length(F.replace(t["token"], c, F.lit(""))), F.lit(2.0)))
         mid = _sum(t["v"]) / t["n"]
         return F.struct(t["v"].alias("v"), t["k"].alias("k"), t["n"].alias("n"), high.alias("high"), mid.alias("mid"), _sum(counts).alias("squares"))
 
@@ -163,31 +189,57 @@ def _mixed(t: Column) -> Column:
     return t.rlike("[0-9]") & t.rlike("[A-Za-z]")
 
 
+WIDTH = 256  # characters of a slice
+
+
+def sliced(text: Column) -> Column:
+    """Slices of a text, so that what stands at a place is found without a walk from its begin."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{WIDTH}}}"), F.lit(0))
+
+
+def between(slices: Column, start: Column, end: Column) -> Column:
+    """Characters start to end (exclusive, from 0) of a sliced text."""
+    first = F.floor(start / WIDTH)
+    near = F.array_join(F.transform(F.sequence(first, F.floor((end - 1) / WIDTH)), lambda i: F.get(slices, i.cast("int"))), "")
+    return F.when(end <= start, F.lit("")).otherwise(F.substring(near, (start - first * WIDTH + 1).cast("int"), (end - start).cast("int")))
+
+
 def decoy(token: Column, prose: Column, number: Column) -> Column:
-    """token with its letters replaced by consecutive letters of prose, from a place that number gives, in
-    the token's cases."""
+    """token with its letters replaced by consecutive letters of prose (slices, n, text), from a place that
+    number gives, in the token's cases. Prose shorter than the token is repeated."""
     n = F.length(token)
-    enough = F.when(F.length(prose) >= n, prose).otherwise(F.repeat(prose, (F.ceil(n / F.length(prose)) + 1).cast("int")))
+    times = (F.ceil(n / prose["n"]) + 1).cast("int")
+    size = F.when(prose["n"] >= n, prose["n"]).otherwise(prose["n"] * times).cast("long")
 
-    def letters(source: Column) -> Column:
-        place = F.pmod(F.xxhash64(token, number), F.length(source) - n + 1)
-        return F.split(F.substring(source, (place + 1).cast("int"), n), "")
+    def letters(place: Column) -> Column:
+        found = F.when(prose["n"] >= n, between(prose["slices"], place, place + n)).otherwise(F.substring(F.repeat(F.array_join(prose["slices"], ""), times), (place + 1).cast("int"), n))
+        return F.split(found, "")
 
     own = lambda c, x: F.when(c.rlike("[A-Z]"), F.upper(x)).when(c.rlike("[a-z]"), F.lower(x)).otherwise(c)
-    return F.array_join(F.zip_with(F.split(token, ""), let(enough, letters), own), "")
+    return F.array_join(F.zip_with(F.split(token, ""), let(F.pmod(F.xxhash64(token, number), size - n + 1), letters), own), "")
 
 
 def score_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """band, bin, targets, decoys: how many candidates and decoys of the corpus have their score there."""
+    """band, bin, targets, decoys: how many candidates and decoys of the corpus have their score there.
+
+    A document's letters stay in one place; only bands, bins and numbers leave it.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
     found = docs.select(text.alias("text"), candidates(text).alias("found")).filter(F.size("found") > 0)
-    prose = F.regexp_replace(F.regexp_replace("text", CANDIDATE, " "), "[^A-Za-z]+", "")
-    each = found.select(F.explode("found").alias("token"), prose.alias("prose"))
-    numbers = F.when(F.length("prose") > 0, F.sequence(F.lit(0), F.lit(DECOYS))).otherwise(F.array(F.lit(0)))
-    drawn = each.select("token", "prose", F.explode(numbers).alias("number"))
-    tried = F.when(F.col("number") == 0, F.col("token")).otherwise(decoy(F.col("token"), F.col("prose"), F.col("number")))
-    scored = drawn.select(_band(F.length("token")).alias("band"), _bin(p_value(tried)).alias("bin"), "number")
-    return scored.groupBy("band", "bin").agg(F.count_if(F.col("number") == 0).alias("targets"), F.count_if(F.col("number") > 0).alias("decoys"))
+    letters = F.regexp_replace(F.regexp_replace("text", CANDIDATE, " "), "[^A-Za-z]+", "")
+    prose = let(letters, lambda x: F.struct(sliced(x).alias("slices"), F.length(x).alias("n")))
+
+    def scored(doc: Column) -> Column:
+        numbers = F.when(doc["prose"]["n"] > 0, F.sequence(F.lit(0), F.lit(DECOYS))).otherwise(F.array(F.lit(0)))
+
+        def tried(token: Column) -> Column:
+            one = lambda i: F.when(i == 0, token).otherwise(decoy(token, doc["prose"], i))
+            return F.transform(numbers, lambda i: F.struct(_band(F.length(token)).alias("band"), _bin(p_value(one(i))).alias("bin"), i.alias("number")))
+
+        return F.flatten(F.transform(doc["found"], tried))
+
+    each = found.select(F.explode(let(F.struct("found", prose.alias("prose")), scored)).alias("s")).select("s.*")
+    return each.groupBy("band", "bin").agg(F.count_if(F.col("number") == 0).alias("targets"), F.count_if(F.col("number") > 0).alias("decoys"))
 
 
 def report_bins(counts: DataFrame, fdr: float = FDR) -> DataFrame:
@@ -204,6 +256,21 @@ def report_bins(counts: DataFrame, fdr: float = FDR) -> DataFrame:
     return last.agg(F.map_from_entries(F.collect_list(F.struct("band", "bin"))).alias("cuts"))
 
 
+def _apart(base: Column, runs: Column) -> Column:
+    """The runs that overlap no base span: in the order of starts no base span before one reaches beyond its
+    start, and the next one begins behind its end."""
+    none, far = F.lit(0).cast("long"), F.lit(1 << 60)
+
+    def marked(every: Column) -> Column:
+        fixed = lambda x: x["kind"] < 3
+        reach = running(F.transform(every, lambda x: F.when(fixed(x), x["end"]).otherwise(none)), F.greatest, none)
+        ahead = F.reverse(running(F.reverse(F.transform(every, lambda x: F.when(fixed(x), x["start"]).otherwise(far))), F.least, far))
+        return F.zip_with(F.zip_with(every, reach, lambda x, r: F.struct(x.alias("x"), r.alias("r"))), ahead, lambda y, a: F.struct(y["x"].alias("x"), y["r"].alias("r"), a.alias("a")))
+
+    free_ = F.filter(let(F.array_sort(F.concat(base, runs)), marked), lambda m: (m["x"]["kind"] == 3) & (m["r"] <= m["x"]["start"]) & (m["a"] >= m["x"]["end"]))
+    return F.transform(free_, lambda m: m["x"])
+
+
 def scan(docs: DataFrame, text_col: str = "text", fdr: float = FDR, out_col: str = "secrets") -> DataFrame:
     """docs with a column out_col: array<struct<start,kind,end>>, sorted; kind indexes KINDS. A column of
     that name is replaced; no other name can clash."""
@@ -213,13 +280,11 @@ def scan(docs: DataFrame, text_col: str = "text", fdr: float = FDR, out_col: str
     found = docs.withColumns({base: base_spans(text), runs: _spans(text, CANDIDATE, 3, _mixed)})
 
     def reported(s: Column) -> Column:
-        token = F.substring(text, s["start"].cast("int") + 1, (s["end"] - s["start"]).cast("int"))
-        apart = ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
         last = F.element_at(F.col(cuts), _band(s["end"] - s["start"]))
-        return apart & F.when(last.isNull(), False).otherwise(_bin(p_value(token)) <= last)
+        return F.when(last.isNull(), False).otherwise(_bin(p_value(s["token"])) <= last)
 
-    extra = F.when(F.size(runs) == 0, F.col(runs)).otherwise(F.filter(runs, reported))
-    spans = F.array_sort(F.concat(base, extra))
+    extra = F.when(F.size(runs) == 0, F.col(runs)).otherwise(F.filter(_apart(F.col(base), F.col(runs)), reported))
+    spans = F.transform(F.array_sort(F.concat(base, extra)), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
     return found.crossJoin(F.broadcast(bins)).withColumn(out_col, spans).drop(base, runs, cuts)  # bins: one row
 
 
@@ -232,19 +297,19 @@ def joined(spans: Column) -> Column:
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", fdr: float = FDR) -> DataFrame:
     """docs with every secret span of the text replaced by mark; overlapping spans share one mark.
     Texts without secrets, nulls among them, stay as they are."""
-    zero = F.struct(F.lit(0).cast("long").alias("pos"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(F.col(text_col), (acc["pos"] + 1).cast("int"), (s["start"] - acc["pos"]).cast("int"))
-        fresh = s["start"] >= acc["pos"]
-        return F.struct(
-            F.greatest(acc["pos"], s["end"]).alias("pos"),
-            F.when(fresh, F.concat(acc["out"], gap, F.lit(mark))).otherwise(acc["out"]).alias("out"),
-        )
-
-    spans = free("secrets", docs.columns)
-    rest = lambda acc: F.concat(acc["out"], F.substring(F.col(text_col), (acc["pos"] + 1).cast("int"), F.length(F.col(text_col))))
-    clean = F.when(F.size(spans) == 0, F.col(text_col)).otherwise(F.aggregate(spans, zero, step, rest))
+    spans, zero = free("secrets", docs.columns), F.lit(0).cast("long")
+
+    def cut_out(doc: Column) -> Column:
+        reach = doc["reach"]  # how far the spans up to each one go
+        before = F.concat(F.array(zero), F.slice(reach, F.lit(1), F.size(reach) - 1))
+        gaps = F.zip_with(doc["spans"], before, lambda s, done: F.when(s["start"] >= done, F.concat(between(doc["slices"], done, s["start"]), F.lit(mark))))
+        end = F.element_at(reach, -1)
+        return F.concat(F.array_join(F.array_compact(gaps), ""), between(doc["slices"], end, doc["n"].cast("long")))
+
+    text = F.col(text_col)
+    reach = running(F.transform(spans, lambda s: s["end"]), F.greatest, zero)
+    doc = F.struct(F.col(spans).alias("spans"), reach.alias("reach"), sliced(text).alias("slices"), F.length(text).alias("n"))
+    clean = F.when(F.size(spans) == 0, text).otherwise(let(doc, cut_out))
     return scan(docs, text_col, fdr, spans).withColumn(text_col, clean).drop(spans)
 
 

@@ -31,6 +31,8 @@ def slices(texts: Sequence[Sized], limit: int = 4 << 20) -> Iterator[tuple[int,
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")  # fixed value: the tokenizer's own pattern
 
 
+MARK = " "  # before special tokens; no word holds a space
+
 PROBE = "It's Été, ONE-two\n  x=3.14 (don't) ΣΑΣ naïve_42 tab\there — 日本 and so on..."
 
 
@@ -56,7 +58,12 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.keep, self.letters = Tokenizer.from_file(path), keep, byte_letters()
-        self.tokenizer.encode_special_tokens = True
+        # the strings of special tokens are tokens of their own as they stand, and ordinary in any other case
+        specials = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items() if not t.normalized}
+        self.specials = {MARK + t: i for t, i in specials.items()}
+        self.special = re.compile("(" + "|".join(map(re.escape, sorted(specials, key=len, reverse=True))) + ")") if specials else None
+        self.plain = Tokenizer.from_file(path)
+        self.plain.encode_special_tokens = True
         self.model, self.parts = self.tokenizer.model, {}
         self._clear()
         if self.encode([PROBE])[0].tolist() != self.tokenizer.encode(PROBE, add_special_tokens=False).ids:
@@ -77,7 +84,7 @@ class WordIds:
         self.begins = np.cumsum(self.lengths) - self.lengths
 
     def _part(self, part: str) -> bytes:
-        letters = part if part.isascii() else part.encode("utf-8").decode("latin-1").translate(self.letters)
+        letters = part if part.isascii() and part.isprintable() else part.encode("utf-8").decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def _kept(self, part: str) -> bytes:
@@ -85,10 +92,12 @@ class WordIds:
         return ids
 
     def _whole(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, np.uint32).tobytes()
+        return np.array(self.plain.encode(word, add_special_tokens=False).ids, np.uint32).tobytes()
 
     def _word(self, word: str) -> bytes:
         parts = self.parts
+        if word in self.specials:
+            return array("I", [self.specials[word]]).tobytes()
         if word.isalpha() and (word.isascii() or max(word) < "\u0530"):
             return parts.get(word) or self._part(word)  # the word itself is kept by its place
         if not word.isascii() and max(word) >= "\u0530" or ODD.search(word):
@@ -113,10 +122,14 @@ class WordIds:
         text = text.lower()
         return SPACE.split(text) if ODD.search(text) else text.split()
 
+    def _around(self, text: str) -> list[str]:
+        """Words of a text with special tokens."""
+        return [w for i, piece in enumerate(self.special.split(text)) for w in ([MARK + piece] if i % 2 else self._split(piece))]
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.place) > self.keep:
             self._shrink()
-        words = [self._split(t) for t in texts]
+        words = [self._split(t) if self.special is None or not self.special.search(t) else self._around(t) for t in texts]
         at = np.fromiter(map(self.place.get, chain.from_iterable(words), repeat(-1)), np.int64)
         new = at < 0
         if new.any():

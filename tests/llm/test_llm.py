@@ -5,6 +5,7 @@ import importlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -119,7 +120,7 @@ def test_secret_scores_and_report_brute_force(spark):
     for r in got:
         assert r.p == pytest.approx(battery(r.t), rel=1e-3, abs=1e-6)
     # a decoy keeps length and digits and takes running letters of the text
-    d = spark.createDataFrame([("a1B2-c3d4", "thequickbrownfox")], "t string, p string").select(secret_scan.decoy(F.col("t"), F.col("p"), F.lit(3))).first()[0]
+    d = spark.createDataFrame([("a1B2-c3d4", "thequickbrownfox")], "t string, p string").select(secret_scan.decoy(F.col("t"), F.struct(secret_scan.sliced(F.col("p")).alias("slices"), F.length("p").alias("n")), F.lit(3))).first()[0]
     assert re.fullmatch(r"[a-z]1[A-Z]2-[a-z]3[a-z]4", d)
     assert any(all(x in "1234-" or x.lower() == y for x, y in zip(d, "thequickbrownfox"[i:])) for i in range(8))
     # the step, from the counts
@@ -136,6 +137,57 @@ def test_secret_scores_and_report_brute_force(spark):
     assert found == want and want
 
 
+def decoys_brute_force(token, prose, place):
+    """A decoy from the place that the hash gives."""
+    source = prose if len(prose) >= len(token) else prose * (-(-len(token) // len(prose)) + 1)
+    letters = source[place : place + len(token)]
+    return "".join(x.upper() if c.isupper() else x.lower() if c.islower() else c for c, x in zip(token, letters))
+
+
+def test_secret_decoys_at_any_place(spark):
+    """Running letters across slices and from repeated prose, equal to plain slicing."""
+    prose = "".join(random.Random(1).choices("abcdefghijklmnopqrstuvwxyz", k=1000))
+    rows = [(t, p) for t in ("a1B2-c3d4" * 3, "Zz9" * 300, "q" * 20) for p in (prose, prose[:700], "xyz", "k")]
+    df = spark.createDataFrame(rows, "t string, p string").select("*", F.explode(F.sequence(F.lit(1), F.lit(16))).alias("i"))
+    struct = F.struct(secret_scan.sliced(F.col("p")).alias("slices"), F.length("p").alias("n"))
+    times = F.ceil(F.length("t") / F.length("p")) + 1
+    size = F.when(F.length("p") >= F.length("t"), F.length("p")).otherwise(F.length("p") * times)
+    place = F.pmod(F.xxhash64("t", "i"), size - F.length("t") + 1)
+    for r in df.select("*", place.alias("place"), secret_scan.decoy(F.col("t"), struct, F.col("i")).alias("d")).collect():
+        assert r.d == decoys_brute_force(r.t, r.p, r.place)
+
+
+def test_secret_running_and_slices(spark):
+    r = random.Random(2)
+    rows = [([r.randrange(50) for _ in range(n)],) for n in (0, 1, 2, 3, 4, 5, 17, 100)]
+    zero = F.lit(0).cast("long")
+    for got in spark.createDataFrame(rows, "v array<long>").select("v", secret_scan.running(F.col("v"), lambda a, x: a + x, zero).alias("s"), secret_scan.running(F.col("v"), F.greatest, zero).alias("m")).collect():
+        assert got.s == [sum(got.v[: i + 1]) for i in range(len(got.v))] and got.m == [max(got.v[: i + 1]) for i in range(len(got.v))]
+    text = "".join(r.choices("aé🎉\n", k=2000))
+    places = [(a, b) for a in (0, 1, 255, 256, 257, 511, 1024) for b in (0, 1, 256, 300, 512, 513, 2000) if a <= b]
+    df = spark.createDataFrame([(text, a, b) for a, b in places], "t string, a long, b long")
+    for x in df.select("a", "b", secret_scan.between(secret_scan.sliced(F.col("t")), F.col("a"), F.col("b")).alias("x")).collect():
+        assert x.x == text[x.a : x.b]
+
+
+def test_secret_scan_is_linear_in_a_text(spark):
+    """Texts of 10,000 and 20,000 candidates: twice the text, about twice the time; redaction too."""
+    r = random.Random(4)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+    def text(n):
+        return " ".join(f"key {''.join(r.choices(alphabet, k=24))} for user host name {'token=' + 'x' * 12 if i % 50 == 0 else ''}" for i in range(n))
+
+    took = {}
+    for n in (100, 10_000, 20_000):
+        docs = docs_of(spark, [text(n)]).coalesce(1)
+        began = time.perf_counter()
+        out = secret_scan.redact(docs).first().text
+        took[n] = time.perf_counter() - began
+        assert out.count("[SECRET]") >= n // 50 and "token=" not in out
+    assert took[20_000] < 3 * took[10_000] + 3
+
+
 def test_secret_columns_stay(spark):
     docs = docs_of(spark, ["token = AbCdEfGhIjKlMnOp"]).withColumns({"secrets": F.lit("mine"), "base": F.lit(1), "_cuts": F.lit(2), "CUTS": F.lit(3)})
     row = secret_scan.redact(docs).first()
@@ -768,11 +820,19 @@ def test_packing_levels(spark, monkeypatch):
 
 
 def test_word_ids_equal_whole_encoding():
+    """Against a tokenizer of its own, as the file has it: every character to U+00FF, special tokens in any case, mixtures."""
     import public_tokenizers
+    from tokenizers import Tokenizer
 
-    ids = WordIds(public_tokenizers.path(packing.TOKENIZER), keep=5)
-    for t in ["ΣΑΣ Straße İstanbul don't I'LL x\x1cy \x85 a\xa0b 日本 é ½ ² ٣ Ⅷ <|endoftext|> 's _a_ z　q ǅ Ａ Σ.", "", " ", LONG[:1000]]:
-        assert ids.encode([t])[0].tolist() == ids.tokenizer.encode(t, add_special_tokens=False).ids
+    path = public_tokenizers.path(packing.TOKENIZER)
+    ids, whole, r = WordIds(path, keep=500), Tokenizer.from_file(path), random.Random(6)
+    texts = ["ΣΑΣ Straße İstanbul don't I'LL x\x1cy \x85 a\xa0b 日本 é ½ ² ٣ Ⅷ <|endoftext|> 's _a_ z　q ǅ Ａ Σ.", "", " ", LONG[:1000]]
+    texts += [t.format(c) for c in map(chr, range(256)) for t in ("a{}b", "{}", " {0} x{0}y")]
+    texts += [t.format(s) for s in ("<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext|", "<|endoftext|><|startoftext|>") for t in ("{}", "a{}b", "Ab {} cd", "é{0}é {0}", "\n{}\n", "{0}{0}")]
+    parts = ["<|endoftext|>", "<|EndOfText|>", "the", "The", "é", "e\u0301", " ", "  ", "\n", "\x07", "\x1c", "\x7f", "\x00", "'s", "'", "12", "_", "日", "🎉", "\u00ad", "Σ", "<|", "|>", "\t", "\xa0"]
+    texts += ["".join(r.choices(parts, k=r.randint(1, 12))) for _ in range(3000)]
+    for t, got in zip(texts, ids.encode(texts[:1000]) + ids.encode(texts[1000:])):
+        assert got.tolist() == whole.encode(t, add_special_tokens=False).ids, repr(t)
 
 
 # all of them
