@@ -12,6 +12,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recordloom.sources.scratch import written
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
@@ -95,6 +96,89 @@ def ivf_search(queries: DataFrame, q_key: str, df: DataFrame, key: str, vector:
     return met.select(q_key, key, distance.alias("distance")).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+SAMPLE = 20_000  # vectors that codebooks are fitted on, at most
+CODE_BLOCK, QUERY_BLOCK = 50_000, 2_000  # codes and queries that meet in one group
+
+
+def codebooks(df: DataFrame, vector: str, parts: int, codes: int = 256, sample: int = SAMPLE, rounds: int = 12, seed: int = 7) -> np.ndarray:
+    """(parts, codes, width): centres of each part of the unit vectors, fitted on a bounded sample of rows."""
+    share = min(1.0, 1.2 * sample / max(df.count(), 1))
+    rows = df.select(vector).filter(F.rand(seed) < share).limit(sample).toPandas()[vector]
+    x = np.stack(rows.to_list()).astype(np.float64)
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    if x.shape[1] % parts:
+        raise ValueError(f"vectors of {x.shape[1]} do not fall into {parts} equal parts")
+    random, out = np.random.default_rng(seed), []
+    for own in np.split(x, parts, axis=1):
+        centres = own[random.choice(len(own), codes, replace=len(own) < codes)]
+        for _ in range(rounds):
+            near = np.argmin((centres**2).sum(1) / 2 - own @ centres.T, axis=1)
+            total = np.stack([np.bincount(near, own[:, i], codes) for i in range(own.shape[1])], axis=1)
+            n = np.bincount(near, minlength=codes)[:, None]
+            centres = np.where(n > 0, total / np.maximum(n, 1), centres)
+        out.append(centres)
+    return np.stack(out)
+
+
+def pq_encode(df: DataFrame, key: str, vector: str, centres: np.ndarray, books: np.ndarray) -> DataFrame:
+    """key, cell, code: each row's coarse cell and one byte for each part of its unit vector."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                x = np.stack(batch[vector].to_list()).astype(np.float64)
+                cell = np.argmin((centres**2).sum(1) / 2 - x @ centres.T, axis=1)
+                x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+                near = [np.argmin((b**2).sum(1) / 2 - own @ b.T, axis=1) for own, b in zip(np.split(x, len(books), axis=1), books)]
+                code = np.stack(near, axis=1).astype(np.uint8)
+                yield pd.DataFrame({key: batch[key], "cell": cell, "code": [c.tobytes() for c in code]})
+
+    kind = df.schema[key].dataType.simpleString()
+    return df.select(key, vector).filter(F.col(vector).isNotNull()).mapInPandas(run, f"{key} {kind}, cell int, code binary")
+
+
+def pq_candidates(queries: DataFrame, q_key: str, codes: DataFrame, key: str, vector: str, centres: np.ndarray, books: np.ndarray, probes: int, shortlist: int) -> DataFrame:
+    """q_key, key, near: the rows whose codes lie nearest to each query, ``shortlist`` of them.
+
+    Codes of a cell and the queries that probe it meet in blocks of bounded size, each of which keeps its own shortlist.
+    """
+    sizes = codes.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CODE_BLOCK).cast("int").alias("blocks"))  # a row a cell
+    dealt = codes.join(F.broadcast(sizes), "cell").withColumn("block", F.pmod(F.xxhash64(key), F.col("blocks")).cast("int")).drop("blocks")
+    groups = max(1, -(-queries.count() // QUERY_BLOCK))
+    asked = ivf_assign(queries.select(q_key, F.col(vector).alias("va")), "va", centres, probes).withColumn("part", F.pmod(F.xxhash64(q_key), F.lit(groups)).cast("int"))
+    asked = asked.join(F.broadcast(sizes), "cell").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    dealt = dealt.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))) if groups > 1 else dealt.withColumn("part", F.lit(0))
+
+    def meet(own: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(own) and len(rows):
+            code = np.frombuffer(b"".join(rows["code"]), np.uint8).reshape(len(rows), -1)
+            names = rows[key].to_numpy()
+            for q, v in zip(own[q_key], own["va"]):
+                v = np.asarray(v, np.float64)
+                table = np.einsum("pcw,pw->pc", books, v.reshape(len(books), -1)) / max(np.linalg.norm(v), 1e-12)
+                near = table[np.arange(len(books))[None, :], code].sum(1)
+                best = np.argpartition(-near, min(shortlist, len(near)) - 1)[:shortlist]
+                out.append(pd.DataFrame({q_key: q, key: names[best], "near": near[best]}))
+        return pd.concat(out) if out else pd.DataFrame({q_key: [], key: [], "near": []})
+
+    kinds = {n: df.schema[n].dataType.simpleString() for n, df in ((q_key, queries), (key, codes))}
+    met = asked.groupBy("cell", "block", "part").cogroup(dealt.groupBy("cell", "block", "part")).applyInPandas(meet, f"{q_key} {kinds[q_key]}, {key} {kinds[key]}, near double")
+    w = Window.partitionBy(q_key).orderBy(F.desc("near"), key)
+    return met.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= shortlist).drop("_rn")
+
+
+def pq_search(queries: DataFrame, q_key: str, df: DataFrame, key: str, vector: str, centres: np.ndarray, books: np.ndarray, probes: int, k: int, shortlist: int) -> DataFrame:
+    """The k rows nearest by cosine to each query (V04): codes of ``probes`` cells give a shortlist, whose vectors
+    alone are compared whole."""
+    codes = written(pq_encode(df, key, vector, centres, books))
+    near = pq_candidates(queries, q_key, codes, key, vector, centres, books, probes, shortlist)
+    met = near.join(df.select(key, F.col(vector).alias("vb")), key).join(queries.select(q_key, F.col(vector).alias("va")), q_key)
+    distance = F.round(1 - dot(F.col("va"), F.col("vb")) / (norm(F.col("va")) * norm(F.col("vb"))), 6)
+    w = Window.partitionBy(q_key).orderBy("distance", key)
+    return met.select(q_key, key, distance.alias("distance")).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
 def embed(df: DataFrame, key: str, text: str, vector: str, fn: Callable[[list[str]], np.ndarray]) -> DataFrame:
     """Vectors for the rows that have none (V05); fn maps a list of texts to a matrix."""
 

@@ -256,3 +256,26 @@ def test_profile_of_many_values(spark):
     got = {r.column: (r.n_distinct, r.top, r.nulls) for r in gates.profile(df, ["c", "d"]).collect()}
     assert got == {"c": (1000, "0:5,1:5,10:5", 0), "d": (1, "hot:500", 4500)}
     assert math.isclose(gates.profile(df, ["d"]).first().null_rate, 0.9)
+
+
+# approximate search
+def test_code_search_reads_few_vectors(spark, monkeypatch):
+    """Recall of at least 0.9 while under a quarter of the vectors are compared whole, in blocks too."""
+    from recordloom.operators import vectors
+
+    emb = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = emb.collect()
+    x = np.array([r.embedding for r in rows], float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    keys = np.array([r.vec_id for r in rows])
+    own = emb.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query"), "embedding")
+    centres, books = vectors.cell_centres(emb, "embedding", 16), vectors.codebooks(emb, "embedding", 16)
+    for block in (50_000, 60):
+        monkeypatch.setattr(vectors, "CODE_BLOCK", block)
+        monkeypatch.setattr(vectors, "QUERY_BLOCK", 2_000 if block > 60 else 7)
+        near = vectors.pq_candidates(own, "query", vectors.pq_encode(emb, "vec_id", "embedding", centres, books), "vec_id", "embedding", centres, books, 14, 100)
+        assert near.groupBy("query").count().agg(F.max("count")).first()[0] <= 0.25 * len(rows)
+        found = vectors.pq_search(own, "query", emb, "vec_id", "embedding", centres, books, 14, 10, 100).collect()
+        got = {(r["query"], r.vec_id) for r in found}
+        want = {(int(q), int(v)) for q in keys[keys % 100 == 0] for v in keys[np.argsort(-(x @ x[keys == q][0]), kind="stable")[:10]]}
+        assert len(got & want) >= 0.9 * len(want) and len(got) == len(want)
