@@ -85,8 +85,12 @@ def compose(left: Fragment, right: Fragment) -> tuple[Fragment, str | None]:
     return out, seam[first + 1 : last] if first < last else None
 
 
-def _byte_of_letter() -> dict[str, int]:
-    return {letter: byte for byte, letter in byte_letters().items()}
+def _ranked(ranks: dict[bytes, int]):
+    """The same byte-level vocabulary in a faster library; ids grow with merges, and bytes come first."""
+    import public_tokenizers
+    import tiktoken
+
+    return tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 class Aligner:
@@ -99,13 +103,19 @@ class Aligner:
 
         self.a, self.b, self.keep = Tokenizer.from_file(a_path), sentencepiece.SentencePieceProcessor(model_file=b_path), keep
         self.a.encode_special_tokens = True
-        letters = _byte_of_letter()
+        letters = {letter: byte for byte, letter in byte_letters().items()}
         specials = self.a.get_added_tokens_decoder()
         self.a_bytes = {i: t.encode() if i in specials else bytes(letters[c] for c in t) for t, i in self.a.get_vocab().items()}
+        self.fast = _ranked({b: i for i, b in self.a_bytes.items() if i not in specials})
         pieces = [(i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
         if any(re.search("[^▁]▁", p) for _, p in pieces):
             raise ValueError(f"{b_path} has pieces with a space behind other characters")
-        self.b_bytes = {i: bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in pieces}
+        self.b_bytes = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in pieces]
+        self.a_sizes = np.array([len(self.a_bytes[i]) for i in range(len(self.a_bytes))])
+        self.b_sizes = np.array([len(x) for x in self.b_bytes])
+        # a token's text with what follows it: another of its side, the other side, a group, a part
+        ids = [[str(i) for i in range(n)] for n in (len(self.a_sizes), len(self.b_sizes))]
+        self.texts = [t + mark for own, marks in zip(ids, (",|", ",;\n")) for mark in marks for t in own]
         self._clear()
 
     def _clear(self) -> None:
@@ -114,36 +124,48 @@ class Aligner:
         self.flat, self.counts = np.zeros(0, np.int64), np.zeros((0, 4), np.int64)  # of links; links, a, b, whole
         self.begins = np.zeros(0, np.int64)
 
-    def align(self, part: str, a_ids: list[int], b_ids: list[int]) -> tuple[str, list[int], bool]:
-        """Groups' text, links, and whether both give back space + part."""
-        want = b" " + part.encode("utf-8", "surrogatepass")
-        a, b = [self.a_bytes[i] for i in a_ids], [self.b_bytes[i] for i in b_ids]
-        if b"".join(a) != want or b"".join(b) != want:
-            return "", [], False
-        groups, links = [], []
-        i = j = from_a = from_b = end_a = end_b = 0
-        while i < len(a) or j < len(b):
-            if end_a <= end_b:
-                end_a, i = end_a + len(a[i]), i + 1
-            else:
-                end_b, j = end_b + len(b[j]), j + 1
-            if end_a == end_b:
-                groups.append(",".join(map(str, a_ids[from_a:i])) + "|" + ",".join(map(str, b_ids[from_b:j])))
-                links.append(a_ids[i - 1] * SHIFT + b_ids[j - 1])
-                from_a, from_b = i, j
-        return ";".join(groups), links, True
+    def _keep(self, parts: list[str], groups: list[str], links: np.ndarray, counts: np.ndarray) -> None:
+        self.place.update(zip(parts, range(len(self.place), len(self.place) + len(parts))))
+        self.groups += groups
+        self.begins = np.append(self.begins, len(self.flat) + np.cumsum(counts[:, 0]) - counts[:, 0])
+        self.counts, self.flat = np.concatenate([self.counts, counts]), np.append(self.flat, links)
 
     def _learn(self, parts: list[str]) -> None:
-        a = [e.ids for e in self.a.encode_batch([" " + p for p in parts], add_special_tokens=False)]
-        space = self.b.piece_to_id("▁")  # of an empty part, before which the space stands alone
-        b = [ids if p else [space] for p, ids in zip(parts, self.b.encode(parts, num_threads=1))]
-        found = [self.align(p, x, y) for p, x, y in zip(parts, a, b)]
-        self.place.update(zip(parts, range(len(self.place), len(self.place) + len(parts))))
-        self.groups += [g for g, _, _ in found]
-        new = np.array([(len(k), len(x), len(y), ok) for (_, k, ok), x, y in zip(found, a, b)], np.int64).reshape(-1, 4)
-        self.begins = np.append(self.begins, len(self.flat) + np.cumsum(new[:, 0]) - new[:, 0])
-        self.counts = np.concatenate([self.counts, new])
-        self.flat = np.append(self.flat, np.fromiter(chain.from_iterable(k for _, k, _ in found), np.int64))
+        """Parts that end with no white space are encoded as one text, since each begins at a cut of it."""
+        if len(parts) == 1 or any(not p or p[-1].isspace() for p in parts):
+            plain = [p for p in parts if p and not p[-1].isspace()] if len(parts) > 1 else []
+            for p in parts if len(parts) == 1 else [p for p in parts if not p or p[-1].isspace()]:
+                # the last part of a text may be empty, and the space before it then stands alone
+                a_ids, b_ids = self.a.encode(" " + p, add_special_tokens=False).ids, self.b.encode(p) if p else [self.b.piece_to_id("▁")]
+                self._laid([p], np.array(a_ids, np.int64), np.array(b_ids, np.int64))
+            if plain:
+                self._learn(plain)
+            return
+        text = " ".join(parts)
+        self._laid(parts, np.array(self.fast.encode_ordinary(" " + text), np.int64), np.array(self.b.encode(text), np.int64))
+
+    def _laid(self, parts: list[str], a: np.ndarray, b: np.ndarray) -> None:
+        """Keep the groups of parts from the tokens of both over all of them."""
+        want = "".join([" " + p for p in parts]).encode()
+        if b"".join(map(self.b_bytes.__getitem__, b.tolist())) != want or b"".join(map(self.a_bytes.__getitem__, a.tolist())) != want:
+            if len(parts) == 1:
+                self._keep(parts, [""], np.zeros(0, np.int64), np.array([[0, 0, 0, 0]]))
+            else:  # some part does not come back: the halves tell which
+                self._learn(parts[: len(parts) // 2])
+                self._learn(parts[len(parts) // 2 :])
+            return
+        a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        ends = np.cumsum([len(p.encode()) + 1 for p in parts])  # of parts; both sides end a token there
+        a_shut, b_shut = np.isin(a_ends, b_ends, assume_unique=True), np.isin(b_ends, a_ends, assume_unique=True)
+        n_a, n_b = len(self.a_sizes), len(self.b_sizes)
+        last = np.isin(b_ends, ends, assume_unique=True)
+        codes = np.concatenate([a + n_a * a_shut, b + 2 * n_a + n_b * b_shut + n_b * last])
+        # by group, A before B
+        group = np.concatenate([2 * np.searchsorted(b_ends[b_shut], a_ends), 2 * np.searchsorted(b_ends[b_shut], b_ends) + 1])
+        text = "".join(map(self.texts.__getitem__, codes[np.argsort(group, kind="stable")].tolist()))
+        of = [np.searchsorted(ends, x) for x in (a_ends[a_shut], a_ends, b_ends)]
+        counts = np.stack([*(np.bincount(x, minlength=len(parts)) for x in of), np.ones(len(parts), np.int64)], axis=1)
+        self._keep(parts, text.split("\n")[:-1], a[a_shut] * SHIFT + b[b_shut], counts)
 
     def bodies(self, texts: list[str]) -> list[Body]:
         """Bodies of texts that begin behind a cut's space (or the one before a document) and end before a cut or
