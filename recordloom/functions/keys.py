@@ -48,12 +48,14 @@ def legal_name_base(norm: Column) -> Column:
     return blank_null(F.regexp_replace(norm, f"( ({'|'.join(LEGAL_SUFFIXES)}))+$", ""))
 
 
+# The patterns are fixed values of the rule.
 def bare_host(col: Column) -> Column:
     """Host of a URL or web address."""
     host = _chain(F.lower(F.trim(col.cast("string"))), ("^https?://", ""), ("^[^/@]*@", ""), (r"^www\.", ""), ("[/:?#].*$", ""))
     return F.regexp_replace(host, r"^\.+|\.+$", "")
 
 
+# The lengths and the pattern are fixed values of the rule.
 def normalized_domain(host: Column) -> Column:
     """A bare host that could be a domain, else null."""
     fits = host.contains(".") & F.length(host).between(4, 253) & ~host.contains(" ") & host.rlike(r"\.[a-z]{2,}$")
@@ -77,6 +79,7 @@ def is_generic_domain(domain: Column) -> Column:
     return domain.isin(GENERIC_DOMAINS)
 
 
+# The pattern is a fixed value of the rule.
 def linkedin_slug(col: Column) -> Column:
     """Company or school slug of a profile URL."""
     return F.nullif(F.regexp_extract(F.lower(col.cast("string")), r"linkedin\.com/(?:company|school)/([^/?#]+)", 1), F.lit(""))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
@@ -9,7 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recordloom.sources.scratch import written
@@ -190,10 +191,124 @@ def embed(df: DataFrame, key: str, text: str, vector: str, fn: Callable[[list[st
     return df.filter(F.col(vector).isNull()).select(key, text).mapInPandas(run, f"{key} {kind}, {vector} array<float>")
 
 
-def hashed_words(texts: list[str], width: int = 64) -> np.ndarray:
-    """Bag of words hashed into a unit vector: a stand-in model without weights."""
-    import zlib
+BUCKETS, WIDTH, EXTRA = 1 << 16, 64, 16  # hashed words, dimensions, further ones of the random test matrix
+
+
+def _weighed(texts: list[str], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, bucket, weight) of each different word of texts: (1 + log n) x weight, of length one a text."""
+    words = [text.lower().split() for text in texts]
+    row = np.repeat(np.arange(len(texts)), [len(w) for w in words])
+    bucket = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) % len(weights) for own in words for w in own), np.int64, len(row))
+    cell, n = np.unique(row * len(weights) + bucket, return_counts=True)
+    row, bucket = cell // len(weights), cell % len(weights)
+    weight = (1 + np.log(n)) * weights[bucket]
+    length = np.sqrt(np.bincount(row, weight**2, len(texts)))
+    return row, bucket, weight / np.maximum(length[row], 1e-12)
+
+
+def _short(texts: list[str], limit: int = 1 << 18) -> Iterator[list[str]]:
+    """Texts in lists of about limit characters, one text at least."""
+    own, size = [], 0
+    for text in texts:
+        if own and size + len(text) > limit:
+            yield own
+            own, size = [], 0
+        own.append(text)
+        size += len(text)
+    if own:
+        yield own
+
+
+def word_weights(df: DataFrame, text: str, buckets: int = BUCKETS) -> np.ndarray:
+    """log(rows / rows that hold it) of each hashed word, 0 for words that no row holds."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n = np.zeros(buckets, np.int64)
+        for batch in batches:
+            for own in _short(batch[text].fillna("").tolist()):
+                n += np.bincount(_weighed(own, np.ones(buckets))[1], minlength=buckets)
+        held = np.flatnonzero(n)
+        yield pd.DataFrame({"bucket": held, "n": n[held]})
+
+    rows = df.count()
+    held = df.select(text).mapInPandas(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()  # at most ``buckets`` rows
+    out = np.zeros(buckets)
+    out[held["bucket"]] = np.log((rows + 1) / held["n"])
+    return out
+
+
+def word_vectors(df: DataFrame, text: str, width: int = WIDTH, buckets: int = BUCKETS, passes: int = 2, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and vectors of hashed words, learned from all rows' texts.
+
+    A randomised singular value decomposition of the weighted (text x word) matrix A: each pass projects its
+    rows on a matrix R, at first a random one, and every task adds up its share of A'AR; what all of them
+    come to, words by width, is orthogonalised and is the next R. A'A counts which words occur together,
+    so words of one company get vectors of one direction. What reaches the driver is of one size
+    whatever the rows.
+    """
+    weights = word_weights(df, text, buckets)
+    basis = (np.random.default_rng(seed).integers(0, 2, (buckets, width + EXTRA), np.int8) * 2 - 1).astype(np.float32)
+    for _ in range(passes):
+        basis, size, _ = np.linalg.svd(_projected(df, text, weights, basis).astype(np.float64), full_matrices=False)
+        basis = (basis * (size > size[0] * 1e-6)).astype(np.float32)
+    return weights, basis[:, :width]
+
 
+def _projected(df: DataFrame, text: str, weights: np.ndarray, signs: np.ndarray) -> np.ndarray:
+    """A'A times a matrix of words by width."""
+    blocks = 64
+    shared = df.sparkSession.sparkContext.broadcast((weights, signs))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        weights, signs = shared.value
+        total, seen = np.zeros(signs.shape, np.float32), False
+        for batch in batches:
+            for own in _short(batch[text].fillna("").tolist()):
+                row, bucket, weight = _weighed(own, weights)
+                if len(row):
+                    seen = True
+                    first = np.flatnonzero(np.diff(row, prepend=-1))
+                    y = np.zeros((len(own), signs.shape[1]), np.float32)
+                    y[row[first]] = np.add.reduceat(signs[bucket] * weight[:, None].astype(np.float32), first)
+                    order = np.argsort(bucket, kind="stable")
+                    first = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+                    total[bucket[order][first]] += np.add.reduceat(y[row[order]] * weight[order, None].astype(np.float32), first)
+        if seen:
+            salt = np.random.default_rng().integers(32)  # only deals sums to tasks
+            for i, part in enumerate(np.split(total, blocks)):
+                yield pd.DataFrame({"block": [i], "salt": [int(salt)], "sums": [part.tobytes()]})
+
+    def added(rows: pd.DataFrame) -> pd.DataFrame:
+        sums = sum(np.frombuffer(x, np.float32) for x in rows["sums"])
+        return pd.DataFrame({"block": rows["block"].iloc[:1], "salt": [0], "sums": [sums.astype(np.float32).tobytes()]})
+
+    kind = "block int, salt int, sums binary"
+    parts = df.select(text).mapInPandas(run, kind).groupBy("block", "salt").applyInPandas(added, kind).groupBy("block").applyInPandas(added, kind)
+    whole = np.zeros((blocks, signs.size // blocks), np.float32)
+    for r in parts.toLocalIterator():  # ``blocks`` rows of one size
+        whole[r.block] = np.frombuffer(r.sums, np.float32)
+    return whole.reshape(signs.shape)
+
+
+def word_model(spark: SparkSession, weights: np.ndarray, vectors: np.ndarray) -> Callable[[list[str]], np.ndarray]:
+    """Unit vectors of texts for ``embed``: the weighted sum of their words' vectors; zeros for texts without known words."""
+    shared = spark.sparkContext.broadcast((weights, vectors.astype(np.float32)))
+
+    def model(texts: list[str]) -> np.ndarray:
+        weights, vectors = shared.value
+        out, at = np.zeros((len(texts), vectors.shape[1])), 0
+        for own in _short(texts):
+            row, bucket, weight = _weighed(own, weights)
+            for i in range(vectors.shape[1]):
+                out[at : at + len(own), i] = np.bincount(row, weight * vectors[bucket, i], len(own))
+            at += len(own)
+        return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
+
+    return model
+
+
+def hashed_words(texts: list[str], width: int = 64) -> np.ndarray:
+    """Bag of words hashed into a unit vector, without anything learned: what a model has to beat."""
     out = np.zeros((len(texts), width))
     for row, text in zip(out, texts):
         for word in text.lower().split():

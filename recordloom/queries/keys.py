@@ -13,7 +13,16 @@ DIRTY = "case when s_suppkey % 5 = 0 then replace(lower(replace(s_name, '#', ' &
 #: Letter by letter, then the words again with single blanks.
 LETTERS = "list_transform(string_split(upper(n), ''), lambda c: case when c = '&' then ' AND ' when c in ('-', '–', '—') then ' ' when strpos('ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 ', c) > 0 then c else '' end)"
 NAME_SQL = f"nullif(array_to_string(list_filter(string_split(array_to_string({LETTERS}, ''), ' '), lambda w: w <> ''), ' '), '')"
-HOST_SQL = """trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(trim(url)), '^https?://', ''), '^[^/@]*@', ''), '^www\\.', ''), '[/:?#].*$', ''), '.')"""
+#: A URL taken apart at its separators, one after the other.
+HOST_SQL = """with u as (select page_id, lower(trim(url)) as u from pages),
+    r as (select page_id, case when starts_with(u, 'https://') then substr(u, 9) when starts_with(u, 'http://') then substr(u, 8) else u end as rest from u),
+    p as (select page_id, string_split(string_split(rest, '/')[1], '@') as parts from r),
+    w as (select page_id, case when len(parts) > 1 then array_to_string(parts[2:], '@') else parts[1] end as own from p),
+    c as (select page_id, string_split(string_split(string_split(case when starts_with(own, 'www.') then substr(own, 5) else own end, ':')[1], '?')[1], '#')[1] as own from w),
+    h as (select page_id, trim(own, '.') as host from c)"""
+#: More than one label, and a last one of two letters or more.
+DOMAIN_SQL = """len(string_split(host, '.')) > 1 and length(host) >= 4 and length(host) <= 253 and not contains(host, ' ')
+    and length(string_split(host, '.')[-1]) >= 2 and len(list_filter(string_split(string_split(host, '.')[-1], ''), lambda c: c < 'a' or c > 'z')) = 0"""
 
 
 @query("n01_name_norm", f"with d as (select s_suppkey, {DIRTY} as n from supplier) select s_suppkey, {NAME_SQL} as name_key from d")
@@ -26,12 +35,12 @@ def n02(t):
     return t.supplier.select("s_suppkey", K.legal_name_base(K.name_norm(F.expr("replace(s_name, '#', ' ') || ' Co LLC'"))).alias("base"))
 
 
-@query("n03_bare_host", f"select page_id, {HOST_SQL} as host from pages")
+@query("n03_bare_host", f"{HOST_SQL} select page_id, host from h")
 def n03(t):
     return t.pages.select("page_id", K.bare_host(F.col("url")).alias("host"))
 
 
-@query("n04_normalized_domain", f"with h as (select page_id, {HOST_SQL} as host from pages) select page_id, case when host like '%.%' and length(host) between 4 and 253 and host not like '% %' and regexp_matches(host, '\\.[a-z]{{2,}}$') then host end as domain from h")
+@query("n04_normalized_domain", f"{HOST_SQL} select page_id, case when {DOMAIN_SQL} then host end as domain from h")
 def n04(t):
     return t.pages.select("page_id", K.normalized_domain(K.bare_host(F.col("url"))).alias("domain"))
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from recordloom.sources import readers as R
@@ -103,6 +106,40 @@ def s09(t):
     return flat.select("o_orderkey", "item.l_partkey", "item.l_quantity")
 
 
+def _as_document(rows):
+    """Each partition's JSON rows as the array of one document, other fields and braces in strings around it."""
+    first = True
+    for batch in rows:
+        values = batch["value"].tolist()
+        if first:
+            yield pd.DataFrame({"value": ['{"about": {"title": "orders } of [\\"all\\"", "items": [{"o": 0}]}, "orders": [']})
+        yield pd.DataFrame({"value": [("" if first and i == 0 else ",") + v for i, v in enumerate(values)]})
+        first = first and not values
+    if not first:
+        yield pd.DataFrame({"value": ['], "more": [{"o": 1, "items": []}]}']})
+
+
+@query("s09_read_elements", "select o_orderkey, l_partkey, l_quantity from orders join lineitem on o_orderkey = l_orderkey where o_orderkey % 3 = 1")
+def s09_elements(t):
+    """Documents of one line each, read by byte ranges; orders are filtered before their items are parsed."""
+    path = folder(t.spark)
+    items = t.lineitem.groupBy("l_orderkey").agg(F.collect_list(F.struct("l_partkey", "l_quantity")).alias("items"))
+    rows = t.orders.join(items, F.col("o_orderkey") == F.col("l_orderkey")).select(F.to_json(F.struct("o_orderkey", F.lit('}{"[').alias("note"), "items")).alias("value"))
+    rows.mapInPandas(_as_document, "value string").write.option("lineSep", " ").text(path)
+    wanted = t.orders.filter("o_orderkey % 3 = 1").select("o_orderkey")
+    flat = R.read_elements(t.spark, path, ["orders"], "o_orderkey long, items array<struct<l_partkey:long,l_quantity:double>>", wanted, "o_orderkey")
+    return flat.select("o_orderkey", F.inline("items"))
+
+
+@query("s10_read_jdbc", "select o_orderkey, o_custkey from orders where o_orderkey % 4 in (1, 3)")
+def s10(t):
+    """A table of the Derby that Spark brings along, on a local master; elsewhere a database that executors reach."""
+    url, table = f"jdbc:derby:memory:recordloom{uuid.uuid4().hex};create=true", "ORDERS"
+    driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    t.orders.select("o_orderkey", "o_custkey", (F.col("o_orderkey") % 4).alias("lot")).write.jdbc(url, table, mode="overwrite", properties=driver)
+    return R.read_jdbc(t.spark, url, table, ['"lot" = 1', '"lot" = 3'], driver).select("o_orderkey", "o_custkey")
+
+
 @query("s11_melt_crosstab", "select o_orderpriority, cast(year(o_orderdate) as varchar) as year, count(*) as n from orders group by 1, 2")
 def s11(t):
     years = [str(y) for y in range(1995, 2002)]

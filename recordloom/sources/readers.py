@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+import re
+from collections.abc import Iterator, Mapping, Sequence
+from itertools import groupby
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordloom.functions.keys import blank_null
+from recordloom.sources.scratch import written
 
 
 def strings(columns: Sequence[str]) -> T.StructType:
@@ -101,6 +106,154 @@ def read_nested(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.json(path, schema=schema, multiLine=True)
 
 
+# A huge document is read by byte ranges. Its text is cut at closing braces, wherever they stand, so that Spark
+# can split the file; what a range does to the state of a reader is found for both cases of its begin
+# (within a string or not), the few numbers of each range are composed in order, and then every range is
+# read again with its true begin.
+TOKEN = re.compile(r'"(?:[^"\\]|\\.)*+(?:"|\Z)|[{}\[\]]', re.S)
+REST = re.compile(r'(?:[^"\\]|\\.)*+"', re.S)
+KEY = re.compile(r'"((?:[^"\\]|\\.)*)"\s*:\s*\Z', re.S)
+
+
+def _tokens(text: str, within: bool) -> Iterator[tuple[int, str]]:
+    """(place, bracket) outside strings; lastly (-1, "" or a quote) as the text ends outside or within one."""
+    at = 0
+    if within:
+        rest = REST.match(text)
+        if not rest:
+            yield -1, '"'
+            return
+        at = rest.end()
+    for m in TOKEN.finditer(text, at):
+        if m[0][0] != '"':
+            yield m.start(), m[0]
+        elif m.end() == len(text) and (len(m[0]) == 1 or not REST.fullmatch(text, m.start() + 1)):
+            yield -1, '"'
+            return
+    yield -1, ""
+
+
+def _label(text: str, at: int, floor: int) -> str | None:
+    """The key before a bracket; None in arrays."""
+    near = text[max(floor, at - 300) : at]
+    found = KEY.search(near) or (KEY.search(text[floor:at]) if near.rstrip().endswith(":") else None)
+    return found[1] if found else None
+
+
+def _ranges(lines: Iterator[pd.DataFrame]) -> Iterator[tuple[str, int, str]]:
+    """(file, begin of the range, text) of consecutive lines of one range, with the braces they were cut at."""
+    for batch in lines:
+        if len(batch):
+            for _, own in batch.groupby((batch[["file", "start"]] != batch[["file", "start"]].shift()).any(axis=1).cumsum()):
+                yield own["file"].iloc[0], int(own["start"].iloc[0]), "}".join(own["value"]) + "}"
+
+
+def _effects(lines: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """What each range does: for both begins, whether it ends in a string, brackets closed that it did not
+    open, labels of those it leaves open."""
+    now, out = None, []
+
+    def shown(key: tuple[str, int], states: list) -> pd.DataFrame:
+        return pd.DataFrame({"file": key[0], "start": key[1], "effect": [json.dumps([[w, c, labels] for w, c, labels in states])]})
+
+    for file, start, text in _ranges(lines):
+        if now != (file, start):
+            if now:
+                yield shown(now, out)
+            now, out = (file, start), [[False, 0, []], [True, 0, []]]
+        for state in out:
+            floor = 0
+            for at, token in _tokens(text, state[0]):
+                if at < 0:
+                    state[0] = token == '"'
+                elif token in "{[":
+                    state[2].append([token, _label(text, at, floor)])
+                elif state[2]:
+                    state[2].pop()
+                else:
+                    state[1] += 1
+                floor = max(at, floor)
+    if now:
+        yield shown(now, out)
+
+
+def _begins(effects: Sequence, target: Sequence) -> dict[tuple[str, int], tuple]:
+    """Of each range: whether it begins in a string, the brackets open there, the range in which the element
+    that is open there began."""
+    out = {}
+    for _, own in groupby(sorted(effects, key=lambda r: (r.file, r.start)), key=lambda r: r.file):
+        within, stack, origin = False, [], None
+        for r in own:
+            out[r.file, r.start] = (within, list(stack), origin)
+            ends, closed, opened = json.loads(r.effect)[within]
+            if len(stack) - closed <= len(target) or origin is None:
+                origin = r.start  # no element goes on through the whole range
+            within, stack = ends, stack[: max(0, len(stack) - closed)] + opened
+    return out
+
+
+def read_elements(spark: SparkSession, path: str, array: Sequence[str], schema: str, keys: DataFrame | None = None, key: str | None = None) -> DataFrame:
+    """Objects of the array at a path of keys, of documents of any size (S09): file and the schema's columns.
+
+    Every task reads a byte range of a document, in order, and gives its elements; those that go over the end of a
+    range are put together from their parts. With keys (one column), elements whose top-level field
+    ``key`` is not among them go before they are parsed. Elements that are no objects are left out; keys of
+    the path must not hold braces. Only a few numbers for each range come to the driver.
+    """
+    target = [["{", None]] if array else []
+    target += [["{", name] for name in array[:-1]] + [["[", array[-1]]] if array else [["[", None]]
+    lines = spark.read.option("lineSep", "}").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    begins = _begins(lines.mapInPandas(_effects, "file string, start long, effect string").collect(), target)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, state = None, None
+
+        def row(origin: int | None, text: str, whole: bool) -> pd.DataFrame:
+            return pd.DataFrame({"file": [now[0]], "origin": [origin], "start": [now[1]], "text": [text], "whole": [whole]})
+
+        for file, start, text in _ranges(batches):
+            if now != (file, start):
+                if now and state["open"]:
+                    yield row(state["origin"], "".join(state["open"]), False)
+                now = (file, start)
+                within, stack, origin = begins[now]
+                inside = len(stack) > len(target) and stack[: len(target)] == target and stack[len(target)][0] == "{"
+                state = {"within": within, "stack": list(stack), "open": [""] if inside else [], "origin": origin if inside else start, "cut": inside}
+            stack, floor, begin, texts = state["stack"], 0, 0, []
+            for at, token in _tokens(text, state["within"]):
+                if at < 0:
+                    state["within"] = token == '"'
+                    continue
+                if token in "{[":
+                    if token == "{" and stack == target:
+                        begin, state["open"], state["origin"], state["cut"] = at, [""], start, False
+                    stack.append([token, _label(text, at, floor)])
+                elif stack:
+                    stack.pop()
+                    if stack == target and state["open"]:
+                        done = "".join(state["open"]) + text[begin : at + 1]
+                        if state["cut"]:
+                            yield row(state["origin"], done, False)
+                        else:
+                            texts.append(done)
+                        state["open"], state["cut"] = [], False
+                floor = at
+            if state["open"]:
+                state["open"].append(text[begin:])
+            if texts:
+                yield pd.DataFrame({"file": file, "origin": None, "start": start, "text": texts, "whole": True})
+        if now and state["open"]:
+            yield row(state["origin"], "".join(state["open"]), False)
+
+    found = written(lines.mapInPandas(run, "file string, origin long, start long, text string, whole boolean"))
+    parts = found.filter("not whole").groupBy("file", "origin").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "text"))), lambda p: p["text"]), "").alias("text"))
+    each = found.filter("whole").select("file", "text").unionByName(parts.select("file", "text"))
+    if keys is not None:
+        wanted = keys.toDF("_key").distinct().withColumn("_key", F.col("_key").cast("string"))
+        each = each.withColumn("_key", F.get_json_object("text", f"$.{key}")).join(wanted, "_key", "left_semi")
+    return each.select("file", F.from_json("text", schema).alias("r")).select("file", "r.*")
+
+
 def explode_nested(df: DataFrame, *levels: tuple[str, str], keys: DataFrame | None = None, key: str | None = None) -> DataFrame:
     """Explode array columns level by level (S09). Rows whose key, a dotted path, is not in keys (one
     column) go as soon as a level has made its first part, before deeper ones are exploded."""

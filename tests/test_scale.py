@@ -279,3 +279,88 @@ def test_code_search_reads_few_vectors(spark, monkeypatch):
         got = {(r["query"], r.vec_id) for r in found}
         want = {(int(q), int(v)) for q in keys[keys % 100 == 0] for v in keys[np.argsort(-(x @ x[keys == q][0]), kind="stable")[:10]]}
         assert len(got & want) >= 0.9 * len(want) and len(got) == len(want)
+
+
+# huge documents
+@pytest.mark.parametrize("size", [700, 5_000, 1 << 20])
+def test_elements_of_huge_documents(spark, tmp_path, size):
+    """Byte ranges of any size, begun anywhere: in strings, keys, elements; several documents; equal to a parser."""
+    from recordloom.sources.readers import read_elements
+
+    rng = random.Random(size)
+    word = lambda: "".join(rng.choices(["{", "}", "[", "]", '"', "\\", "a", "é", " ", ",", "\n", "🎉"], k=rng.randint(0, 9)))
+    want = []
+    for d in range(3):
+        elements = [{"id": d * 1000 + i, "note": word(), "sub": {"x": [word() for _ in range(rng.randint(0, 30))]}} for i in range(60)]
+        want += [(e["id"], e["note"], e["sub"]["x"]) for e in elements]
+        doc = {"head": {"list": [{"id": -1}], "t": word()}, "body": {"other": [[{"id": -2}]], "list": [*elements[:5], 7, None, [{"id": -3}], *elements[5:]]}, "list": [{"id": -4}]}
+        (tmp_path / f"{d}.json").write_text(json.dumps(doc, ensure_ascii=d == 1, indent=2 if d == 2 else None))
+    (tmp_path / "3.json").write_text('{"body": {"list": []}}')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        read = lambda **more: read_elements(spark, str(tmp_path), ["body", "list"], "id long, note string, sub struct<x:array<string>>", **more)
+        assert sorted((r.id, r.note, r["sub"].x) for r in read().collect()) == sorted(want)
+        some = spark.createDataFrame([(5,), (1007,), (-2,)], "k long")
+        assert sorted(r.id for r in read(keys=some, key="id").collect()) == [5, 1007]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_elements_of_a_bare_array(spark, tmp_path):
+    from recordloom.sources.readers import read_elements
+
+    (tmp_path / "a.json").write_text('[{"id": 1}, {"id": 2, "x": {"id": 3}}]\n')
+    assert sorted(r.id for r in read_elements(spark, str(tmp_path), [], "id long").collect()) == [1, 2]
+
+
+# learned vectors
+def _topics(rng, shared=0):
+    """Texts of 30 topics with 60 words each; a text has 12 words of one topic. Pairs of texts without a common word."""
+    texts = []
+    for i in range(600):
+        words = rng.sample([f"t{i % 30}w{j}" for j in range(60)], 24)
+        texts += [" ".join(words[:12]), " ".join(words[12 - shared : 24 - shared])]
+    return texts
+
+
+def _nearest(x):
+    near = x @ x.T
+    np.fill_diagonal(near, -2)
+    return near.argmax(1)
+
+
+def test_word_vectors_are_the_singular_vectors(spark):
+    """The space of the learned vectors holds the leading right singular vectors of the whole matrix."""
+    from recordloom.operators import vectors
+
+    texts = _topics(random.Random(1))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(9999, None), (9998, "")], "i long, t string").repartition(5)
+    weights, basis = vectors.word_vectors(df, "t", width=40, buckets=1 << 12, passes=4)
+    row, bucket, weight = vectors._weighed(texts, weights)
+    a = np.zeros((len(texts), 1 << 12))
+    a[row, bucket] = weight
+    top = np.linalg.svd(a, full_matrices=False)[2][:20]
+    assert np.linalg.norm(top @ basis, axis=1).min() > 0.95
+    held = {b: sum(b in set(bucket[row == i]) for i in range(len(texts))) for b in bucket[:20].tolist()}
+    assert all(weights[b] == pytest.approx(math.log((len(texts) + 3) / n)) for b, n in held.items())
+
+
+def test_learned_vectors_find_what_hashing_cannot(spark):
+    """Near copies are each other's nearest; texts of one topic without a common word are near, and by hashing are not."""
+    from recordloom.operators import vectors
+
+    rng = random.Random(3)
+    texts = _topics(rng)
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, t string")
+    model = vectors.word_model(spark, *vectors.word_vectors(df, "t", buckets=1 << 12))
+    learned, hashed = model(texts), vectors.hashed_words(texts)
+    topic = np.arange(len(texts)) // 2 % 30
+    apart = lambda x: np.mean([x[i] @ x[i + 1] > np.median(x[i] @ x.T) + 0.3 for i in range(0, len(texts), 2)])
+    assert apart(learned) > 0.9 > apart(hashed) and np.mean(topic[_nearest(learned)] == topic) > 0.95
+    long = [" ".join(rng.choices(texts[0].split() + [w for t in texts[:200] for w in t.split()], k=80)) for _ in range(200)]
+    near = [" ".join(w if rng.random() > 0.05 else "zzz" for w in t.split()) for t in long]
+    both = spark.createDataFrame(list(enumerate(long + near)), "i long, t string")
+    model = vectors.word_model(spark, *vectors.word_vectors(both, "t"))
+    assert np.mean(_nearest(model(long + near)) == (np.arange(400) + 200) % 400) >= 0.9
+    assert model(["", "unheard-of"]).tolist()[0] == [0.0] * 64
