@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.llm import decontaminate, near_dup, packing, quality, secret_scan
-from recordloom.llm.scratch import remove, remove_since, shared_dir, written
+from recordloom.llm.scratch import remove, shared_dir, tracked
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,10 +56,11 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_dir(spark)}/pipeline/{uuid.uuid4().hex}"
     before = None
     for number, (name, stage) in enumerate(STAGES):
-        mark, path = written(), f"{folder}/{number}_{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        path = f"{folder}/{number}_{name}"
+        with tracked() as made:
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
-        remove_since(spark, mark)
+        remove(spark, *made)
         if before:
             remove(spark, before)
         before = path

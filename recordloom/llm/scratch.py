@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: list[str] = []
-_WRITTEN: list[str] = []
+_OWN: ContextVar[list[str] | None] = ContextVar("tables of the run", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,13 +32,22 @@ def cut(df: DataFrame, compression: str = "snappy") -> DataFrame:
     lost executor loses nothing."""
     path = f"{shared_dir(df.sparkSession)}/recordloom/{uuid.uuid4().hex}"
     df.write.parquet(path, compression=compression)
-    _WRITTEN.append(path)
+    own = _OWN.get()
+    if own is not None:
+        own.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def written() -> int:
-    """How many tables cut() has written so far."""
-    return len(_WRITTEN)
+@contextmanager
+def tracked() -> Iterator[list[str]]:
+    """The tables that cut() writes meanwhile, for this run alone: other threads have lists of their own. Give
+    them to remove() once what reads them is written."""
+    own: list[str] = []
+    before = _OWN.set(own)
+    try:
+        yield own
+    finally:
+        _OWN.reset(before)
 
 
 def remove(spark: SparkSession, *paths: str) -> None:
@@ -45,12 +57,6 @@ def remove(spark: SparkSession, *paths: str) -> None:
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def remove_since(spark: SparkSession, mark: int) -> None:
-    """Delete the tables that cut() has written since written() gave mark, once what reads them is written."""
-    remove(spark, *_WRITTEN[mark:])
-    del _WRITTEN[mark:]
-
-
 def free(name: str, taken: list[str]) -> str:
     """name, or with underscores before it so that no column of ``taken`` has it."""
     lower = {t.lower() for t in taken}
