@@ -10,9 +10,10 @@ Its text blocks (menus, notices, the same on page after page) are no content, ex
 paragraphs. The gaps between its tags are the slots, and what they hold on a page is its content.
 
 The host's main slot is the innermost element path that holds ``MAIN_SHARE`` of the slots' text
-outside links over all pages of the host. A page's text is what the element of that path holds (of
-several, those with at least a quarter of the largest one's text), widened to the ``article`` or
-``main`` around it or, without these, to parents whose heading comes before it. A host without a
+outside links over all pages of the host. A page's text is what the elements of that path hold,
+whatever their size, but those that are mostly links (teasers), widened to the ``article`` or
+``main`` around it or, without these, to parents whose heading comes before it, and the other
+``article`` and ``main`` elements of the page that are not mostly links. A host without a
 template, or a page without its main slot, falls back on the page alone: ``article`` or ``main``,
 else the element with several blocks that holds most text outside links, and from there up while
 what a parent adds is not mostly links. Containers that are never article text (navigation, page
@@ -47,7 +48,7 @@ from .scratch import cut
 
 MIN_PAGES, MIN_SHARE, MIN_SIZE = 3, 0.6, 2
 MAIN_SHARE = 0.6
-BROADCAST_ROWS = 200_000  # a template has at most some dozens of 8-byte hashes
+BROADCAST_ROWS, BROADCAST_HASHES = 200_000, 4_000_000  # hosts, and hashes of 8 bytes in all their templates
 
 # Fixed values of HTML: elements by their role in layout.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -173,18 +174,19 @@ def parse(page: str) -> tuple[list[str], list[Block]]:
     return tokens, blocks
 
 
+def _kept(owned: list[tuple[int, Block]]) -> list[int]:
+    """Serials of the elements, of (serial, block) pairs, whose text is not mostly links."""
+    size, linked = Counter(), Counter()
+    for serial, b in owned:
+        size[serial] += len(b.text)
+        linked[serial] += b.linked
+    return [k for k, n in size.items() if n and linked[k] * 2 <= n]
+
+
 def _main(slots: list[Block], main: int) -> list[Block]:
     """The slots' blocks in the elements of a host's main path, widened; none if the page has no such."""
-    weight: Counter = Counter()
-    for b in slots:
-        for s in b.path:
-            if s[5] == main:
-                weight[s[4]] += len(b.text) - b.linked
-    most = max(weight.values(), default=0)
-    if not most:
-        return []
     wide = set()
-    for serial in (k for k, n in weight.items() if n * 4 >= most):
+    for serial in _kept([(s[4], b) for b in slots for s in b.path if s[5] == main]):
         first = next(i for i, b in enumerate(slots) if any(s[4] == serial for s in b.path))
         path = slots[first].path
         at = next(i for i, s in enumerate(path) if s[4] == serial)
@@ -206,12 +208,9 @@ def _alone(slots: list[Block]) -> list[Block]:
     """The main blocks of a page of which no template tells."""
     mains = [b for b in slots if any(s[3] for s in b.path)]
     if mains:
-        weight: Counter = Counter()
-        for b in mains:
-            weight[next(s[4] for s in b.path if s[3])] += len(b.text)
-        # several article elements on a page: all that are no teasers beside the largest
-        most = max(weight.values())
-        return [b for b in mains if weight[next(s[4] for s in b.path if s[3])] * 4 >= most]
+        of = lambda b: next(s[4] for s in b.path if s[3])
+        kept = _kept([(of(b), b) for b in mains])
+        return [b for b in mains if not kept or of(b) in kept]
     weight, several, size, linked = Counter(), Counter(), Counter(), Counter()
     for b in slots:
         free = len(b.text) - b.linked
@@ -244,7 +243,14 @@ def slots_of(blocks: list[Block], template: set[int]) -> list[Block]:
 def extract(page: str, template: set[int], main: int | None = None) -> str:
     """The main text of a page, given the hashes of its host's template texts and of its main path."""
     slots = slots_of(parse(page)[1], template)
-    chosen = (_main(slots, main) if main is not None else []) or _alone(slots)
+    chosen = _main(slots, main) if main is not None else []
+    if chosen:  # articles beside the main slot are content too
+        outer = lambda b: next((s[4] for s in b.path if s[3]), None)
+        near = {outer(b) for b in chosen} | {None}
+        beside = _kept([(outer(b), b) for b in slots if outer(b) not in near])
+        own = set(map(id, chosen))
+        chosen = [b for b in slots if id(b) in own or outer(b) in beside]
+    chosen = chosen or _alone(slots)
     return "\n\n".join(b.text for b in chosen)
 
 
@@ -283,9 +289,12 @@ def tokens(pages: DataFrame) -> DataFrame:
     return own.mapInPandas(run, f"host long, page long, tokens array<long>, counts array<int>, blocks {SLOTS}").dropDuplicates(["host", "page"])
 
 
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """A broadcast hint if df has at most so many rows; else Spark joins by shuffle."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small(df: DataFrame, rows: int, hashes: str | None = None) -> DataFrame:
+    """A broadcast hint if df has at most so many rows, and BROADCAST_HASHES members in an array column; else
+    Spark joins by shuffle."""
+    held = F.coalesce(F.sum(F.size(hashes)), F.lit(0)) if hashes else F.lit(0)
+    n, members = df.limit(rows + 1).agg(F.count(F.lit(1)), held).first()
+    return F.broadcast(df) if n <= rows and members <= BROADCAST_HASHES else df
 
 
 def templates(pages: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
@@ -303,7 +312,7 @@ def templates(pages: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
     members = cut(frequent.join(valid, ["host", "vector"], "left_semi"))
     of_host = members.groupBy("host").agg(F.collect_set(F.when(F.col("token").bitwiseAND(F.lit(1).cast("long")) == 1, F.col("token"))).alias("texts"))
     # the slots of all pages, by every element path around them
-    page = found.select("host", "blocks").join(small(of_host, BROADCAST_ROWS), "host")
+    page = found.select("host", "blocks").join(small(of_host, BROADCAST_ROWS, "texts"), "host")
     slot = page.select("host", F.explode(F.filter("blocks", lambda b: b["article"] | ~F.array_contains("texts", b["token"]))).alias("b"))
     around = slot.select("host", F.col("b.free").alias("free"), F.posexplode(F.array_distinct("b.path")).alias("depth", "path"))
     paths = around.groupBy("host", "path").agg(F.sum("free").alias("free"), F.max("depth").alias("depth"))
@@ -323,7 +332,7 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     own = pages.select("page_id", "url", "html", F.xxhash64(host(F.col("url"))).alias("host"))
     text = run("html", "texts", "main")
-    return own.join(small(cut(templates(pages)), BROADCAST_ROWS), "host", "left").select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    return own.join(small(cut(templates(pages)), BROADCAST_ROWS, "texts"), "host", "left").select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def query(pages: DataFrame) -> DataFrame:

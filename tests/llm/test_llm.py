@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from recordloom.llm import chat, decontaminate, flac, html_extract, lm_score, near_dup, packing, quality, queries, scratch, secret_scan, sharding
+from recordloom.llm import chat, decontaminate, flac, html_extract, lm_score, near_dup, packing, personal, quality, queries, scratch, secret_scan, sharding, token_align
 from recordloom.llm.words import WordIds
 
 from ..compare import rows_of, sql_rows
@@ -657,11 +657,25 @@ def test_html_near_copies_keep_their_article(spark):
     assert got == {i: f"Title\n\nFirst shared paragraph.\n\nDated {i}\n\nSecond shared paragraph." for i in range(3)} | {3: "Other\n\nAll else."}
 
 
+def test_html_small_articles_stay(spark):
+    """Several articles of unequal size are all content; one that is a list of links is none."""
+    long = "<article><h1>Part one</h1><p>" + "Long text here. " * 60 + "</p></article>"
+    page = f"<html><body><main>{{}}</main><article><h2>Part two</h2><p>Short part {{}}.</p></article><article><a href=/x>A teaser of another page</a> more</article></body></html>"
+    html = [page.format(long.replace("one", f"one of {i}"), i) for i in range(4)]
+    got = {r.page_id: r.text for r in html_extract.query(spark.createDataFrame([(i, "http://two.org/", h) for i, h in enumerate(html)] + [(9, "http://one.org", html[0])], "page_id long, url string, html string")).collect()}
+    for i in [0, 1, 2, 3, 9]:
+        want = [f"Part one of {i % 9}", ("Long text here. " * 60).strip(), "Part two", f"Short part {i % 9}."]
+        assert got[i].split("\n\n") == want
+    assert html_extract.extract(html[0], set()).endswith("Short part 0.")
+
+
 def test_html_given_pages(tables):
+    """The registered query, template and all, against the pages' own mark."""
+    got = {r.page_id: r.text for r in html_extract.query(tables["pages"]).collect()}
     for r in tables["pages"].collect():
         article = re.sub(r"<br\s*/?>", "\n", r.html[r.html.index("<article>") + 9 : r.html.index("</article>")])
         parts = [re.sub(r"\s+", " ", html_extract.entities.unescape(re.sub(r"</?[bi]>", "", x))).strip() for x in re.split(r"</?(?:p|h1)>", article)]
-        assert html_extract.extract(r.html, set()) == "\n\n".join(p for p in parts if p)
+        assert got[r.page_id] == "\n\n".join(p for p in parts if p)
 
 
 # 8 FLAC
@@ -838,7 +852,7 @@ def test_word_ids_equal_whole_encoding():
 # all of them
 TEXT_QUERIES = {
     "op1": lambda d, t: secret_scan.query(d), "op2": lambda d, t: quality.query(d, t["labels"]), "op4": lambda d, t: near_dup.query(d),
-    "op5": lambda d, t: lm_score.query(d), "op8": lambda d, t: flac.query(d), "op9": lambda d, t: sharding.query(d), "op10": lambda d, t: packing.query(d),
+    "op5": lambda d, t: lm_score.query(d), "op8": lambda d, t: flac.query(d), "op9": lambda d, t: sharding.query(d), "op10": lambda d, t: packing.query(d), "op12": lambda d, t: token_align.query(d), "op13": lambda d, t: personal.query(d),
 }
 
 
@@ -904,6 +918,24 @@ def test_operators_keep_clashing_columns(spark, odd, tables):
     assert {(r.quality_score, r._key, r.row, r.rep, r.bands) for r in near_dup.dedup(docs).collect()} == {("mine", 3, 4, "x", 1)}
 
 
+def test_runs_track_their_own_tables(spark):
+    """Two runs at a time: each has the tables that it has written, and outside a run none is noted."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def run(n):
+        with scratch.tracked() as made:
+            for _ in range(n):
+                scratch.cut(spark.range(n))
+        return made
+
+    with ThreadPoolExecutor(4) as pool:
+        made = list(pool.map(run, [1, 2, 3, 4]))
+    assert [len(m) for m in made] == [1, 2, 3, 4] and len({p for m in made for p in m}) == 10
+    kept = scratch.cut(spark.range(5))
+    scratch.remove(spark, *[p for m in made for p in m])
+    assert kept.count() == 5 and scratch._OWN.get() is None
+
+
 def test_shared_folder_is_asked_for(monkeypatch):
     class Cluster:
         class conf:
