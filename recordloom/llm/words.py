@@ -53,7 +53,7 @@ class WordIds:
     tokenizer of another normaliser or pattern is refused.
     """
 
-    def __init__(self, path: str, keep: int = 150_000):
+    def __init__(self, path: str, keep: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -61,9 +61,9 @@ class WordIds:
         # the strings of special tokens are tokens of their own as they stand, and ordinary in any other case
         specials = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items() if not t.normalized}
         self.specials = {MARK + t: i for t, i in specials.items()}
-        self.special = re.compile("(" + "|".join(map(re.escape, sorted(specials, key=len, reverse=True))) + ")") if specials else None
-        self.plain = Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True
+        self.special = re.compile("(" + "|".join(map(re.escape, sorted(specials, key=len, reverse=True))) + ")") if specials else re.compile(r"(?!)")
+        self.opening = os.path.commonprefix([*specials]) if specials else "\ud800"  # soon found in a text, or in none
+        self.tokenizer.encode_special_tokens = True  # for words, which are no special tokens
         self.model, self.parts = self.tokenizer.model, {}
         self._clear()
         if self.encode([PROBE])[0].tolist() != self.tokenizer.encode(PROBE, add_special_tokens=False).ids:
@@ -92,7 +92,7 @@ class WordIds:
         return ids
 
     def _whole(self, word: str) -> bytes:
-        return np.array(self.plain.encode(word, add_special_tokens=False).ids, np.uint32).tobytes()
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, np.uint32).tobytes()
 
     def _word(self, word: str) -> bytes:
         parts = self.parts
@@ -129,7 +129,7 @@ class WordIds:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.place) > self.keep:
             self._shrink()
-        words = [self._split(t) if self.special is None or not self.special.search(t) else self._around(t) for t in texts]
+        words = [self._around(t) if self.opening in t and self.special.search(t) else self._split(t) for t in texts]
         at = np.fromiter(map(self.place.get, chain.from_iterable(words), repeat(-1)), np.int64)
         new = at < 0
         if new.any():
