@@ -6,9 +6,9 @@ its length and, from its document, the shares of distinct words and lines. One t
 it; gated attention (tanh times sigmoid) weighs the passages of a bag; the weighted sum is scored by
 a logistic output. All weights are learned together, by Adam in numpy, from document labels alone.
 
-Training takes at most ``SAMPLE`` labelled documents (those of the least hash, of at most ``LONGEST``
-characters), each with all its passages, which bounds what reaches the driver; scoring takes all
-documents and all passages in tasks. Documents whose crc32(doc_id) mod 3 is 1 are never trained on.
+Training takes at most ``SAMPLE`` labelled documents, in the order of a hash of their ids and as long as
+their texts sum to at most ``BYTES``, each with all its passages, whatever its length: that bounds what
+reaches the driver. Scoring takes all documents and all passages in tasks. Documents whose crc32(doc_id) mod 3 is 1 are never trained on.
 
 Defined results: a null text counts as empty and is scored like one (one passage of no characters);
 null ids are not held out and never trained on; conflicting labels of one id count as 1 if at least
@@ -23,13 +23,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .words import slices
 
 PASSAGE = 512
-SAMPLE, LONGEST = 4000, 1 << 20
+SAMPLE, BYTES = 4000, 64 << 20  # documents that training gathers, and bytes of their texts, at most
 HIDDEN, GATE = 24, 12
 EPOCHS, BATCH, RATE = 20, 64, 0.004
 EXTRA = 5
@@ -136,7 +136,8 @@ def remainder(doc_id: Column, n: int) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
-    """Train on at most sample labelled documents outside the held-out third."""
+    """Train on at most sample labelled documents outside the held-out third, in the order of a hash of their
+    ids, as long as their texts sum to at most BYTES."""
     one = labels.filter("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("_id")).agg((F.avg("quality") >= 0.5).cast("int").alias("_label"))
     usable = one.filter(remainder(F.col("_id"), 3) != 1)
     own = usable.orderBy(F.xxhash64("_id"), "_id").limit(sample)  # the bound of what is broadcast and gathered
@@ -145,8 +146,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
         for batch in batches:
             yield pd.DataFrame({"_id": batch["_id"], "_label": batch["_label"], "bag": [bag(t).astype(np.float16).tobytes() for t in batch["text"]]})
 
-    short = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce("text", F.lit("")).alias("text")).filter(F.length("text") <= LONGEST)
-    one_text = short.join(F.broadcast(own), "_id").groupBy("_id", "_label").agg(F.min("text").alias("text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(own), "_id")
+    sizes = texts.groupBy("_id").agg(F.max(F.octet_length("text")).alias("_size"))  # at most sample rows
+    upto = F.sum("_size").over(Window.orderBy(F.xxhash64("_id"), "_id"))
+    taken = sizes.withColumn("_upto", upto).filter(F.col("_upto") <= BYTES).select("_id")
+    one_text = texts.join(F.broadcast(taken), "_id").groupBy("_id", "_label").agg(F.min("text").alias("text"))
     seen = one_text.mapInPandas(encode, "_id long, _label int, bag binary").orderBy("_id").toPandas()
     bags = [np.frombuffer(b, np.float16).reshape(-1, WIDTH).astype(np.float32) for b in seen["bag"]]
     return train(bags, seen["_label"].to_numpy(np.float64))

@@ -254,6 +254,20 @@ def test_quality_trains_on_every_passage(spark, monkeypatch):
     assert sorted(map(len, seen["bags"])) == [1, 1, 110] and sorted(seen["labels"]) == [0, 1, 1]
 
 
+def test_quality_sample_is_bounded_in_bytes(spark, monkeypatch):
+    """Documents in the order of their hash, as long as their texts fit; a long one counts like others."""
+    seen = {}
+    monkeypatch.setattr(quality, "train", lambda bags, labels: seen.update(bags=bags) or {"constant": 0.5})
+    monkeypatch.setattr(quality, "BYTES", 60_000)
+    keep = [i for i in range(400) if zlib.crc32(str(i).encode()) % 3 != 1][:100]
+    docs = docs_of(spark, ["words and more. " * (2000 if i % 7 == 0 else 60) for i in keep], keep)
+    order = [r.doc_id for r in docs.orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    sizes = {r.doc_id: len(r.text) for r in docs.collect()}
+    quality.fit(docs, spark.createDataFrame([(i, i % 2) for i in keep], "doc_id long, quality int"))
+    want = [i for n, i in enumerate(order) if sum(sizes[j] for j in order[: n + 1]) <= 60_000]
+    assert sorted(map(len, seen["bags"])) == sorted(-(-sizes[i] // quality.PASSAGE) for i in want) and len(want) < 100
+
+
 # 3 decontamination
 def edited(r, words, k, vocabulary):
     out = list(words)
