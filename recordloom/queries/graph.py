@@ -57,6 +57,18 @@ def h03(t):
     return G.subtree_sum(tree(t), v, "k", "m")
 
 
+@query(
+    "h03_subtree_sum_chains",
+    """select o_orderkey as node, round(sum(o_totalprice) over w, 2) as total, count(*) over w as members from orders
+    window w as (partition by o_custkey order by o_orderkey rows between current row and unbounded following)""",
+)
+def h03_chains(t):
+    """Each order hangs on the customer's order before it: what lies below is what came later."""
+    before = F.lag("o_orderkey").over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    edges = t.orders.select(F.col("o_orderkey").alias("child"), before.alias("parent")).filter("parent is not null")
+    return G.subtree_sum(edges, t.orders.select("o_orderkey", "o_totalprice"), "o_orderkey", "o_totalprice")
+
+
 H04_SQL = f"with {TREE}, a as (select c_custkey as k from customer), x as (select k as anchor, k as member, 0 as hops, k::varchar as path from a union all select k, child, 1, k || '>' || child from a join e on parent = k union all select k, f.child, 2, k || '>' || e.child || '>' || f.child from a join e on e.parent = k join e f on f.parent = e.child), r as (select *, row_number() over (partition by anchor, member order by hops, path) as rn from x) select anchor, member, hops, path from r where rn = 1"
 
 

@@ -94,6 +94,17 @@ def j09_parts(t):
     return J.pairs(own, "l_orderkey", "item").groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "j09_pairs_in_blocks",
+    """select x.c_nationkey, count(*) as n, sum(x.c_custkey)::bigint as sum_a, sum(y.c_custkey)::bigint as sum_b
+    from customer x join customer y on x.c_nationkey = y.c_nationkey and x.c_custkey < y.c_custkey group by 1""",
+)
+def j09_blocks(t):
+    """All pairs of a nation's customers; nations are heavy keys, of many blocks each."""
+    met = J.pairs(t.customer, "c_nationkey", "c_custkey", block=20)
+    return met.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"), F.sum("item_a").alias("sum_a"), F.sum("item_b").alias("sum_b"))
+
+
 DAILY = "select user_id, cast(ts as date) as day, count(*) as n from events group by 1, 2"
 
 
@@ -231,6 +242,24 @@ def j18(t):
     return J.fuzzy_match(a, "k", "n", b, "k", "n")
 
 
+ONE_BLOCK = "'acme ' || md5(cast(c_custkey as {text}))"
+DENTED = "case when c_custkey % 3 = 0 then 'acme ' || substr(md5(cast(c_custkey as {text})), 1, 20) || 'z' || substr(md5(cast(c_custkey as {text})), 22) when c_custkey % 3 = 1 then 'acme ' || substr(md5(cast(c_custkey as {text})), 2) else 'acme ' || md5(cast(c_custkey + 1 as {text})) end"
+
+
+@query(
+    "j18_fuzzy_one_block",
+    f"""with a as (select c_custkey as k, {ONE_BLOCK.format(text='varchar')} as n from customer), b as (select c_custkey as k, {DENTED.format(text='varchar')} as n from customer),
+    s as (select k, n, array_to_string(list_sort(string_split(n, ' ')), ' ') as t from a), u as (select k, n, array_to_string(list_sort(string_split(n, ' ')), ' ') as t from b),
+    m as (select s.k as a_key, u.k as b_key, round(100.0 * (1 - levenshtein(s.t, u.t) / greatest(length(s.t), length(u.t))), 4) as similarity from s, u)
+    select a_key, b_key, similarity from (select *, row_number() over (partition by a_key order by similarity desc, b_key) as rn from m where similarity >= 95) where rn = 1""",
+)
+def j18_one_block(t):
+    """All names begin with one token, so that the block is the table: some equal, some a letter off, some shifted."""
+    a = t.customer.select(F.col("c_custkey").alias("k"), F.expr(ONE_BLOCK.format(text="string")).alias("n"))
+    b = t.customer.select(F.col("c_custkey").alias("k"), F.expr(DENTED.format(text="string")).alias("n"))
+    return J.fuzzy_match(a, "k", "n", b, "k", "n")
+
+
 J19_SQL = """with p as (select p_partkey, list_distinct(string_split(p_name || ' ' || lower(p_type), ' ')) as w from part), x as (select p_partkey, len(w) as n, unnest(w) as tok from p), a as (select * from x where p_partkey % 2 = 0), b as (select * from x where p_partkey % 2 = 1),
     m as (select a.p_partkey as a_part, b.p_partkey as b_part, count(*) as shared, count(*) / least(any_value(a.n), any_value(b.n)) as score from a join b using (tok) group by 1, 2)
     select a_part, b_part, shared, round(score, 6) as score, rank from (select *, row_number() over (partition by a_part order by score desc, shared desc, b_part) as rank from m) where rank <= 3"""

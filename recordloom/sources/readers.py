@@ -25,16 +25,22 @@ def read_delimited(spark: SparkSession, path: str, columns: Sequence[str], sep:
     return spark.read.csv(path, schema=strings(columns), sep=sep, header=header, quote='"', escape='"', mode="PERMISSIVE")
 
 
+def _placed(spark: SparkSession, path: str) -> DataFrame:
+    """value, file, place: lines of files, in order by the block they are in, then as a task reads them."""
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"))
+    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), place.alias("place"))
+
+
 QUOTED = '"(?:[^"]|"")*"'
 
 
 def read_ragged(spark: SparkSession, path: str, columns: Sequence[str], sep: str = ",", header: bool = False) -> tuple[DataFrame, DataFrame]:
     """Rows, short ones padded with nulls, and the raw lines that have too many fields or an unbalanced
-    quote (S02). header: lines equal to the first one are left out; a quoted field holds no line break."""
-    lines = spark.read.text(path)
+    quote (S02). header: each file's first line is left out; a quoted field holds no line break."""
+    lines = _placed(spark, path)
     if header:
-        first = lines.first()
-        lines = lines.filter(F.col("value") != (first.value if first else ""))
+        firsts = lines.groupBy("file").agg(F.min("place").alias("first"))  # a row a file
+        lines = lines.join(firsts, "file").filter(F.col("place") > F.col("first"))
     bare = F.regexp_replace("value", QUOTED, "")
     fits = (F.size(F.split(bare, f"\\Q{sep}\\E", -1)) <= len(columns)) & ~F.contains(bare, F.lit('"'))
     row = F.from_csv("value", ", ".join(f"`{c}` string" for c in columns), {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"})
@@ -69,9 +75,7 @@ def read_copy_text(spark: SparkSession, path: str, schema: str) -> DataFrame:
     r"""Tab-separated dump text: ``\N`` is null, backslash escapes are decoded, and a file ends at its
     first line ``\.`` (S05)."""
     raw = T.StructType.fromDDL(schema)
-    # lines of a file in order: by the block they are in, then as a task reads them
-    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"))
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), place.alias("place"))
+    lines = _placed(spark, path)
     ends = lines.filter(F.col("value") == "\\.").groupBy("file").agg(F.min("place").alias("end"))
     body = lines.join(ends, "file", "left").filter(F.col("end").isNull() | (F.col("place") < F.col("end")))
 

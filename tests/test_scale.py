@@ -364,3 +364,14 @@ def test_learned_vectors_find_what_hashing_cannot(spark):
     model = vectors.word_model(spark, *vectors.word_vectors(both, "t"))
     assert np.mean(_nearest(model(long + near)) == (np.arange(400) + 200) % 400) >= 0.9
     assert model(["", "unheard-of"]).tolist()[0] == [0.0] * 64
+
+
+def test_header_goes_by_place(spark, tmp_path):
+    """Each file's first line goes, whatever it says; a data row that says the same stays."""
+    from recordloom.sources.readers import read_ragged
+
+    (tmp_path / "a.csv").write_text("id,name\n1,x\nid,name\n2\n")
+    (tmp_path / "b.csv").write_text("ID,NAME\n3,y\n4,y,z\n")
+    rows, rejects = read_ragged(spark, str(tmp_path), ["id", "name"], header=True)
+    assert sorted((r.id, r.name) for r in rows.collect()) == [("1", "x"), ("2", None), ("3", "y"), ("id", "name")]
+    assert [r.line for r in rejects.collect()] == ["4,y,z"]
