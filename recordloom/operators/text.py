@@ -95,22 +95,27 @@ def named_spans(text: Column, patterns: Mapping[str, str]) -> Column:
     return F.flatten(F.array(*[leg(n, p) for n, p in patterns.items()]))
 
 
+REACH = 100  # characters that a negation itself may have
+
+
 def extract(df: DataFrame, key: str, text: str, families: Mapping[str, str], negation: str, window: int = 40, margin: int = 30, mandatory: str = "must|shall|required") -> DataFrame:
     """key, family, value, n, start, end, quote, mandatory: distinct matches of pattern families.
 
-    A match is dropped if a negation ends within ``window`` characters before it in the same sentence.
-    start, end and quote (the match with ``margin`` characters on both sides) are those of the first;
-    mandatory: one of the quotes has such a word. Offsets are code points.
+    A match is dropped if a negation ends within ``window`` characters before it in the same sentence: only
+    what stands there is searched for one. start, end and quote (the match with ``margin`` characters on both
+    sides) are those of the first; mandatory: one of the quotes has such a word. Offsets are code points.
     """
-    own = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("body"), spans(F.col(text), negation).alias("no"), named_spans(F.col(text), families).alias("found"))
+    body = F.coalesce(F.col(text), F.lit(""))
 
-    def negated(f: Column) -> Column:
-        between = lambda m: F.substring(F.col("body"), m["end"] + 1, f["start"] - m["end"])
-        return F.exists("no", lambda m: (m["end"] <= f["start"]) & (f["start"] - m["end"] <= window) & ~F.contains(between(m), F.lit(".")))
+    def shown(f: Column) -> Column:
+        first, back = F.greatest(f["start"] - margin, F.lit(0)), F.greatest(f["start"] - window - REACH, F.lit(0))
+        quote = F.substring(body, first + 1, f["end"] + margin - first)
+        before = F.substring(body, back + 1, f["start"] - back)
+        return F.struct(f["name"].alias("family"), f["value"].alias("value"), f["start"].alias("start"), f["end"].alias("end"), quote.alias("quote"), before.alias("before"))
 
-    first = F.greatest(F.col("f.start") - margin, F.lit(0))
-    rows = own.select("key", "body", F.explode(F.filter("found", lambda f: ~negated(f))).alias("f"))
-    quoted = rows.select("key", F.col("f.name").alias("family"), "f.value", "f.start", "f.end", F.substring(F.col("body"), first + 1, F.col("f.end") + margin - first).alias("quote"))
+    free = lambda f: ~f["before"].rlike(f"(?:{negation})[^.]{{0,{window}}}\\z")
+    found = F.filter(F.transform(named_spans(F.col(text), families), shown), free)
+    quoted = df.select(F.col(key).alias("key"), F.explode(found).alias("f")).select("key", "f.*").drop("before")
     once = quoted.groupBy("key", "family", "value").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("start", "end", "quote")).alias("b"), F.max(F.col("quote").rlike(mandatory)).alias("mandatory"))
     return once.select(F.col("key").alias(key), "family", "value", "n", "b.start", "b.end", "b.quote", "mandatory")
 
