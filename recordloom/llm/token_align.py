@@ -46,7 +46,7 @@ from .words import byte_letters, ragged, slices
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 CHUNK = 1 << 16  # bytes of a range; longer documents are encoded by ranges
 FAN = 16
-KEEP = 200_000
+KEEP = 150_000
 CUT = re.compile(r"(?<=\S) ")
 SHIFT = 1 << 20  # a pair of ids as one number: a * SHIFT + b
 
@@ -86,7 +86,7 @@ def compose(left: Fragment, right: Fragment) -> tuple[Fragment, str | None]:
 
 
 def _ranked(ranks: dict[bytes, int]):
-    """The same byte-level vocabulary in a faster library; ids grow with merges, and bytes come first."""
+    """The same byte-level vocabulary in a faster and smaller library, in which special tokens' strings are text."""
     import public_tokenizers
     import tiktoken
 
@@ -101,12 +101,12 @@ class Aligner:
         import sentencepiece
         from tokenizers import Tokenizer
 
-        self.a, self.b, self.keep = Tokenizer.from_file(a_path), sentencepiece.SentencePieceProcessor(model_file=b_path), keep
-        self.a.encode_special_tokens = True
+        self.b, self.keep = sentencepiece.SentencePieceProcessor(model_file=b_path), keep
+        a = Tokenizer.from_file(a_path)
         letters = {letter: byte for byte, letter in byte_letters().items()}
-        specials = self.a.get_added_tokens_decoder()
-        self.a_bytes = {i: t.encode() if i in specials else bytes(letters[c] for c in t) for t, i in self.a.get_vocab().items()}
-        self.fast = _ranked({b: i for i, b in self.a_bytes.items() if i not in specials})
+        specials = a.get_added_tokens_decoder()
+        self.a_bytes = {i: t.encode() if i in specials else bytes(letters[c] for c in t) for t, i in a.get_vocab().items()}
+        self.a = _ranked({b: i for i, b in self.a_bytes.items() if i not in specials})
         pieces = [(i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
         if any(re.search("[^▁]▁", p) for _, p in pieces):
             raise ValueError(f"{b_path} has pieces with a space behind other characters")
@@ -136,13 +136,13 @@ class Aligner:
             plain = [p for p in parts if p and not p[-1].isspace()] if len(parts) > 1 else []
             for p in parts if len(parts) == 1 else [p for p in parts if not p or p[-1].isspace()]:
                 # the last part of a text may be empty, and the space before it then stands alone
-                a_ids, b_ids = self.a.encode(" " + p, add_special_tokens=False).ids, self.b.encode(p) if p else [self.b.piece_to_id("▁")]
-                self._laid([p], np.array(a_ids, np.int64), np.array(b_ids, np.int64))
+                b_ids = self.b.encode(p) if p else [self.b.piece_to_id("▁")]
+                self._laid([p], np.array(self.a.encode_ordinary(" " + p), np.int64), np.array(b_ids, np.int64))
             if plain:
                 self._learn(plain)
             return
         text = " ".join(parts)
-        self._laid(parts, np.array(self.fast.encode_ordinary(" " + text), np.int64), np.array(self.b.encode(text), np.int64))
+        self._laid(parts, np.array(self.a.encode_ordinary(" " + text), np.int64), np.array(self.b.encode(text), np.int64))
 
     def _laid(self, parts: list[str], a: np.ndarray, b: np.ndarray) -> None:
         """Keep the groups of parts from the tokens of both over all of them."""
