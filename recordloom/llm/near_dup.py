@@ -18,8 +18,10 @@ instead of k hashes an element.
    elements in any common order (prefix filtering); the order is: elements that the leader lacks,
    then the others. What sets the leader apart from a member is rare, so the groups that share such
    an element are small. Members of a group in different components are compared if the places of
-   the shared element leave enough behind it (positional filtering). A group of over ``BLOCK``
-   members takes its pairs block by block, and components found on the way drop the later ones.
+   the shared element leave enough behind it (positional filtering) and their similarities to the
+   leader differ by no more than linked texts' can (the distance is a metric). About ``BLOCK`` members
+   of a group are compared with all others first, then turn by turn ``WIDER`` times as many; components
+   found on the way drop the later pairs.
 3. Components of all links are the classes. No link within a bucket is lost.
 
 Two texts of similarity 0.8 share no bucket with probability (1 - 0.8**5)**24 = 7e-5.
@@ -46,7 +48,7 @@ from .words import slices
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
-BLOCK = 2048  # members of a group that are compared with all others in one go
+BLOCK, WIDER = 8, 4  # members of a group that are first compared with all others; how many more each further time
 COPIED = 1000
 FIRST_RANK = 1 / 16  # the first region of ranks; each further one doubles the span
 MIX1, MIX2, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -255,44 +257,56 @@ def _front(sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def _groups(stars: DataFrame, label: DataFrame, similarity: float) -> DataFrame:
-    """g, rep, comp, n, r, size: members of a star that share one of their foremost elements, at place
-    r, where they are of several components."""
-    own = stars.select("a", "b", "n", "front").join(label.toDF("b", "comp"), "b", "left").withColumn("comp", F.coalesce("comp", "b"))
+    """g, rep, comp, n, sim, r, size: members of a star that share one of their foremost elements, at place
+    r, where they are of several components; sim is their similarity to the leader."""
+    own = stars.select("a", "b", "n", "sim", "front").join(label.toDF("b", "comp"), "b", "left").withColumn("comp", F.coalesce("comp", "b"))
     mixed = own.groupBy("a").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("a")
-    each = own.join(mixed, "a").select("a", F.col("b").alias("rep"), "comp", "n", F.posexplode("front").alias("r", "element"))
-    each = each.select(F.xxhash64("a", "element").alias("g"), "rep", "comp", "n", (F.col("r") + 1).alias("r"))
+    each = own.join(mixed, "a").select("a", F.col("b").alias("rep"), "comp", "n", "sim", F.posexplode("front").alias("r", "element"))
+    each = each.select(F.xxhash64("a", "element").alias("g"), "rep", "comp", "n", "sim", (F.col("r") + 1).alias("r"))
     shared = each.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("least"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
     fits = _enough(F.col("n"), F.col("r"), F.greatest("least", F.col("n") * similarity), similarity)
-    return each.join(shared, "g").filter(fits).select("g", "rep", "comp", "n", "r", "size")
+    return each.join(shared, "g").filter(fits).select("g", "rep", "comp", "n", "sim", "r", "size")
 
 
-def _rest(groups: DataFrame, block: int, blocks: Column, similarity: float) -> DataFrame:
-    """Distinct pairs (a, b) of a group's members in its given block and all its members."""
-    own = groups.withColumn("at", F.pmod(F.xxhash64("rep"), blocks))
-    few = own.filter(F.col("at") == block).select("g", F.col("rep").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"), F.col("r").alias("ra"), "at")
-    many = own.select("g", F.col("rep").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("r").alias("rb"), F.col("at").alias("bt"))
-    once = (F.col("at") < F.col("bt")) | (F.col("at") == F.col("bt")) & (F.col("a") < F.col("b"))
+def _turn(block: int) -> Column:
+    """When a member of a group is compared with all whose turn is not before: about block members at first (0),
+    then WIDER times as many up to each further turn."""
+    place = F.pmod(F.xxhash64("rep"), F.lit(1 << 40)) / float(1 << 40) * F.col("size") / block
+    return F.when(place < 1, 0).otherwise(F.floor(F.log(place) / math.log(WIDER)) + 1).cast("int")
+
+
+def _rest(groups: DataFrame, turn: int, similarity: float) -> DataFrame:
+    """Distinct pairs (a, b) of a group's members at the given turn and those whose turn is not before."""
+    few = groups.filter(F.col("turn") == turn).select("g", F.col("rep").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"), F.col("r").alias("ra"), F.col("sim").alias("la"))
+    many = groups.filter(F.col("turn") >= turn).select("g", F.col("rep").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("r").alias("rb"), F.col("sim").alias("lb"), F.col("turn").alias("bt"))
+    once = (F.col("bt") > turn) | (F.col("a") < F.col("b"))
     fits = _enough(F.col("na"), F.col("ra"), F.col("nb"), similarity) & _enough(F.col("nb"), F.col("rb"), F.col("na"), similarity)
-    found = few.join(many, "g").filter((F.col("ca") != F.col("cb")) & once & fits)
+    near = F.abs(F.col("la") - F.col("lb")) <= 1 - similarity + 1e-9  # 1 - sim is a metric
+    found = few.join(many, "g").filter((F.col("ca") != F.col("cb")) & once & fits & near)
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _mixed(groups: DataFrame, label: DataFrame) -> DataFrame:
+    """groups with the components of label (node, comp), those of several ones only."""
+    own = groups.drop("comp").join(label.toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    return own.join(own.groupBy("g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("g"), "g")
+
+
 def _labels(members: DataFrame, sets: DataFrame, similarity: float, block: int = BLOCK) -> DataFrame:
     """node, comp: components of all links within the buckets (key, rep, size)."""
     alike = F.col("sim") >= similarity - 1e-12
     stars = cut(_front(compared(_stars(members), sets), similarity))
     label = components(stars.filter(alike).select("a", "b"))
-    groups = cut(_groups(stars, label, similarity))
+    groups = cut(_groups(stars, label, similarity).withColumn("turn", _turn(block)))
     seen = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    most = groups.agg(F.max("size")).first()[0] or 0
-    blocks = F.ceil(F.col("size") / block)
-    for number in range(-(-most // block)):
-        if number:
-            own = groups.filter(blocks > number).drop("comp").join(label.toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-        else:
-            own = groups
-        pairs = _rest(own, number, blocks, similarity).join(seen, ["a", "b"], "left_anti")
+    last, turn = groups.agg(F.max("turn")).first()[0], 0
+    while last is not None and turn <= last:
+        pairs = _rest(groups, turn, similarity).join(seen, ["a", "b"], "left_anti")
         label = merged(label, cut(compared(pairs, sets).filter(alike).select("a", "b")))
+        turn += 1
+        if turn <= last:
+            groups = cut(_mixed(groups.filter(F.col("turn") >= turn), label))
+            last = groups.agg(F.max("turn")).first()[0]
     return label
 
 

@@ -382,6 +382,17 @@ def test_near_dup_brute_force(spark, monkeypatch, block):
     assert {frozenset(v) for v in got.values()} == brute_classes(texts)
 
 
+def test_near_dup_large_group(spark, monkeypatch):
+    """A bucket of texts that are like each other and unlike its leader: far fewer pairs than their square."""
+    n, seen, compared = 300, [], near_dup.compared
+    sets = [(i, [*range(85), *range(200, 215), 1000 + i]) for i in range(n)] + [(n, [*range(100)])]
+    members = spark.createDataFrame([(1, i, n + 1) for i in range(n + 1)], "key long, rep long, size long")
+    monkeypatch.setattr(near_dup, "compared", lambda pairs, sets: (seen.append(pairs.count()), compared(pairs, sets))[1])
+    label = near_dup._labels(members, spark.createDataFrame(sets, "rep long, shingles array<long>"), 0.8).collect()
+    assert sorted(r.node for r in label if r.comp == 0) == list(range(n))
+    assert sum(seen) < 20 * n
+
+
 def test_dart_signatures_estimate_jaccard():
     r = np.random.default_rng(0)
     a = r.integers(0, 2**63, 400).astype(np.uint64)
