@@ -496,6 +496,18 @@ def test_lm_learns_from_whole_texts(spark):
     assert sum(sizes) == sum(len(x) + 1 for x in whole)
 
 
+def test_lm_trains_on_all_windows(spark, monkeypatch):
+    """Every id of the training texts is a target of the attention model, in corpora of thousands of windows too."""
+    r, seen = np.random.default_rng(7), []
+    ids = [r.integers(0, 500, 20_400).astype(np.uint16) for _ in range(60)]
+    documents = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(ids)], "doc_id long, ids binary")
+    n = np.bincount(np.concatenate([*ids, [lm_score.END_ID] * 60]).astype(int), minlength=lm_score.IDS)
+    size = F.sum(F.length("window") / 4 - 1)
+    monkeypatch.setattr(lm_score, "train", lambda windows, *_: seen.append(windows.agg(size).first()[0]) or lm_score.start())
+    lm_score.fit(documents, n)
+    assert seen == [n.sum()]
+
+
 def test_lm_counts_brute_force(spark, tables):
     texts = [r.text or "" for r in tables["documents"].limit(40).collect()]
     documents, frequent = _with_ids(spark, texts), np.arange(300, 300 + lm_score.FREQUENT)
