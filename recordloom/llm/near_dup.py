@@ -14,14 +14,17 @@ instead of k hashes an element.
    bucket. Each bucket has one leader, the member that meets most other texts, and every other
    member is compared with it (exact weighted Jaccard), never all pairs. Links make components.
 2. The members around a leader are its star. Where a star holds several components, two members may
-   be linked without either being linked to the leader. They must then share one of the foremost
-   elements in any common order (prefix filtering); the order is: elements that the leader lacks,
-   then the others. What sets the leader apart from a member is rare, so the groups that share such
-   an element are small. Members of a group in different components are compared if the places of
-   the shared element leave enough behind it (positional filtering) and their similarities to the
-   leader differ by no more than linked texts' can (the distance is a metric). About ``BLOCK`` members
-   of a group are compared with all others first, then turn by turn ``WIDER`` times as many; components
-   found on the way drop the later pairs.
+   be linked without either being linked to the leader. Members differ in what only one of them has
+   toggled against the leader (has where the leader lacks it, or lacks where the leader has it), and
+   where together they have toggled more than linked texts may differ in, they must share some of it.
+   They then share one of the foremost toggled elements in any common order (prefix filtering); the
+   order is: rare elements of the star, then those of many members by their number, so that what sets
+   the leader apart from all the others comes last. Members of a group that shares an element are
+   compared if they are in different components, enough of their toggled elements lie from the shared
+   one on (positional filtering) and their similarities to the leader differ by no more than linked
+   texts' can (the distance is a metric). About ``BLOCK`` members of a group are compared with all
+   others first, then turn by turn ``WIDER`` times as many; components found on the way drop the later
+   pairs.
 3. Components of all links are the classes. No link within a bucket is lost.
 
 Two texts of similarity 0.8 share no bucket with probability (1 - 0.8**5)**24 = 7e-5.
@@ -49,6 +52,9 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 BLOCK, WIDER = 8, 4  # members of a group that are first compared with all others; how many more each further time
+OFTEN = 64  # elements of more than one in so many members of a star come last, by their number
+TOLD = 1 << 17  # texts that every task is told of at most
+SLACK = 1e-6  # of counts and their shares
 COPIED = 1000
 FIRST_RANK = 1 / 16  # the first region of ranks; each further one doubles the span
 MIX1, MIX2, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -244,28 +250,43 @@ def _stars(members: DataFrame) -> DataFrame:
     return members.join(best, "key").filter("rep <> a").select("a", F.col("rep").alias("b")).distinct()
 
 
-def _enough(n: Column, r: Column, other_n: Column, similarity: float) -> Column:
-    """Whether a set of n elements whose shared ones begin at place r can be so similar to one of other_n."""
-    return 1 + n - r >= F.lit(similarity / (1 + similarity)) * (n + other_n) - 1e-9
+def _apart(sets: DataFrame) -> DataFrame:
+    """a, b, sim, n, apart of compared pairs: what only one of b and its leader a has. Two members of a star
+    differ in what only one of their ``apart`` has."""
+    apart = F.concat(F.array_except("sb", "sa"), F.array_except("sa", "sb"))
+    return sets.select("a", "b", "sim", F.size("sb").alias("n"), apart.alias("apart"))
 
 
-def _front(sets: DataFrame, similarity: float) -> DataFrame:
-    """a, b, n, front of compared pairs: the foremost elements of b in the order that a gives."""
-    n = F.size("sb")
-    ordered = F.concat(F.array_except("sb", "sa"), F.array_intersect("sb", "sa"))
-    return sets.select("a", "b", "sim", n.alias("n"), F.slice(ordered, F.lit(1), (n - F.ceil(n * similarity - 1e-9) + 1).cast("int")).alias("front"))
+def _rarest_first(stars: DataFrame) -> DataFrame:
+    """stars with each ``apart`` in an order that its star has in common: rare elements, then those of more than
+    BLOCK members and one in OFTEN, by their number. At most OFTEN times the mean size of ``apart`` are such."""
+    of_star = stars.groupBy("a").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > BLOCK)
+    each = stars.join(of_star, "a").select("a", "k", F.explode("apart").alias("element"))
+    counts = each.groupBy("a", "element").agg(F.count(F.lit(1)).alias("c"), F.first("k").alias("k")).filter(F.col("c") > F.greatest(F.lit(BLOCK), F.col("k") / OFTEN))
+    often = counts.groupBy("a").agg(F.array_sort(F.collect_list(F.struct("c", "element"))).alias("often")).select("a", F.col("often.element").alias("often"))
+    ordered = F.concat(F.array_except("apart", "often"), F.array_intersect("often", "apart"))
+    return stars.join(often, "a", "left").withColumn("apart", F.when(F.col("often").isNull(), F.col("apart")).otherwise(ordered)).drop("often")
 
 
 def _groups(stars: DataFrame, label: DataFrame, similarity: float) -> DataFrame:
-    """g, rep, comp, n, sim, r, size: members of a star that share one of their foremost elements, at place
-    r, where they are of several components; sim is their similarity to the leader."""
-    own = stars.select("a", "b", "n", "sim", "front").join(label.toDF("b", "comp"), "b", "left").withColumn("comp", F.coalesce("comp", "b"))
+    """g, rep, comp, n, sim, left, over, size: members of a star that share one of their foremost elements,
+    where they are of several components. left: how many elements of ``apart`` begin there; over: by how many
+    they exceed the member's share of what two linked texts may differ in; sim: its similarity to the leader."""
+    own = stars.join(label.toDF("b", "comp"), "b", "left").withColumn("comp", F.coalesce("comp", "b"))
     mixed = own.groupBy("a").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("a")
-    each = own.join(mixed, "a").select("a", F.col("b").alias("rep"), "comp", "n", "sim", F.posexplode("front").alias("r", "element"))
-    each = each.select(F.xxhash64("a", "element").alias("g"), "rep", "comp", "n", "sim", (F.col("r") + 1).alias("r"))
-    shared = each.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("least"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-    fits = _enough(F.col("n"), F.col("r"), F.greatest("least", F.col("n") * similarity), similarity)
-    return each.join(shared, "g").filter(fits).select("g", "rep", "comp", "n", "sim", "r", "size")
+    own = _rarest_first(cut(own.join(mixed, "a")))
+    m, most = F.size("apart"), F.floor(F.col("n") * (1 / max(similarity, 1e-9) - 1) + SLACK) + 1  # linked texts differ in most - 1 elements
+    over = m - F.col("n") * ((1 - similarity) / (1 + similarity))
+    each = own.select("a", F.col("b").alias("rep"), "comp", "n", "sim", m.alias("m"), over.alias("over"), F.posexplode(F.slice("apart", F.lit(1), F.least(m, most).cast("int"))).alias("r", "element"))
+    each = each.select(F.xxhash64("a", "element").alias("g"), "rep", "comp", "n", "sim", (F.col("m") - F.col("r")).alias("left"), "over")
+    shared = each.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.min("over").alias("least"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
+    fits = each.join(shared, "g").filter(_enough(F.col("left"), F.col("over") + F.col("least")))
+    return fits.select("g", "rep", "comp", "n", "sim", "left", "over", "size")
+
+
+def _enough(left: Column, over: Column) -> Column:
+    """Whether so many elements of ``apart`` that may be shared make up for the excess of both texts."""
+    return 2 * left >= over - SLACK
 
 
 def _turn(block: int) -> Column:
@@ -277,10 +298,10 @@ def _turn(block: int) -> Column:
 
 def _rest(groups: DataFrame, turn: int, similarity: float) -> DataFrame:
     """Distinct pairs (a, b) of a group's members at the given turn and those whose turn is not before."""
-    few = groups.filter(F.col("turn") == turn).select("g", F.col("rep").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"), F.col("r").alias("ra"), F.col("sim").alias("la"))
-    many = groups.filter(F.col("turn") >= turn).select("g", F.col("rep").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("r").alias("rb"), F.col("sim").alias("lb"), F.col("turn").alias("bt"))
+    few = groups.filter(F.col("turn") == turn).select("g", F.col("rep").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"), F.col("left").alias("ra"), F.col("over").alias("oa"), F.col("sim").alias("la"))
+    many = groups.filter(F.col("turn") >= turn).select("g", F.col("rep").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("left").alias("rb"), F.col("over").alias("ob"), F.col("sim").alias("lb"), F.col("turn").alias("bt"))
     once = (F.col("bt") > turn) | (F.col("a") < F.col("b"))
-    fits = _enough(F.col("na"), F.col("ra"), F.col("nb"), similarity) & _enough(F.col("nb"), F.col("rb"), F.col("na"), similarity)
+    fits = _enough(F.least("ra", "rb"), F.col("oa") + F.col("ob")) & (F.least("na", "nb") >= F.greatest("na", "nb") * similarity - SLACK)
     near = F.abs(F.col("la") - F.col("lb")) <= 1 - similarity + 1e-9  # 1 - sim is a metric
     found = few.join(many, "g").filter((F.col("ca") != F.col("cb")) & once & fits & near)
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -292,17 +313,23 @@ def _mixed(groups: DataFrame, label: DataFrame) -> DataFrame:
     return own.join(own.groupBy("g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("g"), "g")
 
 
+def _of_pairs(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The sets that pairs (a, b) need, where these are few enough to tell every task; else all of them."""
+    ends = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    return sets.join(F.broadcast(ends), "rep", "left_semi") if ends.count() <= TOLD else sets
+
+
 def _labels(members: DataFrame, sets: DataFrame, similarity: float, block: int = BLOCK) -> DataFrame:
     """node, comp: components of all links within the buckets (key, rep, size)."""
     alike = F.col("sim") >= similarity - 1e-12
-    stars = cut(_front(compared(_stars(members), sets), similarity))
+    stars = cut(_apart(compared(_stars(members), sets)))
     label = components(stars.filter(alike).select("a", "b"))
     groups = cut(_groups(stars, label, similarity).withColumn("turn", _turn(block)))
     seen = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     last, turn = groups.agg(F.max("turn")).first()[0], 0
     while last is not None and turn <= last:
-        pairs = _rest(groups, turn, similarity).join(seen, ["a", "b"], "left_anti")
-        label = merged(label, cut(compared(pairs, sets).filter(alike).select("a", "b")))
+        pairs = cut(_rest(groups, turn, similarity).join(seen, ["a", "b"], "left_anti"))
+        label = merged(label, cut(compared(pairs, _of_pairs(sets, pairs)).filter(alike).select("a", "b")))
         turn += 1
         if turn <= last:
             groups = cut(_mixed(groups.filter(F.col("turn") >= turn), label))

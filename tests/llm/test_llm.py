@@ -393,6 +393,19 @@ def test_near_dup_large_group(spark, monkeypatch):
     assert sum(seen) < 20 * n
 
 
+def test_near_dup_apart_from_leader(spark, monkeypatch):
+    """Texts of a bucket that share what its leader lacks, and are unlike for what they have of their own, are not compared."""
+    n, seen, compared, r = 100, [], near_dup.compared, random.Random(5)
+    sets = [(i, [*range(98), 1000 + 2 * i, 1001 + 2 * i]) for i in range(n)]
+    sets += [(n + i, [*r.sample(range(100), 88), *range(2000 + 12 * i, 2012 + 12 * i)]) for i in range(n)]
+    sets = [(i, sorted(hash((x, 1)) for x in s)) for i, s in [*sets, (2 * n, [*range(92), *range(5000, 5008)])]]
+    members = spark.createDataFrame([(1, i, 2 * n + 1) for i in range(2 * n)] + [(k, 2 * n, 2 * n + 1) for k in (1, 2)], "key long, rep long, size long")
+    monkeypatch.setattr(near_dup, "compared", lambda pairs, sets: (seen.append(pairs.count()), compared(pairs, sets))[1])
+    label = near_dup._labels(members, spark.createDataFrame(sets, "rep long, shingles array<long>"), 0.8).collect()
+    assert sorted(x.node for x in label if x.comp == 0) == [*range(n), 2 * n] and len(label) == n + 1
+    assert sum(seen) < 3 * n
+
+
 def test_dart_signatures_estimate_jaccard():
     r = np.random.default_rng(0)
     a = r.integers(0, 2**63, 400).astype(np.uint64)
