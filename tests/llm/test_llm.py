@@ -521,6 +521,15 @@ def test_lm_trains_on_all_windows(spark, monkeypatch):
     assert seen == [n.sum()]
 
 
+def test_lm_windows_are_written_once(spark, monkeypatch):
+    """Training reads the windows that gather() gave; no second copy takes disk."""
+    written, cut = [], lm_score.cut
+    monkeypatch.setattr(lm_score, "cut", lambda df, *how: (written.append(df.columns), cut(df, *how))[1])
+    documents = _with_ids(spark, ["one two three"] * 5)
+    lm_score.fit(documents, np.bincount(_lm_ids(["one two three"])[0].astype(int), minlength=lm_score.IDS))
+    assert sum("window" in columns for columns in written) == 1 and len(written) == 1 + lm_score.FEW
+
+
 def test_lm_counts_brute_force(spark, tables):
     texts = [r.text or "" for r in tables["documents"].limit(40).collect()]
     documents, frequent = _with_ids(spark, texts), np.arange(300, 300 + lm_score.FREQUENT)
