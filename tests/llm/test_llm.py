@@ -496,6 +496,47 @@ def test_lm_ids_are_lossless_and_written(spark, tables):
     assert seen == want
 
 
+def test_lm_encodes_a_word_once(monkeypatch):
+    """A part's words are encoded once each, and the ids are those of whole texts, whatever their white space."""
+    encoder, r, seen = lm_score.Encoder(), random.Random(1), []
+    bits = [" ", "  ", "\n", "\t", "\x0b", "\x85", "\xa0", "\x1c", "\u2028", "a", "B", "\u00c9", "\u0130", "don't", "'s", "'", "23", "\u65e5\u672c", "-", "!!", "<|endoftext|>", "e\u0301", "\U0001f600", "\u200b"]
+    odd = ["".join(r.choice(bits) if r.random() < 0.5 else r.choice([" ", "a", "x'll"]) for _ in range(r.randrange(25))) for _ in range(3000)]
+    texts = [*odd, "", None, " ", "a ", " a", "a"]
+    for got, text in zip(encoder.encode_all(pa.array(texts)), texts, strict=True):
+        assert got.tolist() == encoder.encode(text or "").tolist(), text
+    assert encoder.encode_all(pa.array([], pa.string())) == []
+    own = encoder._ids
+    monkeypatch.setattr(encoder, "_ids", lambda text: (seen.append(len(text)), own(text))[1])
+    got = encoder.encode_all(pa.array(["one two three " * 1000 + "end"] * 5))
+    assert sum(seen) < 100 and len(got) == 5 and len(got[0]) > 3000
+
+
+def test_lm_epoch_is_adam():
+    """Steps over blocks in random order: the weights that a plain loop over each array arrives at."""
+    r, group = np.random.default_rng(8), np.arange(lm_score.IDS) % lm_score.CLASSES
+    windows = [r.integers(0, 500, 300).astype(np.int32) for _ in range(20)]
+    state, p = lm_score.begin(), lm_score.start()
+    changed = lm_score.epoch(state, windows, group, 1, 3)
+    m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in "mv")
+    ids, live = lm_score._blocks(windows)
+    want = np.zeros(ids.shape, np.int64)
+    want[live] = group[np.concatenate([w[1:] for w in windows])]
+    order = np.random.default_rng(6).permutation(np.flatnonzero(live.any(axis=1)))
+    steps = -(-len(order) // lm_score.BATCH)
+    for i in range(steps):
+        own, step = order[i * lm_score.BATCH : (i + 1) * lm_score.BATCH], steps + i + 1
+        g, part, at = lm_score.gradient(p, lm_score.forward(p, ids[own], ids[own - 1]), ids[own], ids[own - 1], want[own], live[own])
+        rate = lm_score.RATE * (1 - step / (3 * steps + 1))
+        v["E"][at] = 0.99 * v["E"][at] + 0.01 * part**2
+        p["E"][at] -= rate * part / (np.sqrt(v["E"][at]) + 1e-6)
+        for k, x in g.items():
+            m[k], v[k] = 0.9 * m[k] + 0.1 * x, 0.99 * v[k] + 0.01 * x * x
+            p[k] = p[k] - rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)
+    assert set(np.flatnonzero(changed)) == {*np.unique(np.concatenate(windows)).tolist(), lm_score.IDS}
+    for k, x in p.items():
+        assert state["p", k] == pytest.approx(x, abs=1e-4)
+
+
 def test_lm_learns_from_whole_texts(spark):
     """Words that occur only late in long texts get classes of their own, and windows come from there."""
     late = [f"common words here {'of all sorts ' * 1500}" + "zebra quartz zebra quartz " * 20 for _ in range(3)]
