@@ -74,7 +74,7 @@ def r06(t):
     select user_id, day, 'first_seen' as signal, null as value from f union select c.user_id, c.day, 'code_added', cast(code as varchar) from c join f using (user_id) where c.day > f.day union select user_id, day, 'role_changed', p || '>' || event_type from r where p <> event_type""",
 )
 def r07(t):
-    own = t.events.withColumn("code", F.round(F.col("value") / 100).cast("long"))
+    own = t.events.withColumn("code", F.rint(F.col("value") / 100).cast("long"))  # a half to the even number, as SQL casts it
     return R.signal_events(own, "user_id", F.col("ts").cast("date"), ["ts", "event_id"], "code", "event_type")
 
 
