@@ -140,9 +140,12 @@ def lines(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(key, F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("line_no", "line"))
 
 
-def parse_register(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """Rows (key, code, title, rate) of ``code title....rate`` lines, the last rate of a code wins; lines that hold a rate but fit no row."""
-    pattern = r"^\s*(\d{5})\s+(.*?)\s*\.{2,}\s*\$?\s*(\d+\.\d+)"
+def parse_register(df: DataFrame, key: str, text: str, code: str = r"\d{5}") -> tuple[DataFrame, DataFrame]:
+    """Rows (key, code, title, rate) of ``code title....rate`` lines, the last rate of a code wins; lines that hold a rate but fit no row.
+
+    code: pattern of a code, without groups.
+    """
+    pattern = rf"^\s*({code})\s+(.*?)\s*\.{{2,}}\s*\$?\s*(\d+\.\d+)"
     rows = lines(df, key, text)
     part = lambda i: F.regexp_extract("line", pattern, i)
     good = rows.filter(F.col("line").rlike(pattern)).select(key, "line_no", part(1).alias("code"), part(2).alias("title"), part(3).cast("double").alias("rate"))

@@ -23,3 +23,9 @@ def test_codes_of_halves(spark, tmp_path):
     rows = " union all ".join(f"select {i} as event_id, timestamp '2024-01-0{i + 1}' as ts, 7 as user_id, 'view' as event_type, {v}::double as value, '{{}}' as props" for i, v in enumerate(values))
     _table(tmp_path, "events", rows)
     _same(spark, tmp_path, "r07_signal_events")
+
+
+def test_register_codes_of_six_digits(spark, tmp_path):
+    _table(tmp_path, "customer", "select range + 89980 as c_custkey, 'c' as c_name, cast(range % 3 as integer) as c_nationkey, 0.0 as c_acctbal, 'BUILDING' as c_mktsegment from range(60)")
+    _same(spark, tmp_path, "t08_parse_register")
+    _same(spark, tmp_path, "t08_parse_register_rest")
