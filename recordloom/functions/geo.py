@@ -66,8 +66,18 @@ def wkt_centroid(wkt: Column) -> Column:
     return F.struct((add("x") / F.nullif(add("area"), F.lit(0.0))).alias("lon"), (add("y") / F.nullif(add("area"), F.lit(0.0))).alias("lat"))
 
 
+def sides(wkt: Column) -> Column:
+    """array<struct<a,b>> of all rings of a polygon or multipolygon."""
+    return F.flatten(F.transform(rings(wkt), lambda r: edges(r["points"])))
+
+
 def polygon_distance(x: Column, y: Column, wkt: Column) -> Column:
     """Degrees from a point to a polygon or multipolygon, 0 inside; a hole is outside."""
+    return sides_distance(x, y, sides(wkt))
+
+
+def sides_distance(x: Column, y: Column, sides: Column) -> Column:
+    """polygon_distance from the polygon's sides(), for polygons that many points meet."""
 
     def to_edge(e: Column) -> Column:
         dx, dy = e["b"]["x"] - e["a"]["x"], e["b"]["y"] - e["a"]["y"]
@@ -80,7 +90,6 @@ def polygon_distance(x: Column, y: Column, wkt: Column) -> Column:
         at = e["a"]["x"] + (y - e["a"]["y"]) * (e["b"]["x"] - e["a"]["x"]) / F.nullif(e["b"]["y"] - e["a"]["y"], F.lit(0.0))
         return spans & (x < at)
 
-    sides = F.flatten(F.transform(rings(wkt), lambda r: edges(r["points"])))
     inside = F.size(F.filter(sides, crosses)) % 2 == 1
     return F.when(inside, F.lit(0.0)).otherwise(F.array_min(F.transform(sides, to_edge)))
 
