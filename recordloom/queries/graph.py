@@ -10,7 +10,7 @@ from recordloom.operators import aggregates as A
 from recordloom.operators import graph as G
 from recordloom.operators import joins as J
 
-from .joins import BASKETS, CUSTOMERS, MILES, PARTS, SITES, places, sites
+from .joins import BASKETS, CUSTOMERS, LAT_S, LON_S, MILES, PARTS, SITES, places, sites
 from .registry import query
 
 TREE = "e as (select c_custkey as child, cast(floor(c_custkey / 7) as bigint) as parent from customer where c_custkey > 0 union all select max(c_custkey) + 1, max(c_custkey) + 2 from customer union all select max(c_custkey) + 2, max(c_custkey) + 1 from customer)"
@@ -188,8 +188,8 @@ def e03(t):
 
 @query("e04_proximity_rollup", f"with a as ({CUSTOMERS}), b as ({SITES}), m as (select c_custkey, s_suppkey from a, b where {MILES} <= 60) select c_custkey, count(*) as n, round(sum(s_acctbal), 2) as total, string_agg(s_suppkey, ',' order by cast(s_suppkey as varchar)) as keys from m join supplier using (s_suppkey) group by 1")
 def e04(t):
-    met = J.within_radius(places(t), sites(t), 60).join(t.supplier.select("s_suppkey", "s_acctbal"), "s_suppkey")
-    return met.groupBy("c_custkey").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("s_acctbal"), 2).alias("total"), F.array_join(F.array_sort(F.collect_set(F.col("s_suppkey").cast("string"))), ",").alias("keys"))
+    rich = t.supplier.select("s_acctbal", F.col("s_suppkey"), F.expr(LAT_S).alias("blat"), F.expr(LON_S).alias("blon"))
+    return J.proximity_rollup(places(t), rich, 60, "s_suppkey", "s_acctbal").select("c_custkey", "n", "total", "keys")
 
 
 def _squares(t):
