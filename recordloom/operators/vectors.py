@@ -51,41 +51,72 @@ def ivf_assign(df: DataFrame, vector: str, centres: np.ndarray, probes: int = 1)
     return df.withColumn("cell", F.explode(F.transform(near, lambda s: s["cell"])))
 
 
-BLOCK_ROWS = 50_000  # broadcast at once
-
-
-def blocks(df: DataFrame, key: str, rows: int) -> list[DataFrame]:
-    """df, of so many rows, in blocks of about BLOCK_ROWS."""
-    n = max(1, -(-rows // BLOCK_ROWS))
-    return [df.filter(F.pmod(F.xxhash64(key), F.lit(n)) == i) for i in range(n)] if n > 1 else [df]
+BLOCK_ROWS, ASKED_ROWS = 5_000, 1_000  # rows that are searched and that search in one group
 
 
 def vector_match(a: DataFrame, a_key: str, b: DataFrame, b_key: str, vector: str, k: int, max_dist: float, incumbents: DataFrame | None = None, centres: np.ndarray | None = None) -> DataFrame:
     """The k nearest b-rows of each a-row under a cosine distance cap, incumbents removed.
 
-    Every a-row meets every b-row: the side with fewer rows is broadcast, in blocks. With centres,
-    both sides meet by cells instead, which keeps pairs whose b-cell is among the a-row's two nearest.
+    Every a-row meets every b-row, in groups of a block of each side; a group keeps what can still rank.
+    With centres, both sides meet by cells instead, which keeps pairs whose b-cell is among the a-row's
+    two nearest. Pairs without a distance (a null or zero vector, another length) have no part.
     """
-    left, right = a.select(a_key, F.col(vector).alias("va")), b.select(b_key, F.col(vector).alias("vb"))
     if centres is None:
-        n, m = left.count(), right.count()
-        if n < m:
-            mets = [right.crossJoin(F.broadcast(x)) for x in blocks(left, a_key, n)]
-        else:
-            mets = [left.crossJoin(F.broadcast(x)) for x in blocks(right, b_key, m)]
+        close = _close(a, a_key, b, b_key, vector, k, max_dist, incumbents)
     else:
-        mets = [ivf_assign(left, "va", centres, 2).join(ivf_assign(right, "vb", centres), "cell")]
-    distance = F.round(1 - dot(F.col("va"), F.col("vb")) / (norm(F.col("va")) * norm(F.col("vb"))), 6)
-    w = Window.partitionBy(a_key).orderBy("distance", b_key)
-    found = []
-    for met in mets:
-        close = met.select(a_key, b_key, distance.alias("distance")).filter(F.col("distance") <= max_dist)
+        left, right = a.select(a_key, F.col(vector).alias("va")), b.select(b_key, F.col(vector).alias("vb"))
+        met = ivf_assign(left, "va", centres, 2).join(ivf_assign(right, "vb", centres), "cell")
+        distance = 1 - dot(F.col("va"), F.col("vb")) / (norm(F.col("va")) * norm(F.col("vb")))
+        close = met.select(a_key, b_key, distance.alias("distance"))
         if incumbents is not None:
             close = close.join(incumbents, [a_key, b_key], "left_anti")
-        found.append(close.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k))
-    if len(found) == 1:
-        return found[0]
-    return reduce(DataFrame.union, found).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    close = close.withColumn("distance", F.round("distance", 6)).filter(F.col("distance") <= max_dist)
+    w = Window.partitionBy(a_key).orderBy("distance", b_key)
+    return close.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def _close(a: DataFrame, a_key: str, b: DataFrame, b_key: str, vector: str, k: int, max_dist: float, incumbents: DataFrame | None) -> DataFrame:
+    """a_key, b_key, distance: of each group of a block of both sides, the k nearest b-rows of each a-row, incumbents
+    removed, and those so near to the k-th that rounding could put them before it; of equal distances the k least keys.
+
+    Distances are found by one product of the blocks, then summed again for what is kept, in order.
+    """
+    kinds = {n: df.schema[n].dataType.simpleString() for n, df in ((a_key, a), (b_key, b))}
+    own = lambda df, key, name: df.select(key, F.col(vector).cast("array<double>").alias(name)).filter(F.col(name).isNotNull())
+    left, right = own(a, a_key, "va"), own(b, b_key, "vb")
+    parts, blocks = max(1, -(-left.count() // ASKED_ROWS)), max(1, -(-right.count() // BLOCK_ROWS))
+    if incumbents is not None:
+        left = left.join(incumbents.groupBy(a_key).agg(F.collect_list(b_key).alias("known")), a_key, "left")
+    else:
+        left = left.withColumn("known", F.lit(None).cast(f"array<{kinds[b_key]}>"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    asked = left.withColumn("part", F.pmod(F.xxhash64(a_key), F.lit(parts)).cast("int")).withColumn("block", every(blocks))
+    given = right.withColumn("block", F.pmod(F.xxhash64(b_key), F.lit(blocks)).cast("int")).withColumn("part", every(parts))
+    summed = lambda x, y: np.cumsum(x * y, axis=1)[:, -1]  # one after the other, as dot() does
+
+    def meet(own: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({a_key: own[a_key][:0], b_key: rows[b_key][:0], "distance": np.zeros(0)})]
+        sizes, others = own["va"].map(len).to_numpy(), rows["vb"].map(len).to_numpy()
+        for width in set(sizes[sizes > 0].tolist()) & set(others.tolist()):
+            asks, names = own[sizes == width], rows[b_key].to_numpy()[others == width]
+            q, x = np.stack(asks["va"]).astype(float), np.stack(rows["vb"][others == width]).astype(float)
+            with np.errstate(all="ignore"):
+                lengths = np.sqrt(summed(q, q)), np.sqrt(summed(x, x))
+                for i in range(0, len(q), 200):
+                    d = 1 - q[i : i + 200] @ x.T / (lengths[0][i : i + 200, None] * lengths[1])
+                    for at, known in enumerate(asks["known"][i : i + 200]):
+                        if known is not None and len(known):
+                            d[at, np.isin(names, known)] = np.inf
+                    d[~np.isfinite(d)] = np.inf
+                    limit = np.partition(d, k - 1, axis=1)[:, k - 1] if d.shape[1] > k else np.full(len(d), np.inf)
+                    r, s = np.nonzero((d <= np.minimum(limit, max_dist)[:, None] + 2e-6) & (d < np.inf))
+                    exact = 1 - summed(q[i + r], x[s]) / (lengths[0][i + r] * lengths[1][s])
+                    kept = pd.DataFrame({a_key: asks[a_key].to_numpy()[i + r], b_key: names[s], "distance": exact, "row": r})
+                    out.append(kept.sort_values(b_key).groupby(["row", "distance"]).head(k).drop(columns="row"))
+        return pd.concat([x for x in out if len(x)] or out)
+
+    met = asked.groupBy("part", "block").cogroup(given.groupBy("part", "block"))
+    return met.applyInPandas(meet, f"{a_key} {kinds[a_key]}, {b_key} {kinds[b_key]}, distance double")
 
 
 def ivf_search(queries: DataFrame, q_key: str, df: DataFrame, key: str, vector: str, centres: np.ndarray, probes: int, k: int) -> DataFrame:

@@ -375,3 +375,31 @@ def test_header_goes_by_place(spark, tmp_path):
     rows, rejects = read_ragged(spark, str(tmp_path), ["id", "name"], header=True)
     assert sorted((r.id, r.name) for r in rows.collect()) == [("1", "x"), ("2", None), ("3", "y"), ("id", "name")]
     assert [r.line for r in rejects.collect()] == ["4,y,z"]
+
+
+def test_vector_match_against_brute_force(spark, monkeypatch):
+    """Ties and copies by least key, incumbents out, null, zero and shorter vectors left out, in blocks of any size."""
+    from recordloom.operators import vectors
+
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 8)).round(1)
+    x[100:180] = x[7]  # copies, more than any k
+    x[200:230] = x[:30] * 2  # as near as their likes
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(300, None), (301, [0.0] * 8), (302, [1.0] * 5), (303, [1.0] * 7 + [None])]
+    b = spark.createDataFrame(rows, "j long, v array<float>")
+    a = b.filter("j % 20 = 7 or j >= 300").withColumnRenamed("j", "i")
+    incumbents = [(7, 7), (7, 101), (27, 27), (27, 5), (47, None)]
+    y = x.astype(np.float32).astype(float)
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    want = {}
+    for i in range(7, 300, 20):
+        met = sorted((round(1 - float(y[i] @ y[j]), 6) + 0.0, j) for j in range(300) if (i, j) not in incumbents)
+        want |= {(i, rank): (j, pytest.approx(d, abs=1e-6)) for rank, (d, j) in enumerate(met[:5], 1) if d <= 0.8}
+    for block, asked in ((5_000, 1_000), (40, 4)):
+        monkeypatch.setattr(vectors, "BLOCK_ROWS", block)
+        monkeypatch.setattr(vectors, "ASKED_ROWS", asked)
+        out = vectors.vector_match(a, "i", b, "j", "v", 5, 0.8, spark.createDataFrame(incumbents, "i long, j long")).collect()
+        assert {(r.i, r["rank"]): (r.j, r.distance) for r in out if r.i < 300} == want
+        assert [(r.i, r.j) for r in out if r.i >= 300] == [(302, 302)]
+    close = vectors._close(b, "j", b.withColumnRenamed("j", "k"), "k", "v", 5, 2.1, None)
+    assert close.count() < 302 * 8 * 20  # of 302 x 302 pairs, and in eight blocks
