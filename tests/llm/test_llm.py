@@ -1051,3 +1051,11 @@ def test_shared_folder_is_asked_for(monkeypatch):
 def test_nothing_else_needs_the_subpackage():
     for name in ("recordloom.queries", "recordloom.plans.profiles", "recordloom.streaming.flows"):
         assert "recordloom.llm" not in open(importlib.import_module(name).__file__, encoding="utf-8").read()
+
+
+def test_lm_rounds_have_all_parts(spark):
+    """The ids of each of several parts are trained on in a first round already."""
+    group = np.arange(lm_score.IDS) % lm_score.CLASSES
+    rows = [(bytearray(np.full(40, 100 + part, np.int32).tobytes()), part) for part in range(3)]
+    p = lm_score.train(spark.createDataFrame(rows, "window binary, place long"), 3, group, 1)
+    assert all(not np.array_equal(p["E"][100 + part], lm_score.start()["E"][100 + part]) for part in range(3))
